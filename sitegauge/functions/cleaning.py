@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-CLOCK_TEXT = r"^(\d{1,2}):(\d{1,2}):(\d{1,2})$"
-ABBREVIATED_TEXT = r"(?i)^([+-]?\d+(?:\.\d+)?)\s*([KMBT]?)$"
+DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+CLOCK_TEXT = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d\z"
+ABBREVIATED_TEXT = r"^([+-]?\d+(?:\.\d+)?)\s*[KkMmBbTt]?\z"
 
 # The letters of abbreviated counts.
 MULTIPLIERS = {"K": 1_000, "M": 1_000_000, "B": 1_000_000_000, "T": 1_000_000_000_000}
@@ -25,19 +25,19 @@ def percent_text(text: Column) -> Column:
 
 def clock_seconds(text: Column) -> Column:
     """``00:10:35`` as 635, in 64 bits; NULL outside 00:00:00 to 23:59:59."""
-    hour, minute, second = (
-        F.regexp_extract(text, CLOCK_TEXT, group).try_cast("bigint") for group in (1, 2, 3)
+    seconds = F.aggregate(
+        F.split(text, ":"),
+        F.lit(0).cast("bigint"),
+        lambda total, part: total * 60 + part.try_cast("bigint"),
     )
-    in_range = (hour < 24) & (minute < 60) & (second < 60)
-    return F.when(in_range, hour * 3600 + minute * 60 + second)
+    return F.when(text.rlike(CLOCK_TEXT), seconds)
 
 
 def abbreviated_number(text: Column) -> Column:
     """``87.0B`` as 87000000000. Decimal arithmetic, so no digit is lost on the way."""
     trimmed = F.btrim(text)
     number = F.regexp_extract(trimmed, ABBREVIATED_TEXT, 1).try_cast("decimal(24,9)")
-    letter = F.upper(F.regexp_extract(trimmed, ABBREVIATED_TEXT, 2))
-    factor = F.lit(1).cast("decimal(13,0)")
-    for name, size in MULTIPLIERS.items():
-        factor = F.when(letter == name, F.lit(size).cast("decimal(13,0)")).otherwise(factor)
-    return (number * factor).try_cast("bigint")
+    letters = [F.lit(part) for pair in MULTIPLIERS.items() for part in pair]
+    factor = F.try_element_at(F.create_map(*letters), F.upper(F.right(trimmed, F.lit(1))))
+    scale = F.coalesce(factor, F.lit(1)).cast("decimal(13,0)")
+    return (number * scale).try_cast("bigint")

@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out a single time per row, however often ``use``
+    names it. A plain column is put in place of each mention, also inside lambdas, where it
+    would run again for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def json_objects(text: Column, fields: str) -> Column:
     """Text of one object as an array of one struct; NULL for anything but one whole object.
 
@@ -20,7 +27,7 @@ def json_objects(text: Column, fields: str) -> Column:
     """
     listed = F.concat(F.lit("["), text, F.lit("]"))
     parsed = F.from_json(listed, f"array<struct<{fields}>>", STRICT)
-    return F.get(F.filter(F.array(parsed), lambda found: F.size(found) == 1), F.lit(0))
+    return once(parsed, lambda found: F.when(F.size(found) == 1, found))
 
 
 def json_text(value: Column) -> Column:
@@ -51,6 +58,11 @@ def entries_map(items: Column, key: Callable, value: Callable) -> Column:
         F.transform(items, lambda item: F.struct(key(item).alias("key"), value(item).alias("value"))),
         lambda pair: pair["key"].isNotNull(),
     )
-    keys = F.transform(pairs, lambda pair: pair["key"])
-    first = F.filter(pairs, lambda pair, at: F.array_position(keys, pair["key"]) == at + 1)
-    return F.map_from_entries(first)
+
+    def unique(found: Column, keys: Column) -> Column:
+        first = F.filter(found, lambda pair, at: F.array_position(keys, pair["key"]) == at + 1)
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), found).otherwise(first)
+
+    return F.map_from_entries(
+        once(pairs, lambda found: once(found["key"], lambda keys: unique(found, keys)))
+    )

@@ -83,16 +83,16 @@ def add_ranks(
     ).head()
     ranked = base
     for out, value in ranks.items():
-        keys = [*partition_by, value]
-        table = value_ranks(base, value, out, sorted(set(cuts[out] or [])), partition_by)
-        ranked = _join_spread(ranked, table, keys, out, total)
+        counts = base.groupBy(*partition_by, value).agg(F.count("*").alias("_n"))
+        table = value_ranks(counts, value, out, sorted(set(cuts[out] or [])), partition_by)
+        ranked = join_by_value(ranked, counts, table, out, max(1, total // HOT_SHARE))
     return ranked
 
 
 def value_ranks(
-    df: DataFrame, value: str, out: str, edges: Sequence, partition_by: Sequence[str] = ()
+    counts: DataFrame, value: str, out: str, edges: Sequence, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Distinct values with their count ``_n`` and their ``rank()``, descending with NULL last.
+    """``rank()`` of distinct values with their count ``_n``, descending with NULL last.
 
     Equal values share a rank, so a value held by a third of the rows is one row here. The
     values are cut into ranges that are sorted apart from each other; rank = rows in higher
@@ -100,71 +100,70 @@ def value_ranks(
     the right ranks, and being constants they give a lost task the same ranges again.
     """
     keys = [*partition_by, value]
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    kind = df.schema[value].dataType
-    higher = F.size(F.filter(F.array(*(F.lit(e).cast(kind) for e in edges)),
-                             lambda edge: edge > F.col(value)))
-    # NULL is lower than every edge, and size() of its comparison would be 0.
+    kind = counts.schema[value].dataType
+    higher = F.size(
+        F.filter(
+            F.array(*(F.lit(e).cast(kind) for e in edges)), lambda edge: edge > F.col(value)
+        )
+    )
+    # NULL comes after all values, but would compare as higher than none of the edges.
     place = F.when(F.col(value).isNull(), len(edges) + 1).otherwise(higher)
     placed = counts.withColumn("_range", place)
 
-    range_keys = [*partition_by, "_range"]
-    before = Window.partitionBy(*partition_by).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1
+    # One row per range and partition_by key; without such keys at most MOST_RANGES + 1 rows.
+    before = (
+        Window.partitionBy(*partition_by)
+        .orderBy("_range")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    # One row per range: this window is over at most MOST_RANGES + 1 rows per partition_by key.
-    offsets = (
-        placed.groupBy(*range_keys)
+    of = {key: f"_of_{key}" for key in (*partition_by, "_range")}
+    above = (
+        placed.groupBy(*of)
         .agg(F.sum("_n").alias("_rows"))
-        .select(*range_keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_above"))
+        .select(*of, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_above"))
+        .withColumnsRenamed(of)
     )
+    same = [F.col("_range") == F.col("_of__range")]
+    same += [F.col(key).eqNullSafe(F.col(of[key])) for key in partition_by]
     inside = (
-        Window.partitionBy(*range_keys)
+        Window.partitionBy(*of)
         .orderBy(F.col(value).desc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    of = {key: f"_of{i}" for i, key in enumerate(range_keys)}
-    offsets = offsets.withColumnsRenamed(of)
-    same = [F.col(key).eqNullSafe(F.col(name)) for key, name in of.items()]
     return (
         placed.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .join(offsets, same)
+        .join(above if partition_by else F.broadcast(above), same)
         .select(*keys, "_n", (F.col("_above") + F.col("_inside") + 1).cast("bigint").alias(out))
     )
 
 
-def _join_spread(
-    df: DataFrame, ranked: DataFrame, keys: Sequence[str], out: str, total: int
+def join_by_value(
+    df: DataFrame, counts: DataFrame, table: DataFrame, out: str, hot_rows: int
 ) -> DataFrame:
-    """Rows with the rank of their value, where rows of a hot value go to SALTS tasks.
+    """Rows of ``df`` with ``out`` of their keys in ``table``, NULL keys included.
 
-    A value is hot from ``total / HOT_SHARE`` rows on, so there are at most HOT_SHARE hot
-    ones: the only table broadcast here has that bound.
+    ``counts`` has the rows ``_n`` of each key in ``df``. A key with more than ``hot_rows`` is
+    hot: its rows go to SALTS tasks and its entry of ``table`` to each of them. There are fewer
+    than rows / hot_rows hot keys, so their table may be broadcast.
     """
-    hot_rows = max(1, total // HOT_SHARE)
-    hot = F.col("_n") > hot_rows
-    names = {key: f"_key{i}" for i, key in enumerate(keys)}
-    renamed = ranked.select(*(F.col(k).alias(n) for k, n in names.items()), "_n", out)
-    hot_values = renamed.where(hot).select(*names.values(), F.lit(True).alias("_hot"))
-    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
-
+    keys = [c for c in counts.columns if c != "_n"]
+    names = {key: f"_key_{key}" for key in keys}
+    same = [F.col(key).eqNullSafe(F.col(name)) for key, name in names.items()]
+    hot = (
+        counts.where(F.col("_n") > hot_rows)
+        .withColumnsRenamed(names)
+        .select(*names.values(), F.lit(True).alias("_hot"))
+    )
     hashed = [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
-    salted = (
-        df.join(F.broadcast(hot_values), same, "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int"))
-            .otherwise(0),
-        )
-        .select(*df.columns, "_salt")
+    salt = F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int")
+    salted = df.join(F.broadcast(hot), same, "left").select(
+        *df.columns, F.when(F.col("_hot"), salt).otherwise(0).alias("_salt")
     )
-    copies = renamed.select(
-        *names.values(), out,
-        F.explode(F.sequence(F.lit(0), F.when(hot, SALTS - 1).otherwise(0))).alias("_copy"),
+    last_copy = F.when(F.col("_n") > hot_rows, SALTS - 1).otherwise(0)
+    copies = table.withColumnsRenamed(names).select(
+        *names.values(), out, F.explode(F.sequence(F.lit(0), last_copy)).alias("_copy")
     )
-    return salted.join(
-        copies, [*same, F.col("_salt") == F.col("_copy")], "inner"
-    ).select(*df.columns, out)
+    return salted.join(copies, [*same, F.col("_salt") == F.col("_copy")]).select(*df.columns, out)
 
 
 def relative_ranking(visits: DataFrame, ranks: DataFrame, entity: str = "domain",
