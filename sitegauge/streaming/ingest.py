@@ -33,13 +33,15 @@ def page_stream(
 
 
 def ingest(
-    pages: DataFrame, log: str, checkpoint: str, redelivery: str = "7 days",
+    pages: DataFrame, log: str, checkpoint: str, redelivery: str | None = None,
     key: Sequence[str] = ("url", "scraped_at"),
 ) -> StreamingQuery:
     """Append the site rows of all waiting pages to ``log`` and stop.
 
-    A page delivered again within ``redelivery`` is dropped by ``key``. Each batch owns one
-    folder of the log and replaces it, so a batch that runs twice leaves the same rows.
+    Each batch owns one folder of the log and replaces it, so a batch that runs twice leaves the
+    same rows. A page delivered twice makes no difference to ``current_sites``; a source that
+    repeats much can set ``redelivery``, such as ``7 days``, to drop repeats by ``key`` before
+    they are parsed. Pages that arrive later than that after newer ones are then dropped too.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -47,9 +49,11 @@ def ingest(
         rows = latest_snapshot(site_rows(parsed, keep=VERSION), "domain", VERSION)
         rows.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
 
-    once = pages.withWatermark("scraped_at", redelivery).dropDuplicatesWithinWatermark(list(key))
+    if redelivery:
+        pages = pages.withWatermark("scraped_at", redelivery)
+        pages = pages.dropDuplicatesWithinWatermark(list(key))
     return (
-        once.writeStream.foreachBatch(write)
+        pages.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
