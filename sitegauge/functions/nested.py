@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 # The lenient defaults of the JSON reader that a strict parser does not share.
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
@@ -18,7 +19,7 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def json_objects(text: Column, fields: str) -> Column:
+def json_objects(text: Column, document: StructType) -> Column:
     """Text of one object as an array of one struct; NULL for anything but one whole object.
 
     Read as the one element of a list, because the reader stops after a complete value: text
@@ -26,7 +27,7 @@ def json_objects(text: Column, fields: str) -> Column:
     NULL and the rest of the document stays.
     """
     listed = F.concat(F.lit("["), text, F.lit("]"))
-    parsed = F.from_json(listed, f"array<struct<{fields}>>", STRICT)
+    parsed = F.from_json(listed, ArrayType(document), STRICT)
     return once(parsed, lambda found: F.when(F.size(found) == 1, found))
 
 

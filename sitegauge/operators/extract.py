@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
+from pyspark.sql.types import BinaryType, StructType
 
 from sitegauge.functions.html import APP_DATA, assigned_object
 from sitegauge.functions.nested import json_objects
@@ -16,12 +16,12 @@ BAD_JSON = "bad_json"
 
 
 def parse_pages(
-    pages: DataFrame, fields: str, content: str = "html", variable: str = APP_DATA
+    pages: DataFrame, document: StructType, content: str = "html", variable: str = APP_DATA
 ) -> DataFrame:
     """Every page with ``parsed``, an array of its one document, and ``reason``.
 
-    ``fields`` declares the wanted part of the document as struct fields in DDL. A good page
-    has a NULL ``reason`` and the page text does not travel further. Narrow: no shuffle.
+    ``document`` declares the wanted part of the document. A good page has a NULL ``reason``,
+    and the page text does not travel further. Narrow: no shuffle.
     """
     raw = F.col(content)
     text = utf8_text(raw) if isinstance(pages.schema[content].dataType, BinaryType) else raw
@@ -34,7 +34,7 @@ def parse_pages(
             F.col("text").isNotNull().alias("readable"),
             assigned_object(F.col("text"), variable).alias("blob"),
         )
-        .select(*keys, "readable", "blob", json_objects(F.col("blob"), fields).alias("parsed"))
+        .select(*keys, "readable", "blob", json_objects(F.col("blob"), document).alias("parsed"))
         .select(
             *keys,
             "parsed",

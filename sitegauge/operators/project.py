@@ -9,24 +9,53 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from sitegauge.functions.cleaning import clock_seconds, percent_text
 from sitegauge.functions.nested import json_text, whole_numbers
 
-# The document's root, the projected paths below it and their types. Month
-# values are read as text, so that one odd value does not lose the whole history.
+
+
+def struct(**fields: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
+
+
+TEXT, WHOLE, NUMBER, SMALL = StringType(), LongType(), DoubleType(), IntegerType()
+
+# The document's root, and the fields below it with their types. Month values are
+# read as text, so that one odd value does not lose the whole history.
 ROOT = ("layout", "data")
-DATA_FIELDS = """
-domain STRING,
-overview STRUCT<globalRank BIGINT, visitsTotalCount BIGINT, bounceRateFormatted STRING,
-                pagesPerVisit DOUBLE, visitsAvgDurationFormatted STRING>,
-ranking STRUCT<globalRankCompetitorsHistory MAP<STRING, ARRAY<STRUCT<date STRING, rank STRING>>>>,
-traffic STRUCT<visitsHistory MAP<STRING, STRING>, visitsTotalCountChange DOUBLE>,
-geography STRUCT<topCountriesTraffics ARRAY<STRUCT<countryAlpha2Code STRING, visitsShare DOUBLE>>>,
-demographics STRUCT<ageDistribution ARRAY<STRUCT<minAge INT, maxAge INT, value DOUBLE>>>
-"""
-DOCUMENT_FIELDS = f"layout STRUCT<data STRUCT<{DATA_FIELDS}>>"
+DATA = struct(
+    domain=TEXT,
+    overview=struct(
+        globalRank=WHOLE,
+        visitsTotalCount=WHOLE,
+        bounceRateFormatted=TEXT,
+        pagesPerVisit=NUMBER,
+        visitsAvgDurationFormatted=TEXT,
+    ),
+    ranking=struct(
+        globalRankCompetitorsHistory=MapType(TEXT, ArrayType(struct(date=TEXT, rank=TEXT)))
+    ),
+    traffic=struct(visitsHistory=MapType(TEXT, TEXT), visitsTotalCountChange=NUMBER),
+    geography=struct(
+        topCountriesTraffics=ArrayType(struct(countryAlpha2Code=TEXT, visitsShare=NUMBER))
+    ),
+    demographics=struct(
+        ageDistribution=ArrayType(struct(minAge=SMALL, maxAge=SMALL, value=NUMBER))
+    ),
+)
+DOCUMENT = struct(layout=struct(data=DATA))
 
 
 @dataclass(frozen=True)
@@ -62,6 +91,25 @@ SITE_SPEC = (
 )
 
 
+def pruned(kind: StructType, paths: Iterable[Sequence[str]]) -> StructType:
+    """The part of a struct type that holds ``paths``; the reader skips the rest of the text."""
+    wanted: dict[str, list[Sequence[str]]] = {}
+    for first, *rest in paths:
+        wanted.setdefault(first, []).append(rest)
+    return StructType(
+        [
+            StructField(f.name, f.dataType if [] in wanted[f.name] else pruned(f.dataType, wanted[f.name]))
+            for f in kind
+            if f.name in wanted
+        ]
+    )
+
+
+def document_type(specs: Iterable[PathSpec], root: Sequence[str] = ROOT) -> StructType:
+    """What ``parse_pages`` has to read for ``specs``."""
+    return pruned(DOCUMENT, [(*root, *spec.path) for spec in specs])
+
+
 def parse_spec(text: str) -> tuple[PathSpec, ...]:
     """A JSON list of ``{"alias": ..., "path": [...]}``; any other key is an error."""
     specs = []
@@ -86,13 +134,15 @@ def project(df: DataFrame, specs: Iterable[PathSpec], root: Sequence[str] = ROOT
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """Numbers of the two formatted columns, and month values as bigint."""
+    """Numbers of the two formatted columns, and month values as bigint; a column that was not
+    projected is passed over."""
+    cleaned = {
+        "bounce_rate_raw": ("bounce_rate_percent", percent_text),
+        "avg_visit_duration_raw": ("avg_visit_duration_seconds", clock_seconds),
+        "visits_history_raw": ("visits_history_raw", whole_numbers),
+    }
     return df.withColumns(
-        {
-            "bounce_rate_percent": percent_text(F.col("bounce_rate_raw")),
-            "avg_visit_duration_seconds": clock_seconds(F.col("avg_visit_duration_raw")),
-            "visits_history_raw": whole_numbers(F.col("visits_history_raw")),
-        }
+        {out: use(F.col(name)) for name, (out, use) in cleaned.items() if name in df.columns}
     )
 
 

@@ -37,15 +37,19 @@ def missing_class(value: Column, kind: str, expected: Column | None = None) -> C
 def missing_report(
     df: DataFrame, by: str, kinds: Mapping[str, str], expected: Mapping[str, Column] | None = None
 ) -> DataFrame:
-    """Rows per ``by``, column and class. Each task counts the classes before the shuffle."""
-    classed = df.select(
-        by,
-        *(missing_class(F.col(c), k, (expected or {}).get(c)).alias(c) for c, k in kinds.items()),
-    )
+    """Rows per ``by``, column and class. One pass with a counter for each column and class."""
+    classes = {c: missing_class(F.col(c), k, (expected or {}).get(c)) for c, k in kinds.items()}
+    counters = {
+        f"{column}:{name}": F.count_if(found == name)
+        for column, found in classes.items()
+        for name in (PRESENT, TRULY, EXPECTED, IMPLICIT)
+    }
+    counted = df.groupBy(by).agg(*(count.alias(name) for name, count in counters.items()))
+    key = F.split("_counter", ":")
     return (
-        classed.unpivot(by, list(kinds), "field", "class")
-        .groupBy(by, "field", "class")
-        .agg(F.count("*").alias("n_rows"))
+        counted.unpivot(by, [f"`{name}`" for name in counters], "_counter", "n_rows")
+        .where("n_rows > 0")
+        .select(by, key[0].alias("field"), key[1].alias("class"), "n_rows")
     )
 
 

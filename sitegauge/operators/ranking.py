@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import ArrayType, DataType
 
 from sitegauge.functions.numeric import percent_span
+from sitegauge.sources.tables import hashable
 from sitegauge.sources.workdir import stored
 
 ONE_TASK_ROWS = 500_000
@@ -89,6 +91,24 @@ def add_ranks(
     return ranked
 
 
+def edges_above(value: Column, edges: Sequence, kind: DataType) -> Column:
+    """Number of ``edges`` above ``value``, found in two steps: the block, then the place in it."""
+    down = sorted(edges, reverse=True)
+    size = max(1, math.isqrt(len(down)))
+    blocks = [down[i : i + size] for i in range(0, len(down), size)]
+
+    def above(listed: Column) -> Column:
+        return F.coalesce(F.size(F.filter(listed, lambda edge: edge > value)), F.lit(0))
+
+    def constants(items: Sequence) -> Column:
+        return F.array(*(F.lit(item).cast(kind) for item in items)).cast(ArrayType(kind))
+
+    passed = above(constants([block[-1] for block in blocks]))
+    inside = F.get(F.array(*map(constants, blocks)), passed) if blocks else constants([])
+    # Past the last block, which may be short, the block count would go beyond the edges.
+    return F.least(passed * size + above(inside), F.lit(len(down)))
+
+
 def value_ranks(
     counts: DataFrame, value: str, out: str, edges: Sequence, partition_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -100,13 +120,8 @@ def value_ranks(
     the right ranks, and being constants they give a lost task the same ranges again.
     """
     keys = [*partition_by, value]
-    kind = counts.schema[value].dataType
-    higher = F.size(
-        F.filter(
-            F.array(*(F.lit(e).cast(kind) for e in edges)), lambda edge: edge > F.col(value)
-        )
-    )
-    # NULL comes after all values, but would compare as higher than none of the edges.
+    higher = edges_above(F.col(value), edges, counts.schema[value].dataType)
+    # NULL comes after all values, but would compare as lower than none of the edges.
     place = F.when(F.col(value).isNull(), len(edges) + 1).otherwise(higher)
     placed = counts.withColumn("_range", place)
 
@@ -154,7 +169,7 @@ def join_by_value(
         .withColumnsRenamed(names)
         .select(*names.values(), F.lit(True).alias("_hot"))
     )
-    hashed = [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
+    hashed = [f.name for f in df.schema if hashable(f.dataType)]
     salt = F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int")
     salted = df.join(F.broadcast(hot), same, "left").select(
         *df.columns, F.when(F.col("_hot"), salt).otherwise(0).alias("_salt")

@@ -20,27 +20,25 @@ def previous_value(
     """Value of the entity's row before this one, by position and not by calendar.
 
     ``slice_by`` is any expression of ``period`` that never decreases with it, such as its day.
-    Windows then run per entity and slice, and the first row of a slice takes the last value of
-    the entity's slice before, from a table with one row per entity and slice. A long entity is
-    so spread over as many tasks as it has slices.
+    Windows then run per entity and slice, so a long entity is spread over as many tasks as it
+    has slices. The last value of the entity's slice before goes into each window as a first
+    row of its own, which is taken out again afterwards; it comes from an aggregate with one
+    row per entity and slice.
     """
     if slice_by is None:
         return df.withColumn(out, F.lag(value).over(Window.partitionBy(entity).orderBy(period)))
-    sliced = df.withColumn("_slice", slice_by)
-    in_slice = Window.partitionBy(entity, "_slice").orderBy(period)
-    across = Window.partitionBy("_entity").orderBy("_of")
-    last = (
-        sliced.groupBy(entity, "_slice")
+    rows = df.withColumns({"_slice": slice_by, "_row": F.lit(1)})
+    across = Window.partitionBy(entity).orderBy("_slice")
+    carried = (
+        rows.groupBy(entity, "_slice")
         .agg(F.max_by(value, period).alias("_last"))
-        .withColumnsRenamed({entity: "_entity", "_slice": "_of"})
-        .select("_entity", "_of", F.lag("_last").over(across).alias("_carried"))
+        .select(entity, "_slice", F.lit(0).alias("_row"), F.lag("_last").over(across).alias(value))
     )
-    same = F.col(entity).eqNullSafe(F.col("_entity")) & F.col("_slice").eqNullSafe(F.col("_of"))
-    first = F.row_number().over(in_slice) == 1
+    in_slice = Window.partitionBy(entity, "_slice").orderBy("_row", period)
     return (
-        sliced.withColumns({out: F.lag(value).over(in_slice), "_first": first})
-        .join(last, same, "left")
-        .withColumn(out, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(out)))
+        rows.unionByName(carried, allowMissingColumns=True)
+        .withColumn(out, F.lag(value).over(in_slice))
+        .where("_row = 1")
         .select(*df.columns, out)
     )
 

@@ -9,18 +9,26 @@ from pyspark.sql import functions as F
 
 from sitegauge.functions.cleaning import abbreviated_number, clock_seconds, percent_text
 from sitegauge.functions.html import captured, script_bodies
+from sitegauge.functions.nested import json_objects, utc_date, whole_number
 from sitegauge.operators import quality, ranking, series, snapshot
 from sitegauge.operators.extract import documents, parse_pages
 from sitegauge.operators.project import (
-    DOCUMENT_FIELDS,
+    DOCUMENT,
     SITE_SPEC,
+    PathSpec,
     clean,
+    document_type,
     flatten_nested,
     project,
     restore_nested,
 )
-from sitegauge.operators.reshape import history_series, own_entries, transform_metrics
-from sitegauge.functions.nested import json_objects, utc_date, whole_number
+from sitegauge.operators.reshape import (
+    age_shares,
+    country_shares,
+    history_series,
+    own_entries,
+    own_rank_history,
+)
 from sitegauge.plans import feeds, report, testbed
 from sitegauge.plans.testbed import table
 from sitegauge.sources.tables import read_csv, replace_table, write_csv
@@ -50,7 +58,7 @@ def script_token_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parsed_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_pages(testbed.site_pages(spark, sf), DOCUMENT_FIELDS, "content")
+    return parse_pages(testbed.site_pages(spark, sf), DOCUMENT, "content")
 
 
 def embedded_json_extract(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,24 +90,24 @@ def bad_record_split(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def parsed_json(spark: SparkSession, sf: str) -> DataFrame:
-    docs = testbed.site_documents(spark, sf)
-    return documents(
-        docs.select(
-            json_objects(F.col("json"), DOCUMENT_FIELDS).alias("parsed"),
-            F.lit(None).cast("string").alias("reason"),
-        )
-    )
+def specs(*aliases: str) -> list[PathSpec]:
+    return [spec for spec in SITE_SPEC if not aliases or spec.alias in aliases]
 
 
-def sites(spark: SparkSession, sf: str) -> DataFrame:
-    return clean(project(parsed_json(spark, sf), SITE_SPEC))
+def sites(spark: SparkSession, sf: str, *aliases: str) -> DataFrame:
+    """Site rows of the JSON documents, or only some of their columns."""
+    chosen = specs(*aliases)
+    parsed = testbed.site_documents(spark, sf).select(
+        json_objects(F.col("json"), document_type(chosen)).alias("parsed"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    return clean(project(documents(parsed), chosen))
 
 
 def project_paths(spark: SparkSession, sf: str) -> DataFrame:
     flat = ("domain", "global_rank", "total_visits", "bounce_rate_raw", "pages_per_visit",
             "avg_visit_duration_raw", "last_month_change")
-    return project(parsed_json(spark, sf), [s for s in SITE_SPEC if s.alias in flat])
+    return sites(spark, sf, *flat).select(*flat)
 
 
 def json_scalar(spark: SparkSession, sf: str) -> DataFrame:
@@ -156,7 +164,7 @@ def abbrev_number(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nested_to_json(spark: SparkSession, sf: str) -> DataFrame:
-    flat = flatten_nested(sites(spark, sf).select("domain", "age_distribution_raw"))
+    flat = flatten_nested(sites(spark, sf, "domain", "age_distribution_raw"))
     back = restore_nested(
         flat, {"age_distribution_raw": "array<struct<minAge:int,maxAge:int,value:double>>"}
     )
@@ -169,27 +177,31 @@ def nested_to_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def share_map(spark: SparkSession, sf: str) -> DataFrame:
-    shaped = transform_metrics(sites(spark, sf))
-    return shaped.select("domain", F.explode("top_countries").alias("country", "share_percent"))
+    shares = country_shares(F.col("top_countries_raw"))
+    rows = sites(spark, sf, "domain", "top_countries_raw")
+    return rows.select("domain", F.explode(shares).alias("country", "share_percent"))
 
 
 def bracket_map(spark: SparkSession, sf: str) -> DataFrame:
-    shaped = transform_metrics(sites(spark, sf))
-    return shaped.select("domain", F.explode("age_distribution").alias("bracket", "share_percent"))
+    shares = age_shares(F.col("age_distribution_raw"))
+    rows = sites(spark, sf, "domain", "age_distribution_raw")
+    return rows.select("domain", F.explode(shares).alias("bracket", "share_percent"))
 
 
 def own_history(spark: SparkSession, sf: str) -> DataFrame:
-    shaped = transform_metrics(sites(spark, sf))
-    return shaped.select("domain", F.explode("rank_history").alias("month", "rank"))
+    history = own_rank_history(F.col("rank_history_raw"), F.col("domain"))
+    rows = sites(spark, sf, "domain", "rank_history_raw")
+    return rows.select("domain", F.explode(history).alias("month", "rank"))
 
 
 def visits_history_explode(spark: SparkSession, sf: str) -> DataFrame:
-    return month_text(history_series(sites(spark, sf), "visits_history_raw", "visits"))
+    rows = sites(spark, sf, "domain", "visits_history_raw")
+    return month_text(history_series(rows, "visits_history_raw", "visits"))
 
 
 def rank_history_explode(spark: SparkSession, sf: str) -> DataFrame:
     own = own_entries(F.col("rank_history_raw"), F.col("domain"))
-    entries = sites(spark, sf).select("domain", F.inline(own))
+    entries = sites(spark, sf, "domain", "rank_history_raw").select("domain", F.inline(own))
     return month_text(
         entries.select(
             "domain", utc_date(F.col("date")).alias("month"), whole_number(F.col("rank")).alias("rank")
@@ -319,9 +331,8 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "flat-csv")
     flat = flatten_nested(sites(spark, sf))
     write_csv(flat, path)
-    loaded = restore_nested(
-        read_csv(spark, path, flat.schema), {"visits_history_raw": "map<string,bigint>"}
-    )
+    loaded = read_csv(spark, path, flat.schema)
+    loaded = restore_nested(loaded, {"visits_history_raw": "map<string,bigint>"})
     return loaded.select(
         "domain", "global_rank", "bounce_rate_raw", "bounce_rate_percent", "pages_per_visit",
         "avg_visit_duration_raw", "avg_visit_duration_seconds",

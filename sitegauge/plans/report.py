@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from sitegauge.operators.extract import documents, parse_pages, rejects
-from sitegauge.operators.project import DOCUMENT_FIELDS, SITE_SPEC, PathSpec, clean, project
+from sitegauge.operators.project import DOCUMENT, SITE_SPEC, PathSpec, clean, project
 from sitegauge.operators.ranking import relative_ranking
 from sitegauge.operators.reshape import history_series, transform_metrics
 from sitegauge.operators.series import rank_changes, visit_changes
@@ -39,7 +39,7 @@ def run(
     The pages are read once, into a table split by outcome. All that follows reads the site
     table, and the analyses read the two series, each computed once.
     """
-    parsed = parse_pages(pages, DOCUMENT_FIELDS, content)
+    parsed = parse_pages(pages, DOCUMENT, content)
     path = f"{target}/parsed_pages"
     parsed.write.mode("overwrite").partitionBy("reason").parquet(path)
     # Read back with its schema, so that a run without a page still has every column.

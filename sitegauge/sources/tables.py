@@ -6,7 +6,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 CSV_DIALECT = {"header": "true", "escape": '"'}
 # The reader turns a value equal to its null text into NULL. With the default, empty text, that
@@ -46,12 +47,14 @@ def replace_table(
     """Create or replace a Parquet table at ``path`` and scan it.
 
     ``cluster_by`` gathers the rows of nearby keys in the same files, so that a filter on that
-    column skips row groups. With ``name`` the table is also entered in the catalog.
+    column skips row groups. A hash of the row comes second, so that the rows of a hot key can
+    fall into several files. With ``name`` the table is also entered in the catalog.
     """
     spark = df.sparkSession
     out = df
     if cluster_by:
-        out = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
+        row = F.xxhash64(*(f.name for f in df.schema if hashable(f.dataType)))
+        out = df.repartitionByRange(cluster_by, row).sortWithinPartitions(cluster_by)
     if name:
         out.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
         return spark.table(name)
@@ -59,6 +62,15 @@ def replace_table(
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hashable(kind: DataType) -> bool:
+    """False for a type with a map in it, which Spark does not hash."""
+    if isinstance(kind, ArrayType):
+        return hashable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(hashable(f.dataType) for f in kind)
+    return not isinstance(kind, MapType)
+
+
 def register_views(
     spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]]
 ) -> dict[str, str]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sitegauge.operators.extract import parse_pages
-from sitegauge.operators.project import DOCUMENT_FIELDS
+from sitegauge.operators.project import DOCUMENT
 from sitegauge.operators.snapshot import latest_snapshot
 from sitegauge.plans.report import site_rows
 from sitegauge.sources.pages import FILE_SCHEMA, as_pages
@@ -45,7 +45,7 @@ def ingest(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_pages(batch, DOCUMENT_FIELDS, "content")
+        parsed = parse_pages(batch, DOCUMENT, "content")
         rows = latest_snapshot(site_rows(parsed, keep=VERSION), "domain", VERSION)
         rows.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
 
@@ -70,7 +70,7 @@ def current_sites(spark: SparkSession, log: str) -> DataFrame:
 def log_schema(spark: SparkSession):
     """Columns of the log, from an empty run of the same steps."""
     empty = as_pages(spark.createDataFrame([], FILE_SCHEMA))
-    parsed = parse_pages(empty, DOCUMENT_FIELDS, "content")
+    parsed = parse_pages(empty, DOCUMENT, "content")
     return site_rows(parsed, keep=VERSION).schema
 
 

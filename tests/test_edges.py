@@ -14,7 +14,7 @@ from sitegauge.functions.nested import entries_map, json_text, utc_date, whole_n
 from sitegauge.functions.numeric import percent_span, percent_step, round_half_away, sign_class
 from sitegauge.operators.extract import documents, parse_pages, rejects
 from sitegauge.operators.project import (
-    DOCUMENT_FIELDS,
+    DOCUMENT,
     SITE_SPEC,
     PathSpec,
     clean,
@@ -73,7 +73,7 @@ BAD = {
 def test_pages(spark):
     cases = {**{k: v[0].encode() for k, v in {**PAGES, **BAD}.items()}, "bytes": b"\xff<script>"}
     pages = spark.createDataFrame(list(cases.items()), "url string, content binary")
-    parsed = parse_pages(pages, DOCUMENT_FIELDS, "content")
+    parsed = parse_pages(pages, DOCUMENT, "content")
     found = documents(parsed).select("url", "layout.data.domain").collect()
     assert {r.url: r.domain for r in found} == {k: v[1] for k, v in PAGES.items()}
     assert {r.url: r.reason for r in rejects(parsed).collect()} == {
@@ -83,7 +83,7 @@ def test_pages(spark):
 
 def test_a_page_is_searched_once(spark, plan_of):
     pages = spark.createDataFrame([], "url string, html string")
-    plan = plan_of(documents(parse_pages(pages, DOCUMENT_FIELDS)))
+    plan = plan_of(documents(parse_pages(pages, DOCUMENT)))
     assert plan.count("regexp_extract_all") == 1 and plan.count("from_json") == 1
     assert "Exchange" not in plan and "EvalPython" not in plan
 
@@ -98,7 +98,7 @@ def sites(spark, *docs):
     pages = spark.createDataFrame(
         [(str(i), golden.page("", json.dumps(d))) for i, d in enumerate(docs)], "url string, html string"
     )
-    return clean(project(documents(parse_pages(pages, DOCUMENT_FIELDS)), SITE_SPEC))
+    return clean(project(documents(parse_pages(pages, DOCUMENT)), SITE_SPEC))
 
 
 def data(**fields):

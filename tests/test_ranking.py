@@ -117,3 +117,12 @@ def test_domain_without_both_series_is_left_out(spark):
     ranks = spark.createDataFrame([("a", "2022-10-01", 3)], "domain string, month string, rank bigint")
     rows = ranking.relative_ranking(visits, ranks).collect()
     assert [tuple(r) for r in rows] == [("a", None, 0, 1, 1, 2)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 7, 8, 9, 10, 50])
+def test_edges_above(spark, n):
+    edges = [3 * i for i in range(n)]
+    df = spark.range(-2, 3 * n + 3).select(F.col("id").cast("bigint").alias("v"))
+    place = ranking.edges_above(F.col("v"), edges, df.schema["v"].dataType)
+    for row in df.select("v", place.alias("place")).collect():
+        assert row.place == sum(e > row.v for e in edges)

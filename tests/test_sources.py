@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sitegauge.functions.nested import json_text
 from sitegauge.operators.extract import documents, parse_pages, rejects
-from sitegauge.operators.project import DOCUMENT_FIELDS, flatten_nested, nested_columns, restore_nested
+from sitegauge.operators.project import DOCUMENT, flatten_nested, nested_columns, restore_nested
 from sitegauge.operators.snapshot import latest_snapshot, merge_sources
 from sitegauge.plans import report
 from sitegauge.sources import workdir
@@ -22,7 +22,7 @@ def test_page_files(spark, tmp_path):
     (tmp_path / "scrape.txt").write_text("x")
     pages = page_files(spark, str(tmp_path), prefix="scrape")
     assert pages.columns == ["url", "content", "scraped_at"] and pages.count() == 6
-    parsed = parse_pages(pages, DOCUMENT_FIELDS, "content")
+    parsed = parse_pages(pages, DOCUMENT, "content")
     found = documents(parsed).select("layout.data.domain").collect()
     assert {r.domain for r in found} == set(golden.SITES)
     assert [(r.url[-17:], r.reason) for r in rejects(parsed).collect()] == [
