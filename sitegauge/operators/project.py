@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -156,6 +156,27 @@ def flatten_nested(df: DataFrame) -> DataFrame:
     return df.withColumns({name: json_text(F.col(name)) for name in nested_columns(df)})
 
 
-def restore_nested(df: DataFrame, types: dict[str, str]) -> DataFrame:
+def restore_nested(df: DataFrame, types: Mapping[str, DataType | str]) -> DataFrame:
     """JSON text columns replaced by values of the declared types."""
-    return df.withColumns({name: F.from_json(name, ddl) for name, ddl in types.items()})
+    return df.withColumns({name: F.from_json(name, kind) for name, kind in types.items()})
+
+
+def spec_types(specs: Iterable[PathSpec]) -> dict[str, DataType]:
+    """Type of each projected column."""
+    return {spec.alias: reduce(lambda kind, key: kind[key].dataType, spec.path, DATA) for spec in specs}
+
+
+def flat_schema(specs: Iterable[PathSpec] = SITE_SPEC) -> StructType:
+    """Columns of the flat file: the projected ones, nested ones as text, and the cleaned ones."""
+    columns = {
+        name: TEXT if isinstance(kind, (ArrayType, MapType, StructType)) else kind
+        for name, kind in spec_types(specs).items()
+    }
+    return struct(**columns, bounce_rate_percent=NUMBER, avg_visit_duration_seconds=WHOLE)
+
+
+def typed_sites(flat: DataFrame, specs: Iterable[PathSpec] = SITE_SPEC) -> DataFrame:
+    """Rows of the flat file with their nested columns back, cleaned from the raw text again."""
+    kinds = spec_types(specs)
+    nested = {n: k for n, k in kinds.items() if isinstance(k, (ArrayType, MapType, StructType))}
+    return clean(restore_nested(flat.select(*kinds), nested))

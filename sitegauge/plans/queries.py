@@ -18,9 +18,11 @@ from sitegauge.operators.project import (
     PathSpec,
     clean,
     document_type,
+    flat_schema,
     flatten_nested,
     project,
     restore_nested,
+    typed_sites,
 )
 from sitegauge.operators.reshape import (
     age_shares,
@@ -329,11 +331,8 @@ def feed_combined(spark: SparkSession, sf: str) -> DataFrame:
 
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "flat-csv")
-    flat = flatten_nested(sites(spark, sf))
-    write_csv(flat, path)
-    loaded = read_csv(spark, path, flat.schema)
-    loaded = restore_nested(loaded, {"visits_history_raw": "map<string,bigint>"})
-    return loaded.select(
+    write_csv(flatten_nested(sites(spark, sf)), path)
+    return typed_sites(read_csv(spark, path, flat_schema())).select(
         "domain", "global_rank", "bounce_rate_raw", "bounce_rate_percent", "pages_per_visit",
         "avg_visit_duration_raw", "avg_visit_duration_seconds",
         sizes("visits_history_raw", "n_months"),

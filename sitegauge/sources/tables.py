@@ -29,14 +29,19 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with declared types. Quoted empty text stays empty, an unquoted gap is NULL."""
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str, mode: str = "FAILFAST"
+) -> DataFrame:
+    """CSV with declared types. Quoted empty text stays empty, an unquoted gap is NULL.
+
+    A row that does not fit the types stops the job; ``PERMISSIVE`` makes its bad fields NULL.
+    """
     return (
         spark.read.schema(schema)
         .options(**CSV_DIALECT)
         .option("nullValue", GAP)
         .option("multiLine", "true")
-        .option("mode", "FAILFAST")
+        .option("mode", mode)
         .csv(path)
     )
 

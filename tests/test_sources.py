@@ -6,7 +6,15 @@ from pyspark.sql import functions as F
 
 from sitegauge.functions.nested import json_text
 from sitegauge.operators.extract import documents, parse_pages, rejects
-from sitegauge.operators.project import DOCUMENT, flatten_nested, nested_columns, restore_nested
+from sitegauge.operators.project import (
+    DOCUMENT,
+    flat_schema,
+    flatten_nested,
+    nested_columns,
+    restore_nested,
+    typed_sites,
+)
+from sitegauge.operators.reshape import transform_metrics
 from sitegauge.operators.snapshot import latest_snapshot, merge_sources
 from sitegauge.plans import report
 from sitegauge.sources import workdir
@@ -58,6 +66,33 @@ def test_csv(spark, tmp_path):
     assert read_csv(spark, path, flat.schema).select("raw").columns == ["raw"]
 
 
+FLAT = """\
+domain,global_rank,total_visits,bounce_rate_raw,pages_per_visit,avg_visit_duration_raw,\
+rank_history_raw,visits_history_raw,last_month_change,top_countries_raw,age_distribution_raw,\
+bounce_rate_percent,avg_visit_duration_seconds
+a.com,7,86429287970,28.77%,8.25,00:10:35,\
+"{""a.com"":[{""date"":""2022-10-01T00:00:00+00:00"",""rank"":7}],""b.com"":null}",\
+"{""2022-10-01"":5,""2022-11-01"":null}",0.5,\
+"[{""countryAlpha2Code"":""US"",""countryUrlCode"":""us"",""visitsShare"":0.125,""visitsShareChange"":1}]",\
+"[{""minAge"":65,""maxAge"":null,""value"":0.5}]",28.77,123
+b.com,9,0,"",0.0,"",,"{}",,[],[],,
+"""
+
+
+def test_flat_file_of_another_writer(spark, tmp_path):
+    path = tmp_path / "flat.csv"
+    path.write_text(FLAT)
+    sites = typed_sites(read_csv(spark, str(path), flat_schema()))
+    first, second = sites.orderBy("domain").collect()
+    # The seconds come from the text again, so that a wrong figure in an old file goes away.
+    assert first.avg_visit_duration_seconds == 635 and first.total_visits == 86429287970
+    assert first.visits_history_raw == {"2022-10-01": 5, "2022-11-01": None}
+    assert (second.bounce_rate_raw, second.bounce_rate_percent, second.rank_history_raw) == ("", None, None)
+    shaped = transform_metrics(sites).orderBy("domain").head()
+    assert shaped.top_countries == {"US": 12.5} and shaped.age_distribution == {"65+": 50.0}
+    assert shaped.rank_history == {"2022-10-01": 7}
+
+
 def test_table(spark, tmp_path):
     path = str(tmp_path / "t")
     replace_table(spark.range(5), path)
