@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 # Fixed value: the variable that holds the document's data.
 APP_DATA = "window.__APP_DATA__"
 
-# What a browser does not run comes first in the alternation, so that a script inside it
-# leaves only an empty group. A quote counts only after "=", and "=" needs no quote.
-# Possessive quantifiers keep the tag part linear. A script without its end runs to the end
-# of the page.
+# Each element that holds raw text is passed over whole, so that a script inside a comment or a
+# title is none; only a script fills the group. Text runs to the end tag or the end of the page.
+# A quote counts only after "=". Possessive quantifiers never step back, which keeps the search
+# linear and off the stack.
 SCRIPT = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<(?:textarea|title|style)\b[^>]*>.*?(?:</(?:textarea|title|style)\b|\z)"
-    r"|<script\b(?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+>"
-    r"(.*?)(?:</script[\s/>]|\z)"
+    r"<(?:!--(?:[^-]++|-(?!->))*+"
+    r"|(?i:textarea|title|style)(?=[\s/>])[^>]*+>(?:[^<]++|<(?!/(?i:textarea|title|style)[\s/>]))*+"
+    r"|(?i:script)(?=[\s/>])(?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+>"
+    r"((?:[^<]++|<(?!/(?i:script)[\s/>]))*+))"
 )
 
 

@@ -35,6 +35,14 @@ PAGES = {
     "not closed": (f"<script>{APP_DATA} = {GOOD}", "a.com"),
     "long script": (f"<script>var a = '{LONG}';\n{APP_DATA} = {GOOD}\n</script>", "a.com"),
     "long page": (f"<p>{LONG}</p><script>{APP_DATA} = {GOOD}</script><!-- {LONG}", "a.com"),
+    "many brackets": (
+        f"<title>{'<a>' * 300_000}</title><!--{'- --' * 300_000}--><script>{'<b>=' * 300_000}\n"
+        f"{APP_DATA} = {GOOD}</script>", "a.com"
+    ),
+    "many attributes": (f"<script {'a=1 ' * 300_000}>{APP_DATA} = {GOOD}</script>", "a.com"),
+    "other element": (
+        f"<script-x>{APP_DATA} = {{}}</script-x><script>{APP_DATA} = {GOOD}</script>", "a.com"
+    ),
     "after a comment": (
         f"<!-- <script>{APP_DATA} = {{}}</script> --><script>{APP_DATA} = {GOOD}</script>", "a.com"
     ),
