@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +58,23 @@ def combined_feed(ranking: DataFrame) -> DataFrame:
     )
 
 
+def site_feeds(
+    frames: Mapping[str, DataFrame], groups: Mapping[str, Sequence[str]],
+    extreme_from: int = EXTREME_RANK_CHANGE,
+) -> dict[str, DataFrame]:
+    """All feeds of a report. ``groups`` names the sets of domains that share a chart."""
+    ranking = frames["relative_ranking"]
+    feeds = {
+        "growth": growth_feed(ranking),
+        "rank_change": rank_change_feed(ranking, extreme_from),
+        "combined": combined_feed(ranking),
+    }
+    for name, domains in groups.items():
+        feeds[f"visits_{name}"] = series_feed(frames["monthly_visit_changes"], domains, "visits")
+        feeds[f"rank_{name}"] = series_feed(frames["monthly_rank_changes"], domains)
+    return feeds
+
+
 def is_worth_drawing(feed: DataFrame) -> bool:
     """False for a feed without rows; stops at the first row it finds."""
     return not feed.isEmpty()

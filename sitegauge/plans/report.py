@@ -36,22 +36,17 @@ def run(
 ) -> dict[str, DataFrame]:
     """Pages to tables below ``target`` and views; returns the frames by name.
 
-    The pages are read once, into a table split by outcome. All that follows reads the site
-    table, and the analyses read the two series, each computed once.
+    The pages are read once, into a table with every outcome; the rejects need two narrow columns
+    of it. All that follows reads the site table, and the analyses read the two series, each
+    computed once and clustered by domain for the feeds.
     """
     parsed = parse_pages(pages, DOCUMENT, content)
-    path = f"{target}/parsed_pages"
-    parsed.write.mode("overwrite").partitionBy("reason").parquet(path)
-    # Read back with its schema, so that a run without a page still has every column.
-    outcome = spark.read.schema(parsed.schema).parquet(path)
-
+    outcome = replace_table(parsed, f"{target}/parsed_pages")
     rows = site_rows(outcome.where("reason is null"), keep=version)
-    sites = replace_table(
-        latest_snapshot(rows, "domain", version), f"{target}/source_data", cluster_by="domain"
-    )
+    sites = replace_table(latest_snapshot(rows, "domain", version), f"{target}/source_data")
     frames = {"rejects": rejects(outcome), "source_data": sites, **analyses(sites)}
     for name in ("visits_series", "rank_series"):
-        frames[name] = replace_table(frames[name], f"{target}/{name}")
+        frames[name] = replace_table(frames[name], f"{target}/{name}", cluster_by="domain")
     visits, ranks = frames["visits_series"], frames["rank_series"]
     frames["monthly_visit_changes"] = visit_changes(visits)
     frames["monthly_rank_changes"] = rank_changes(ranks)

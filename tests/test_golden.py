@@ -98,3 +98,12 @@ def test_feeds(frames):
     assert [r.domain for r in feeds.combined_feed(ranking).collect()][0] == "stripe.com"
     assert feeds.is_worth_drawing(group)
     assert not feeds.is_worth_drawing(feeds.series_feed(visits, ["nobody.com"]))
+
+
+def test_all_feeds(frames):
+    groups = {"startups": ["stripe.com", "pitchbook.com"], "large": ["google.com"]}
+    made = feeds.site_feeds(frames, groups)
+    assert {name: feed.count() for name, feed in made.items()} == {
+        "growth": 4, "rank_change": 5, "combined": 5, "visits_startups": 6, "rank_startups": 6,
+        "visits_large": 3, "rank_large": 3,
+    }
