@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 # Fixed value: the variable that holds the document's data.
 APP_DATA = "window.__APP_DATA__"
 
-# Each element that holds raw text is passed over whole, so that a script inside a comment or a
-# title is none; only a script fills the group. Text runs to the end tag or the end of the page.
-# A quote counts only after "=". Possessive quantifiers never step back, which keeps the search
-# linear and off the stack.
+# A match runs over everything up to the next script, or to the end of the page, and only the
+# text of that script fills the group. Comments, raw text and tags are passed over whole, so that
+# a script inside a comment, a title or an attribute is none. A quote counts only after "=".
+# Possessive quantifiers never step back, which keeps the search linear and off the stack.
+ATTRIBUTES = r"(?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+"
+RAW = r"(?i:textarea|title|style)"
+OPEN = r"(?i:script)(?=[\s/>])"
 SCRIPT = (
-    r"<(?:!--(?:[^-]++|-(?!->))*+"
-    r"|(?i:textarea|title|style)(?=[\s/>])[^>]*+>(?:[^<]++|<(?!/(?i:textarea|title|style)[\s/>]))*+"
-    r"|(?i:script)(?=[\s/>])(?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+>"
-    r"((?:[^<]++|<(?!/(?i:script)[\s/>]))*+))"
+    r"(?:[^<]++|<(?:"
+    r"!--(?:[^-]++|-(?!->))*+"
+    rf"|{RAW}(?=[\s/>]){ATTRIBUTES}(?:>(?:[^<]++|<(?!/{RAW}[\s/>]))*+)?+"
+    rf"|(?!{OPEN})(?:/?[A-Za-z]{ATTRIBUTES}|[!?/][^>]*+)?+"
+    r"))*+"
+    rf"(?:<{OPEN}{ATTRIBUTES}(?:>((?:[^<]++|<(?!/(?i:script)[\s/>]))*+))?+|\z)"
 )
 
 
@@ -32,15 +37,22 @@ def marked_bodies(html: Column, marker: str) -> Column:
 
 
 def captured(html: Column, marker: str, pattern: str) -> Column:
-    """Group 1 of ``pattern`` in the first marked body where it matches, else NULL."""
-    hits = F.transform(marked_bodies(html, marker), lambda body: F.regexp_extract(body, pattern, 1))
+    """First text of group 1 of ``pattern`` in the marked bodies, NULL if there is none."""
+    hits = F.flatten(
+        F.transform(
+            marked_bodies(html, marker),
+            lambda body: F.regexp_extract_all(body, F.lit(pattern), F.lit(1)),
+        )
+    )
     return F.get(F.filter(hits, lambda hit: hit != ""), F.lit(0))
 
 
 def assigned_object(html: Column, variable: str = APP_DATA) -> Column:
     """Text of the object assigned to ``variable``: from its brace to the last one on the line.
 
-    ``(?d)`` makes a line end at a line feed only; ``(?U)`` counts all Unicode space as space.
+    Where no brace closes on the line, none does for a later assignment on it either, and the
+    rest of the line is passed over. ``(?d)`` makes a line end at a line feed only; ``(?U)``
+    counts all Unicode space as space.
     """
     name = "".join(c if c.isalnum() or c == "_" else "\\" + c for c in variable)
-    return captured(html, variable, rf"(?dU){name}\s*=\s*(\{{.*\}})")
+    return captured(html, variable, rf"(?dU){name}\s*+=\s*+(?:(\{{.*\}})|\{{.*+)")
