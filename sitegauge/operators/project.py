@@ -91,23 +91,42 @@ SITE_SPEC = (
 )
 
 
-def pruned(kind: StructType, paths: Iterable[Sequence[str]]) -> StructType:
-    """The part of a struct type that holds ``paths``; the reader skips the rest of the text."""
-    wanted: dict[str, list[Sequence[str]]] = {}
-    for first, *rest in paths:
-        wanted.setdefault(first, []).append(rest)
-    return StructType(
-        [
-            StructField(f.name, f.dataType if [] in wanted[f.name] else pruned(f.dataType, wanted[f.name]))
-            for f in kind
-            if f.name in wanted
-        ]
-    )
+def path_type(path: Sequence[str]) -> DataType | None:
+    """Declared type at a path below the root, None if nothing is declared there."""
+    kind: DataType = DATA
+    for key in path:
+        if not isinstance(kind, StructType) or key not in kind.names:
+            return None
+        kind = kind[key].dataType
+    return kind
+
+
+def spec_types(
+    specs: Iterable[PathSpec], types: Mapping[str, DataType] | None = None
+) -> dict[str, DataType]:
+    """Type of each projected column: the one in ``types``, else the declared one, else text.
+
+    As text a nested value is its JSON, so any path of a configuration can be projected.
+    """
+    given = types or {}
+    return {s.alias: given.get(s.alias) or path_type(s.path) or TEXT for s in specs}
 
 
-def document_type(specs: Iterable[PathSpec], root: Sequence[str] = ROOT) -> StructType:
-    """What ``parse_pages`` has to read for ``specs``."""
-    return pruned(DOCUMENT, [(*root, *spec.path) for spec in specs])
+def document_type(
+    specs: Sequence[PathSpec], root: Sequence[str] = ROOT,
+    types: Mapping[str, DataType] | None = None,
+) -> StructType:
+    """The part of a document that ``specs`` need; the reader skips the rest of its text."""
+    kinds = spec_types(specs, types)
+    return nested_type({(*root, *spec.path): kinds[spec.alias] for spec in specs})
+
+
+def nested_type(leaves: Mapping[tuple[str, ...], DataType]) -> StructType:
+    """Struct type with ``leaves`` at their paths. A path below another one is part of it."""
+    fields: dict[str, dict[tuple[str, ...], DataType]] = {}
+    for (first, *rest), kind in leaves.items():
+        fields.setdefault(first, {})[tuple(rest)] = kind
+    return struct(**{name: below.get(()) or nested_type(below) for name, below in fields.items()})
 
 
 def parse_spec(text: str) -> tuple[PathSpec, ...]:
@@ -161,11 +180,6 @@ def restore_nested(df: DataFrame, types: Mapping[str, DataType | str]) -> DataFr
     return df.withColumns({name: F.from_json(name, kind) for name, kind in types.items()})
 
 
-def spec_types(specs: Iterable[PathSpec]) -> dict[str, DataType]:
-    """Type of each projected column."""
-    return {spec.alias: reduce(lambda kind, key: kind[key].dataType, spec.path, DATA) for spec in specs}
-
-
 def flat_schema(specs: Iterable[PathSpec] = SITE_SPEC) -> StructType:
     """Columns of the flat file: the projected ones, nested ones as text, and the cleaned ones."""
     columns = {

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from sitegauge.operators.extract import documents, parse_pages, rejects
-from sitegauge.operators.project import DOCUMENT, SITE_SPEC, PathSpec, clean, project
+from sitegauge.operators.project import SITE_SPEC, PathSpec, clean, document_type, project
 from sitegauge.operators.ranking import relative_ranking
 from sitegauge.operators.reshape import history_series, transform_metrics
 from sitegauge.operators.series import rank_changes, visit_changes
@@ -15,7 +15,9 @@ from sitegauge.operators.snapshot import latest_snapshot
 from sitegauge.sources.tables import register_views, replace_table
 
 
-def site_rows(parsed: DataFrame, keep: Sequence[str] = (), spec: Iterable[PathSpec] = SITE_SPEC):
+def site_rows(
+    parsed: DataFrame, keep: Sequence[str] = (), spec: Iterable[PathSpec] = SITE_SPEC
+) -> DataFrame:
     """Good pages as flat, cleaned rows; ``keep`` names page columns that stay."""
     return clean(project(documents(parsed), spec, keep=keep))
 
@@ -32,17 +34,18 @@ def analyses(sites: DataFrame) -> dict[str, DataFrame]:
 
 def run(
     spark: SparkSession, pages: DataFrame, target: str, content: str = "html",
-    version: Sequence[str] = ("url",),
+    version: Sequence[str] = ("url",), spec: Sequence[PathSpec] = SITE_SPEC,
 ) -> dict[str, DataFrame]:
     """Pages to tables below ``target`` and views; returns the frames by name.
 
     The pages are read once, into a table with every outcome; the rejects need two narrow columns
     of it. All that follows reads the site table, and the analyses read the two series, each
-    computed once and clustered by domain for the feeds.
+    computed once and clustered by domain for the feeds. ``spec`` may add columns to the site
+    table.
     """
-    parsed = parse_pages(pages, DOCUMENT, content)
+    parsed = parse_pages(pages, document_type(spec), content)
     outcome = replace_table(parsed, f"{target}/parsed_pages")
-    rows = site_rows(outcome.where("reason is null"), keep=version)
+    rows = site_rows(outcome.where("reason is null"), version, spec)
     sites = replace_table(latest_snapshot(rows, "domain", version), f"{target}/source_data")
     frames = {"rejects": rejects(outcome), "source_data": sites, **analyses(sites)}
     for name in ("visits_series", "rank_series"):

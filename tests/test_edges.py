@@ -8,6 +8,7 @@ import duckdb
 import golden
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from sitegauge.functions.cleaning import abbreviated_number, clock_seconds, percent_text
 from sitegauge.functions.html import APP_DATA, script_bodies
@@ -19,6 +20,7 @@ from sitegauge.operators.project import (
     SITE_SPEC,
     PathSpec,
     clean,
+    document_type,
     load_spec,
     parse_spec,
     project,
@@ -232,9 +234,33 @@ def test_spec(spark, tmp_path):
             parse_spec(bad)
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         load_spec(spark, str(tmp_path / "none.json"))
-    df = sites(spark, data())
-    with pytest.raises(Exception, match="FIELD_NOT_FOUND|No such struct field"):
-        project(df.select(F.struct(F.struct("domain").alias("data")).alias("layout")), [PathSpec("x", ("none",))]).collect()
+
+
+def test_paths_that_are_not_declared(spark):
+    document = data(overview={"globalRank": 3, "more": {"a": [1, None]}}, score={"x.y": "0.5"})
+    specs = [
+        PathSpec("domain", ("domain",)),
+        PathSpec("rank", ("overview", "globalRank")),
+        PathSpec("more", ("overview", "more")),
+        PathSpec("score", ("score", "x.y")),
+        PathSpec("number", ("score", "z")),
+        PathSpec("none", ("not", "there")),
+    ]
+    kinds = {"number": DoubleType()}
+    pages = spark.createDataFrame([(golden.page("", json.dumps(document)),)], "html string")
+    parsed = parse_pages(pages, document_type(specs, types=kinds))
+    df = project(documents(parsed), specs)
+    assert tuple(df.head()) == ("a.com", 3, '{"a":[1,null]}', "0.5", None, None)
+    assert dict(df.dtypes)["rank"] == "bigint" and dict(df.dtypes)["number"] == "double"
+
+
+def test_only_the_wanted_part_is_declared():
+    kind = document_type([s for s in SITE_SPEC if s.alias in ("domain", "visits_history_raw")])
+    assert kind.simpleString() == (
+        "struct<layout:struct<data:struct<domain:string,"
+        "traffic:struct<visitsHistory:map<string,string>>>>>"
+    )
+    assert document_type(SITE_SPEC) == DOCUMENT
 
 
 class Scripts(HTMLParser):

@@ -1,5 +1,7 @@
 """Ranks by value ranges against ``rank()``, and first/last against windows."""
 
+import re
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -103,10 +105,15 @@ def test_first_last_equals_windows(spark):
 
 
 def test_first_last_is_a_hash_aggregate_with_one_shuffle(spark, plan_of):
-    series = spark.createDataFrame([], "domain string, month date, visits bigint")
+    key = F.col("id")
+    series = spark.range(100).select(
+        key.cast("string").alias("domain"),
+        F.date_add(F.lit("2020-01-01").cast("date"), key.cast("int")).alias("month"),
+        key.alias("visits"),
+    )
     plan = plan_of(ranking.visit_growth(series))
-    assert plan.count("\n(") and "SortAggregate" not in plan and "Window" not in plan
-    assert sum(line.endswith(") Exchange") for line in plan.splitlines()) == 1
+    assert "SortAggregate" not in plan and "Window" not in plan
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, flags=re.M)) == 1
 
 
 def test_domain_without_both_series_is_left_out(spark):
@@ -126,3 +133,16 @@ def test_edges_above(spark, n):
     place = ranking.edges_above(F.col("v"), edges, df.schema["v"].dataType)
     for row in df.select("v", place.alias("place")).collect():
         assert row.place == sum(e > row.v for e in edges)
+
+
+def test_the_metrics_join_needs_no_shuffle_of_its_own(spark, conf, plan_of):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    key = F.col("id")
+    series = spark.range(100).select(
+        (key % 9).cast("string").alias("domain"),
+        F.date_add(F.lit("2020-01-01").cast("date"), key.cast("int")).alias("month"),
+        key.alias("visits"),
+        (key % 5).alias("rank"),
+    )
+    plan = plan_of(ranking.metrics_join(series.drop("rank"), series.drop("visits")))
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, flags=re.M)) == 2
