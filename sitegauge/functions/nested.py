@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -36,6 +36,23 @@ def json_text(value: Column) -> Column:
     return F.to_json(value, {"ignoreNullFields": "false"})
 
 
+def map_rows(df: DataFrame, keep: Sequence[str], entries: Column, key: str, value: str) -> DataFrame:
+    """One row per map entry beside the ``keep`` columns; a NULL or empty map gives none.
+
+    ``entries`` is worked out once. Below a plain ``explode`` or ``inline`` Spark puts a filter on
+    the size of its input, which works the same expression out a second time; the outer form
+    has none, and what it adds for an empty input goes by its missing key.
+    """
+    rows = df.select(*keep, F.explode_outer(entries).alias(key, value))
+    return rows.where(F.col(key).isNotNull())
+
+
+def list_rows(df: DataFrame, keep: Sequence[str], items: Column) -> DataFrame:
+    """One row per struct of a list, its fields beside the ``keep`` columns; see ``map_rows``."""
+    rows = df.select(*keep, F.posexplode_outer(items).alias("_at", "_item"))
+    return rows.where(F.col("_at").isNotNull()).select(*keep, "_item.*")
+
+
 def whole_numbers(texts: Column) -> Column:
     """Map values as bigint, each by itself: one bad value does not cost the others."""
     return F.transform_values(texts, lambda _, text: whole_number(text))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructType
 
 from sitegauge.functions.html import APP_DATA, assigned_object
-from sitegauge.functions.nested import json_objects
+from sitegauge.functions.nested import json_objects, list_rows
 from sitegauge.sources.pages import utf8_text
 
 INVALID_UTF8 = "invalid_utf8"
@@ -49,13 +49,11 @@ def parse_pages(
 def documents(parsed_pages: DataFrame) -> DataFrame:
     """The good pages, each with the fields of its document as columns.
 
-    The outer form with a filter on the position searches and parses every page once. For
-    ``inline(parsed)``, or a filter on ``reason``, Spark would put a filter with the whole
-    expression below it and work it out a second time for the good pages.
+    By the position in the list and not by ``reason``: a filter on that would go below the
+    parsing and search each good page a second time.
     """
     keys = [c for c in parsed_pages.columns if c not in ("parsed", "reason")]
-    listed = parsed_pages.select(*keys, F.posexplode_outer("parsed").alias("_at", "_document"))
-    return listed.where(F.col("_at").isNotNull()).select(*keys, "_document.*")
+    return list_rows(parsed_pages, keys, F.col("parsed"))
 
 
 def rejects(parsed_pages: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitegauge.functions.nested import entries_map, utc_date, whole_number
+from sitegauge.functions.nested import entries_map, map_rows, utc_date, whole_number
 from sitegauge.functions.numeric import share_percent
 
 
@@ -68,7 +68,6 @@ def history_series(df: DataFrame, history: str, value: str, entity: str = "domai
     A NULL value keeps its row; a NULL or empty map gives none, and neither does a row without
     an entity. Key and value come out of the map together, so nothing is joined back.
     """
-    entries = df.where(F.col(entity).isNotNull()).select(
-        entity, F.explode(history).alias("month", value)
-    )
+    known = df.where(F.col(entity).isNotNull())
+    entries = map_rows(known, [entity], F.col(history), "month", value)
     return entries.withColumn("month", utc_date(F.col("month")))

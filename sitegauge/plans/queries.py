@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sitegauge.functions.cleaning import abbreviated_number, clock_seconds, percent_text
 from sitegauge.functions.html import captured, script_bodies
-from sitegauge.functions.nested import json_objects, utc_date, whole_number
+from sitegauge.functions.nested import json_objects, list_rows, map_rows, utc_date, whole_number
 from sitegauge.operators import quality, ranking, series, snapshot
 from sitegauge.operators.extract import documents, parse_pages
 from sitegauge.operators.project import (
@@ -170,7 +170,7 @@ def nested_to_json(spark: SparkSession, sf: str) -> DataFrame:
     back = restore_nested(
         flat, {"age_distribution_raw": "array<struct<minAge:int,maxAge:int,value:double>>"}
     )
-    return back.select("domain", F.inline("age_distribution_raw")).select(
+    return list_rows(back, ["domain"], F.col("age_distribution_raw")).select(
         "domain",
         F.col("minAge").alias("min_age"),
         F.col("maxAge").alias("max_age"),
@@ -181,19 +181,19 @@ def nested_to_json(spark: SparkSession, sf: str) -> DataFrame:
 def share_map(spark: SparkSession, sf: str) -> DataFrame:
     shares = country_shares(F.col("top_countries_raw"))
     rows = sites(spark, sf, "domain", "top_countries_raw")
-    return rows.select("domain", F.explode(shares).alias("country", "share_percent"))
+    return map_rows(rows, ["domain"], shares, "country", "share_percent")
 
 
 def bracket_map(spark: SparkSession, sf: str) -> DataFrame:
     shares = age_shares(F.col("age_distribution_raw"))
     rows = sites(spark, sf, "domain", "age_distribution_raw")
-    return rows.select("domain", F.explode(shares).alias("bracket", "share_percent"))
+    return map_rows(rows, ["domain"], shares, "bracket", "share_percent")
 
 
 def own_history(spark: SparkSession, sf: str) -> DataFrame:
     history = own_rank_history(F.col("rank_history_raw"), F.col("domain"))
     rows = sites(spark, sf, "domain", "rank_history_raw")
-    return rows.select("domain", F.explode(history).alias("month", "rank"))
+    return map_rows(rows, ["domain"], history, "month", "rank")
 
 
 def visits_history_explode(spark: SparkSession, sf: str) -> DataFrame:
@@ -203,7 +203,7 @@ def visits_history_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 def rank_history_explode(spark: SparkSession, sf: str) -> DataFrame:
     own = own_entries(F.col("rank_history_raw"), F.col("domain"))
-    entries = sites(spark, sf, "domain", "rank_history_raw").select("domain", F.inline(own))
+    entries = list_rows(sites(spark, sf, "domain", "rank_history_raw"), ["domain"], own)
     return month_text(
         entries.select(
             "domain", utc_date(F.col("date")).alias("month"), whole_number(F.col("rank")).alias("rank")

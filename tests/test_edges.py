@@ -25,7 +25,12 @@ from sitegauge.operators.project import (
     parse_spec,
     project,
 )
-from sitegauge.operators.reshape import bracket_label, history_series, transform_metrics
+from sitegauge.operators.reshape import (
+    bracket_label,
+    history_series,
+    own_rank_history,
+    transform_metrics,
+)
 
 GOOD = json.dumps({"layout": {"data": {"domain": "a.com"}}})
 LONG = "x" * 2_000_000
@@ -305,3 +310,10 @@ def test_scripts_as_a_parser_finds_them(spark):
     got = [r[0] for r in df.orderBy("i").select(script_bodies(F.col("html"))).collect()]
     wrong = [(p, g, w) for p, g, w in zip(pages, got, want) if g != w]
     assert not wrong, (len(wrong), wrong[:5])
+
+
+def test_a_history_is_worked_out_once(spark, plan_of):
+    df = spark.createDataFrame([], "domain string, raw map<string,array<struct<date:string,rank:string>>>")
+    shaped = df.select("domain", own_rank_history(F.col("raw"), F.col("domain")).alias("h"))
+    plan = plan_of(history_series(shaped, "h", "rank"))
+    assert plan.count("map_from_entries") <= 2 and "size(map_from_entries" not in plan.lower()
