@@ -53,6 +53,19 @@ def list_rows(df: DataFrame, keep: Sequence[str], items: Column) -> DataFrame:
     return rows.where(F.col("_at").isNotNull()).select(*keep, "_item.*")
 
 
+def last_of_keys(read: Column) -> Column:
+    """A map read from JSON text with one entry per key: the last one, as JSON readers have it.
+    Spark's reader keeps them all, and a series would get a month twice."""
+
+    def last(found: Column) -> Column:
+        keys = F.map_keys(found)
+        backwards = F.reverse(F.map_entries(found))
+        one_each = entries_map(backwards, lambda e: e["key"], lambda e: e["value"])
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), found).otherwise(one_each)
+
+    return once(read, last)
+
+
 def whole_numbers(texts: Column) -> Column:
     """Map values as bigint, each by itself: one bad value does not cost the others."""
     return F.transform_values(texts, lambda _, text: whole_number(text))

@@ -22,7 +22,7 @@ from pyspark.sql.types import (
 )
 
 from sitegauge.functions.cleaning import clock_seconds, percent_text
-from sitegauge.functions.nested import json_text, whole_numbers
+from sitegauge.functions.nested import json_text, last_of_keys, whole_numbers
 
 
 
@@ -153,12 +153,13 @@ def project(df: DataFrame, specs: Iterable[PathSpec], root: Sequence[str] = ROOT
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """Numbers of the two formatted columns, and month values as bigint; a column that was not
-    projected is passed over."""
+    """Numbers of the two formatted columns, month values as bigint, and one entry per key of the
+    histories; a column that was not projected is passed over."""
     cleaned = {
         "bounce_rate_raw": ("bounce_rate_percent", percent_text),
         "avg_visit_duration_raw": ("avg_visit_duration_seconds", clock_seconds),
-        "visits_history_raw": ("visits_history_raw", whole_numbers),
+        "visits_history_raw": ("visits_history_raw", lambda m: whole_numbers(last_of_keys(m))),
+        "rank_history_raw": ("rank_history_raw", last_of_keys),
     }
     return df.withColumns(
         {out: use(F.col(name)) for name, (out, use) in cleaned.items() if name in df.columns}

@@ -13,15 +13,18 @@ EXTREME_RANK_CHANGE = 1_000_000
 
 
 def series_feed(
-    changes: DataFrame, domains: Sequence[str], present: str | None = None
+    changes: DataFrame, domains: Sequence[str] | DataFrame, present: str | None = None
 ) -> DataFrame:
     """Rows of the named domains by month, optionally only those where ``present`` has a value.
 
-    Domains of like scale belong in one call and outliers in one of their own. The filter on
-    the domain reaches below the window; the one on ``present`` must not, as the previous
-    month was taken with the gaps in.
+    Domains of like scale belong in one call and outliers in one of their own; a long list can
+    come as a frame with a ``domain`` column. The filter on the domain reaches below the window;
+    the one on ``present`` must not, as the previous month was taken with the gaps in.
     """
-    chosen = changes.where(F.col("domain").isin(list(domains)))
+    if isinstance(domains, DataFrame):
+        chosen = changes.join(domains.select("domain"), "domain", "left_semi")
+    else:
+        chosen = changes.where(F.col("domain").isin(list(domains)))
     if present:
         chosen = chosen.where(F.col(present).isNotNull())
     return chosen.orderBy("month", "domain")

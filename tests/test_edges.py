@@ -159,6 +159,18 @@ def test_odd_maps(spark):
     assert row.age_distribution is None
 
 
+def test_the_last_of_equal_keys_counts(spark):
+    text = """{"layout":{"data":{"domain":"a.com",
+        "traffic":{"visitsHistory":{"2022-10-01":1,"2022-11-01":5,"2022-10-01":2}},
+        "ranking":{"globalRankCompetitorsHistory":{
+            "a.com":[{"date":"2022-10-01","rank":1}],"a.com":[{"date":"2022-10-01","rank":2}]}}}}}"""
+    pages = spark.createDataFrame([(golden.page("", text.replace("\n", "")),)], "html string")
+    rows = clean(project(documents(parse_pages(pages, DOCUMENT)), SITE_SPEC))
+    months = history_series(rows, "visits_history_raw", "visits").collect()
+    assert sorted((str(r.month), r.visits) for r in months) == [("2022-10-01", 2), ("2022-11-01", 5)]
+    assert transform_metrics(rows).head().rank_history == {"2022-10-01": 2}
+
+
 def test_histories_without_entries(spark):
     df = spark.createDataFrame(
         [("a", {"2022-10-01": None, "k.e'y\"": 2}), ("b", {}), ("c", None), (None, {"2022-10-01": 1})],

@@ -96,6 +96,8 @@ def test_feeds(frames):
         ("pitchbook.com", "normal", -1),
     ]
     assert [r.domain for r in feeds.combined_feed(ranking).collect()][0] == "stripe.com"
+    listed = visits.sparkSession.createDataFrame([("stripe.com",), ("byte-trading.com",)], "domain string")
+    assert feeds.series_feed(visits, listed, present="visits").collect() == group.collect()
     assert feeds.is_worth_drawing(group)
     assert not feeds.is_worth_drawing(feeds.series_feed(visits, ["nobody.com"]))
 
