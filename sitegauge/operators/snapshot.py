@@ -13,11 +13,13 @@ def latest_snapshot(df: DataFrame, entity: str, version: Sequence[str]) -> DataF
 
     The columns of ``version`` should tell any two rows of an entity apart, for instance scrape
     time and address. Each task first keeps one row per entity, so an entity scraped a million
-    times reaches the shuffle as one row per task.
+    times reaches the shuffle as one row per task. Rows without an entity are not versions of
+    each other: they all stay, and do not meet in one task.
     """
     rest = [c for c in df.columns if c != entity]
     newest = F.max_by(F.struct(*rest), F.struct(*version)).alias("_row")
-    return df.groupBy(entity).agg(newest).select(entity, "_row.*").select(*df.columns)
+    alone = F.when(F.col(entity).isNull(), F.struct(*version)).alias("_alone")
+    return df.groupBy(entity, alone).agg(newest).select(entity, "_row.*").select(*df.columns)
 
 
 def merge_sources(sources: Mapping[str, DataFrame], key: str) -> DataFrame:
@@ -26,7 +28,7 @@ def merge_sources(sources: Mapping[str, DataFrame], key: str) -> DataFrame:
     Sources are given in order of trust. A source may lack a column. The result names the
     sources of a key in ``sources``. One union and one aggregate, whatever the number of
     sources, in place of a chain of outer joins; if a source holds several values for a key the
-    smallest one is taken.
+    smallest one is taken. Rows without a key are put together like those of any other key.
     """
     tagged = None
     for priority, (name, source) in enumerate(sources.items()):

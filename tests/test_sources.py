@@ -141,10 +141,14 @@ def test_shared_folder_is_the_one_of_the_cluster(spark, conf, tmp_path):
 
 def test_latest_snapshot(spark):
     rows = [("a", 1, "u1", {"k": 1}), ("a", 2, "u2", None), ("a", 2, "u1", {}), ("b", 1, None, None)]
+    rows += [(None, 1, "u3", None), (None, 1, "u4", None)]
     df = spark.createDataFrame(rows, "domain string, at int, url string, m map<string,int>")
     got = latest_snapshot(df, "domain", ["at", "url"])
     assert got.columns == df.columns
-    assert sorted(map(tuple, got.select("domain", "at", "url").collect())) == [("a", 2, "u2"), ("b", 1, None)]
+    assert set(map(tuple, got.select("domain", "at", "url").collect())) == {
+        ("a", 2, "u2"), ("b", 1, None), (None, 1, "u3"), (None, 1, "u4"),
+    }
+    assert got.count() == 4
 
 
 def test_series_of_repeated_scrapes(spark, tmp_path):
