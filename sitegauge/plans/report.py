@@ -12,7 +12,7 @@ from sitegauge.operators.ranking import relative_ranking
 from sitegauge.operators.reshape import history_series, transform_metrics
 from sitegauge.operators.series import rank_changes, visit_changes
 from sitegauge.operators.snapshot import latest_snapshot
-from sitegauge.sources.tables import register_views, replace_table
+from sitegauge.sources.tables import register_views, replace_bucketed, replace_table
 
 
 def site_rows(
@@ -34,14 +34,15 @@ def analyses(sites: DataFrame) -> dict[str, DataFrame]:
 
 def run(
     spark: SparkSession, pages: DataFrame, target: str, content: str = "html",
-    version: Sequence[str] = ("url",), spec: Sequence[PathSpec] = SITE_SPEC,
+    version: Sequence[str] = ("url",), spec: Sequence[PathSpec] = SITE_SPEC, buckets: int = 0,
 ) -> dict[str, DataFrame]:
     """Pages to tables below ``target`` and views; returns the frames by name.
 
     The pages are read once, into a table with every outcome; the rejects need two narrow columns
     of it. All that follows reads the site table, and the analyses read the two series, each
-    computed once and clustered by domain for the feeds. ``spec`` may add columns to the site
-    table.
+    computed once and clustered by domain for the feeds. With ``buckets`` the series are catalog
+    tables hashed by domain instead, and the analyses need no shuffle of them. ``spec`` may add
+    columns to the site table.
     """
     parsed = parse_pages(pages, document_type(spec), content)
     outcome = replace_table(parsed, f"{target}/parsed_pages")
@@ -49,7 +50,11 @@ def run(
     sites = replace_table(latest_snapshot(rows, "domain", version), f"{target}/source_data")
     frames = {"rejects": rejects(outcome), "source_data": sites, **analyses(sites)}
     for name in ("visits_series", "rank_series"):
-        frames[name] = replace_table(frames[name], f"{target}/{name}", cluster_by="domain")
+        rows, path = frames[name], f"{target}/{name}"
+        if buckets:
+            frames[name] = replace_bucketed(rows, path, f"{name}_by_domain", "domain", buckets)
+        else:
+            frames[name] = replace_table(rows, path, cluster_by="domain")
     visits, ranks = frames["visits_series"], frames["rank_series"]
     frames["monthly_visit_changes"] = visit_changes(visits)
     frames["monthly_rank_changes"] = rank_changes(ranks)

@@ -26,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing has used yet."""
-    app = spark.sparkContext.applicationId
+    app = spark.conf.get("spark.app.id", "app")
     return f"{shared_dir(spark)}/sitegauge/{app}/{name}-{uuid.uuid4().hex}"
 
 

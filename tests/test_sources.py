@@ -14,6 +14,7 @@ from sitegauge.operators.project import (
     restore_nested,
     typed_sites,
 )
+from sitegauge.operators.ranking import metrics_join
 from sitegauge.operators.reshape import transform_metrics
 from sitegauge.operators.snapshot import latest_snapshot, merge_sources
 from sitegauge.plans import report
@@ -103,6 +104,19 @@ def test_table(spark, tmp_path):
     spark.sql("drop table three")
 
 
+def test_bucketed_series_need_no_shuffle(spark, conf, plan_of, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    pages = spark.createDataFrame([(d, golden.page(d)) for d in golden.SITES], "url string, html string")
+    frames = report.run(spark, pages, str(tmp_path / "r"), buckets=4)
+    visits, ranks = frames["visits_series"], frames["rank_series"]
+    for df in (frames["monthly_visit_changes"], frames["monthly_rank_changes"], metrics_join(visits, ranks)):
+        assert "Exchange" not in plan_of(df)
+    rows = frames["relative_ranking"].orderBy("combined_rank", "domain").collect()
+    assert [tuple(r) for r in rows] == golden.RANKING
+    for name in ("visits_series_by_domain", "rank_series_by_domain"):
+        spark.sql(f"drop table {name}")
+
+
 def test_a_failing_view_does_not_stop_the_others(spark):
     def missing():
         return spark.table("no_such_table")
