@@ -23,8 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def remainder(column: str, modulus: int) -> Column:
-    """crc32 of the column as text, modulo ``modulus``; NULL stays NULL."""
-    return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)
+    """crc32 of the column as text, modulo ``modulus``; NULL counts as empty text."""
+    text = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    return F.crc32(text.cast("binary")) % F.lit(modulus)
 
 
 def lower_ascii(column: Column) -> Column:
@@ -117,8 +118,10 @@ def words_of(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> Words
     return Words(hashes, starts, ends, np.searchsorted(starts, offsets))
 
 
-def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows of about ``limit`` bytes: first row, end row, their bytes, offsets in them.
+def chunks(
+    texts: pa.Array, limit: int = CHUNK_BYTES, rows: int = 1 << 30
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of up to ``rows`` rows, of about ``limit`` bytes: first row, end row, their bytes, offsets.
 
     A NULL text counts as empty.
     """
@@ -134,7 +137,7 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
     row = 0
     while row < n:
         end = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
-        end = min(n, max(end, row + 1))
+        end = min(n, row + rows, max(end, row + 1))
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
 

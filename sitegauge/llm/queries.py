@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegauge.llm import chat, packing, topk, url_filters
+from sitegauge.llm import chat, near_dedup, packing, topk, url_filters
 from sitegauge.llm.common import table
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.perspectives(table(spark, sf_dir, "conversations")))
 
@@ -30,6 +34,7 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_chat_perspectives": op3_chat_perspectives,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_url_filters": op6_url_filters,
@@ -52,6 +57,7 @@ placed AS (
 SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5"""
 
 ORACLES: dict[str, str] = {
+    "op2_minhash_near_dedup": near_dedup.ORACLE,
     "op3_chat_perspectives": chat.oracle(),
     "op6_url_filters": url_filters.oracle(),
     "op9_exact_top_k": TOP_K,
