@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegauge.llm import chat, near_dedup, packing, topk, url_filters
+from sitegauge.llm import chat, decontaminate, near_dedup, packing, topk, url_filters
 from sitegauge.llm.common import table
 
 
@@ -29,6 +29,11 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.passages(docs, items))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -38,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_perspectives": op3_chat_perspectives,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_url_filters": op6_url_filters,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_exact_top_k": op9_exact_top_k,
 }
 
@@ -60,5 +66,6 @@ ORACLES: dict[str, str] = {
     "op2_minhash_near_dedup": near_dedup.ORACLE,
     "op3_chat_perspectives": chat.oracle(),
     "op6_url_filters": url_filters.oracle(),
+    "op8_benchmark_decontamination": decontaminate.ORACLE,
     "op9_exact_top_k": TOP_K,
 }
