@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegauge.llm import chat, decontaminate, near_dedup, packing, topk, url_filters
+from sitegauge.llm import chat, decontaminate, languages, near_dedup, packing, quality, topk, url_filters
 from sitegauge.llm.common import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identify(table(spark, sf_dir, "documents"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filters.judge(table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -39,9 +47,11 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_chat_perspectives": op3_chat_perspectives,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_quality_rules": op5_quality_rules,
     "op6_url_filters": op6_url_filters,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_exact_top_k": op9_exact_top_k,
