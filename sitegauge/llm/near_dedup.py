@@ -212,7 +212,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     heads = known.join(as_id, ["doc_id", "n_shingles", "f1", "f2"], "left_semi")
     edges = stored(stars(heads), "edges")
     members = edges.select(F.col("a").alias("doc_id")).unionByName(edges.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stored(shingle_sets(docs.join(members, "doc_id", "left_semi")), "sets")
+    # A shuffle of the texts at every size: a broadcast would only do while the members are few.
+    wanted = docs.select("doc_id", "text").join(members.hint("merge"), "doc_id", "left_semi")
+    sets = stored(shingle_sets(wanted), "sets")
     links = stored(confirmed(edges, sets, percent), "links")
     # Documents of one class that repeat an id elsewhere are links as well.
     copies = known.join(classes, ["n_shingles", "f1", "f2"]).where("doc_id <> head")
