@@ -37,16 +37,27 @@ def platt(margin: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, f
     high = (y > 0).sum()
     low = len(y) - high
     target = np.where(y > 0, (high + 1) / (high + 2), 1 / (low + 2))
-    slope, shift = 1.0, 0.0
+    size = float(np.std(margin)) or 1.0
+    scaled = margin / size
+
+    def loss(at: np.ndarray) -> float:
+        z = scaled * at[0] + at[1]
+        return float((np.logaddexp(0, z) - target * z).sum())
+
+    at = np.array([1.0, 0.0])
     for _ in range(steps):
-        p = logistic(slope * margin + shift)
+        p = logistic(at[0] * scaled + at[1])
         r, v = p - target, np.maximum(p * (1 - p), 1e-9)
-        g = np.array([(r * margin).sum(), r.sum()])
-        h = np.array([[(v * margin * margin).sum(), (v * margin).sum()], [(v * margin).sum(), v.sum()]])
+        g = np.array([(r * scaled).sum(), r.sum()])
+        h = np.array([[(v * scaled * scaled).sum(), (v * scaled).sum()], [(v * scaled).sum(), v.sum()]])
         move = np.linalg.solve(h + 1e-6 * np.eye(2), g)
-        slope, shift = slope - move[0], shift - move[1]
-        if np.abs(move).max() < 1e-6:
+        now, part = loss(at), 1.0
+        while part > 1e-6 and loss(at - part * move) > now:
+            part /= 2
+        at = at - part * move
+        if np.abs(part * move).max() < 1e-6:
             break
+    slope, shift = at[0] / size, at[1]
     return float(slope), float(shift)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegauge.llm import chat, decontaminate, languages, near_dedup, packing, quality, topk, url_filters
+from sitegauge.llm import chat, decontaminate, languages, near_dedup, packing, quality, secrets_scan, topk, url_filters
 from sitegauge.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.digest(secrets_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.passages(docs, items))
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_url_filters": op6_url_filters,
+    "op7_secret_scan": op7_secret_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_exact_top_k": op9_exact_top_k,
 }
