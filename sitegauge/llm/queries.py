@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegauge.llm import chat, decontaminate, languages, near_dedup, packing, quality, secrets_scan, topk, url_filters
+from sitegauge.llm import (
+    chat,
+    decontaminate,
+    languages,
+    lm_scoring,
+    near_dedup,
+    packing,
+    quality,
+    secrets_scan,
+    topk,
+    url_filters,
+)
 from sitegauge.llm.common import table
 
 
@@ -50,6 +61,10 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -60,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_scan": op7_secret_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_exact_top_k": op9_exact_top_k,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 TOP_K = """
