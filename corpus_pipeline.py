@@ -1,21 +1,78 @@
-"""The training-data pipeline: documents through filtering stages to packed sequences."""
+"""The training-data pipeline: documents through filters to packed sequences.
+
+Every stage works on all that its predecessor kept and returns the columns of ``documents``,
+but for the last one, which returns the packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sitegauge.llm import packing
-from sitegauge.llm.common import table
+from sitegauge.llm import decontaminate, languages, near_dedup, packing, secrets_scan
+from sitegauge.llm.common import remainder, table
 from sitegauge.sources.workdir import stored
 
+#: A document is kept if its language is known at least this surely. The score of a text with
+#: letters is the product of two mean probabilities, so only texts that fit nothing are below.
+LEAST_SCORE = 0.2
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without a language, and those that fit none; ``lang`` becomes what was found."""
+    model = languages.fit(docs, remainder("doc_id", 5) != 0)
+    return languages.relabelled(docs, model, LEAST_SCORE)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group: the one with the smallest id, the first of equal ids.
+
+    Documents without an id are in no group and stay.
+    """
+    found = near_dedup.near_duplicates(docs)
+    kept = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+    kept = stored(kept, "kept")
+    named = docs.join(kept.where("_n = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
+    repeated = kept.where("_n > 1").select("doc_id")
+    if not repeated.isEmpty():
+        rest = [c for c in docs.columns if c != "doc_id"]
+        rows = docs.join(repeated.hint("merge"), "doc_id", "left_semi")
+        first = rows.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row")).select("doc_id", "_row.*")
+        named = named.unionByName(first)
+    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in which a window of a benchmark item occurs."""
+    found = decontaminate.passages(docs, table(spark, sf_dir, "benchmark"))
+    hit = found.where(F.size("spans") > 0).select(F.col("text_hash").alias("_h")).distinct()
+    hashed = docs.withColumn("_h", F.xxhash64("text"))
+    return hashed.join(hit.hint("merge"), "_h", "left_anti").select(*docs.columns)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks secrets in the texts; ``n_chars`` follows."""
+    clean = secrets_scan.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in as few sequences as possible."""
-    return packing.packed_documents(docs)
+    packed = packing.packed_documents(docs)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("language ID", identify_language),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", decontaminate_benchmark),
+    ("secret scans", mask_secrets),
+    ("best-fit packing", pack),
+]
 
+#: SQL has no expression for the learned stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 

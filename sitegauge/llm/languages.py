@@ -166,37 +166,53 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> LanguageModel |
     return LanguageModel.fit(x, np.array([r["lang"] for r in rows], dtype=object))
 
 
+def _judged(texts: pa.Array, model: LanguageModel | None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and end row of a run of rows, their languages and scores."""
+    lettered = _lettered(texts).copy()
+    if model is None:
+        lettered[:] = False
+    for first, end, data, offsets in chunks(pc.utf8_lower(texts), rows=ROWS):
+        known = lettered[first:end]
+        names = np.full(end - first, UNKNOWN, dtype=object)
+        sure = np.zeros(end - first)
+        if known.any():
+            names[known], sure[known] = model.predict(features(data, offsets)[known])
+        yield first, end, names, np.clip(sure, 0, 1)
+
+
 def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` of every document, from the whole text alone."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
         for batch in batches:
-            texts = batch.column(1)
-            lettered = _lettered(texts)
-            if model is None:
-                lettered[:] = False
-            for first, end, data, offsets in chunks(pc.utf8_lower(texts), rows=ROWS):
-                known = lettered[first:end]
-                names = np.full(end - first, UNKNOWN, dtype=object)
-                sure = np.zeros(end - first)
-                if known.any():
-                    names[known], sure[known] = model.predict(features(data, offsets)[known])
+            for first, end, names, sure in _judged(batch.column(1), sent.value):
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, end - first),
-                        pa.array(names, pa.string()),
-                        pa.array(np.clip(sure, 0, 1), pa.float64()),
-                    ],
+                    [batch.column(0).slice(first, end - first), pa.array(names, pa.string()), pa.array(sure)],
                     names=["doc_id", "lang_pred", "score"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind}, lang_pred string, score double")
 
 
+def relabelled(docs: DataFrame, model: LanguageModel | None, least: float) -> DataFrame:
+    """``docs`` without texts that are ``und`` or score below ``least``; ``lang`` is what was found.
+
+    The columns are those of ``docs``.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, lang = (batch.schema.get_field_index(n) for n in ("text", "lang"))
+            for first, end, names, sure in _judged(batch.column(text), sent.value):
+                part = batch.slice(first, end - first).set_column(lang, "lang", pa.array(names, pa.string()))
+                yield part.filter(pa.array((names != UNKNOWN) & (sure >= least)))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` for every row.
 
