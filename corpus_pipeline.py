@@ -46,8 +46,9 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """Drops documents in which a window of a benchmark item occurs."""
     found = decontaminate.passages(docs, table(spark, sf_dir, "benchmark"))
     hit = found.where(F.size("spans") > 0).select(F.col("text_hash").alias("_h")).distinct()
-    hashed = docs.withColumn("_h", F.xxhash64("text"))
-    return hashed.join(hit.hint("merge"), "_h", "left_anti").select(*docs.columns)
+    # The row travels as one column, so that no name of the input can clash.
+    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64("text").alias("_h"))
+    return rows.join(hit.hint("merge"), "_h", "left_anti").select("_row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

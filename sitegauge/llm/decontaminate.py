@@ -252,12 +252,12 @@ def without_passages(docs: DataFrame, found: DataFrame) -> DataFrame:
     Only documents with a span are touched; of one, the bytes from a span's first word to the
     end of its last go.
     """
-    hits = found.where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), "spans"
-    ).dropDuplicates(["_id", "_h"])
-    marked = docs.withColumn("_text_hash", F.xxhash64("text")).join(
-        hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_h")), "left"
-    )
+    hits = found.where(F.size("spans") > 0).select("doc_id", "text_hash", "spans")
+    hits = hits.dropDuplicates(["doc_id", "text_hash"])
+    # The row travels as one column, so that no name of the input can clash.
+    rows = docs.select(F.struct("*").alias("_row"))
+    same = F.col("_row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("_row.text") == F.col("text_hash"))
+    marked = rows.join(hits, same, "left")
 
     @F.pandas_udf("string")
     def cut(texts, spans):
@@ -277,8 +277,10 @@ def without_passages(docs: DataFrame, found: DataFrame) -> DataFrame:
             out.append(b"".join([*kept, raw[at:]]).decode())
         return pd.Series(out, dtype=object)
 
-    text = F.when(F.col("spans").isNotNull(), cut("text", "spans")).otherwise(F.col("text"))
-    return marked.withColumn("text", text).select(*docs.columns)
+    text = F.when(F.col("spans").isNotNull(), cut("_row.text", "spans")).otherwise(F.col("_row.text"))
+    return marked.select(
+        *[text.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns]
+    )
 
 
 ORACLE = f"""

@@ -1,0 +1,519 @@
+"""Every operator on small tables: nulls, empty and long texts, ties, repeated rows, empty tables,
+extra columns with clashing names; results against brute force."""
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sitegauge.llm import (
+    chat,
+    decontaminate,
+    languages,
+    lm_scoring,
+    near_dedup,
+    packing,
+    quality,
+    secrets_scan,
+    topk,
+    url_filters,
+)
+from sitegauge.llm.components import components
+
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+# Names that operators use for themselves, as extra columns of their inputs.
+CLASH = {
+    "score": 1.0, "spans": "s", "rank": 3, "length": 2, "_h": 1, "index": 1, "block": 2, "at": 1, "n": 1, "bands": 0,
+    "component_id": 5, "kept": False, "host": "h", "path": "p", "sequence_id": 1, "offset": 1, "a": 1, "b": 2,
+}
+
+
+def words(count, seed, stem="w"):
+    rng = np.random.default_rng(seed)
+    return [f"{stem}{i}" for i in rng.integers(0, 400, count)]
+
+
+def documents(spark, rows, extra=True):
+    """Rows of (doc_id, text, lang) as a documents table."""
+    out = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = out.select("*", F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"))
+    if extra:
+        out = out.select("*", *[F.lit(v).alias(k) for k, v in CLASH.items()])
+    return out
+
+
+ODD = [
+    (1, None, None), (2, "", "en"), (None, "no id here at all, one two three", "en"), (3, "   \n\t", "fr"),
+    (4, "x " * 3000, "en"), (5, "twin words in a row of six", "en"), (5, "twin words in a row of six", "en"),
+    (6, "日本語 のテキスト", None), (7, "1234 5678 !!", "de"), (8, "É" * 4000, "fr"),
+]
+
+
+def test_components_against_search(spark):
+    rng = np.random.default_rng(8)
+    for nodes, links in ((30, 20), (40, 60), (200, 120)):
+        pairs = [(int(a), int(b)) for a, b in rng.integers(0, nodes, (links, 2))]
+        pairs += [(i, i + 1) for i in range(1000, 1040)]  # a long chain
+        got = {r[0]: r[1] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+        near = collections.defaultdict(set)
+        for a, b in pairs:
+            if a != b:
+                near[a].add(b)
+                near[b].add(a)
+        want = {}
+        for node in sorted(near):
+            todo = [node]
+            while todo:
+                at = todo.pop()
+                if at not in want:
+                    want[at] = node
+                    todo += near[at]
+        assert got == want
+    assert components(spark.createDataFrame([(1, 1)], "a long, b long")).collect() == []
+
+
+def brute_duplicates(rows):
+    sets = {}
+    for doc, text, _ in rows:
+        if doc is None:
+            continue
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(UPPER))
+        own = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+        sets.setdefault(doc, []).append(own)
+    label = {d: d for d in sets}
+
+    def top(d):
+        while label[d] != d:
+            d = label[d]
+        return d
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            for x in sets[a]:
+                for y in sets[b]:
+                    if x and y and 100 * len(x & y) >= 85 * len(x | y):
+                        one, two = sorted((top(a), top(b)))
+                        label[two] = one
+    return {d: top(d) for d in ids}, sets
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    rng = np.random.default_rng(9)
+    rows = list(ODD)
+    # Groups around a base that is not the smallest id: members differ among themselves.
+    for group in range(6):
+        base = words(int(rng.integers(8, 160)), group, f"g{group}x")
+        for copy in range(14):
+            mine = list(base)
+            for _ in range(int(rng.integers(0, max(2, len(base) // 22)))):
+                mine[int(rng.integers(0, len(mine)))] = f"new{rng.integers(0, 10**9)}"
+            rows.append((100 * group + 50 + copy, " ".join(mine).upper() if copy % 3 else "\n".join(mine), "en"))
+    rows += [(900 + i, "an exact copy of a text of words", "en") for i in range(40)]
+    found = near_dedup.near_duplicates(documents(spark, rows)).collect()
+    want, sets = brute_duplicates(rows)
+    assert len(found) == len(rows)
+    for r in found:
+        if r["doc_id"] is None:
+            assert r["component_id"] is None and r["kept"]
+        else:
+            assert r["component_id"] == want[r["doc_id"]], r
+            assert r["kept"] == (r["component_id"] == r["doc_id"])
+            assert r["n_shingles"] in {len(s) for s in sets[r["doc_id"]]}
+    assert len({want[d] for d in want}) < len(want) - 30
+
+
+def test_stars_are_settled_exactly(spark):
+    """Members that are like each other, but not like their bucket's centre, are linked."""
+    sets = {
+        1: list(range(0, 40)),
+        2: list(range(30, 130)),
+        3: list(range(30, 131)),
+        4: list(range(500, 600)),
+        5: list(range(499, 600)),
+    }
+    edges = spark.createDataFrame([(i, 1, len(sets[i]), 40) for i in (2, 3, 4, 5)], "a long, b long, na long, nb long")
+    table = spark.createDataFrame(list(sets.items()), "doc_id long, shingles array<long>")
+    none = components(spark.createDataFrame([], "a long, b long"))
+    links = near_dedup.settled(edges, table, none, 85).collect()
+    assert {tuple(sorted(r)) for r in links} == {(2, 3), (4, 5)}
+    counts = near_dedup.shared_counts([np.array(s) for s in sets.values()])
+    want = [[len(set(a) & set(b)) for b in sets.values()] for a in sets.values()]
+    assert counts.tolist() == want
+
+
+def test_empty_tables(spark):
+    docs = documents(spark, [])
+    benchmark = spark.createDataFrame([], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    some = documents(spark, ODD)
+    for made in (
+        near_dedup.near_duplicates(docs),
+        languages.identify(docs),
+        quality.score(docs, labels),
+        packing.packed_documents(docs),
+        secrets_scan.digest(secrets_scan.scan(docs)),
+        decontaminate.digest(decontaminate.passages(docs, benchmark)),
+        lm_scoring.score(docs),
+        url_filters.judge(spark.createDataFrame([], "page_id long, url string, html string")),
+        chat.perspectives(spark.createDataFrame([], "conv_id long, turn long, role string, text string")),
+        topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0),
+    ):
+        assert made.collect() == []
+    assert not any(r["contaminated"] for r in decontaminate.digest(decontaminate.passages(some, benchmark)).collect())
+    assert {r["score"] for r in quality.score(some, labels).collect()} == {0.5}
+
+
+def crc(doc_id, modulus):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % modulus
+
+
+def test_languages(spark):
+    stems = {"en": "thing with the of", "de": "nicht über der die", "fr": "être dans le que", "es": "ción para el los"}
+    rows = []
+    rng = np.random.default_rng(1)
+    for i in range(240):
+        lang = list(stems)[i % 4]
+        parts = stems[lang].split()
+        rows.append((1000 + i, " ".join(parts[j] for j in rng.integers(0, 4, 30)), lang))
+    found = languages.identify(documents(spark, rows + ODD)).collect()
+    assert len(found) == len(rows) + len(ODD)
+    by_id = {r["doc_id"]: r for r in found}
+    assert all(by_id[d]["lang_pred"] == lang for d, _, lang in rows)
+    assert all(r["held_out"] == (crc(r["doc_id"], 5) == 0) and 0 <= r["score"] <= 1 for r in found)
+    assert {by_id[i]["lang_pred"] for i in (1, 2, 3, 7)} == {"und"}
+    assert by_id[6]["lang_pred"] != "und"
+    # One language alone, and none.
+    only = languages.identify(documents(spark, [(i, "some words", "en") for i in range(20)]))
+    assert {r["lang_pred"] for r in only.collect()} == {"en"}
+    none = languages.identify(documents(spark, [(i, "some words", None) for i in range(20)]))
+    assert {(r["lang_pred"], r["score"]) for r in none.collect()} == {("und", 0.0)}
+    assert languages.family("de") == languages.family("en-GB") != languages.family("es")
+    # Three languages of one family and another one vote.
+    x = np.eye(4, dtype=np.float32).repeat(30, 0)
+    names = np.array(["da", "de", "en", "fr"], dtype=object).repeat(30)
+    model = languages.LanguageModel.fit(x, names)
+    assert (model.predict(x)[0] == names).all()
+
+
+def test_quality_rules_hold_out_and_compile(spark):
+    rng = np.random.default_rng(6)
+    rows, marks = [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        text = " ".join(words(60, i))
+        rows.append((i, text.upper() + "!!" * 20 if bad else text + ".", "en"))
+        marks.append((i, 0 if bad else 1, int(rng.integers(0, 2))))
+    marks += [(None, 1, 0), (2, None, 1), (10**6, 1, 0)]
+    odd = [(10_000 + (d or 0), t, lang) for d, t, lang in ODD]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    found = quality.score(documents(spark, rows + odd), labels).collect()
+    assert len(found) == len(rows) + len(odd)
+    truth = {d: q for d, q, _ in marks[:400]}
+    right = [r["predicted"] == truth[r["doc_id"]] for r in found if r["doc_id"] in truth and r["held_out"]]
+    assert np.mean(right) > 0.97 and len(right) > 60
+    assert all(r["held_out"] == (crc(r["doc_id"], 4) == 2) for r in found)
+    assert all(r["predicted"] == int(r["score"] >= 0.7) and 0 <= r["score"] <= 1 for r in found)
+    # The compiled expression is the model's own sum.
+    model = quality.RuleModel([((0, True, 1.0),), ((0, False, 3.0), (1, True, 0.5))], [2.0, -1.0], 0.25)
+    frame = spark.createDataFrame([(0.0, 0.0), (2.0, 1.0), (5.0, 1.0)], "u double, v double")
+    got = frame.select(model.column({"u": F.col("u"), "v": F.col("v")}).alias("p")).collect()
+    want = [0.25, 0.25 + 2 - 1, 0.25 + 2]
+    assert [r["p"] for r in got] == pytest.approx([1 / (1 + math.exp(-z)) for z in want])
+
+
+def test_statistics_of_texts(spark):
+    frame = spark.createDataFrame([(None,), ("",), ("Aa b b 1!\nx.",)], "text string")
+    got = frame.select(*[c.alias(n) for n, c in quality.statistics(F.col("text")).items()]).collect()
+    assert all(v == 0 or n in ("lines",) for r in got[:2] for n, v in r.asDict().items())
+    r = got[2]
+    assert (r["n_words"], r["upper"], r["digits"], r["stops"], r["marks"]) == (5, 1 / 12, 1 / 12, 1 / 12, 1 / 12)
+    assert r["distinct"] == 4 / 5
+
+
+def test_secrets(spark):
+    hexed = "0123456789abcdef" * 2
+    rows = [
+        (10, f'x password="{"a" * 6}" y SECRET : tok=abc123 apikey=ab', None),
+        (11, f"AKIA{'A1' * 8} AKIA123 {hexed} é{hexed}z token={hexed}", None),
+        (12, "ſecret=abcdefgh toKen=abcdefgh secret=token:abcdefgh", None),
+        (13, "password=" + "q1" * 5000 + " end", None),
+    ] + ODD
+    found = {r["doc_id"]: r for r in secrets_scan.digest(secrets_scan.scan(documents(spark, rows))).collect()}
+    assert len(found) == len({d for d, _, _ in rows})
+    for doc, text, _ in rows:
+        body = text or ""
+        spans = []
+        key = r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+        for m in re.finditer(key + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", body):
+            if len(m[2]) >= 6:
+                spans.append((m.start(), 0, "assign", m.end()))
+        for m in re.finditer(r"AKIA[A-Z0-9]+", body):
+            if len(m[0]) >= 20:
+                spans.append((m.start(), 1, "access", m.end()))
+        for m in re.finditer(r"[0-9a-f]+", body):
+            if len(m[0]) >= 24:
+                spans.append((m.start(), 2, "hex", m.end()))
+        text_of = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))
+        r = found[doc]
+        assert r["base_sha256"] == hashlib.sha256(text_of.encode()).hexdigest(), (doc, text_of, r)
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s[1] == i for s in spans) for i in range(3)]
+        assert set(text_of.split(",")) <= set(r["spans"].split(","))
+    assert secrets_scan.masked("abcdefgh", [(1, "hex", 4), (2, "hex", 6)]) == "a[SECRET]gh"
+
+
+def test_network_finds_what_patterns_miss_and_leaves_numbers(spark):
+    rng = np.random.default_rng(3)
+    hexed = ["".join(rng.choice(list("0123456789abcdef"), 32)) for _ in range(120)]
+    numbers = ["".join(rng.choice(list("0123456789"), 16)) for _ in range(120)]
+    rows = [(i, f"words before {h} and after", "en") for i, h in enumerate(hexed)]
+    rows += [(1000 + i, f"card number {n} paid in full", "en") for i, n in enumerate(numbers)]
+    # Twenty hex characters are below the pattern's length.
+    rows += [(2000 + i, f"words before {h[:10]}a{h[10:20]} and after", "en") for i, h in enumerate(hexed[:20])]
+    docs = documents(spark, rows)
+    found = {r["doc_id"]: r["spans"] for r in secrets_scan.scan(docs).collect()}
+    assert sum(any(s["kind"] == "network" for s in found[1000 + i]) for i in range(120)) <= 2
+    assert all(any(s["kind"] == "hex" for s in found[i]) for i in range(120))
+    clean = {r["doc_id"]: r for r in secrets_scan.redact(docs).collect()}
+    assert all(hexed[i] not in clean[i]["text"] and secrets_scan.MASK in clean[i]["text"] for i in range(120))
+    assert set(clean[0].asDict()) == set(docs.columns)
+
+
+def brute_passages(rows, items):
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    split = lambda t: re.findall(pattern, (t or "").translate(UPPER))
+    windows = collections.defaultdict(set)
+    for item, text in items:
+        w = split(text)
+        for i in range(len(w) - min(10, len(w)) + 1 if w else 0):
+            windows[tuple(w[i : i + 10])].add(item)
+    out = []
+    for doc, text, _ in rows:
+        w = split(text)
+        hit, found = set(), set()
+        for size in {len(k) for k in windows}:
+            for i in range(len(w) - size + 1):
+                if tuple(w[i : i + size]) in windows:
+                    hit |= set(range(i, i + size))
+                    found |= windows[tuple(w[i : i + size])]
+        names = ",".join(sorted(str(i) for i in found if i is not None))
+        out.append((doc, len(w), len(hit), hashlib.sha256(names.encode()).hexdigest()))
+    return collections.Counter(out)
+
+
+@pytest.mark.parametrize("batch", [100_000, 7])
+def test_passages_against_brute_force(spark, monkeypatch, batch):
+    monkeypatch.setattr(decontaminate, "BATCH_WINDOWS", batch)
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 300)
+    long = words(25, 1)
+    items = [
+        (1, " ".join(long)), (2, "Short item"), (3, None), (4, "--- !!"), (10, " ".join(long[5:16])), (10, "other text of item ten"),
+        (None, "an item without an id but words"), (5, "a a a a a a a a a a a a"),
+    ]
+    rows = ODD + [
+        (20, "start " + " ".join(long[3:15]) + " end", "en"), (21, ", ".join(long).upper(), "en"),
+        (22, "a short  ITEM. short item; short", "en"), (23, " ".join(long[:9]), "en"), (24, "a " * 40, "en"),
+        (25, "an item without an id but words", "en"), (26, " ".join(words(700, 5)) + " short item", "en"),
+        (27, " ".join(long) + " x " + " ".join(long[2:14]), "en"),
+    ]
+    docs = documents(spark, rows)
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("spans", F.lit(1))
+    found = decontaminate.passages(docs, benchmark)
+    got = collections.Counter(
+        (r["doc_id"], r["n_words"], r["n_hit"], r["items_sha256"]) for r in decontaminate.digest(found).collect()
+    )
+    assert got == brute_passages(rows, items)
+    clean = decontaminate.without_passages(docs, found)
+    assert clean.columns == docs.columns and clean.count() == len(rows)
+    left = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert left[20].split() == ["start", "end"] and left[1] is None and left[23] == rows[len(ODD) + 3][1]
+
+
+def test_packing_places_every_piece(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.vocabulary_path())
+    rows = ODD + [(50 + i, " ".join(words(40 + i, i)), "en") for i in range(60)]
+    for capacity in (64, 4096):
+        packed = packing.packed_documents(documents(spark, rows), capacity=capacity, ids=True).collect()
+        own = collections.defaultdict(list)
+        for r in packed:
+            assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], dtype="<u4").tobytes())
+            own[r["doc_id"]].append(r)
+        want = collections.Counter()
+        for doc, text, _ in rows:
+            ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+            for n, at in enumerate(range(0, len(ids), capacity)):
+                want[doc, n, at, tuple(ids[at : at + capacity])] += 1
+        assert collections.Counter((r["doc_id"], r["piece"], r["start"], tuple(r["ids"])) for r in packed) == want
+        fill = collections.defaultdict(list)
+        for r in packed:
+            fill[r["sequence_id"]].append((r["offset"], r["length"]))
+        for parts in fill.values():
+            at = 0
+            for offset, length in sorted(parts):
+                assert offset == at
+                at += length
+            assert at <= capacity
+        total = sum(r["length"] for r in packed)
+        assert len(fill) <= 1.1 * total / capacity + 1
+        whole = packing.sequences(spark.createDataFrame(packed)).collect()
+        assert sum(len(r["ids"]) for r in whole) == total and all(r["segments"][0] == 0 for r in whole)
+
+
+def test_top_k_against_all_scores(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(12)]) for i in range(300)]
+    rows += [(1000 + i, rows[7][1]) for i in range(60)]  # ties
+    rows += [(400, None), (450, [None, 1.0]), (500, [float("nan")] * 12), (550, [float("inf")] + [0.0] * 11)]
+    rows += [(None, rows[3][1]), (600, [1.0, 2.0]), (650, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    table = table.select("*", *[F.lit(1).alias(n) for n in ("block", "ids", "slot", "v", "n", "rank", "score")])
+    got = topk.top_k(table, F.col("vec_id") % 50 == 0, k=5, n_pivots=6).collect()
+    good = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v in rows[:360] + rows[365:]}
+    want = set()
+    for q in good:
+        if q % 50 == 0:
+            every = sorted((-sum(a * b for a, b in zip(good[q], good[c])), c) for c in good if c != q)
+            want |= {(q, n, c, -s) for n, (s, c) in enumerate(every[:5], 1)}
+    assert {tuple(r) for r in got} == want
+    few = topk.top_k(spark.createDataFrame(rows[:3], "vec_id long, embedding array<float>"), F.col("vec_id") == 0)
+    assert [r["rank"] for r in few.collect()] == [1, 2]
+
+
+def test_search_stops_early():
+    rng = np.random.default_rng(5)
+    centres = rng.integers(-200, 200, (8, 16)).astype(float)
+    x = centres[rng.integers(0, 8, 2000)] + rng.integers(-4, 5, (2000, 16))
+    pivots = x[:16]
+    ids = np.arange(2000)
+    q = x[5]
+    far = topk._distances(x, pivots)
+    found, scores, looked = topk.best_of_block(q, far[5], x, far, ids, 5, 5)
+    every = sorted((-float(x[i] @ q), i) for i in range(2000) if i != 5)[:5]
+    assert [(-s, i) for s, i in zip(scores, found)] == every
+    assert looked < 2000
+
+
+PAGES = [
+    (1, "http://a.org/x", '<a href="http://b.net/1">l</a>'),
+    (2, "https://A.example.org/es/1?q#f", None),
+    (3, "http://example.org/en/1", ""),
+    (4, "http://b.net", '<a HREF=//C.net/2> <a href="/own"> <a href="http://b.net/self">'),
+    (5, "http://c.net?x/y", '<a href="http://deep.example.org/es/">'),
+    (6, "noscheme/path", "x"),
+    (7, None, None),
+    (8, "http://x.com/de/1", '<a href="http://b.net">'),
+    (9, "http://org/p", None),
+    (10, "http://notorg/p", None),
+    (11, "ftp://u@h.com:80/fr/a#b?c", None),
+    (12, "http://deep.example.org/es/9", '<a href="http://d.net/">'),
+    (12, "http://deep.example.org/es/9", '<a href="http://d.net/">'),
+    (13, "http://links.net/", '<a href="http://deep.example.org/es/9"><a href="http://x.com/">'),
+    (14, "http://d.net/", None), (15, "://", None), (16, "http://b.net/\nq", None),
+]
+
+
+def test_urls_against_brute_force(spark):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    pages = pages.select("*", *[F.lit("x").alias(n) for n in ("host", "path", "rule", "verdict", "trust", "kind")])
+    got = url_filters.judge(pages).collect()
+    rules = [(r.host + r.path, r.host, r.path, r.verdict) for r in url_filters.RULES]
+    split = []
+    for page, url, html in PAGES:
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        host = host.translate(UPPER)
+        fits = [r for r in rules if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
+        best = max(fits, key=lambda r: len(r[0]), default=(None, None, None, None))
+        split.append((page, host, path, best[0], best[3], html))
+    links = collections.Counter()
+    for _, host, *_, html in split:
+        targets = {m.translate(UPPER) for m in re.findall(url_filters.LINK, html or "")}
+        links.update((host, t) for t in targets if host and t and t != host)
+    scores = {}
+    for kind, verdict in (("trust", "allow"), ("distrust", "block")):
+        seeds = collections.Counter(h for _, h, _, _, v, _ in split if v == verdict and h)
+        start = {h: n / sum(seeds.values()) for h, n in seeds.items()}
+        edges = {(a, b) if kind == "trust" else (b, a): n for (a, b), n in links.items()}
+        out = collections.Counter()
+        for (a, _), n in edges.items():
+            out[a] += n
+        now = dict(start)
+        for _ in range(url_filters.ITERATIONS):
+            new = collections.defaultdict(float)
+            for h, s in start.items():
+                new[h] += (1 - url_filters.DAMPING) * s
+            for (a, b), n in edges.items():
+                new[b] += url_filters.DAMPING * n / out[a] * now.get(a, 0)
+            now = new
+        scores[kind] = now
+    want = collections.Counter()
+    for page, host, path, rule, verdict, _ in split:
+        trust, distrust = (round(scores[k].get(host, 0), 12) for k in ("trust", "distrust"))
+        want[page, host, path, rule, verdict or ("block" if distrust > trust else "allow")] += 1
+    assert collections.Counter((r[0], r[1], r[2], r[3], r[4]) for r in got) == want
+    by_page = {r["page_id"]: r for r in got}
+    assert by_page[13]["verdict"] == "block"  # it links to blocked hosts
+    assert by_page[7]["host"] == "" and by_page[15]["host"] == ""
+
+
+def test_perspectives(spark):
+    turns = [
+        (1, 0, "system", "Be kind."), (1, 1, "ann", "Hi <|x"), (1, 2, "bob", "Hello"), (1, 3, "ann", None),
+        (1, 3, "ann", None), (2, 0, "system", "alone"), (3, None, None, "lost"), (3, 1, "u", "é日"), (None, 5, "u", "n"),
+    ] + [(4, i, "ab"[i % 2], f"t{i}") for i in range(200)]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    frame = frame.select("*", *[F.lit(1).alias(n) for n in ("part", "speaker", "seen", "mask", "turns", "_conv")])
+    got = {(r["conv_id"], r["speaker"], r["part"]): r for r in chat.perspectives(frame).collect()}
+    assert sorted(got, key=str) == sorted(
+        [(1, "ann", 0), (1, "bob", 0), (3, "unknown", None), (3, "u", None), (3, "unknown", 0), (3, "u", 0), (None, "u", 0)]
+        + [(4, s, p) for s in "ab" for p in range(4)], key=str,
+    )
+    r = got[1, "ann", 0]
+    assert r["text"] == (
+        "<|system|>\nBe kind.<|end|>\n<|assistant|>\nHi <\\|x<|end|>\n<|user name=bob|>\nHello<|end|>\n<|assistant|>\n<|end|>\n"
+    )
+    assert [r["text"][m["start"] : m["end"]] for m in r["mask"]] == ["Hi <\\|x<|end|>\n", "<|end|>\n"]
+    for (conv, speaker, part), r in got.items():
+        if conv == 4:
+            own = [f"t{i}<|end|>\n" for i in range(part * 64, min(200, part * 64 + 64)) if "ab"[i % 2] == speaker]
+            assert [r["text"][m["start"] : m["end"]] for m in r["mask"]] == own
+
+
+def test_scores_of_texts(spark):
+    rows = ODD + [(100 + i, " ".join(words(30, i % 17)), "en") for i in range(120)]
+    docs = documents(spark, rows)
+    got = lm_scoring.score(docs).collect()
+    assert len(got) == len(rows)
+    split = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(UPPER)) + [None] for _, t, _ in rows]
+    counts = collections.Counter()
+    for (doc, _, _), tokens in zip(rows, split):
+        if crc(doc, 5) != 1:
+            counts.update(tokens)
+    n, v = sum(counts.values()), len(counts)
+    want = collections.Counter()
+    for (doc, _, _), tokens in zip(rows, split):
+        base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens)
+        want[doc, crc(doc, 5) == 1, len(tokens), sum(counts[w] > 0 for w in tokens), n, round(base, 6)] += 1
+    assert collections.Counter((*r[:5], round(r["base_score"], 6)) for r in got) == want
+    assert all(r["score"] < 0 and math.isfinite(r["score"]) and r["bits_per_byte"] > 0 for r in got)
+    # Words in the order of training texts are likelier than by themselves.
+    known = [r for r in got if r["doc_id"] is not None and r["doc_id"] >= 100]
+    assert sum(r["score"] for r in known) > sum(r["base_score"] for r in known)
+
+
+def test_table_parts_are_summed_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "FAN", 2)
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 50)
+    docs = documents(spark, [(i, " ".join(words(30, i)), "en") for i in range(60)]).repartition(7)
+    many = {r["doc_id"]: r["base_score"] for r in lm_scoring.score(docs).collect()}
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 1 << 21)
+    one = {r["doc_id"]: r["base_score"] for r in lm_scoring.score(docs.coalesce(1)).collect()}
+    assert many == pytest.approx(one)
