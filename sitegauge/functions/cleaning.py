@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sitegauge.functions.nested import whole_number
+
 DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
 CLOCK_TEXT = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d\z"
 ABBREVIATED_TEXT = r"^([+-]?\d+(?:\.\d+)?)\s*[KkMmBbTt]?\z"
@@ -34,10 +36,17 @@ def clock_seconds(text: Column) -> Column:
 
 
 def abbreviated_number(text: Column) -> Column:
-    """``87.0B`` as 87000000000. Decimal arithmetic, so no digit is lost on the way."""
+    """``87.0B`` as 87000000000, up to the largest bigint; decimal arithmetic, so that no digit is
+    lost on the way. A fraction that is left goes; what is larger than a bigint is NULL."""
     trimmed = F.btrim(text)
-    number = F.regexp_extract(trimmed, ABBREVIATED_TEXT, 1).try_cast("decimal(24,9)")
+    digits = F.regexp_extract(trimmed, ABBREVIATED_TEXT, 1)
     letters = [F.lit(part) for pair in MULTIPLIERS.items() for part in pair]
     factor = F.try_element_at(F.create_map(*letters), F.upper(F.right(trimmed, F.lit(1))))
-    scale = F.coalesce(factor, F.lit(1)).cast("decimal(13,0)")
-    return (number * scale).try_cast("bigint")
+    scaled = digits.try_cast("decimal(24,9)") * factor.cast("decimal(13,0)")
+    plain = digits.try_cast("decimal(38,9)")
+    return F.when(factor.isNull(), plain).otherwise(scaled).try_cast("bigint")
+
+
+def counted(text: Column) -> Column:
+    """A count in any spelling, ``18054``, ``2474684.0``, ``1e6`` or ``87.0B``, as bigint."""
+    return F.coalesce(whole_number(text), abbreviated_number(text))

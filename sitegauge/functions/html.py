@@ -30,23 +30,20 @@ def script_bodies(html: Column) -> Column:
     return F.filter(F.regexp_extract_all(html, F.lit(SCRIPT), F.lit(1)), lambda body: body != "")
 
 
-def marked_bodies(html: Column, marker: str) -> Column:
-    """Script bodies with ``marker`` in them; the page is only searched if it has the marker."""
-    found = F.filter(script_bodies(html), lambda body: F.contains(body, F.lit(marker)))
-    return F.when(F.contains(html, F.lit(marker)), found)
-
-
-def captured(html: Column, marker: str, pattern: str) -> Column:
-    """First text of group 1 of ``pattern`` in the marked bodies, NULL if there is none."""
+def first_capture(bodies: Column, marker: str, pattern: str) -> Column:
+    """First text of group 1 of ``pattern`` in the bodies with ``marker``, NULL if there is none."""
+    marked = F.filter(bodies, lambda body: F.contains(body, F.lit(marker)))
     hits = F.flatten(
-        F.transform(
-            marked_bodies(html, marker),
-            lambda body: F.regexp_extract_all(body, F.lit(pattern), F.lit(1)),
-        )
+        F.transform(marked, lambda body: F.regexp_extract_all(body, F.lit(pattern), F.lit(1)))
     )
     return F.get(F.filter(hits, lambda hit: hit != ""), F.lit(0))
 
 
+def captured(html: Column, marker: str, pattern: str) -> Column:
+    """``first_capture`` of a page's scripts; the page is only searched if it has the marker."""
+    return F.when(F.contains(html, F.lit(marker)), first_capture(script_bodies(html), marker, pattern))
+
+
 def assigned_object(html: Column, variable: str = APP_DATA) -> Column:
     """Text of the object assigned to ``variable``: from its brace to the last one on the line.
 

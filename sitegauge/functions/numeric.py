@@ -20,16 +20,21 @@ def round_half_away(value: Column, digits: int = 2) -> Column:
     return F.when(value < 0, -kept).otherwise(kept)
 
 
+def difference(one: Column, other: Column) -> Column:
+    """``one - other`` as a double; whole numbers exactly, unless that goes beyond 64 bits."""
+    return F.coalesce(F.try_subtract(one, other).cast("double"), one.cast("double") - other.cast("double"))
+
+
 def percent_step(current: Column, previous: Column) -> Column:
     """Change from the previous value in percent; NULL where that is NULL or 0."""
     base = F.nullif(previous, F.lit(0).cast("bigint"))
-    return round_half_away((current - previous) / base * F.lit(100.0))
+    return round_half_away(difference(current, previous) / base * F.lit(100.0))
 
 
 def percent_span(first: Column, last: Column) -> Column:
     """Change from first to last in percent; NULL where the first is NULL or 0."""
     base = F.nullif(first, F.lit(0).cast("bigint"))
-    return round_half_away((last - first) * F.lit(100.0) / base)
+    return round_half_away(difference(last, first) * F.lit(100.0) / base)
 
 
 def share_percent(share: Column) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from sitegauge.functions.cleaning import clock_seconds, percent_text
+from sitegauge.functions.cleaning import clock_seconds, counted, percent_text
 from sitegauge.functions.nested import json_text, last_of_keys, whole_numbers
 
 
@@ -33,13 +33,14 @@ def struct(**fields: DataType) -> StructType:
 TEXT, WHOLE, NUMBER, SMALL = StringType(), LongType(), DoubleType(), IntegerType()
 
 # The document's root, and the fields below it with their types. Month values are
-# read as text, so that one odd value does not lose the whole history.
+# read as text, so that one odd value does not lose the whole history, and so are the two counts,
+# which come in several spellings.
 ROOT = ("layout", "data")
 DATA = struct(
     domain=TEXT,
     overview=struct(
-        globalRank=WHOLE,
-        visitsTotalCount=WHOLE,
+        globalRank=TEXT,
+        visitsTotalCount=TEXT,
         bounceRateFormatted=TEXT,
         pagesPerVisit=NUMBER,
         visitsAvgDurationFormatted=TEXT,
@@ -49,7 +50,11 @@ DATA = struct(
     ),
     traffic=struct(visitsHistory=MapType(TEXT, TEXT), visitsTotalCountChange=NUMBER),
     geography=struct(
-        topCountriesTraffics=ArrayType(struct(countryAlpha2Code=TEXT, visitsShare=NUMBER))
+        topCountriesTraffics=ArrayType(
+            struct(
+                countryAlpha2Code=TEXT, countryUrlCode=TEXT, visitsShare=NUMBER, visitsShareChange=NUMBER
+            )
+        )
     ),
     demographics=struct(
         ageDistribution=ArrayType(struct(minAge=SMALL, maxAge=SMALL, value=NUMBER))
@@ -104,7 +109,7 @@ def path_type(path: Sequence[str]) -> DataType | None:
 def spec_types(
     specs: Iterable[PathSpec], types: Mapping[str, DataType] | None = None
 ) -> dict[str, DataType]:
-    """Type of each projected column: the one in ``types``, else the declared one, else text.
+    """Type of each projected column as read: the one in ``types``, else the declared one, else text.
 
     As text a nested value is its JSON, so any path of a configuration can be projected.
     """
@@ -117,45 +122,106 @@ def document_type(
     types: Mapping[str, DataType] | None = None,
 ) -> StructType:
     """The part of a document that ``specs`` need; the reader skips the rest of its text."""
+    specs = unequal(specs)
     kinds = spec_types(specs, types)
     return nested_type({(*root, *spec.path): kinds[spec.alias] for spec in specs})
 
 
 def nested_type(leaves: Mapping[tuple[str, ...], DataType]) -> StructType:
-    """Struct type with ``leaves`` at their paths. A path below another one is part of it."""
+    """Struct type with ``leaves`` at their paths.
+
+    A path below another one is part of it; where that one has no type of its own, it gets one
+    from the paths below.
+    """
     fields: dict[str, dict[tuple[str, ...], DataType]] = {}
     for (first, *rest), kind in leaves.items():
         fields.setdefault(first, {})[tuple(rest)] = kind
-    return struct(**{name: below.get(()) or nested_type(below) for name, below in fields.items()})
+
+    def kind_of(below: dict[tuple[str, ...], DataType]) -> DataType:
+        own = below.pop((), None)
+        if not below:
+            return own
+        if own is not None and own != TEXT:
+            return own
+        return nested_type(below)
+
+    return struct(**{name: kind_of(dict(below)) for name, below in fields.items()})
 
 
 def parse_spec(text: str) -> tuple[PathSpec, ...]:
-    """A JSON list of ``{"alias": ..., "path": [...]}``; any other key is an error."""
-    specs = []
-    for entry in json.loads(text):
+    """A JSON list of ``{"alias": ..., "path": [...]}``.
+
+    Any other key, two entries with one alias, or something else than a list is an error.
+    """
+    listed = json.loads(text) if text.strip() else None
+    if not isinstance(listed, list):
+        raise ValueError("the projection list must be a JSON list")
+    specs: list[PathSpec] = []
+    for entry in listed:
+        if not isinstance(entry, dict):
+            raise ValueError(f"not an entry of a projection list: {entry!r}")
         unknown = set(entry) - {"alias", "path"}
         if unknown:
             raise ValueError(f"unknown keys in the projection list: {sorted(unknown)}")
         specs.append(PathSpec(entry.get("alias"), tuple(entry.get("path") or ())))
-    return tuple(specs)
+    return unequal(specs)
+
+
+def unequal(specs: Iterable[PathSpec]) -> tuple[PathSpec, ...]:
+    """The same specs, if their aliases differ; letters alone make no difference to Spark."""
+    seen: set[str] = set()
+    specs = tuple(specs)
+    for spec in specs:
+        if spec.alias.lower() in seen:
+            raise ValueError(f"two columns of the projection list are called {spec.alias!r}")
+        seen.add(spec.alias.lower())
+    return specs
 
 
 def load_spec(spark: SparkSession, path: str) -> tuple[PathSpec, ...]:
     """``parse_spec`` of one small file on any file system Spark reads."""
-    return parse_spec(spark.read.text(path, wholetext=True).head()[0])
+    found = spark.read.text(path, wholetext=True).head()
+    return parse_spec(found[0] if found else "")
 
 
 def project(df: DataFrame, specs: Iterable[PathSpec], root: Sequence[str] = ROOT,
             keep: Sequence[str] = ()) -> DataFrame:
-    """One column per spec, after the ``keep`` columns."""
+    """One column per spec, after the ``keep`` columns.
+
+    A path that is typed only by other paths below it comes as the JSON text of what they hold.
+    """
+    specs = unequal(specs)
     top = reduce(Column.getField, root[1:], F.col(root[0]))
-    return df.select(*keep, *(spec.column(top) for spec in specs))
+    kind = df.schema[root[0]].dataType
+    for key in root[1:]:
+        kind = kind[key].dataType
+    paths = {spec.path for spec in specs}
+
+    def column(spec: PathSpec) -> Column:
+        below = any(p != spec.path and p[: len(spec.path)] == spec.path for p in paths)
+        declared = isinstance(path_type(spec.path), StructType)
+        if below and not declared and isinstance(leaf(kind, spec.path), StructType):
+            return json_text(reduce(Column.getField, spec.path, top)).alias(spec.alias)
+        return spec.column(top)
+
+    return df.select(*keep, *(column(spec) for spec in specs))
+
+
+def leaf(kind: DataType, path: Sequence[str]) -> DataType | None:
+    """Type at ``path`` within a struct type."""
+    for key in path:
+        if not isinstance(kind, StructType) or key not in kind.names:
+            return None
+        kind = kind[key].dataType
+    return kind
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """Numbers of the two formatted columns, month values as bigint, and one entry per key of the
-    histories; a column that was not projected is passed over."""
+    """Numbers of the two formatted columns, counts and month values as bigint, and one entry per
+    key of the histories; a column that was not projected is passed over."""
     cleaned = {
+        "global_rank": ("global_rank", lambda c: counted(c.cast("string"))),
+        "total_visits": ("total_visits", lambda c: counted(c.cast("string"))),
         "bounce_rate_raw": ("bounce_rate_percent", percent_text),
         "avg_visit_duration_raw": ("avg_visit_duration_seconds", clock_seconds),
         "visits_history_raw": ("visits_history_raw", lambda m: whole_numbers(last_of_keys(m))),
@@ -187,6 +253,7 @@ def flat_schema(specs: Iterable[PathSpec] = SITE_SPEC) -> StructType:
         name: TEXT if isinstance(kind, (ArrayType, MapType, StructType)) else kind
         for name, kind in spec_types(specs).items()
     }
+    columns |= {name: WHOLE for name in ("global_rank", "total_visits") if name in columns}
     return struct(**columns, bounce_rate_percent=NUMBER, avg_visit_duration_seconds=WHOLE)
 
 

@@ -38,19 +38,20 @@ def missing_report(
     df: DataFrame, by: str, kinds: Mapping[str, str], expected: Mapping[str, Column] | None = None
 ) -> DataFrame:
     """Rows per ``by``, column and class. One pass with a counter for each column and class."""
-    classes = {c: missing_class(F.col(c), k, (expected or {}).get(c)) for c, k in kinds.items()}
-    counters = {
-        f"{column}:{name}": F.count_if(found == name)
-        for column, found in classes.items()
-        for name in (PRESENT, TRULY, EXPECTED, IMPLICIT)
-    }
-    counted = df.groupBy(by).agg(*(count.alias(name) for name, count in counters.items()))
-    key = F.split("_counter", ":")
-    return (
-        counted.unpivot(by, [f"`{name}`" for name in counters], "_counter", "n_rows")
-        .where("n_rows > 0")
-        .select(by, key[0].alias("field"), key[1].alias("class"), "n_rows")
+    classes = {c: missing_class(F.col(f"`{c}`"), k, (expected or {}).get(c)) for c, k in kinds.items()}
+    counted = df.groupBy(by).agg(
+        *(
+            F.struct(
+                F.lit(column).alias("field"), F.lit(name).alias("class"),
+                F.count_if(found == name).alias("n_rows"),
+            ).alias(f"_{at}_{name}")
+            for at, (column, found) in enumerate(classes.items())
+            for name in (PRESENT, TRULY, EXPECTED, IMPLICIT)
+        )
     )
+    counters = [F.col(c) for c in counted.columns[1:]]
+    rows = counted.select(by, F.explode(F.array(*counters)).alias("_counter"))
+    return rows.select(by, "_counter.*").where("n_rows > 0")
 
 
 def volume_check(

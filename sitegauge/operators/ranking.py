@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType
 
 from sitegauge.functions.numeric import percent_span
-from sitegauge.sources.tables import hashable
 from sitegauge.sources.workdir import stored
 
-ONE_TASK_ROWS = 500_000
-ROWS_PER_RANGE = 1_000_000
-MOST_RANGES = 512
-HOT_SHARE = 1_000
-SALTS = 64
+#: Rows that one task sorts, or joins for one value.
+ROWS_PER_TASK = 1_000_000
+# A row's place in its file of the stored table.
+AT = "_at"
 
 
 def first_last(
@@ -46,7 +42,7 @@ def rank_delta(series: DataFrame, entity: str = "domain", period: str = "month",
                value: str = "rank") -> DataFrame:
     """Rank improvement over the whole period; above zero is better."""
     ends = first_last(series, value, f"first_{period}_{value}", f"last_{period}_{value}", entity, period)
-    delta = F.col(f"first_{period}_{value}") - F.col(f"last_{period}_{value}")
+    delta = F.try_subtract(F.col(f"first_{period}_{value}"), F.col(f"last_{period}_{value}"))
     return ends.withColumn("rank_change", delta)
 
 
@@ -63,69 +59,45 @@ def metrics_join(visits: DataFrame, ranks: DataFrame, entity: str = "domain") ->
 
 def add_ranks(
     df: DataFrame, ranks: Mapping[str, str], partition_by: Sequence[str] = (),
-    one_task_rows: int = ONE_TASK_ROWS, rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``rank()`` of columns, descending with NULL last: ``{output: column}``.
 
-    ``df`` is stored first, since it is read several times. Up to ``one_task_rows`` rows the
-    plain window ranks them; above, ``value_ranks`` does, and no task sees all rows. Both give
-    the same numbers.
+    Any type that Spark orders can be ranked. ``df`` is stored first, since it is read several
+    times. The same steps at every size: distinct values with their counts, in ranges sorted
+    apart from each other (``value_ranks``), joined back to the rows (``join_by_value``).
     """
     base = stored(df, "ranked")
-    total = base.count()
-    if total <= one_task_rows:
-        for out, value in ranks.items():
-            window = Window.partitionBy(*partition_by).orderBy(F.col(value).desc_nulls_last())
-            base = base.withColumn(out, F.rank().over(window).cast("bigint"))
-        return base
-    ranges = min(MOST_RANGES, max(2, total // rows_per_range))
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = base.select(
-        *(F.percentile_approx(v, shares, 20 * ranges).alias(o) for o, v in ranks.items())
-    ).head()
-    ranked = base
+    ranked = base.withColumn(AT, F.col("_metadata.row_index"))
     for out, value in ranks.items():
         counts = base.groupBy(*partition_by, value).agg(F.count("*").alias("_n"))
-        table = value_ranks(counts, value, out, sorted(set(cuts[out] or [])), partition_by)
-        ranked = join_by_value(ranked, counts, table, out, max(1, total // HOT_SHARE))
-    return ranked
-
-
-def edges_above(value: Column, edges: Sequence, kind: DataType) -> Column:
-    """Number of ``edges`` above ``value``, found in two steps: the block, then the place in it."""
-    down = sorted(edges, reverse=True)
-    size = max(1, math.isqrt(len(down)))
-    blocks = [down[i : i + size] for i in range(0, len(down), size)]
-
-    def above(listed: Column) -> Column:
-        return F.coalesce(F.size(F.filter(listed, lambda edge: edge > value)), F.lit(0))
-
-    def constants(items: Sequence) -> Column:
-        return F.array(*(F.lit(item).cast(kind) for item in items)).cast(ArrayType(kind))
-
-    passed = above(constants([block[-1] for block in blocks]))
-    inside = F.get(F.array(*map(constants, blocks)), passed) if blocks else constants([])
-    # Past the last block, which may be short, the block count would go beyond the edges.
-    return F.least(passed * size + above(inside), F.lit(len(down)))
+        table = value_ranks(counts, value, out, partition_by, rows_per_task)
+        ranked = join_by_value(ranked, table, out, rows_per_task)
+    return ranked.drop(AT)
 
 
 def value_ranks(
-    counts: DataFrame, value: str, out: str, edges: Sequence, partition_by: Sequence[str] = ()
+    counts: DataFrame, value: str, out: str, partition_by: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``rank()`` of distinct values with their count ``_n``, descending with NULL last.
 
     Equal values share a rank, so a value held by a third of the rows is one row here. The
-    values are cut into ranges that are sorted apart from each other; rank = rows in higher
-    ranges + rows above within the range + 1. ``edges`` only steer the balance: any list gives
-    the right ranks, and being constants they give a lost task the same ranges again.
+    values are dealt to ranges of about ``rows_per_task`` values in the order of the ranks;
+    rank = rows in earlier ranges + rows above within the range + 1. The dealt table is stored
+    with the number of its range, so a task that runs again finds the same ranges. What is
+    summed over all ranges has one row per range, and one more per key of ``partition_by``.
     """
     keys = [*partition_by, value]
-    higher = edges_above(F.col(value), edges, counts.schema[value].dataType)
-    # NULL comes after all values, but would compare as lower than none of the edges.
-    place = F.when(F.col(value).isNull(), len(edges) + 1).otherwise(higher)
-    placed = counts.withColumn("_range", place)
-
-    # One row per range and partition_by key; without such keys at most MOST_RANGES + 1 rows.
+    counts = stored(counts, "counts")
+    ranges = -(-max(1, counts.count()) // rows_per_task)
+    down = F.col(value).desc_nulls_last()
+    placed = stored(
+        counts.repartitionByRange(ranges, *partition_by, down).withColumn(
+            "_range", F.spark_partition_id()
+        ),
+        "ranges",
+    )
     before = (
         Window.partitionBy(*partition_by)
         .orderBy("_range")
@@ -142,55 +114,51 @@ def value_ranks(
     same += [F.col(key).eqNullSafe(F.col(of[key])) for key in partition_by]
     inside = (
         Window.partitionBy(*of)
-        .orderBy(F.col(value).desc_nulls_last())
+        .orderBy(down)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
         placed.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .join(above if partition_by else F.broadcast(above), same)
+        .join(above, same)
         .select(*keys, "_n", (F.col("_above") + F.col("_inside") + 1).cast("bigint").alias(out))
     )
 
 
 def join_by_value(
-    df: DataFrame, counts: DataFrame, table: DataFrame, out: str, hot_rows: int
+    df: DataFrame, table: DataFrame, out: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Rows of ``df`` with ``out`` of their keys in ``table``, NULL keys included.
 
-    ``counts`` has the rows ``_n`` of each key in ``df``. A key with more than ``hot_rows`` is
-    hot: its rows go to SALTS tasks and its entry of ``table`` to each of them. There are fewer
-    than rows / hot_rows hot keys, so their table may be broadcast.
+    ``table`` has the rows ``_n`` of each key in ``df``. A key with more than ``rows_per_task``
+    is dealt to ``_n / rows_per_task`` tasks by the row's place ``AT`` in its file, which tells
+    equal rows apart and stays the same when a task runs again; its entry of ``table`` goes to
+    each of them. Fewer than rows / ``rows_per_task`` keys are that large, and their names and
+    numbers of tasks are what is broadcast.
     """
-    keys = [c for c in counts.columns if c != "_n"]
+    keys = [c for c in table.columns if c not in ("_n", out)]
     names = {key: f"_key_{key}" for key in keys}
     same = [F.col(key).eqNullSafe(F.col(name)) for key, name in names.items()]
-    hot = (
-        counts.where(F.col("_n") > hot_rows)
-        .withColumnsRenamed(names)
-        .select(*names.values(), F.lit(True).alias("_hot"))
-    )
-    hashed = [f.name for f in df.schema if hashable(f.dataType)]
-    salt = F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int")
+    tasks = F.ceil(F.col("_n") / rows_per_task).cast("int")
+    table = stored(table, "value_ranks").withColumnsRenamed(names)
+    hot = table.where(F.col("_n") > rows_per_task).select(*names.values(), tasks.alias("_tasks"))
     salted = df.join(F.broadcast(hot), same, "left").select(
-        *df.columns, F.when(F.col("_hot"), salt).otherwise(0).alias("_salt")
-    )
-    last_copy = F.when(F.col("_n") > hot_rows, SALTS - 1).otherwise(0)
-    copies = table.withColumnsRenamed(names).select(
-        *names.values(), out, F.explode(F.sequence(F.lit(0), last_copy)).alias("_copy")
+        *df.columns,
+        F.coalesce(F.pmod(F.col(AT), F.col("_tasks")).cast("int"), F.lit(0)).alias("_salt"),
     )
+    copies = table.select(*names.values(), out, F.explode(F.sequence(F.lit(0), tasks - 1)).alias("_copy"))
     return salted.join(copies, [*same, F.col("_salt") == F.col("_copy")]).select(*df.columns, out)
 
 
 def relative_ranking(visits: DataFrame, ranks: DataFrame, entity: str = "domain",
-                     **limits: int) -> DataFrame:
+                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Entities ranked by growth and by rank improvement; the two ranks add up to the score.
 
-    A NULL growth ranks last and counts in the score. ``limits`` go to ``add_ranks``.
+    A NULL growth ranks last and counts in the score.
     """
     ranked = add_ranks(
         metrics_join(visits, ranks, entity),
         {"visits_rank": "visit_growth", "rank_improvement_rank": "rank_change"},
-        **limits,
+        rows_per_task=rows_per_task,
     )
     score: Column = F.col("visits_rank") + F.col("rank_improvement_rank")
     return ranked.withColumn("combined_rank", score)

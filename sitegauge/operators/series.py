@@ -2,54 +2,62 @@
 
 A series has one row per entity and period. With a calendar period an entity then has at most
 as many rows as the calendar has periods, however much data lies below the series, and one
-window per entity stays small. For finer periods ``slice_by`` cuts an entity's rows into
-windows of their own.
+window per entity stays small. For finer periods ``rows_per_task`` cuts the rows, in order, into
+ranges of about that size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitegauge.functions.numeric import percent_step
+from sitegauge.sources.workdir import stored
 
 
 def previous_value(
-    df: DataFrame, entity: str, period: str, value: str, out: str, slice_by: Column | None = None
+    df: DataFrame, entity: str, period: str, value: str, out: str, rows_per_task: int | None = None
 ) -> DataFrame:
     """Value of the entity's row before this one, by position and not by calendar.
 
-    ``slice_by`` is any expression of ``period`` that never decreases with it, such as its day.
-    Windows then run per entity and slice, so a long entity is spread over as many tasks as it
-    has slices. The last value of the entity's slice before goes into each window as a first
-    row of its own, which is taken out again afterwards; it comes from an aggregate with one
-    row per entity and slice.
+    With ``rows_per_task`` the rows are dealt to ranges in the order of entity and period and
+    stored with the number of their range, so an entity of any length is spread over as many
+    tasks as its rows need. Windows run within a range; the first row of an entity in a range
+    takes the last value of the entity's range before, out of a table with one row per entity
+    and range.
     """
-    if slice_by is None:
+    if rows_per_task is None:
         return df.withColumn(out, F.lag(value).over(Window.partitionBy(entity).orderBy(period)))
-    rows = df.withColumns({"_slice": slice_by, "_row": F.lit(1)})
-    across = Window.partitionBy(entity).orderBy("_slice")
+    base = stored(df, "series")
+    ranges = -(-max(1, base.count()) // rows_per_task)
+    placed = stored(
+        base.repartitionByRange(ranges, entity, period).withColumn("_range", F.spark_partition_id()),
+        "ranges",
+    )
+    across = Window.partitionBy("_of").orderBy("_in")
+    # A struct, so that a last value of NULL is told from no row before.
     carried = (
-        rows.groupBy(entity, "_slice")
-        .agg(F.max_by(value, period).alias("_last"))
-        .select(entity, "_slice", F.lit(0).alias("_row"), F.lag("_last").over(across).alias(value))
+        placed.groupBy(F.col(entity).alias("_of"), F.col("_range").alias("_in"))
+        .agg(F.max_by(F.struct(F.col(value).alias("v")), period).alias("_last"))
+        .select("_of", "_in", F.lag("_last").over(across).alias("_carried"))
     )
-    in_slice = Window.partitionBy(entity, "_slice").orderBy("_row", period)
+    inside = Window.partitionBy("_range", entity).orderBy(period)
+    before = F.lag(F.struct(F.col(value).alias("v"))).over(inside)
+    same = F.col(entity).eqNullSafe(F.col("_of")) & (F.col("_range") == F.col("_in"))
     return (
-        rows.unionByName(carried, allowMissingColumns=True)
-        .withColumn(out, F.lag(value).over(in_slice))
-        .where("_row = 1")
-        .select(*df.columns, out)
+        placed.withColumn("_before", before)
+        .join(carried, same)
+        .select(*df.columns, F.coalesce("_before", "_carried")["v"].alias(out))
     )
 
 
 def visit_changes(
     series: DataFrame, entity: str = "domain", period: str = "month", value: str = "visits",
-    slice_by: Column | None = None,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Each period's visits with those of the period before and the growth in percent."""
     prev = f"prev_{period}_{value}"
-    return previous_value(series, entity, period, value, prev, slice_by).select(
+    return previous_value(series, entity, period, value, prev, rows_per_task).select(
         entity, period, value, prev,
         percent_step(F.col(value), F.col(prev)).alias("mom_growth_percent"),
     )
@@ -57,7 +65,7 @@ def visit_changes(
 
 def rank_changes(
     series: DataFrame, entity: str = "domain", period: str = "month", value: str = "rank",
-    slice_by: Column | None = None,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Each period's rank with the one before.
 
@@ -65,8 +73,8 @@ def rank_changes(
     entity got better, ``rank_change_percent`` when the number got larger.
     """
     prev = f"prev_{period}_{value}"
-    return previous_value(series, entity, period, value, prev, slice_by).select(
+    return previous_value(series, entity, period, value, prev, rows_per_task).select(
         entity, period, value, prev,
-        (F.col(prev) - F.col(value)).alias("rank_change"),
+        F.try_subtract(F.col(prev), F.col(value)).alias("rank_change"),
         percent_step(F.col(value), F.col(prev)).alias("rank_change_percent"),
     )

@@ -22,26 +22,37 @@ def latest_snapshot(df: DataFrame, entity: str, version: Sequence[str]) -> DataF
     return df.groupBy(entity, alone).agg(newest).select(entity, "_row.*").select(*df.columns)
 
 
-def merge_sources(sources: Mapping[str, DataFrame], key: str) -> DataFrame:
+def merge_sources(
+    sources: Mapping[str, DataFrame], key: str, versions: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
     """Rows of all sources put together by ``key``, a gap in one filled from the next.
 
     Sources are given in order of trust. A source may lack a column. The result names the
-    sources of a key in ``sources``. One union and one aggregate, whatever the number of
-    sources, in place of a chain of outer joins; if a source holds several values for a key the
-    smallest one is taken. Rows without a key are put together like those of any other key.
+    sources of a key in ``sources``. Each source first gives one whole row per key: the one with
+    the largest ``versions[source]``; without a version, the largest by a hash of the row, so
+    that any run takes the same one. One union and one aggregate then put them together,
+    whatever the number of sources; columns may be of any type. Rows without a key belong to no
+    other row: each stays as it is.
     """
-    tagged = None
+    tagged = alone = None
     for priority, (name, source) in enumerate(sources.items()):
-        one = source.withColumns({"_priority": F.lit(priority), "_source": F.lit(name)})
+        known = source.where(F.col(key).isNotNull())
+        version = list((versions or {}).get(name, ()))
+        if version:
+            one = latest_snapshot(known, key, version)
+        else:
+            whole = F.xxhash64(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+            one = latest_snapshot(known.withColumn("_whole", whole), key, ["_whole"]).drop("_whole")
+        one = one.withColumns({"_priority": F.lit(priority), "_source": F.lit(name)})
         tagged = one if tagged is None else tagged.unionByName(one, allowMissingColumns=True)
+        lost = source.where(F.col(key).isNull()).withColumn("sources", F.lit(name))
+        alone = lost if alone is None else alone.unionByName(lost, allowMissingColumns=True)
     columns = [c for c in tagged.columns if c not in (key, "_priority", "_source")]
     present = F.concat_ws(
         "+", *(F.max(F.when(F.col("_source") == name, name)) for name in sources)
     )
-    return tagged.groupBy(key).agg(
-        *(
-            F.min_by(c, F.when(F.col(c).isNotNull(), F.struct("_priority", c))).alias(c)
-            for c in columns
-        ),
+    merged = tagged.groupBy(key).agg(
+        *(F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_priority"))).alias(c) for c in columns),
         present.alias("sources"),
     )
+    return merged.unionByName(alone)

@@ -14,7 +14,7 @@ vs AS (
 ),
 rs AS (
   SELECT c_custkey, domain, month, visits,
-         rank() OVER (PARTITION BY c_custkey // 500, month ORDER BY visits DESC NULLS LAST) AS rank
+         rank() OVER (PARTITION BY month ORDER BY visits DESC NULLS LAST) AS rank
   FROM vs
 )"""
 
@@ -22,8 +22,8 @@ DOCS = (
     MONTHS
     + """,
 latest AS (
-  SELECT c_custkey, count(*) AS n_months,
-         max(month) AS month
+  SELECT c_custkey, count(*) AS n_months, max(month) AS month,
+         CAST(coalesce(sum(visits), 0) AS BIGINT) AS sum_visits
   FROM rs GROUP BY c_custkey
 ),
 prices AS (
@@ -46,7 +46,7 @@ doc AS (
          TRY_CAST(trim(bounce_rate_raw, '%') AS DOUBLE) AS bounce_rate_percent,
          CASE WHEN c.c_custkey % 11 = 0 OR c.c_custkey % 13 = 0 THEN NULL ELSE t END
            AS avg_visit_duration_seconds,
-         latest.n_months, coalesce(prices.n_countries, 0) AS n_countries,
+         latest.n_months, latest.sum_visits, coalesce(prices.n_countries, 0) AS n_countries,
          CAST(count(*) OVER (PARTITION BY c.c_custkey // 5) AS BIGINT) AS n_rivals
   FROM customer c
   LEFT JOIN latest ON latest.c_custkey = c.c_custkey
@@ -88,18 +88,21 @@ rs AS (
   SELECT domain, month, rank() OVER (PARTITION BY month ORDER BY visits DESC) AS rank FROM vs
 )"""
 
+# A row's predecessor is the row at the largest earlier month of its domain, found by a join.
 VISIT_CHANGES = """
-SELECT domain, CAST(month AS VARCHAR) AS month, visits, before AS prev_month_visits,
-       round((visits - before) / nullif(before, 0) * 100, 2) AS mom_growth_percent
-FROM (SELECT *, lag(visits) OVER own AS before FROM vs
-      WINDOW own AS (PARTITION BY domain ORDER BY month))"""
+SELECT now.domain, CAST(now.month AS VARCHAR) AS month, now.visits, past.visits AS prev_month_visits,
+       round((now.visits - past.visits) / nullif(past.visits, 0) * 100, 2) AS mom_growth_percent
+FROM (SELECT a.domain, a.month, a.visits, max(b.month) AS earlier
+      FROM vs a LEFT JOIN vs b ON b.domain = a.domain AND b.month < a.month GROUP BY ALL) now
+LEFT JOIN vs past ON past.domain = now.domain AND past.month = now.earlier"""
 
 RANK_CHANGES = """
-SELECT domain, CAST(month AS VARCHAR) AS month, rank, before AS prev_month_rank,
-       before - rank AS rank_change,
-       round((rank - before) / nullif(before, 0) * 100, 2) AS rank_change_percent
-FROM (SELECT *, lag(rank) OVER own AS before FROM rs
-      WINDOW own AS (PARTITION BY domain ORDER BY month))"""
+SELECT now.domain, CAST(now.month AS VARCHAR) AS month, now.rank, past.rank AS prev_month_rank,
+       past.rank - now.rank AS rank_change,
+       round((now.rank - past.rank) / nullif(past.rank, 0) * 100, 2) AS rank_change_percent
+FROM (SELECT a.domain, a.month, a.rank, max(b.month) AS earlier
+      FROM rs a LEFT JOIN rs b ON b.domain = a.domain AND b.month < a.month GROUP BY ALL) now
+LEFT JOIN rs past ON past.domain = now.domain AND past.month = now.earlier"""
 
 METRICS = """
 span AS (SELECT domain, min(month) AS a, max(month) AS z FROM vs GROUP BY domain),
@@ -110,12 +113,13 @@ vg AS (
   JOIN vs va ON va.domain = span.domain AND va.month = a
   JOIN vs vz ON vz.domain = span.domain AND vz.month = z
 ),
+ranked AS (SELECT domain, min(month) AS a, max(month) AS z FROM rs GROUP BY domain),
 rc AS (
-  SELECT span.domain, ra.rank AS first_month_rank, rz.rank AS last_month_rank,
+  SELECT ranked.domain, ra.rank AS first_month_rank, rz.rank AS last_month_rank,
          ra.rank - rz.rank AS rank_change
-  FROM span
-  JOIN rs ra ON ra.domain = span.domain AND ra.month = a
-  JOIN rs rz ON rz.domain = span.domain AND rz.month = z
+  FROM ranked
+  JOIN rs ra ON ra.domain = ranked.domain AND ra.month = a
+  JOIN rs rz ON rz.domain = ranked.domain AND rz.month = z
 ),
 metrics AS (SELECT domain, visit_growth, rank_change FROM vg JOIN rc USING (domain)),
 placed AS (
@@ -154,6 +158,23 @@ WITH {DOCS}
 SELECT domain, global_rank, total_visits, bounce_rate_raw, pages_per_visit,
        avg_visit_duration_raw, last_month_change
 FROM doc""",
+    "projection_file": f"""
+WITH {DOCS}
+SELECT domain AS site, bounce_rate_raw AS bounce, pages_per_visit AS pages, last_month_change AS change,
+       CAST(NULL AS VARCHAR) AS nothing, CAST(6 AS BIGINT) AS people
+FROM doc""",
+    "count_spellings": """
+SELECT CAST(o_orderkey AS VARCHAR) AS domain, n AS global_rank, n AS total_visits
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN (o_orderkey % 1000) * 1000000000 + 500000000
+                              ELSE CAST(floor(o_totalprice) AS BIGINT) END AS n
+      FROM orders)""",
+    "country_fields": """
+SELECT c_name AS domain, o_orderpriority AS country, lower(o_orderpriority) AS url_code, n / n_all AS share,
+       (CAST(left(o_orderpriority, 1) AS INTEGER) - 1) / 8 AS share_change
+FROM (SELECT o_custkey, o_orderpriority, count(*) AS n,
+             sum(count(*)) OVER (PARTITION BY o_custkey) AS n_all
+      FROM orders GROUP BY 1, 2)
+JOIN customer ON o_custkey = c_custkey""",
     "json_scalar": """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
        array_to_string(json_keys(props), ',') AS keys
@@ -224,6 +245,14 @@ WITH {MONTHS}
 SELECT domain, CAST(month AS VARCHAR) AS month, visits,
        rank() OVER (PARTITION BY month ORDER BY visits DESC NULLS LAST) AS visits_rank
 FROM vs""",
+    "rank_text": """
+SELECT o_orderkey, o_orderpriority, o_totalprice > 100000 AS large,
+       rank() OVER (ORDER BY o_orderpriority DESC NULLS LAST) AS priority_rank,
+       rank() OVER (ORDER BY o_totalprice > 100000 DESC NULLS LAST) AS large_rank
+FROM orders""",
+    "rank_one_column": """
+SELECT flag, rank() OVER (ORDER BY flag DESC NULLS LAST) AS flag_rank
+FROM (SELECT nullif(l_returnflag, 'R') AS flag FROM lineitem)""",
     "relative_ranking": f"WITH {MONTHS}, {METRICS} SELECT * FROM ranking ORDER BY combined_rank",
     "nation_relative_ranking": f"""
 WITH {NATION}, {METRICS} SELECT * FROM ranking ORDER BY combined_rank""",
@@ -256,8 +285,9 @@ WITH {MONTHS}, {METRICS}
 SELECT domain, visit_growth, rank_change, combined_rank FROM ranking ORDER BY combined_rank""",
     "csv_roundtrip": f"""
 WITH {DOCS}
-SELECT domain, global_rank, bounce_rate_raw, bounce_rate_percent, pages_per_visit,
-       avg_visit_duration_raw, avg_visit_duration_seconds, n_months
+SELECT domain, global_rank, total_visits, bounce_rate_raw, bounce_rate_percent, pages_per_visit,
+       avg_visit_duration_raw, avg_visit_duration_seconds, last_month_change, n_months, n_rivals,
+       n_countries, CAST(6 AS BIGINT) AS n_brackets, sum_visits
 FROM doc""",
     "table_roundtrip": f"""
 WITH {MONTHS} SELECT domain, CAST(month AS VARCHAR) AS month, visits FROM vs""",
@@ -276,6 +306,12 @@ UNION ALL SELECT 'rank_series', count(*) FROM entries
 UNION ALL SELECT 'monthly_visit_changes', count(*) FROM entries
 UNION ALL SELECT 'monthly_rank_changes', count(*) FROM entries
 UNION ALL SELECT 'relative_ranking', count(DISTINCT domain) FROM entries""",
+    "report_contents": f"""
+WITH {MONTHS},
+good AS (
+  SELECT c_name FROM (SELECT c_name, {OUTCOME} AS outcome FROM pages LEFT JOIN customer ON page_id = c_custkey)
+  WHERE outcome = 'good')
+SELECT * FROM ({VISIT_CHANGES}) WHERE domain IN (SELECT c_name FROM good)""",
     "completeness_report": f"""
 WITH {LABELLED}
 SELECT source, count(*) AS n_rows, count(lang) / count(*) AS lang_complete,
@@ -317,10 +353,12 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_
       FROM events)
 WHERE nth = 1""",
     "merge_sources": """
-SELECT coalesce(d.doc_id, l.doc_id) AS doc_id,
-       CASE WHEN d.lang <> 'fr' THEN d.lang WHEN l.doc_id IS NOT NULL THEN 'labelled' END AS lang,
-       n_chars, quality, toxic,
+WITH docs AS (
+  SELECT CASE WHEN doc_id % 50 <> 7 THEN doc_id END AS k, doc_id, nullif(lang, 'fr') AS lang, n_chars
+  FROM documents)
+SELECT coalesce(k, l.doc_id) AS doc_id, coalesce(d.lang, CASE WHEN l.doc_id IS NOT NULL THEN 'labelled' END) AS lang,
+       n_chars, d.doc_id AS tags, quality, toxic,
        concat_ws('+', CASE WHEN d.doc_id IS NOT NULL THEN 'documents' END,
                  CASE WHEN l.doc_id IS NOT NULL THEN 'labels' END) AS sources
-FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id""",
+FROM docs d FULL JOIN labels l ON d.k = l.doc_id""",
 }

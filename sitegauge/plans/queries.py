@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegauge.functions.cleaning import abbreviated_number, clock_seconds, percent_text
-from sitegauge.functions.html import captured, script_bodies
+from sitegauge.functions.html import first_capture, script_bodies
 from sitegauge.functions.nested import json_objects, list_rows, map_rows, utc_date, whole_number
 from sitegauge.operators import quality, ranking, series, snapshot
 from sitegauge.operators.extract import documents, parse_pages
@@ -20,6 +21,7 @@ from sitegauge.operators.project import (
     document_type,
     flat_schema,
     flatten_nested,
+    load_spec,
     project,
     restore_nested,
     typed_sites,
@@ -51,11 +53,12 @@ def month_text(df: DataFrame, name: str = "month") -> DataFrame:
 
 
 def script_token_extract(spark: SparkSession, sf: str) -> DataFrame:
-    html = F.col("html")
-    return table(spark, sf, "pages").select(
+    """The scripts are found once, and both their number and the token are taken from them."""
+    bodies = table(spark, sf, "pages").select("page_id", script_bodies(F.col("html")).alias("bodies"))
+    return bodies.select(
         "page_id",
-        F.size(script_bodies(html)).alias("n_scripts"),
-        captured(html, "track(", r"track\((\d+)\)").alias("token"),
+        F.size("bodies").alias("n_scripts"),
+        first_capture(F.col("bodies"), "track(", r"track\((\d+)\)").alias("token"),
     )
 
 
@@ -112,6 +115,68 @@ def project_paths(spark: SparkSession, sf: str) -> DataFrame:
     return sites(spark, sf, *flat).select(*flat)
 
 
+def projection_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The list of columns comes from a file: declared paths, an undeclared one and its parent."""
+    listed = [
+        {"alias": "site", "path": ["domain"]},
+        {"alias": "bounce", "path": ["overview", "bounceRateFormatted"]},
+        {"alias": "pages", "path": ["overview", "pagesPerVisit"]},
+        {"alias": "change", "path": ["traffic", "visitsTotalCountChange"]},
+        {"alias": "nothing", "path": ["overview", "notThere"]},
+        {"alias": "people", "path": ["demographics"]},
+    ]
+    path = fresh_path(spark, "projection")
+    text = spark.createDataFrame([(json.dumps(listed, indent=1),)], "value string")
+    text.coalesce(1).write.text(path)
+    chosen = load_spec(spark, path)
+    parsed = testbed.site_documents(spark, sf).select(
+        json_objects(F.col("json"), document_type(chosen)).alias("parsed"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    rows = project(documents(parsed), chosen)
+    return rows.withColumn("people", F.size("people.ageDistribution").cast("bigint"))
+
+
+def count_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that write their two counts as a number, in quotes, with .0 or abbreviated."""
+    key = F.col("o_orderkey")
+    whole = F.floor(F.col("o_totalprice")).cast("string")
+    quoted = lambda text: F.concat(F.lit('"'), text, F.lit('"'))
+    spelled = (
+        F.when(key % 4 == 0, whole)
+        .when(key % 4 == 1, quoted(whole))
+        .when(key % 4 == 2, F.concat(whole, F.lit(".0")))
+        .otherwise(quoted(F.concat((key % 1000).cast("string"), F.lit(".5B"))))
+    )
+    text = F.concat(
+        F.lit('{"layout":{"data":{"domain":"'), key.cast("string"),
+        F.lit('","overview":{"globalRank":'), spelled, F.lit(',"visitsTotalCount":'), spelled, F.lit("}}}}"),
+    )
+    chosen = specs("domain", "global_rank", "total_visits")
+    parsed = table(spark, sf, "orders").select(
+        json_objects(text, document_type(chosen)).alias("parsed"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    return clean(project(documents(parsed), chosen))
+
+
+def country_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """All four fields of the countries, through the flat file's JSON text and back."""
+    flat = flatten_nested(sites(spark, sf, "domain", "top_countries_raw"))
+    kind = (
+        "array<struct<countryAlpha2Code:string,countryUrlCode:string,"
+        "visitsShare:double,visitsShareChange:double>>"
+    )
+    back = restore_nested(flat, {"top_countries_raw": kind})
+    return list_rows(back, ["domain"], F.col("top_countries_raw")).select(
+        "domain",
+        F.col("countryAlpha2Code").alias("country"),
+        F.col("countryUrlCode").alias("url_code"),
+        F.col("visitsShare").alias("share"),
+        F.col("visitsShareChange").alias("share_change"),
+    )
+
+
 def json_scalar(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select(
         "event_id",
@@ -231,15 +296,13 @@ def nation_rank_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def long_series_changes(spark: SparkSession, sf: str) -> DataFrame:
-    """Five entities share all events, so each one's series is cut by day."""
+    """Five entities share all events, so each one's series is spread over ranges of rows."""
     events = table(spark, sf, "events").select(
         F.col("event_type").alias("domain"),
         F.struct("ts", "event_id").alias("moment"),
         F.floor(F.col("value") * 100).alias("visits"),
     )
-    changes = series.visit_changes(
-        events, period="moment", slice_by=F.col("moment.ts").cast("date")
-    )
+    changes = series.visit_changes(events, period="moment", rows_per_task=ranking.ROWS_PER_TASK)
     return changes.select(
         "domain", F.col("moment.event_id").alias("event_id"), "visits",
         F.col("prev_moment_visits").alias("prev_visits"), "mom_growth_percent",
@@ -266,20 +329,30 @@ def metrics_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rank_desc_nulls_last(spark: SparkSession, sf: str) -> DataFrame:
-    """By value ranges at any size."""
+    """By value ranges, as at any size."""
     growth = first_last_growth(spark, sf).select("domain", "visit_growth")
-    return ranking.add_ranks(
-        growth, {"visits_rank": "visit_growth"}, one_task_rows=0, rows_per_range=1_000
-    )
+    return ranking.add_ranks(growth, {"visits_rank": "visit_growth"})
 
 
 def rank_by_month(spark: SparkSession, sf: str) -> DataFrame:
     """By value ranges within each month, over all customers."""
     visits = testbed.visits_series(spark, sf).select("domain", "month", "visits")
-    ranked = ranking.add_ranks(
-        visits, {"visits_rank": "visits"}, ["month"], one_task_rows=0, rows_per_range=10_000
+    return month_text(ranking.add_ranks(visits, {"visits_rank": "visits"}, ["month"]))
+
+
+def rank_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranks of a text column and of a yes or no, the second with a few values for all rows."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderpriority", (F.col("o_totalprice") > 100_000).alias("large")
     )
-    return month_text(ranked)
+    ranks = {"priority_rank": "o_orderpriority", "large_rank": "large"}
+    return ranking.add_ranks(orders, ranks)
+
+
+def rank_one_column(spark: SparkSession, sf: str) -> DataFrame:
+    """A frame of one column, most of its rows equal to many others."""
+    flags = table(spark, sf, "lineitem").select(F.nullif("l_returnflag", F.lit("R")).alias("flag"))
+    return ranking.add_ranks(flags, {"flag_rank": "flag"})
 
 
 def relative_ranking(spark: SparkSession, sf: str) -> DataFrame:
@@ -330,12 +403,20 @@ def feed_combined(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """All thirteen columns; the nested ones by their sizes and the sum of what is in them."""
     path = fresh_path(spark, "flat-csv")
     write_csv(flatten_nested(sites(spark, sf)), path)
-    return typed_sites(read_csv(spark, path, flat_schema())).select(
-        "domain", "global_rank", "bounce_rate_raw", "bounce_rate_percent", "pages_per_visit",
-        "avg_visit_duration_raw", "avg_visit_duration_seconds",
+    back = typed_sites(read_csv(spark, path, flat_schema()))
+    add = lambda total, x: total + F.coalesce(x.cast("bigint"), F.lit(0))
+    visits = F.aggregate(F.map_values("visits_history_raw"), F.lit(0).cast("bigint"), add)
+    return back.select(
+        "domain", "global_rank", "total_visits", "bounce_rate_raw", "bounce_rate_percent",
+        "pages_per_visit", "avg_visit_duration_raw", "avg_visit_duration_seconds", "last_month_change",
         sizes("visits_history_raw", "n_months"),
+        sizes("rank_history_raw", "n_rivals"),
+        sizes("top_countries_raw", "n_countries"),
+        sizes("age_distribution_raw", "n_brackets"),
+        visits.alias("sum_visits"),
     )
 
 
@@ -349,7 +430,7 @@ def view_registry(spark: SparkSession, sf: str) -> DataFrame:
     """Pages to tables to views, then the rows of each view."""
     pages = testbed.site_pages(spark, sf)
     target = fresh_path(spark, "report")
-    names = report.run(spark, pages, target, content="content", version=["page_id"])
+    names, _ = report.run(spark, pages, target, content="content", version=["page_id"])
     counts = None
     for name in names:
         one = spark.table(name).agg(F.count("*").alias("n_rows"))
@@ -358,6 +439,32 @@ def view_registry(spark: SparkSession, sf: str) -> DataFrame:
     return counts
 
 
+def report_contents(spark: SparkSession, sf: str) -> DataFrame:
+    """The view of visit changes over pages that were scraped twice, the older ones without a
+    history; an analysis that fails leaves it as it is."""
+    pages = testbed.site_pages(spark, sf)
+    text = F.replace(F.col("content").cast("string"), F.lit("visitsHistory"), F.lit("other"))
+    # Pages that are no UTF-8 stay as they are.
+    older = F.when(F.col("page_id") % 10 == 2, F.col("content")).otherwise(F.encode(text, "utf-8"))
+    scrapes = [(F.col("content"), "2024-01-10"), (older, "2024-01-09")]
+    bodies = pages.select(
+        "page_id",
+        F.explode(
+            F.array(
+                *(
+                    F.struct(body.alias("content"), F.lit(day).cast("timestamp").alias("scraped_at"))
+                    for body, day in scrapes
+                )
+            )
+        ).alias("s"),
+    ).select("page_id", "s.*")
+    broken = {"broken": lambda frames: frames["source_data"].select("no_such_column")}
+    _, status = report.run(spark, bodies, fresh_path(spark, "contents"), content="content", more=broken)
+    if status["broken"] == "created":
+        raise ValueError("the broken analysis was made")
+    return month_text(spark.table("monthly_visit_changes"))
+
+
 # Data quality, snapshots, sources
 
 
@@ -397,13 +504,21 @@ def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Some documents have no key, and each carries a map."""
+    known = F.when(F.col("doc_id") % 50 != 7, F.col("doc_id"))
     docs = table(spark, sf, "documents").select(
-        "doc_id", F.nullif(F.col("lang"), F.lit("fr")).alias("lang"), "n_chars"
+        known.alias("doc_id"),
+        F.nullif(F.col("lang"), F.lit("fr")).alias("lang"),
+        "n_chars",
+        F.create_map(F.lit("id"), F.col("doc_id")).alias("tags"),
     )
     labels = table(spark, sf, "labels").select(
         "doc_id", F.lit("labelled").alias("lang"), "quality", "toxic"
     )
-    return snapshot.merge_sources({"documents": docs, "labels": labels}, "doc_id")
+    merged = snapshot.merge_sources(
+        {"documents": docs, "labels": labels}, "doc_id", {"documents": ["n_chars"], "labels": ["quality"]}
+    )
+    return merged.withColumn("tags", F.try_element_at("tags", F.lit("id")))
 
 
 QUERIES: dict[str, Query] = {
@@ -413,6 +528,9 @@ QUERIES: dict[str, Query] = {
         embedded_json_extract,
         bad_record_split,
         project_paths,
+        projection_file,
+        count_spellings,
+        country_fields,
         json_scalar,
         percent_clean,
         duration_to_seconds,
@@ -433,6 +551,8 @@ QUERIES: dict[str, Query] = {
         metrics_join,
         rank_desc_nulls_last,
         rank_by_month,
+        rank_text,
+        rank_one_column,
         relative_ranking,
         nation_relative_ranking,
         feed_visits_group,
@@ -445,6 +565,7 @@ QUERIES: dict[str, Query] = {
         csv_roundtrip,
         table_roundtrip,
         view_registry,
+        report_contents,
         completeness_report,
         missing_class,
         volume_check,

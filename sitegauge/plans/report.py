@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import zlib
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from sitegauge.operators.extract import documents, parse_pages, rejects
@@ -32,32 +35,69 @@ def analyses(sites: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def attempt(status: dict[str, str], name: str, build: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``build`` gives, or None with the reason in ``status``."""
+    try:
+        return build()
+    except (PySparkException, Py4JJavaError, ValueError) as error:
+        status[name] = f"failed: {str(error).splitlines()[0]}"
+        return None
+
+
 def run(
     spark: SparkSession, pages: DataFrame, target: str, content: str = "html",
-    version: Sequence[str] = ("url",), spec: Sequence[PathSpec] = SITE_SPEC, buckets: int = 0,
-) -> dict[str, DataFrame]:
-    """Pages to tables below ``target`` and views; returns the frames by name.
+    version: Sequence[str] = ("scraped_at",), spec: Sequence[PathSpec] = SITE_SPEC, buckets: int = 0,
+    more: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]] | None = None,
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Pages to tables below ``target`` and views; returns the frames and the status by name.
 
     The pages are read once, into a table with every outcome; the rejects need two narrow columns
     of it. All that follows reads the site table, and the analyses read the two series, each
-    computed once and clustered by domain for the feeds. With ``buckets`` the series are catalog
-    tables hashed by domain instead, and the analyses need no shuffle of them. ``spec`` may add
-    columns to the site table.
+    computed once and clustered by domain for the feeds. Of several scrapes of a domain the one
+    with the largest ``version`` counts; the columns must be there. With ``buckets`` the series
+    are catalog tables hashed by domain instead, named after ``target``, and the analyses need no
+    shuffle of them. ``spec`` may add columns to the site table, and ``more`` analyses: functions
+    of the frames made so far.
+
+    A failing page or site table ends the run. Every analysis is made and entered as a view by
+    itself: one that fails has ``failed: <reason>`` as its status, those that read it fail too,
+    and the others are ``created``.
     """
+    missing = [c for c in version if c not in pages.columns]
+    if missing or not version:
+        raise ValueError(f"pages have no version column {missing}; name those that tell scrapes apart")
     parsed = parse_pages(pages, document_type(spec), content)
     outcome = replace_table(parsed, f"{target}/parsed_pages")
     rows = site_rows(outcome.where("reason is null"), version, spec)
     sites = replace_table(latest_snapshot(rows, "domain", version), f"{target}/source_data")
-    frames = {"rejects": rejects(outcome), "source_data": sites, **analyses(sites)}
-    for name in ("visits_series", "rank_series"):
-        rows, path = frames[name], f"{target}/{name}"
+    frames: dict[str, DataFrame] = {"rejects": rejects(outcome), "source_data": sites}
+    status: dict[str, str] = {}
+
+    def series(name: str, history: str, value: str) -> DataFrame:
+        made, path = history_series(frames["transformed_data"], history, value), f"{target}/{name}"
         if buckets:
-            frames[name] = replace_bucketed(rows, path, f"{name}_by_domain", "domain", buckets)
-        else:
-            frames[name] = replace_table(rows, path, cluster_by="domain")
-    visits, ranks = frames["visits_series"], frames["rank_series"]
-    frames["monthly_visit_changes"] = visit_changes(visits)
-    frames["monthly_rank_changes"] = rank_changes(ranks)
-    frames["relative_ranking"] = relative_ranking(visits, ranks)
-    register_views(spark, {name: (lambda f=frame: f) for name, frame in frames.items()})
-    return frames
+            owner = f"{zlib.crc32(target.encode()):08x}"
+            return replace_bucketed(made, path, f"{name}_by_domain_{owner}", "domain", buckets)
+        return replace_table(made, path, cluster_by="domain")
+
+    def needs(name: str) -> DataFrame:
+        if name not in frames:
+            raise ValueError(f"{name} could not be made")
+        return frames[name]
+
+    builders: dict[str, Callable[[], DataFrame]] = {
+        "transformed_data": lambda: transform_metrics(sites),
+        "visits_series": lambda: series("visits_series", "visits_history", "visits"),
+        "rank_series": lambda: series("rank_series", "rank_history", "rank"),
+        "monthly_visit_changes": lambda: visit_changes(needs("visits_series")),
+        "monthly_rank_changes": lambda: rank_changes(needs("rank_series")),
+        "relative_ranking": lambda: relative_ranking(needs("visits_series"), needs("rank_series")),
+    }
+    for name, build in (more or {}).items():
+        builders[name] = lambda build=build: build(frames)
+    for name, build in builders.items():
+        frame = attempt(status, name, build)
+        if frame is not None:
+            frames[name] = frame
+    status |= register_views(spark, {name: (lambda f=frame: f) for name, frame in frames.items()})
+    return frames, status

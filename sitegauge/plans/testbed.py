@@ -2,7 +2,7 @@
 
 A customer stands for a site and its orders for the visits: orders of status F are months
 without a figure (NULL), orders under 60,000 count as 0, the others as their price. The site's
-global rank is its rank among the customers of its league, 500 neighbouring keys, in a month.
+global rank is its rank among all customers of the month.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LEAGUE = 500
+from sitegauge.operators.ranking import add_ranks
+
 RIVALS = 5
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 BRACKETS = ((18, 24), (25, 34), (35, 44), (45, 54), (55, 64), (65, None))
@@ -43,11 +44,9 @@ def customer_months(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFra
     ).agg(F.sum(order_visits()).alias("visits"), *extra)
 
 
-def in_league(months: DataFrame) -> DataFrame:
-    """With the rank of the month. A window holds at most LEAGUE rows."""
-    league = Window.partitionBy(F.floor(F.col("custkey") / LEAGUE), "month")
-    rank = F.rank().over(league.orderBy(F.col("visits").desc_nulls_last()))
-    return months.withColumn("rank", rank.cast("bigint"))
+def ranked_months(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
+    """The months of all customers with the rank within the month, by the library's own operator."""
+    return add_ranks(customer_months(spark, sf_dir, *extra), {"rank": "visits"}, ["month"])
 
 
 def named(spark: SparkSession, sf_dir: str, months: DataFrame) -> DataFrame:
@@ -64,8 +63,7 @@ def visits_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rank_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(month, rank, domain) per customer."""
-    months = in_league(customer_months(spark, sf_dir)).drop("visits")
-    return named(spark, sf_dir, months)
+    return named(spark, sf_dir, ranked_months(spark, sf_dir).drop("visits"))
 
 
 def nation_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,28 +110,40 @@ def duration_text(key: Column) -> Column:
     )
 
 
-def site_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def block_of(key: Column) -> Column:
+    return F.floor(key / RIVALS)
+
+
+def site_documents(spark: SparkSession, sf_dir: str, wanted: DataFrame | None = None) -> DataFrame:
     """(custkey, json): one document per customer, with the rank history of its RIVALS block.
 
+    ``wanted`` has one column of customer keys: only documents of their blocks are built.
+    Built text is joined by merging, never broadcast: Spark takes it for far smaller than it is.
+
     The lists collected here are bounded: months of the calendar, fixed priorities and
     brackets, RIVALS customers per block.
     """
     status = F.col("o_orderpriority")
     band = F.floor(F.col("o_totalprice") / BRACKET_WIDTH)
-    months = in_league(
-        customer_months(
-            spark, sf_dir,
-            *(F.count_if(status == p).alias(f"p{i}") for i, p in enumerate(PRIORITIES)),
-            *(F.count_if(band == i).alias(f"b{i}") for i in range(len(BRACKETS))),
-        )
+    months = ranked_months(
+        spark, sf_dir,
+        *(F.count_if(status == p).alias(f"p{i}") for i, p in enumerate(PRIORITIES)),
+        *(F.count_if(band == i).alias(f"b{i}") for i in range(len(BRACKETS))),
     )
+    customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "custkey")
+    if wanted is not None:
+        blocks = wanted.select(block_of(F.col(wanted.columns[0])).alias("_block")).distinct()
+
+        def only(df: DataFrame) -> DataFrame:
+            return df.join(blocks, block_of(F.col("custkey")) == F.col("_block"), "left_semi")
+
+        months, customer = only(months), only(customer)
     counted = [f"p{i}" for i in range(len(PRIORITIES))] + [f"b{i}" for i in range(len(BRACKETS))]
     per_customer = months.groupBy("custkey").agg(
         F.array_sort(F.collect_list(F.struct("month", "visits", "rank"))).alias("history"),
         *(F.sum(c).alias(c) for c in counted),
     )
-    customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "custkey")
-    joined = customer.join(per_customer, "custkey", "left")
+    joined = customer.join(per_customer.hint("merge"), "custkey", "left")
 
     day = lambda h: F.date_format(h["month"], "yyyy-MM-dd")
     ranks = F.transform(
@@ -142,7 +152,7 @@ def site_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(day(h), F.lit("T00:00:00+00:00")).alias("date"), h["rank"].alias("rank")
         ),
     )
-    block = Window.partitionBy(F.floor(F.col("custkey") / RIVALS))
+    block = Window.partitionBy(block_of(F.col("custkey")))
     rivals = F.collect_list(F.struct(F.col("c_name"), ranks)).over(block)
     visits = F.map_from_entries(
         F.transform("history", lambda h: F.struct(day(h).alias("key"), h["visits"].alias("value")))
@@ -155,6 +165,7 @@ def site_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(p).alias("countryAlpha2Code"),
                     F.lit(p.lower()).alias("countryUrlCode"),
                     (F.col(f"p{i}") / orders).alias("visitsShare"),
+                    F.lit(i / 8).alias("visitsShareChange"),
                 )
                 for i, p in enumerate(PRIORITIES)
             )
@@ -203,7 +214,7 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     4 a script that only names the variable, 5 text after the object.
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    docs = site_documents(spark, sf_dir)
+    docs = site_documents(spark, sf_dir, pages.select("page_id"))
     digit = F.pmod(F.col("page_id"), F.lit(10))
     script = lambda body: F.concat(F.lit("<script>"), body, F.lit("</script>"))
     assign = F.concat(F.lit("window.__APP_DATA__ = "), F.col("json"))
@@ -222,6 +233,6 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     page = F.encode(F.concat(head, F.col("html")), "utf-8")
     broken = F.concat(page, F.unhex(F.lit("FF")))
-    return pages.join(docs, F.col("page_id") == F.col("custkey"), "left").select(
+    return pages.join(docs.hint("merge"), F.col("page_id") == F.col("custkey"), "left").select(
         "page_id", F.when(digit == 2, broken).otherwise(page).alias("content")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import PySparkException
@@ -18,8 +19,7 @@ GAP = "\x00"
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """Flat columns to CSV, in place of what was there.
 
-    A file whose values hold line breaks can only be read by one task, so files are kept to
-    ``rows_per_file`` rows.
+    ``rows_per_file`` bounds the files that ``read_csv(line_breaks=True)`` reads in one task each.
     """
     (
         df.write.mode("overwrite")
@@ -30,17 +30,20 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str, mode: str = "FAILFAST"
+    spark: SparkSession, path: str, schema: StructType | str, mode: str = "FAILFAST",
+    line_breaks: bool = False,
 ) -> DataFrame:
     """CSV with declared types. Quoted empty text stays empty, an unquoted gap is NULL.
 
     A row that does not fit the types stops the job; ``PERMISSIVE`` makes its bad fields NULL.
+    Large files are read by many tasks, which a line break within a value would break; with
+    ``line_breaks`` such values are read, and each file by one task.
     """
     return (
         spark.read.schema(schema)
         .options(**CSV_DIALECT)
         .option("nullValue", GAP)
-        .option("multiLine", "true")
+        .option("multiLine", str(line_breaks).lower())
         .option("mode", mode)
         .csv(path)
     )
@@ -63,10 +66,26 @@ def replace_table(
     if name:
         out.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
         return spark.table(name)
-    out.write.mode("overwrite").parquet(path)
+    # Written beside the old table first: a job that fails leaves that one as it was.
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    out.write.parquet(beside)
+    swap(spark, beside, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def swap(spark: SparkSession, new: str, path: str) -> None:
+    """Folder ``new`` in the place of ``path``, whose former contents go."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (new, path))
+    files = target.getFileSystem(conf)
+    old = jvm.org.apache.hadoop.fs.Path(f"{new}.old")
+    if files.exists(target):
+        files.rename(target, old)
+    if not files.rename(source, target):
+        raise OSError(f"could not move {new} to {path}")
+    files.delete(old, True)
+
+
 def replace_bucketed(df: DataFrame, path: str, name: str, key: str, buckets: int) -> DataFrame:
     """Create or replace a catalog table hashed by ``key``, one file per bucket.
 

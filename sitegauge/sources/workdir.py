@@ -1,11 +1,15 @@
 """The shared folder for tables that cut lineage.
 
 On a cluster it is the one named by ``spark.checkpoint.dir``. Only a local master without
-that setting gets a folder of its own, as in tests.
+that setting gets a folder of its own, as in tests, which goes with the Python process. The
+tables of an application lie in one folder; whoever runs it calls ``clear`` when no result is
+read any more.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,7 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sitegauge-"))
+    own = tempfile.mkdtemp(prefix="sitegauge-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext.getCheckpointDir()
 
 
@@ -30,6 +36,27 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/sitegauge/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def folders(spark: SparkSession, path: str, files: bool = False) -> list[str]:
+    """Folders, and with ``files`` all entries, in the folder ``path``; none if there is no such."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    return sorted(e.getPath().toString() for e in system.listStatus(place) if files or e.isDirectory())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete the folder ``path``, if there is one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that this application has stored. What still reads them fails after."""
+    app = spark.conf.get("spark.app.id", "app")
+    remove(spark, f"{shared_dir(spark)}/sitegauge/{app}")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 

@@ -1,20 +1,30 @@
-"""New pages as they arrive, into a log of site rows, and the latest row per domain."""
+"""New pages as they arrive, into a log of site rows and one of rejects, and the latest row per
+domain.
+
+Every batch owns one folder in each log, named by the stream and the batch. The stream's name is
+Spark's query id, which lives in the checkpoint: a batch that runs twice replaces its own rows,
+and a stream with another checkpoint never touches those of this one.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from sitegauge.operators.extract import parse_pages
+from sitegauge.operators.extract import parse_pages, rejects
 from sitegauge.operators.project import DOCUMENT
 from sitegauge.operators.snapshot import latest_snapshot
 from sitegauge.plans.report import site_rows
 from sitegauge.sources.pages import FILE_SCHEMA, as_pages
 from sitegauge.sources.tables import replace_table
+from sitegauge.sources.workdir import folders, remove
 
 VERSION = ("scraped_at", "url")
+QUERY_ID = "sql.streaming.queryId"
 
 
 def page_stream(
@@ -32,26 +42,43 @@ def page_stream(
     return as_pages(files)
 
 
+def site_log(log: str) -> str:
+    return f"{log}/sites"
+
+
+def reject_log(log: str) -> str:
+    return f"{log}/rejects"
+
+
 def ingest(
-    pages: DataFrame, log: str, checkpoint: str, redelivery: str | None = None,
+    pages: DataFrame, log: str, checkpoint: str, once: bool = False,
     key: Sequence[str] = ("url", "scraped_at"),
 ) -> StreamingQuery:
-    """Append the site rows of all waiting pages to ``log`` and stop.
+    """Append the site rows and the rejects of all waiting pages to ``log`` and stop.
 
-    Each batch owns one folder of the log and replaces it, so a batch that runs twice leaves the
-    same rows. A page delivered twice makes no difference to ``current_sites``; a source that
-    repeats much can set ``redelivery``, such as ``7 days``, to drop repeats by ``key`` before
-    they are parsed. Pages that arrive later than that after newer ones are then dropped too.
+    Every page of a batch ends up in one of the two logs, or is an older scrape of a domain that
+    the same batch has a newer one of. A page delivered twice makes no difference to
+    ``current_sites``; for a source that repeats much, ``once`` leaves out pages whose ``key`` is
+    in the site log already, before they are parsed. However late a page comes, it is not
+    dropped.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_pages(batch, DOCUMENT, "content")
+        spark = batch.sparkSession
+        own = f"stream={spark.sparkContext.getLocalProperty(QUERY_ID)}/batch={batch_id}"
+        if once:
+            batch = batch.dropDuplicates(list(key))
+            # Not its own folder: the batch that runs again must find its pages new again.
+            others = [f for f in batch_folders(spark, site_log(log)) if not f.endswith(own)]
+            if others:
+                seen = spark.read.schema(log_schema(spark)).parquet(*others).select(*key)
+                batch = batch.join(seen.distinct(), list(key), "left_anti")
+        parsed = replace_table(parse_pages(batch, DOCUMENT, "content"), f"{log}/parsed/{own}")
         rows = latest_snapshot(site_rows(parsed, keep=VERSION), "domain", VERSION)
-        rows.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        rejects(parsed).write.mode("overwrite").parquet(f"{reject_log(log)}/{own}")
+        rows.write.mode("overwrite").parquet(f"{site_log(log)}/{own}")
+        remove(spark, f"{log}/parsed/{own}")
 
-    if redelivery:
-        pages = pages.withWatermark("scraped_at", redelivery)
-        pages = pages.dropDuplicatesWithinWatermark(list(key))
     return (
         pages.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -60,20 +87,51 @@ def ingest(
     )
 
 
+def batch_folders(spark: SparkSession, log: str) -> list[str]:
+    """Folders of the batches of ``log`` that are written to the end."""
+    every = [b for s in folders(spark, log) if "/stream=" in s for b in folders(spark, s)]
+    return [b for b in every if "_SUCCESS" in {f.rsplit("/", 1)[-1] for f in folders(spark, b, True)}]
+
+
+def read_log(spark: SparkSession, log: str, schema: StructType) -> DataFrame:
+    parts = batch_folders(spark, log)
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*parts)
+
+
 def current_sites(spark: SparkSession, log: str) -> DataFrame:
-    """Latest row per domain over all batches."""
-    schema = log_schema(spark)
-    rows = spark.read.schema(schema).parquet(log).select(*schema.names)
-    return latest_snapshot(rows, "domain", VERSION)
+    """Latest row per domain over all batches of all streams."""
+    return latest_snapshot(read_log(spark, site_log(log), log_schema(spark)), "domain", VERSION)
+
 
+def rejected_pages(spark: SparkSession, log: str) -> DataFrame:
+    """Every page that could not be read, with the reason."""
+    return read_log(spark, reject_log(log), rejects(no_pages(spark)).schema)
 
-def log_schema(spark: SparkSession):
-    """Columns of the log, from an empty run of the same steps."""
+
+def no_pages(spark: SparkSession) -> DataFrame:
     empty = as_pages(spark.createDataFrame([], FILE_SCHEMA))
-    parsed = parse_pages(empty, DOCUMENT, "content")
-    return site_rows(parsed, keep=VERSION).schema
+    return parse_pages(empty, DOCUMENT, "content")
+
+
+def log_schema(spark: SparkSession) -> StructType:
+    """Columns of the site log, from an empty run of the same steps."""
+    return site_rows(no_pages(spark), keep=VERSION).schema
 
 
 def compact(spark: SparkSession, log: str, path: str) -> DataFrame:
-    """The latest rows as a table of their own, clustered by domain."""
-    return replace_table(current_sites(spark, log), path, cluster_by="domain")
+    """The latest rows as a table of their own, clustered by domain; retires the batches.
+
+    The latest rows first go to the log as a batch of their own, then the batches that they were
+    taken from are removed. Between the two steps the log has rows twice, which changes no
+    result; a batch that arrives meanwhile is not among those removed.
+    """
+    retired = batch_folders(spark, site_log(log))
+    schema = log_schema(spark)
+    rows = spark.read.schema(schema).parquet(*retired) if retired else spark.createDataFrame([], schema)
+    kept = f"{site_log(log)}/stream=compacted/batch={uuid.uuid4().hex}"
+    latest_snapshot(rows, "domain", VERSION).write.parquet(kept)
+    for folder in retired:
+        remove(spark, folder)
+    return replace_table(spark.read.schema(schema).parquet(kept), path, cluster_by="domain")

@@ -246,9 +246,13 @@ def test_spec(spark, tmp_path):
     for bad in (
         '[{"alias": "", "path": ["a"]}]', '[{"alias": "a", "path": []}]', '[{"path": ["a"]}]',
         '[{"alias": "a", "path": ["b"], "type": "c"}]', '[{"alias": "a", "path": [1]}]',
+        '[{"alias": "a", "path": ["b"]}, {"alias": "A", "path": ["c"]}]', "", "{}", '["a"]',
     ):
         with pytest.raises(ValueError):
             parse_spec(bad)
+    (tmp_path / "empty.json").write_text("")
+    with pytest.raises(ValueError, match="JSON list"):
+        load_spec(spark, str(tmp_path / "empty.json"))
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         load_spec(spark, str(tmp_path / "none.json"))
 
@@ -267,8 +271,36 @@ def test_paths_that_are_not_declared(spark):
     pages = spark.createDataFrame([(golden.page("", json.dumps(document)),)], "html string")
     parsed = parse_pages(pages, document_type(specs, types=kinds))
     df = project(documents(parsed), specs)
-    assert tuple(df.head()) == ("a.com", 3, '{"a":[1,null]}', "0.5", None, None)
-    assert dict(df.dtypes)["rank"] == "bigint" and dict(df.dtypes)["number"] == "double"
+    assert tuple(df.head()) == ("a.com", "3", '{"a":[1,null]}', "0.5", None, None)
+    assert dict(df.dtypes)["rank"] == "string" and dict(df.dtypes)["number"] == "double"
+
+
+def test_a_path_beside_one_below_it(spark):
+    document = data(foo={"bar": 1, "baz": {"qux": "x"}, "other": 2}, overview={"globalRank": 3})
+    specs = [
+        PathSpec("foo", ("foo",)), PathSpec("bar", ("foo", "bar")), PathSpec("qux", ("foo", "baz", "qux")),
+        PathSpec("baz", ("foo", "baz")),
+    ]
+    pages = spark.createDataFrame([(golden.page("", json.dumps(document)),)], "html string")
+    row = project(documents(parse_pages(pages, document_type(specs))), specs).head()
+    assert (row.bar, row.qux, json.loads(row.baz)) == ("1", "x", {"qux": "x"})
+    assert json.loads(row.foo) == {"bar": "1", "baz": {"qux": "x"}}
+    with pytest.raises(ValueError, match="two columns"):
+        document_type([PathSpec("a", ("b",)), PathSpec("a", ("c",))])
+
+
+@pytest.mark.parametrize(
+    "written, read",
+    [("87.0B", 87 * 10**9), (2474684.0, 2474684), ("18054", 18054), (1062, 1062), ("1e3", 1000), ("n/a", None), (None, None),
+     (2**63 - 1, 2**63 - 1), ("99999999999T", None)],
+)
+def test_counts_in_any_spelling(spark, written, read):
+    document = data(overview={"globalRank": written, "visitsTotalCount": written})
+    pages = spark.createDataFrame([(golden.page("", json.dumps(document)),)], "html string")
+    sites = clean(project(documents(parse_pages(pages, DOCUMENT)), SITE_SPEC))
+    row = sites.head()
+    assert (row.global_rank, row.total_visits) == (read, read)
+    assert dict(sites.dtypes)["total_visits"] == dict(sites.dtypes)["global_rank"] == "bigint"
 
 
 def test_only_the_wanted_part_is_declared():

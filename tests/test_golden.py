@@ -12,7 +12,9 @@ def frames(spark, tmp_path_factory):
     rows.append(("https://x/none", "<p>no script</p>"))
     rows.append(("https://x/bad", golden.page("google.com", '{"layout": }')))
     pages = spark.createDataFrame(rows, "url string, html string")
-    return report.run(spark, pages, str(tmp_path_factory.mktemp("report")))
+    frames, status = report.run(spark, pages, str(tmp_path_factory.mktemp("report")), version=["url"])
+    assert set(status.values()) == {"created"} and set(status) == set(frames)
+    return frames
 
 
 def by_domain(df):

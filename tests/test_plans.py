@@ -8,11 +8,8 @@ from sitegauge.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
-# Below ``ONE_TASK_ROWS`` stored rows the two global ranks use one window over all of them, and
-# rank_desc_nulls_last sums its totals per range; view_registry counts whole views.
-ONE_PARTITION = {
-    "relative_ranking", "nation_relative_ranking", "feed_combined", "rank_desc_nulls_last", "view_registry",
-}
+# Each view is counted as a whole.
+ONE_PARTITION = {"view_registry"}
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -22,9 +19,16 @@ def test_plan(spark, conf, plan_of, name):
     for word in ("CartesianProduct", "NestedLoop", "EvalPython", "InPandas", "MapInArrow"):
         assert word not in plan
     assert "SinglePartition" not in plan or name in ONE_PARTITION
-    # Nothing is broadcast by a hint but the tables of hot values and of range totals.
-    hinted = len(re.findall(r"^\(\d+\) BroadcastExchange", plan, flags=re.M))
-    assert hinted == 0 or name in ("rank_desc_nulls_last", "rank_by_month")
+    # Nothing is broadcast by a hint but the tables of hot values.
+    hinted = re.findall(r"^\(\d+\) BroadcastExchange\nInput \[\d+\]: \[(.*)\]", plan, flags=re.M)
+    assert all("_tasks" in columns for columns in hinted)
+
+
+@pytest.mark.parametrize("name", ["embedded_json_extract", "bad_record_split", "project_paths"])
+def test_built_text_is_not_broadcast(spark, plan_of, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    sent = re.findall(r"^\(\d+\) BroadcastExchange\nInput \[\d+\]: \[(.*)\]", plan, flags=re.M)
+    assert not any("json" in columns or "history" in columns for columns in sent)
 
 
 @pytest.mark.parametrize(

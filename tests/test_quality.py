@@ -34,3 +34,9 @@ def test_volume_check(spark):
         ("a", 10, 10, 0.0, False), ("b", 5, 10, -0.5, True), ("c", 0, 4, -1.0, True),
         ("d", 2, 0, None, True), ("e", 0, 0, None, True),
     ]
+
+
+def test_a_column_with_a_colon_in_its_name(spark):
+    df = spark.createDataFrame([("s", None), ("s", "x")], "source string, `a:b` string")
+    rows = quality.missing_report(df, "source", {"a:b": "text"}).collect()
+    assert {tuple(r) for r in rows} == {("s", "a:b", "truly_missing", 1), ("s", "a:b", "present", 1)}

@@ -20,18 +20,37 @@ def one_hot_entity(spark):
     )
 
 
-@pytest.mark.parametrize("unit", ["year", "month", "week"])
-def test_slices_do_not_change_the_result(spark, unit):
+@pytest.mark.parametrize("rows_per_task", [100, 999, 10_000])
+def test_ranges_do_not_change_the_result(spark, rows_per_task):
     df = one_hot_entity(spark)
-    sliced = series.visit_changes(df, slice_by=F.trunc("month", unit))
-    assert rows(sliced) == rows(series.visit_changes(df))
+    cut = series.visit_changes(df, rows_per_task=rows_per_task)
+    assert rows(cut) == rows(series.visit_changes(df))
 
 
-def test_slices_spread_a_hot_entity(spark, plan_of):
-    df = one_hot_entity(spark)
-    plan = plan_of(series.visit_changes(df, slice_by=F.trunc("month", "month")))
-    windows = [p for p in plan.split("\n\n") if ") Window" in p.splitlines()[0]]
-    assert any("_slice" in w and "_row" in w for w in windows)
+def test_one_entity_and_day_is_spread_over_tasks(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "64")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    key = F.col("id")
+    df = spark.range(4_000).select(
+        F.lit("hot").alias("domain"), F.timestamp_seconds(key * 7).alias("month"), (key % 97).alias("visits")
+    )
+    changes = series.visit_changes(df, rows_per_task=250)
+    assert df.select(F.to_date("month")).distinct().count() == 1
+    sizes = [r["count"] for r in changes.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4_000 and max(sizes) < 1_500
+    assert rows(changes) == rows(series.visit_changes(df))
+
+
+def test_extreme_numbers_do_not_stop_the_job(spark):
+    low, high = -(2**63), 2**63 - 1
+    df = spark.createDataFrame(
+        [("a", "2022-01-01", low, low), ("a", "2022-02-01", high, high)],
+        "domain string, month string, visits bigint, rank bigint",
+    )
+    last = series.visit_changes(df.drop("rank")).orderBy("month").collect()[1]
+    assert last["mom_growth_percent"] == pytest.approx(-200.0)
+    assert series.rank_changes(df.drop("visits")).orderBy("month").collect()[1]["rank_change"] is None
 
 
 def test_gaps_nulls_and_zero(spark):

@@ -5,8 +5,16 @@ import os
 
 import golden
 
-from sitegauge.plans.report import analyses
-from sitegauge.streaming.ingest import compact, current_sites, ingest, page_stream
+from sitegauge.operators.reshape import history_series, transform_metrics
+from sitegauge.streaming.ingest import (
+    batch_folders,
+    compact,
+    current_sites,
+    ingest,
+    page_stream,
+    rejected_pages,
+    site_log,
+)
 
 
 def put(folder, name, text, second):
@@ -34,7 +42,12 @@ def test_ingest(spark, tmp_path):
     read(spark, folder, work)
     sites = current_sites(spark, f"{work}/log")
     assert {r.domain for r in sites.select("domain").collect()} == set(golden.SITES)
-    assert len([n for n in os.listdir(work / "log") if n.startswith("batch=")]) >= 3
+    assert len(batch_folders(spark, site_log(f"{work}/log"))) >= 3
+    bad = rejected_pages(spark, f"{work}/log").collect()
+    assert [(r.url.rsplit("/", 1)[-1], r.reason) for r in bad] == [("scrape-bad.html", "no_object")]
+    assert not os.path.exists(work / "log" / "parsed") or not any(
+        files for _, _, files in os.walk(work / "log" / "parsed")
+    )
 
     # A later scrape of one site, and an older one of another, in a second run.
     newer = golden.page("stripe.com").replace('"globalRank": 1062', '"globalRank": 999')
@@ -45,7 +58,14 @@ def test_ingest(spark, tmp_path):
     table = compact(spark, f"{work}/log", f"{work}/sites")
     ranks = {r.domain: r.global_rank for r in table.collect()}
     assert len(ranks) == 5 and ranks["stripe.com"] == 999 and ranks["google.com"] == 1
-    assert analyses(table)["visits_series"].count() == 15
+    assert history_series(transform_metrics(table), "visits_history", "visits").count() == 15
+    # The batches are retired; the log has one, and later ones add to it.
+    assert len(batch_folders(spark, site_log(f"{work}/log"))) == 1
+    newest = golden.page("stripe.com").replace('"globalRank": 1062', '"globalRank": 5')
+    put(folder, "scrape-newest.html", newest, start + 2000)
+    read(spark, folder, work)
+    assert {r.domain: r.global_rank for r in current_sites(spark, f"{work}/log").collect()} == {**ranks, "stripe.com": 5}
+    assert rejected_pages(spark, f"{work}/log").count() == 1
 
 
 def test_batches_that_run_twice_leave_the_same_rows(spark, tmp_path):
@@ -55,21 +75,45 @@ def test_batches_that_run_twice_leave_the_same_rows(spark, tmp_path):
         put(folder, f"scrape-{i}.html", golden.page(domain), 1_700_000_000 + i)
     read(spark, folder, work)
     before = sorted(map(str, current_sites(spark, f"{work}/log").collect()))
-    folders = sorted(os.listdir(work / "log"))
-    # Without its checkpoint the stream starts again with the same batch numbers.
-    read(spark, folder, work, checkpoint="another")
-    assert sorted(os.listdir(work / "log")) == folders
+    folders = batch_folders(spark, site_log(f"{work}/log"))
+    # Without the commit of its last batch the stream runs that batch again.
+    commits = work / "checkpoint" / "commits"
+    last = max((n for n in os.listdir(commits) if n.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        if (commits / name).exists():
+            (commits / name).unlink()
+    read(spark, folder, work)
+    assert batch_folders(spark, site_log(f"{work}/log")) == folders
     assert sorted(map(str, current_sites(spark, f"{work}/log").collect())) == before
 
 
-def test_repeats_are_dropped(spark, tmp_path):
+def test_a_fresh_checkpoint_and_a_second_stream_lose_nothing(spark, tmp_path):
+    work = tmp_path / "work"
+    for number, domain in enumerate(golden.SITES):
+        folder = tmp_path / f"in-{number}"
+        folder.mkdir()
+        put(folder, "scrape.html", golden.page(domain), 1_700_000_000)
+        put(folder, "scrape-bad.html", "<p>nothing</p>", 1_700_000_000)
+        read(spark, folder, work, checkpoint=f"checkpoint-{number}")
+    assert {r.domain for r in current_sites(spark, f"{work}/log").collect()} == set(golden.SITES)
+    assert rejected_pages(spark, f"{work}/log").count() == len(golden.SITES)
+
+
+def test_repeats_are_left_out_and_late_pages_are_not(spark, tmp_path):
     work = tmp_path / "work"
-    row = ("u", bytearray(golden.page("stripe.com").encode()), dt.datetime(2022, 12, 1))
     schema = "url string, content binary, scraped_at timestamp"
     source = str(tmp_path / "pages")
-    for _ in range(2):
-        spark.createDataFrame([row], schema).write.mode("append").parquet(source)
+    rows = [
+        ("u", golden.page("stripe.com"), dt.datetime(2022, 12, 1)),
+        ("u", golden.page("stripe.com"), dt.datetime(2022, 12, 1)),
+        ("late", golden.page("google.com"), dt.datetime(2012, 12, 1)),
+    ]
+    for url, text, moment in rows:
+        row = (url, bytearray(text.encode()), moment)
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(source)
     pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-    query = ingest(pages, f"{work}/log", f"{work}/checkpoint", redelivery="7 days")
+    query = ingest(pages, f"{work}/log", f"{work}/checkpoint", once=True)
     query.awaitTermination(120)
-    assert spark.read.parquet(f"{work}/log").count() == 1
+    assert query.exception() is None
+    every = spark.read.parquet(*batch_folders(spark, site_log(f"{work}/log")))
+    assert sorted(r.domain for r in every.collect()) == ["google.com", "stripe.com"]
