@@ -248,7 +248,9 @@ def trained_weights(table: DataFrame, coded: tuple, code: cm.Code, counts: np.nd
     """
     context = table.sparkSession.sparkContext
     sent = context.broadcast((coded, code, counts.astype(np.float32)))
-    some = table.orderBy(F.xxhash64("block"), "block").limit(SAMPLE_BLOCKS)
+    # The numbers alone are sorted; the blocks themselves are then read where they lie.
+    numbers = table.select("block").orderBy(F.xxhash64("block"), "block").limit(SAMPLE_BLOCKS).collect()
+    some = table.where(F.col("block").isin([r["block"] for r in numbers]))
     wanted = some.select("n_words", "n_tokens", "train", "bounds", "hashes", "tokens")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +277,7 @@ def trained_weights(table: DataFrame, coded: tuple, code: cm.Code, counts: np.nd
                     names=["n", "weights"],
                 )
 
-    rows = wanted.repartition(SAMPLE_BLOCKS).mapInArrow(learn, "n long, weights binary").collect()
+    rows = wanted.mapInArrow(learn, "n long, weights binary").collect()
     if not rows:
         return cm.first_weights()
     rows.sort(key=lambda r: (r["n"], bytes(r["weights"])))
