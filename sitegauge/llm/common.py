@@ -6,6 +6,8 @@ hash of its bytes; two of n different words share one with a chance of about n *
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitegauge.session import ship
+
 # Bytes of text worked on at once by the numpy helpers; one longer document is still whole.
 CHUNK_BYTES = 1 << 20
 
@@ -22,6 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def frugal(work):
+    """``work`` on batches, after which the worker, which lives on, gives freed memory back."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, whose Python workers can import this package."""
+    ship(df.sparkSession)
+    return df
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus``; NULL counts as empty text."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -150,8 +174,3 @@ def list_array(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.
 def signed(x: np.ndarray) -> np.ndarray:
     """64-bit hashes as Spark's bigint."""
     return x.view(np.int64)
-
-
-def rows_of(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    """A small, bounded list of tuples as a frame."""
-    return spark.createDataFrame(rows, schema)

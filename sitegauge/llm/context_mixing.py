@@ -28,7 +28,9 @@ GATES = 8
 START, RATE = 0.35, 0.02
 MAP_CELLS, MAP_RATE, MAP_REACH = 17, 0.02, 8.0
 #: Bits after which a lane starts again from the trained weights, and lanes worked on at once.
-LANE_BITS, LANES = 1024, 2048
+LANE_BITS, LANES = 1024, 4096
+# Bits of the lanes that are laid out at once.
+LAID_OUT = 128
 PRIOR = 0.4
 
 
@@ -99,17 +101,17 @@ def events(hashes: np.ndarray, symbols: np.ndarray, starts: np.ndarray, code: Co
     sizes = np.diff(code.offsets)[symbols]
     total = int(sizes.sum())
     ends = np.cumsum(sizes)
-    depth = np.arange(total) - np.repeat(ends - sizes, sizes)
-    at = np.repeat(code.offsets[symbols], sizes) + depth
-    node = code.nodes[at]
+    depth = (np.arange(total) - np.repeat(ends - sizes, sizes)).astype(np.int8)
+    at = np.repeat(code.offsets[symbols].astype(np.int32), sizes) + depth
+    node = code.nodes[at].astype(np.int32)
     spread = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     slots = [node]
     for context, size, offset in zip(contexts, SLOTS[1:], OFFSETS[1:]):
         with np.errstate(over="ignore"):
             key = (np.repeat(context, sizes) ^ spread) * np.uint64(0xD6E8FEB86659FD93)
         shift = np.uint64(64 - size.bit_length() + 1)
-        slots.append((key >> shift).astype(np.int64) + offset)
-    return Events(slots, code.bits[at], depth, sizes)
+        slots.append((key >> shift).astype(np.int32) + np.int32(offset))
+    return Events(slots, code.bits[at].astype(np.int8), depth, sizes)
 
 
 def count_into(table: np.ndarray, found: Events) -> None:
@@ -164,14 +166,6 @@ def run_lanes(
     for group in range(0, len(first), LANES):
         lane = by_length[group : group + LANES]
         n, steps = len(lane), int(length[lane[0]]) if len(lane) else 0
-        place = first[lane][None, :] + np.arange(steps)[:, None]
-        np.minimum(place, len(bits) - 1, out=place)
-        x = np.ones((steps, n, INPUTS), dtype=np.float32)
-        x[:, :, -1] = 0.3
-        for i, values in enumerate(inputs):
-            x[:, :, i] = values[place]
-        y = bits[place].astype(np.float32)
-        gate = np.minimum(depth[place], GATES - 1) + np.arange(n)[None, :] * GATES
         live = np.searchsorted(-length[lane], -np.arange(steps), side="left")
         weights = np.tile(start.astype(np.float32), (n, 1))
         refined = np.tile(cells, n)
@@ -179,7 +173,17 @@ def run_lanes(
         total = np.zeros(n)
         for t in range(steps):
             k = live[t]
-            xt, yt, at = x[t, :k], y[t, :k], gate[t, :k]
+            if t % LAID_OUT == 0:
+                place = first[lane[:k]][None, :] + np.arange(t, min(t + LAID_OUT, steps))[:, None]
+                np.minimum(place, len(bits) - 1, out=place)
+                x = np.empty((len(place), k, INPUTS), dtype=np.float32)
+                x[:, :, -1] = 0.3
+                for i, values in enumerate(inputs):
+                    x[:, :, i] = values[place]
+                y = bits[place].astype(np.float32)
+                gate = np.minimum(depth[place], GATES - 1) + np.arange(k)[None, :] * GATES
+            row = t % LAID_OUT
+            xt, yt, at = x[row, :k], y[row, :k], gate[row, :k]
             w = weights[at]
             z = np.clip(np.einsum("ij,ij->i", w, xt), -MAP_REACH + 0.01, MAP_REACH - 0.01)
             p = 1 / (1 + np.exp(-z))

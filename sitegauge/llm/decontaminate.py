@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-from sitegauge.llm.common import ALNUM, chunks, list_array, signed, words_of
+from sitegauge.llm.common import ALNUM, chunks, frugal, list_array, shipped, signed, words_of
 from sitegauge.llm.fm_index import FmIndex
 from sitegauge.sources.workdir import stored
 
@@ -73,7 +73,7 @@ def shards(docs: DataFrame) -> DataFrame:
 
     schema = f"index binary, ids array<{kind}>, text_hashes array<long>, counts array<long>"
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
-    return hashed.mapInArrow(build, schema)
+    return shipped(hashed).mapInArrow(frugal(build), schema)
 
 
 def windows(benchmark: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def windows(benchmark: DataFrame) -> DataFrame:
                         names=["item_id", "window"],
                     )
 
-    return benchmark.select("item_id", "text").mapInArrow(cut, f"item_id {kind}, window array<long>").distinct()
+    return shipped(benchmark).select("item_id", "text").mapInArrow(frugal(cut), f"item_id {kind}, window array<long>").distinct()
 
 
 def _spans(pos: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +183,7 @@ def _search(index_table: DataFrame, batch: list, id_kind: str, item_type: DataTy
         f"doc_id {id_kind}, text_hash long, n_words long, "
         f"spans array<struct<start:long,end:long>>, items array<{item_type.simpleString()}>"
     )
-    return index_table.mapInArrow(run, schema)
+    return shipped(index_table).mapInArrow(frugal(run), schema)
 
 
 def merged(spans: Column) -> Column:
@@ -255,7 +255,7 @@ def without_passages(docs: DataFrame, found: DataFrame) -> DataFrame:
     hits = found.where(F.size("spans") > 0).select("doc_id", "text_hash", "spans")
     hits = hits.dropDuplicates(["doc_id", "text_hash"])
     # The row travels as one column, so that no name of the input can clash.
-    rows = docs.select(F.struct("*").alias("_row"))
+    rows = shipped(docs).select(F.struct("*").alias("_row"))
     same = F.col("_row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("_row.text") == F.col("text_hash"))
     marked = rows.join(hits, same, "left")
 

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitegauge.llm.common import byte_class, chunks, remainder
+from sitegauge.llm.common import byte_class, chunks, frugal, remainder, shipped
 from sitegauge.llm.linear import logistic, platt, svm
 
 #: Documents of all languages together that are brought to the driver for learning, as vectors.
@@ -158,7 +158,7 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> LanguageModel |
     share = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, each / n))])
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     drawn = labelled.where(F.col("text").rlike(r"\p{L}") & (draw < F.element_at(share, F.col("lang"))))
-    rows = drawn.select("lang", "text").limit(2 * sample).mapInArrow(_vectors, "lang string, x binary").collect()
+    rows = shipped(drawn).select("lang", "text").limit(2 * sample).mapInArrow(frugal(_vectors), "lang string, x binary").collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
@@ -193,7 +193,7 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
                     names=["doc_id", "lang_pred", "score"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind}, lang_pred string, score double")
+    return shipped(docs).select("doc_id", "text").mapInArrow(frugal(score), f"doc_id {kind}, lang_pred string, score double")
 
 
 def relabelled(docs: DataFrame, model: LanguageModel | None, least: float) -> DataFrame:
@@ -210,7 +210,7 @@ def relabelled(docs: DataFrame, model: LanguageModel | None, least: float) -> Da
                 part = batch.slice(first, end - first).set_column(lang, "lang", pa.array(names, pa.string()))
                 yield part.filter(pa.array((names != UNKNOWN) & (sure >= least)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return shipped(docs).mapInArrow(frugal(keep), docs.schema)
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -19,14 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitegauge.llm import context_mixing as cm
-from sitegauge.llm.common import SPACED, chunks, remainder, words_of
+from sitegauge.llm.common import SPACED, chunks, frugal, remainder, shipped, words_of
 from sitegauge.sources.workdir import stored
 
 #: Tokens of a block; a longer document is one block.
 BLOCK_TOKENS = 1 << 21
 END_HASH = np.uint64(0x1D8E4E27C47D124F)
 # Words whose bits are worked out at once.
-STEP_WORDS = 1 << 17
+STEP_WORDS = 1 << 18
 # Parts of the table, and tables summed at once.
 PARTS, FAN = 64, 32
 #: Blocks, and documents of each, from which the mixing weights are trained.
@@ -110,7 +110,7 @@ def blocks(docs: DataFrame, learn: Column) -> DataFrame:
         if ids:
             yield row()
 
-    return docs.select("doc_id", "text", learn.alias("learn")).mapInArrow(build, f"{BLOCK}, ids array<{kind}>")
+    return shipped(docs).select("doc_id", "text", learn.alias("learn")).mapInArrow(frugal(build), f"{BLOCK}, ids array<{kind}>")
 
 
 def word_counts(table: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ def word_counts(table: DataFrame) -> DataFrame:
                     names=["block", "at", "hash", "own"],
                 )
 
-    rows = table.select("block", "n_words", "hashes", "trained").mapInArrow(each, "block long, at int, hash long, own long")
+    rows = shipped(table).select("block", "n_words", "hashes", "trained").mapInArrow(frugal(each), "block long, at int, hash long, own long")
     word = Window.partitionBy("hash")
     return rows.select(
         "block",
@@ -153,7 +153,7 @@ def by_block(counts: DataFrame) -> DataFrame:
         out[at] = n
         return pa.table({"block": rows.column("block")[:1], "counts": pa.array([_packed(out)], pa.binary())})
 
-    return counts.select("block", "at", "n").groupBy("block").applyInArrow(pack, "block long, counts binary")
+    return shipped(counts).select("block", "at", "n").groupBy("block").applyInArrow(pack, "block long, counts binary")
 
 
 def symbols_of(hashes: np.ndarray, coded: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -226,8 +226,8 @@ def predictor_counts(table: DataFrame, coded: tuple, code: cm.Code) -> np.ndarra
             {"part": rows.column("part")[:1], "source": pa.array([source], pa.int64()), "counts": pa.array([total], pa.binary())}
         )
 
-    wanted = table.select("n_words", "n_tokens", "train", "bounds", "hashes", "tokens")
-    summed = stored(wanted.mapInArrow(count, schema), "predictors")
+    wanted = shipped(table).select("n_words", "n_tokens", "train", "bounds", "hashes", "tokens")
+    summed = stored(wanted.mapInArrow(frugal(count), schema), "predictors")
     most = summed.agg(F.max("source").alias("m")).collect()[0]["m"]
     while most is not None and most > 0:
         group = F.floor(F.col("source") / FAN)
@@ -250,7 +250,7 @@ def trained_weights(table: DataFrame, coded: tuple, code: cm.Code, counts: np.nd
     sent = context.broadcast((coded, code, counts.astype(np.float32)))
     # The numbers alone are sorted; the blocks themselves are then read where they lie.
     numbers = table.select("block").orderBy(F.xxhash64("block"), "block").limit(SAMPLE_BLOCKS).collect()
-    some = table.where(F.col("block").isin([r["block"] for r in numbers]))
+    some = shipped(table).where(F.col("block").isin([r["block"] for r in numbers]))
     wanted = some.select("n_words", "n_tokens", "train", "bounds", "hashes", "tokens")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,7 +277,7 @@ def trained_weights(table: DataFrame, coded: tuple, code: cm.Code, counts: np.nd
                     names=["n", "weights"],
                 )
 
-    rows = wanted.mapInArrow(learn, "n long, weights binary").collect()
+    rows = wanted.mapInArrow(frugal(learn), "n long, weights binary").collect()
     if not rows:
         return cm.first_weights()
     rows.sort(key=lambda r: (r["n"], bytes(r["weights"])))
@@ -359,4 +359,4 @@ def score(docs: DataFrame) -> DataFrame:
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, bits_per_byte double"
     )
-    return joined.mapInArrow(each, schema)
+    return shipped(joined).mapInArrow(frugal(each), schema)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitegauge.llm.common import SPACED, chunks, list_array, signed, words_of
+from sitegauge.llm.common import SPACED, chunks, frugal, list_array, shipped, signed, words_of
 from sitegauge.llm.components import components
 from sitegauge.llm.shingles import bands, fingerprint, sets_of, signature
 from sitegauge.sources.workdir import stored
@@ -57,7 +57,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_shingles long, f1 long, f2 long, bands array<long>"
-    return docs.select("doc_id", "text").mapInArrow(sign, schema)
+    return shipped(docs).select("doc_id", "text").mapInArrow(frugal(sign), schema)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids, lists], names=["doc_id", "shingles"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(make, f"doc_id {kind}, shingles array<long>")
+    return shipped(docs).select("doc_id", "text").mapInArrow(frugal(make), f"doc_id {kind}, shingles array<long>")
 
 
 def stars(heads: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def settled(edges: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
     rows = open_stars.select("star", "a", "component", F.explode(blocks).alias("block"))
     filled = rows.join(sets.withColumnRenamed("doc_id", "a"), "a")
     kind = edges.schema["a"].dataType.simpleString()
-    return filled.groupBy("star", "block").applyInArrow(_links_of_block(percent), f"a {kind}, b {kind}").distinct()
+    return shipped(filled).groupBy("star", "block").applyInArrow(_links_of_block(percent), f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

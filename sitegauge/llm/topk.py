@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitegauge.llm.common import frugal, shipped
 from sitegauge.sources.workdir import stored
 
 PIVOTS = 32
@@ -79,7 +80,7 @@ def blocks(vectors: DataFrame, pivots: np.ndarray, size: int) -> DataFrame:
                     }
                 )
 
-    return vectors.mapInArrow(build, _BLOCK)
+    return shipped(vectors).mapInArrow(frugal(build), _BLOCK)
 
 
 def best_of_block(
@@ -154,7 +155,7 @@ def top_k(table: DataFrame, queries: Column, k: int = 5, n_pivots: int = PIVOTS)
                     }
                 )
 
-    found = pairs.drop("slot").mapInArrow(search, "query_id long, vec_id long, score long")
+    found = shipped(pairs.drop("slot")).mapInArrow(frugal(search), "query_id long, vec_id long, score long")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return (
         found.withColumn("rank", F.row_number().over(by_score))
