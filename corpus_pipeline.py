@@ -17,6 +17,9 @@ from sitegauge.sources.workdir import stored
 #: letters is the product of two mean probabilities, so only texts that fit nothing are below.
 LEAST_SCORE = 0.2
 
+#: Entries of the tokenizer's caches. They stay in the workers that run the other stages as well.
+CACHED = 150_000
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a language, and those that fit none; ``lang`` becomes what was found."""
@@ -61,7 +64,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in as few sequences as possible."""
-    packed = packing.packed_documents(docs)
+    packed = packing.packed_documents(docs, cached=CACHED)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -21,15 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitegauge.llm.common import shipped
 from sitegauge.sources.workdir import stored
 
 CAPACITY = 4096
 END_ID = 1
 STEPS = 64
 
-# Entries of the caches of a Python worker, which bound its memory.
-CACHED_CHUNKS = 600_000
-CACHED_WORDS = 800_000
+# Entries of each of the two caches of a Python worker: some 250 bytes an entry, kept from task to
+# task. More of them save time, fewer memory.
+CACHED = 600_000
 CACHED_CHARS = 48
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
@@ -53,9 +54,10 @@ class Encoder:
     and signs is put together from cached words. Else each text is encoded as one.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cached: int = CACHED) -> None:
         from tokenizers import Tokenizer
 
+        self.cached = cached
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
@@ -75,7 +77,7 @@ class Encoder:
         if out is None:
             shown = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
             out = np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
-            if len(self.words) >= CACHED_WORDS:
+            if len(self.words) >= self.cached:
                 self.words = {"": b""}
             if len(word) <= CACHED_CHARS:
                 self.words[word] = out
@@ -91,7 +93,7 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not self.by_part:
             return self._direct(text)
-        if len(self.parts) >= CACHED_CHUNKS:
+        if len(self.parts) >= self.cached:
             self.parts = {"": b""}
         split = text.replace("\n", " ").split(" ")
         try:
@@ -101,14 +103,14 @@ class Encoder:
             return b"".join([known[p] if p in known else self._part(p) for p in split])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cached: int = CACHED) -> Encoder:
     """One encoder per Python worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, cached) not in _ENCODERS:
+        _ENCODERS[path, cached] = Encoder(path, cached)
+    return _ENCODERS[path, cached]
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -117,7 +119,9 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = False, cached: int = CACHED
+) -> DataFrame:
     """Pieces of every document: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``.
 
     A document is the ids of its whole text and an end id; only longer ones are cut. With
@@ -126,7 +130,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = Fal
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path, cached).encode
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             rows, numbers, starts, lengths, sums, bodies = [], [], [], [], [], []
@@ -156,7 +160,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = Fal
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, {PIECES}" + (", ids array<int>" if ids else "")
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return shipped(docs).select("doc_id", "text").mapInArrow(cut, schema)
 
 
 def sum_of_squares(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> tuple[np.ndarray, int]:
@@ -255,7 +259,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*kept, pa.array(bins), pa.array(table[at, 4])], names=names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
-    return ranked(parts).mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    return shipped(ranked(parts)).mapInArrow(place, f"{fields}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -272,7 +276,9 @@ def sequences(packed: DataFrame) -> DataFrame:
     )
 
 
-def packed_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
+def packed_documents(
+    docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, ids: bool = False, cached: int = CACHED
+) -> DataFrame:
     """Every document cut, if longer than ``capacity``, and packed."""
-    parts = stored(pieces(docs, path or vocabulary_path(), capacity, ids), "pieces")
+    parts = stored(pieces(docs, path or vocabulary_path(), capacity, ids, cached), "pieces")
     return pack(parts, capacity)
