@@ -26,7 +26,7 @@ from sitegauge.sources.workdir import stored
 BLOCK_TOKENS = 1 << 21
 END_HASH = np.uint64(0x1D8E4E27C47D124F)
 # Words whose bits are worked out at once.
-STEP_WORDS = 1 << 18
+STEP_WORDS = 3 << 16
 # Parts of the table, and tables summed at once.
 PARTS, FAN = 64, 32
 #: Blocks, and documents of each, from which the mixing weights are trained.
