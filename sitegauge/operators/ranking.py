@@ -70,9 +70,9 @@ def add_ranks(
     base = stored(df, "ranked")
     ranked = base.withColumn(AT, F.col("_metadata.row_index"))
     for out, value in ranks.items():
-        counts = base.groupBy(*partition_by, value).agg(F.count("*").alias("_n"))
+        counts = stored(base.groupBy(*partition_by, value).agg(F.count("*").alias("_n")), "counts")
         table = value_ranks(counts, value, out, partition_by, rows_per_task)
-        ranked = join_by_value(ranked, table, out, rows_per_task)
+        ranked = join_by_value(ranked, counts, table, out, rows_per_task)
     return ranked.drop(AT)
 
 
@@ -87,9 +87,9 @@ def value_ranks(
     rank = rows in earlier ranges + rows above within the range + 1. The dealt table is stored
     with the number of its range, so a task that runs again finds the same ranges. What is
     summed over all ranges has one row per range, and one more per key of ``partition_by``.
+    ``counts`` should be stored, as dealing reads it twice.
     """
     keys = [*partition_by, value]
-    counts = stored(counts, "counts")
     ranges = -(-max(1, counts.count()) // rows_per_task)
     down = F.col(value).desc_nulls_last()
     placed = stored(
@@ -125,27 +125,27 @@ def value_ranks(
 
 
 def join_by_value(
-    df: DataFrame, table: DataFrame, out: str, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, counts: DataFrame, table: DataFrame, out: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Rows of ``df`` with ``out`` of their keys in ``table``, NULL keys included.
 
-    ``table`` has the rows ``_n`` of each key in ``df``. A key with more than ``rows_per_task``
+    ``counts`` and ``table`` have the rows ``_n`` of each key in ``df``. A key with more than ``rows_per_task``
     is dealt to ``_n / rows_per_task`` tasks by the row's place ``AT`` in its file, which tells
     equal rows apart and stays the same when a task runs again; its entry of ``table`` goes to
     each of them. Fewer than rows / ``rows_per_task`` keys are that large, and their names and
     numbers of tasks are what is broadcast.
     """
-    keys = [c for c in table.columns if c not in ("_n", out)]
+    keys = [c for c in counts.columns if c != "_n"]
     names = {key: f"_key_{key}" for key in keys}
     same = [F.col(key).eqNullSafe(F.col(name)) for key, name in names.items()]
     tasks = F.ceil(F.col("_n") / rows_per_task).cast("int")
-    table = stored(table, "value_ranks").withColumnsRenamed(names)
-    hot = table.where(F.col("_n") > rows_per_task).select(*names.values(), tasks.alias("_tasks"))
+    hot = counts.where(F.col("_n") > rows_per_task).withColumnsRenamed(names)
+    hot = hot.select(*names.values(), tasks.alias("_tasks"))
     salted = df.join(F.broadcast(hot), same, "left").select(
         *df.columns,
         F.coalesce(F.pmod(F.col(AT), F.col("_tasks")).cast("int"), F.lit(0)).alias("_salt"),
     )
-    copies = table.select(*names.values(), out, F.explode(F.sequence(F.lit(0), tasks - 1)).alias("_copy"))
+    copies = table.withColumnsRenamed(names).select(*names.values(), out, F.explode(F.sequence(F.lit(0), tasks - 1)).alias("_copy"))
     return salted.join(copies, [*same, F.col("_salt") == F.col("_copy")]).select(*df.columns, out)
 
 

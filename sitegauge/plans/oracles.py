@@ -312,6 +312,11 @@ good AS (
   SELECT c_name FROM (SELECT c_name, {OUTCOME} AS outcome FROM pages LEFT JOIN customer ON page_id = c_custkey)
   WHERE outcome = 'good')
 SELECT * FROM ({VISIT_CHANGES}) WHERE domain IN (SELECT c_name FROM good)""",
+    "stream_outcomes": f"""
+WITH {DOCS}
+SELECT CAST(page_id AS VARCHAR) AS url, outcome, CASE WHEN outcome = 'good' THEN domain END AS domain,
+       CASE WHEN outcome = 'good' THEN total_visits END AS total_visits
+FROM (SELECT page_id, {OUTCOME} AS outcome, domain, total_visits FROM pages LEFT JOIN doc ON page_id = c_custkey)""",
     "completeness_report": f"""
 WITH {LABELLED}
 SELECT source, count(*) AS n_rows, count(lang) / count(*) AS lang_complete,

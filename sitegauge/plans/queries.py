@@ -37,6 +37,7 @@ from sitegauge.plans import feeds, report, testbed
 from sitegauge.plans.testbed import table
 from sitegauge.sources.tables import read_csv, replace_table, write_csv
 from sitegauge.sources.workdir import fresh_path
+from sitegauge.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,7 +103,8 @@ def specs(*aliases: str) -> list[PathSpec]:
 def sites(spark: SparkSession, sf: str, *aliases: str) -> DataFrame:
     """Site rows of the JSON documents, or only some of their columns."""
     chosen = specs(*aliases)
-    parsed = testbed.site_documents(spark, sf).select(
+    ranked = bool({s.alias for s in chosen} & {"global_rank", "rank_history_raw"})
+    parsed = testbed.site_documents(spark, sf, ranked=ranked).select(
         json_objects(F.col("json"), document_type(chosen)).alias("parsed"),
         F.lit(None).cast("string").alias("reason"),
     )
@@ -129,7 +131,7 @@ def projection_file(spark: SparkSession, sf: str) -> DataFrame:
     text = spark.createDataFrame([(json.dumps(listed, indent=1),)], "value string")
     text.coalesce(1).write.text(path)
     chosen = load_spec(spark, path)
-    parsed = testbed.site_documents(spark, sf).select(
+    parsed = testbed.site_documents(spark, sf, ranked=False).select(
         json_objects(F.col("json"), document_type(chosen)).alias("parsed"),
         F.lit(None).cast("string").alias("reason"),
     )
@@ -465,6 +467,24 @@ def report_contents(spark: SparkSession, sf: str) -> DataFrame:
     return month_text(spark.table("monthly_visit_changes"))
 
 
+def stream_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages through the stream: the sites in its log, and the pages it rejected."""
+    pages = testbed.site_pages(spark, sf).select(
+        F.col("page_id").cast("string").alias("url"),
+        "content",
+        F.lit("2024-01-10").cast("timestamp").alias("scraped_at"),
+    )
+    source, log = fresh_path(spark, "stream-in"), fresh_path(spark, "stream-log")
+    pages.write.parquet(source)
+    waiting = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 4).parquet(source)
+    ingest.ingest(waiting, log, fresh_path(spark, "stream-state")).awaitTermination()
+    good = ingest.current_sites(spark, log).select(
+        "url", F.lit("good").alias("outcome"), "domain", "total_visits"
+    )
+    bad = ingest.rejected_pages(spark, log).select("url", F.col("reason").alias("outcome"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 # Data quality, snapshots, sources
 
 
@@ -566,6 +586,7 @@ QUERIES: dict[str, Query] = {
         table_roundtrip,
         view_registry,
         report_contents,
+        stream_outcomes,
         completeness_report,
         missing_class,
         volume_check,

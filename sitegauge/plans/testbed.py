@@ -114,10 +114,13 @@ def block_of(key: Column) -> Column:
     return F.floor(key / RIVALS)
 
 
-def site_documents(spark: SparkSession, sf_dir: str, wanted: DataFrame | None = None) -> DataFrame:
+def site_documents(
+    spark: SparkSession, sf_dir: str, wanted: DataFrame | None = None, ranked: bool = True
+) -> DataFrame:
     """(custkey, json): one document per customer, with the rank history of its RIVALS block.
 
-    ``wanted`` has one column of customer keys: only documents of their blocks are built.
+    ``wanted`` has one column of customer keys: only documents of their blocks are built. Without
+    ``ranked`` the ranks in them are null, for readers that do not want them.
     Built text is joined by merging, never broadcast: Spark takes it for far smaller than it is.
 
     The lists collected here are bounded: months of the calendar, fixed priorities and
@@ -125,11 +128,12 @@ def site_documents(spark: SparkSession, sf_dir: str, wanted: DataFrame | None =
     """
     status = F.col("o_orderpriority")
     band = F.floor(F.col("o_totalprice") / BRACKET_WIDTH)
-    months = ranked_months(
-        spark, sf_dir,
-        *(F.count_if(status == p).alias(f"p{i}") for i, p in enumerate(PRIORITIES)),
-        *(F.count_if(band == i).alias(f"b{i}") for i in range(len(BRACKETS))),
-    )
+    tallies = [F.count_if(status == p).alias(f"p{i}") for i, p in enumerate(PRIORITIES)]
+    tallies += [F.count_if(band == i).alias(f"b{i}") for i in range(len(BRACKETS))]
+    if ranked:
+        months = ranked_months(spark, sf_dir, *tallies)
+    else:
+        months = customer_months(spark, sf_dir, *tallies).withColumn("rank", F.lit(None).cast("bigint"))
     customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "custkey")
     if wanted is not None:
         blocks = wanted.select(block_of(F.col(wanted.columns[0])).alias("_block")).distinct()
