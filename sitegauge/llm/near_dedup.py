@@ -162,7 +162,8 @@ def settled(edges: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
     at = labels.select(F.col("node").alias("a"), "component")
     tagged = own.join(at, "a", "left").withColumn("component", F.coalesce("component", "a"))
     centre = labels.select(F.col("node").alias("star"), F.col("component").alias("_centre"))
-    tagged = tagged.join(centre, "star", "left").withColumn(
+    # Joins by star are merged: Spark splits the rows of a large one over tasks.
+    tagged = tagged.join(centre.hint("merge"), "star", "left").withColumn(
         "out", F.col("component") != F.coalesce("_centre", "star")
     )
     tagged = stored(tagged.drop("_centre"), "stars")
@@ -170,7 +171,7 @@ def settled(edges: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
         F.ceil(F.count_if("out") / PART_MEMBERS).alias("n_out"),
         F.ceil(F.count_if(~F.col("out")) / PART_MEMBERS).alias("n_in"),
     )
-    open_stars = tagged.join(size.where("n_out > 0"), "star")
+    open_stars = tagged.join(stored(size.where("n_out > 0"), "sizes").hint("merge"), "star")
     mine = F.pmod(F.xxhash64("a"), F.when(F.col("out"), F.col("n_out")).otherwise(F.col("n_in")))
     open_stars = open_stars.withColumn("mine", mine)
 
