@@ -20,7 +20,7 @@ from sitegauge.session import build_session
 from sitegauge.sources.workdir import clear
 
 
-LONG = 5.0
+LONG = 2.0
 
 
 def once(name: str, spark: SparkSession, sf_dir: str) -> float:
