@@ -31,6 +31,8 @@ STEP_WORDS = 3 << 16
 PARTS, FAN = 64, 32
 #: Blocks, and documents of each, from which the mixing weights are trained.
 SAMPLE_BLOCKS, SAMPLE_WORDS = 12, 40_000
+#: A word has a code of its own only if it is more than one of so many training words.
+RAREST = 1_000_000
 LOG10 = float(np.log(10))
 
 
@@ -302,7 +304,9 @@ def score(docs: DataFrame) -> DataFrame:
     words = counts.where(F.col("hash").isNotNull() & (F.col("n") > 0))
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).collect()[0]
     n_all, n_words = total["n"], total["v"]
-    top = words.orderBy(F.desc("n"), "hash").limit(cm.CODED).select("hash", "n").collect()
+    # Fewer than RAREST words can have more than this share, so no task sorts more.
+    frequent = words.where(F.col("n") > n_all / RAREST)
+    top = frequent.orderBy(F.desc("n"), "hash").limit(cm.CODED).select("hash", "n").collect()
     known = np.array([r["hash"] for r in top], dtype=np.int64).view(np.uint64)
     order = np.argsort(known)
     coded = (known[order], (order + 1).astype(np.int64))
