@@ -283,6 +283,17 @@ FROM metrics WHERE rank_change IS NOT NULL""",
     "feed_combined": f"""
 WITH {MONTHS}, {METRICS}
 SELECT domain, visit_growth, rank_change, combined_rank FROM ranking ORDER BY combined_rank""",
+    "feeds_of_report": f"""
+WITH {MONTHS}, {METRICS},
+long(feed, domain, value) AS (
+  SELECT 'growth', domain, visit_growth FROM metrics WHERE visit_growth IS NOT NULL
+  UNION ALL SELECT 'rank_change', domain, rank_change FROM metrics WHERE rank_change IS NOT NULL
+  UNION ALL SELECT 'combined', domain, combined_rank FROM ranking
+  UNION ALL SELECT 'visits_group', domain, visits FROM vs WHERE visits IS NOT NULL AND domain IN ({GROUP_SQL})
+  UNION ALL SELECT 'visits_single', domain, visits FROM vs WHERE visits IS NOT NULL AND domain = '{SINGLE}'
+  UNION ALL SELECT 'rank_group', domain, rank FROM rs WHERE domain IN ({GROUP_SQL})
+  UNION ALL SELECT 'rank_single', domain, rank FROM rs WHERE domain = '{SINGLE}')
+SELECT feed, domain, CAST(value AS DOUBLE) AS value FROM long""",
     "csv_roundtrip": f"""
 WITH {DOCS}
 SELECT domain, global_rank, total_visits, bounce_rate_raw, bounce_rate_percent, pages_per_visit,

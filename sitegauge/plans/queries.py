@@ -401,6 +401,26 @@ def feed_combined(spark: SparkSession, sf: str) -> DataFrame:
     return feeds.combined_feed(ranking.relative_ranking(*both_series(spark, sf)))
 
 
+def feeds_of_report(spark: SparkSession, sf: str) -> DataFrame:
+    """All feeds that have rows, one after another; the one of an unknown site is left out."""
+    visits, ranks = both_series(spark, sf)
+    frames = {
+        "monthly_visit_changes": series.visit_changes(visits),
+        "monthly_rank_changes": series.rank_changes(ranks),
+        "relative_ranking": ranking.relative_ranking(visits, ranks),
+    }
+    groups = {"group": GROUP, "single": [SINGLE], "nobody": ["no such site"]}
+    shown = {"growth": "visit_growth", "rank_change": "rank_change", "combined": "combined_rank"}
+    every = None
+    for name, feed in feeds.site_feeds(frames, groups, EXTREME).items():
+        if not feeds.is_worth_drawing(feed):
+            continue
+        value = F.col(shown.get(name, name.partition("_")[0])).cast("double")
+        one = feed.select(F.lit(name).alias("feed"), "domain", value.alias("value"))
+        every = one if every is None else every.unionAll(one)
+    return every
+
+
 # Sinks and views
 
 
@@ -582,6 +602,7 @@ QUERIES: dict[str, Query] = {
         feed_growth_sign,
         feed_rank_split,
         feed_combined,
+        feeds_of_report,
         csv_roundtrip,
         table_roundtrip,
         view_registry,
