@@ -63,8 +63,8 @@ def script_token_extract(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def parsed_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_pages(testbed.site_pages(spark, sf), DOCUMENT, "content")
+def parsed_pages(spark: SparkSession, sf: str, ranked: bool = True) -> DataFrame:
+    return parse_pages(testbed.site_pages(spark, sf, ranked), DOCUMENT, "content")
 
 
 def embedded_json_extract(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,7 +91,7 @@ def sizes(name: str, out: str) -> Column:
 
 
 def bad_record_split(spark: SparkSession, sf: str) -> DataFrame:
-    return parsed_pages(spark, sf).select(
+    return parsed_pages(spark, sf, ranked=False).select(
         "page_id", F.coalesce("reason", F.lit("good")).alias("outcome")
     )
 

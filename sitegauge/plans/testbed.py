@@ -210,7 +210,7 @@ def site_documents(
     )
 
 
-def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def site_pages(spark: SparkSession, sf_dir: str, ranked: bool = True) -> DataFrame:
     """(page_id, content): every real page, with the document of the customer of the same key
     in a script before it. The last digit of page_id says what is special about the page:
 
@@ -218,7 +218,7 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     4 a script that only names the variable, 5 text after the object.
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    docs = site_documents(spark, sf_dir, pages.select("page_id"))
+    docs = site_documents(spark, sf_dir, pages.select("page_id"), ranked)
     digit = F.pmod(F.col("page_id"), F.lit(10))
     script = lambda body: F.concat(F.lit("<script>"), body, F.lit("</script>"))
     assign = F.concat(F.lit("window.__APP_DATA__ = "), F.col("json"))
