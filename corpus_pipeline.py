@@ -17,6 +17,9 @@ from sitegauge.sources.workdir import stored
 #: letters is the product of two mean probabilities, so only texts that fit nothing are below.
 LEAST_SCORE = 0.2
 
+#: Least similarity of near copies, in per cent of their shingles of five words.
+NEAR_PERCENT = 80
+
 #: Entries of the tokenizer's caches. They stay in the workers that run the other stages as well.
 CACHED = 150_000
 
@@ -32,7 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents without an id are in no group and stay.
     """
-    found = near_dedup.near_duplicates(docs)
+    found = near_dedup.near_duplicates(docs, percent=NEAR_PERCENT)
     kept = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
     kept = stored(kept, "kept")
     named = docs.join(kept.where("_n = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")

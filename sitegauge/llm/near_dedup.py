@@ -8,8 +8,9 @@
    blocks of bounded size, which give back the links that join components and no pairs else.
 
 So two documents that share a bucket are linked if their similarity asks for it, whichever
-member is the star's centre. Two sets with similarity s miss each other in all buckets with
-probability (1 - s^7)^36, below 1e-6 at s = 0.85.
+member is the star's centre. The bands follow from the least similarity: two sets that just have
+it miss each other in all buckets with a probability below 1e-6, (1 - s^7)^36 at s = 0.85 and
+(1 - s^5)^35 at s = 0.8.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sitegauge.llm.common import SPACED, chunks, frugal, list_array, shipped, signed, words_of
 from sitegauge.llm.components import components
-from sitegauge.llm.shingles import bands, fingerprint, sets_of, signature
+from sitegauge.llm.shingles import bands, fingerprint, layout, sets_of, signature
 from sitegauge.sources.workdir import stored
 
 #: Least similarity of linked documents, in per cent.
@@ -34,14 +35,15 @@ PART_MEMBERS = 128
 BLOCK_COLUMNS = 4096
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``f1``, ``f2`` (the set's fingerprint) and ``bands``."""
+    n, width = layout(percent)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in chunks(batch.column(1)):
                 sets = sets_of(words_of(data, offsets, SPACED))
-                keys = [bands(signature(s)) if len(s) else s for s in sets]
+                keys = [bands(signature(s), n, width) if len(s) else s for s in sets]
                 marks = [fingerprint(s) for s in sets]
                 bounds = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
                 yield pa.RecordBatch.from_arrays(
@@ -206,7 +208,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     that repeat a ``doc_id`` are one node with the links of all. Rows with a NULL ``doc_id``
     are kept and have no component. Other columns are not looked at.
     """
-    signed_docs = stored(signatures(docs), "signatures")
+    signed_docs = stored(signatures(docs, percent), "signatures")
     known = signed_docs.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = stored(known.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("head")), "classes")
     as_id = classes.withColumnRenamed("head", "doc_id")

@@ -8,6 +8,8 @@ sets with the same filled bins agree on the source.
 
 from __future__ import annotations
 
+from math import ceil, log
+
 import numpy as np
 
 from sitegauge.llm.common import Words, mix
@@ -16,6 +18,8 @@ SHINGLE = 5
 BINS = 256
 BAND_ROWS = 7
 BANDS = BINS // BAND_ROWS
+#: Chance that two sets of the least similarity share no bucket.
+MISSED = 1e-6
 
 _ORDER_SEED = 20_011
 
@@ -79,12 +83,29 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def bands(values: np.ndarray) -> np.ndarray:
-    """One bucket key per band of BAND_ROWS bins."""
-    rows = values[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
+def layout(percent: int) -> tuple[int, int]:
+    """Number of bands and bins per band for sets with a similarity of ``percent`` or more.
+
+    The longest bands of which there are enough that such sets miss each other in all of them
+    with at most MISSED.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError(f"a similarity of {percent} per cent")
+    if percent == 100:
+        return BANDS, BAND_ROWS
+    for rows in range(BINS, 0, -1):
+        apart = log(1 - (percent / 100) ** rows)
+        if apart and ceil(log(MISSED) / apart) * rows <= BINS:
+            return ceil(log(MISSED) / apart), rows
+    raise ValueError(f"{BINS} bins are too few for a similarity of {percent} per cent")
+
+
+def bands(values: np.ndarray, n: int = BANDS, width: int = BAND_ROWS) -> np.ndarray:
+    """One bucket key for each of ``n`` bands of ``width`` bins."""
+    rows = values[: n * width].reshape(n, width)
     with np.errstate(over="ignore"):
-        key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)
-        for i in range(BAND_ROWS):
+        key = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)
+        for i in range(width):
             key = mix(key + rows[:, i])
     return key
 

@@ -13,6 +13,7 @@ import __spark_entry__
 import corpus_pipeline
 from sitegauge.llm import packing, secrets_scan
 from sitegauge.llm.queries import ORACLES, QUERIES
+from sitegauge.llm.shingles import BAND_ROWS, BANDS, BINS, layout
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -104,3 +105,39 @@ def test_pipeline_without_documents(spark, planted, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{path}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_copies_of_four_fifths_go(spark):
+    base = [" ".join(words(300, 40 + i, "word")) for i in range(30)]
+    rows, close = [], 0
+    for i, text in enumerate(base):
+        w = text.split()
+        # Every changed word takes five shingles of 296 from both sides.
+        for j, changed in enumerate((5, 6)):
+            copy = list(w)
+            for k in range(changed):
+                copy[20 + 45 * k] = f"other{i}x{j}x{k}"
+            rows.append((1000 + 10 * i + j, " ".join(copy), "en"))
+        rows.append((1005 + 10 * i, text, "en"))
+    label, sets = {d: d for d, _, _ in rows}, {}
+    for d, t, _ in rows:
+        w = t.split()
+        sets[d] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    for d in sorted(sets):
+        for e in sorted(sets):
+            if d < e:
+                s = len(sets[d] & sets[e]) / len(sets[d] | sets[e])
+                close += 0.8 <= s < 0.85
+                if s >= 0.8:
+                    label[e] = min(label[d], label[e])
+    assert close >= 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(d for d in label if label[d] == d)
+
+
+def test_bands_miss_one_pair_in_a_million():
+    for percent in (50, 80, 85, 90):
+        n, width = layout(percent)
+        assert n * width <= BINS and (1 - (percent / 100) ** width) ** n <= 1e-6
+    assert layout(85) == (BANDS, BAND_ROWS)
