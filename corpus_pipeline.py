@@ -31,21 +31,26 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: the one with the smallest id, the first of equal ids.
+    """Keeps one document of each group: the one with the smallest id, the first of equal rows.
 
-    Documents without an id are in no group and stay.
+    Rows that share an id and differ in their texts are documents of their own. Documents
+    without an id are in no group and stay.
     """
-    found = near_dedup.near_duplicates(docs, percent=NEAR_PERCENT)
-    kept = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-    kept = stored(kept, "kept")
-    named = docs.join(kept.where("_n = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
-    repeated = kept.where("_n > 1").select("doc_id")
+    # The row travels as one column, so that no name of the input can clash.
+    key = F.xxhash64("doc_id", "text")
+    rows = docs.where("doc_id IS NOT NULL").select(F.struct("*").alias("_row"), key.alias("_key"))
+    texts = rows.select(F.col("_key").alias("doc_id"), F.col("_row.text").alias("text"))
+    found = near_dedup.near_duplicates(texts, percent=NEAR_PERCENT)
+    groups = stored(found.select(F.col("doc_id").alias("_key"), "component_id").distinct(), "groups")
+    nodes = rows.groupBy("_key").agg(F.min("_row.doc_id").alias("id"), F.count(F.lit(1)).alias("n"))
+    least = nodes.join(groups, "_key").groupBy("component_id").agg(F.min(F.struct("id", "_key", "n")).alias("_first"))
+    kept = stored(least.select("_first._key", "_first.n"), "kept")
+    named = rows.join(kept.where("n = 1").select("_key").hint("merge"), "_key", "left_semi").select("_row")
+    repeated = kept.where("n > 1").select("_key")
     if not repeated.isEmpty():
-        rest = [c for c in docs.columns if c != "doc_id"]
-        rows = docs.join(repeated.hint("merge"), "doc_id", "left_semi")
-        first = rows.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row")).select("doc_id", "_row.*")
-        named = named.unionByName(first)
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+        same = rows.join(repeated.hint("merge"), "_key", "left_semi")
+        named = named.unionByName(same.groupBy("_key").agg(F.min("_row").alias("_row")).select("_row"))
+    return named.select("_row.*").unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from oracle import connect, difference
 from pyspark.sql import functions as F
-from test_operators import ODD, brute_duplicates, brute_passages, words
+from test_operators import ODD, brute_duplicates, brute_passages, documents, words
 
 import __spark_entry__
 import corpus_pipeline
@@ -141,3 +141,14 @@ def test_bands_miss_one_pair_in_a_million():
         n, width = layout(percent)
         assert n * width <= BINS and (1 - (percent / 100) ** width) ** n <= 1e-6
     assert layout(85) == (BANDS, BAND_ROWS)
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    one, two, three, four = (" ".join(words(60, 70 + i, "word")) for i in range(4))
+    rows = [(7, one, "en"), (9, one, "en"), (7, two, "en"), (10, two, "en")]  # copies under other ids
+    rows += [(11, three, "en"), (11, four, "en"), (11, four, "en"), (11, None, "en")]  # and an id alone
+    docs = documents(spark, rows)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(7, one), (7, two), (11, three), (11, four), (11, None)]
+    assert sorted((r["doc_id"], r["text"] or "") for r in got.collect()) == sorted((d, t or "") for d, t in want)
