@@ -233,3 +233,14 @@ def test_threshold_keeps_the_recall():
     p = 1 / (1 + np.exp(-(slope * logits + shift)))
     assert threshold >= 0.5
     assert (p[y == 1] >= threshold).mean() >= 0.8 or threshold == 0.5
+
+
+@pytest.mark.parametrize("recall", [0.9, 0.98])
+def test_threshold_without_a_floor_keeps_the_recall(recall):
+    # Most findings score below many of the other runs.
+    logits = np.concatenate([np.linspace(-3, 1, 100), np.linspace(-2, 2, 300)])
+    y = np.repeat([1, 0], [100, 300])
+    slope, shift, threshold = calibrated(logits, y, recall, least=0.0)
+    p = 1 / (1 + np.exp(-(slope * logits + shift)))
+    assert threshold < 0.5
+    assert (p[y == 1] >= threshold).mean() == pytest.approx(recall)
