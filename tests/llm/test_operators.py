@@ -326,6 +326,21 @@ def test_recall_is_kept_where_findings_and_other_runs_overlap(spark, monkeypatch
     assert (scores >= least).mean() >= secrets_scan.RECALL
 
 
+def test_copies_of_findings_change_no_span(spark):
+    rows, _ = mixed_findings(spark)
+    copies = [(5000 + i, t, lang) for i in range(600) for _, t, lang in (rows[0], rows[130])]
+
+    def fitted(some):
+        return secrets_scan.fit(secrets_scan.examined(documents(spark, some)), sample=100)
+
+    once, often = fitted(rows), fitted(rows + copies)
+    assert once is not None and often is not None
+    assert once.thresholds == often.thresholds and once.threshold == often.threshold
+    assert all((a == b).all() for a, b in zip(once.net.parameters(), often.net.parameters()))
+    # Ten copies of two findings are two examples.
+    assert fitted([rows[0]] * 10 + [rows[130]] * 10) is None
+
+
 def brute_passages(rows, items):
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     split = lambda t: re.findall(pattern, (t or "").translate(UPPER))
