@@ -5,7 +5,8 @@
    words back, so no task or driver ever holds the corpus's vocabulary.
 3. The predictors' counts, a table of fixed size, are gathered from every training word, summed
    in steps of bounded width.
-4. Every block is scored with the table and with weights trained on a bounded sample.
+4. The mixing weights are trained on every training word, block by block, and averaged.
+5. Every block is scored with the table and those weights.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ END_HASH = np.uint64(0x1D8E4E27C47D124F)
 STEP_WORDS = 3 << 16
 # Parts of the table, and tables summed at once.
 PARTS, FAN = 64, 32
-#: Blocks, and documents of each, from which the mixing weights are trained.
-SAMPLE_BLOCKS, SAMPLE_WORDS = 12, 40_000
+# Weights are summed as whole numbers of this part of one, so that the order decides nothing.
+WEIGHT_UNIT = 1 << 24
 #: A word has a code of its own only if it is more than one of so many training words.
 RAREST = 1_000_000
 LOG10 = float(np.log(10))
@@ -244,16 +245,13 @@ def predictor_counts(table: DataFrame, coded: tuple, code: cm.Code) -> np.ndarra
 
 
 def trained_weights(table: DataFrame, coded: tuple, code: cm.Code, counts: np.ndarray) -> np.ndarray:
-    """Mean last weights over lanes of training documents, their own bits not counted.
+    """Mean last weights over the lanes of all training documents, their own bits not counted.
 
-    From the first SAMPLE_WORDS training words of SAMPLE_BLOCKS blocks, chosen by hash.
+    Every task sums the weights of its blocks; Spark sums those, so one row comes back.
     """
     context = table.sparkSession.sparkContext
     sent = context.broadcast((coded, code, counts.astype(np.float32)))
-    # The numbers alone are sorted; the blocks themselves are then read where they lie.
-    numbers = table.select("block").orderBy(F.xxhash64("block"), "block").limit(SAMPLE_BLOCKS).collect()
-    some = shipped(table).where(F.col("block").isin([r["block"] for r in numbers]))
-    wanted = some.select("n_words", "n_tokens", "train", "bounds", "hashes", "tokens")
+    wanted = shipped(table).select("n_words", "n_tokens", "train", "bounds", "hashes", "tokens")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coded, code, counts = sent.value
@@ -261,30 +259,36 @@ def trained_weights(table: DataFrame, coded: tuple, code: cm.Code, counts: np.nd
             for row in batch.to_pylist():
                 hashes = _unpacked(row["hashes"], "<u8", row["n_words"])
                 tokens = _unpacked(row["tokens"], "<u4", row["n_tokens"])
-                sizes, train = np.diff(row["bounds"]), np.array(row["train"])
-                chosen = train & (np.cumsum(np.where(train, sizes, 0)) <= SAMPLE_WORDS)
-                part = tokens[np.repeat(chosen, sizes)]
-                docs = np.concatenate([[0], np.cumsum(sizes[chosen])])
-                if not len(part):
-                    continue
-                found = cm.events(hashes[part], symbols_of(hashes, coded)[part], docs[:-1], code)
-                first, length, _ = cm.lanes_of(found.sizes, docs)
-                if not len(first):
-                    continue
-                _, last = cm.run_lanes(
-                    cm.left_out(counts, found), found.bits, found.depth, first, length, cm.first_weights()
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([len(first)], pa.int64()), pa.array([last.astype(np.float64).tobytes()], pa.binary())],
-                    names=["n", "weights"],
-                )
-
-    rows = wanted.mapInArrow(frugal(learn), "n long, weights binary").collect()
-    if not rows:
+                symbols = symbols_of(hashes, coded)
+                bounds, train = np.array(row["bounds"]), np.array(row["train"])
+                lanes, summed = 0, np.zeros((cm.GATES, cm.INPUTS))
+                for begin, end in document_runs(bounds):
+                    sizes, chosen = np.diff(bounds[begin : end + 1]), train[begin:end]
+                    part = tokens[bounds[begin] : bounds[end]][np.repeat(chosen, sizes)]
+                    if not len(part):
+                        continue
+                    docs = np.concatenate([[0], np.cumsum(sizes[chosen])])
+                    found = cm.events(hashes[part], symbols[part], docs[:-1], code)
+                    first, length, _ = cm.lanes_of(found.sizes, docs)
+                    if not len(first):
+                        continue
+                    _, last = cm.run_lanes(
+                        cm.left_out(counts, found), found.bits, found.depth, first, length, cm.first_weights()
+                    )
+                    lanes += len(first)
+                    summed += last * len(first)
+                if lanes:
+                    units = np.rint(summed * WEIGHT_UNIT).astype(np.int64).reshape(-1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lanes], pa.int64()), pa.array([units], pa.list_(pa.int64()))], names=["n", "weights"]
+                    )
+
+    rows = wanted.mapInArrow(frugal(learn), "n long, weights array<long>")
+    cells = [F.sum(F.col("weights")[i]).alias(f"w{i}") for i in range(cm.GATES * cm.INPUTS)]
+    total = rows.agg(F.sum("n").alias("n"), *cells).collect()[0]
+    if not total["n"]:
         return cm.first_weights()
-    rows.sort(key=lambda r: (r["n"], bytes(r["weights"])))
-    every = [np.frombuffer(r["weights"]).reshape(cm.GATES, cm.INPUTS) * r["n"] for r in rows]
-    return np.sum(every, axis=0) / sum(r["n"] for r in rows)
+    return np.array(total[1:], dtype=float).reshape(cm.GATES, cm.INPUTS) / WEIGHT_UNIT / total["n"]
 
 
 def score(docs: DataFrame) -> DataFrame:

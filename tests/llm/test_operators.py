@@ -574,3 +574,17 @@ def test_table_parts_are_summed_in_steps(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 1 << 21)
     one = {r["doc_id"]: r["base_score"] for r in lm_scoring.score(docs.coalesce(1)).collect()}
     assert many == pytest.approx(one)
+
+
+def test_weights_come_from_all_training_words(spark, monkeypatch):
+    learned, learn = [], lm_scoring.trained_weights
+    monkeypatch.setattr(lm_scoring, "trained_weights", lambda *a: learned.append(learn(*a)) or learned[-1])
+    docs = documents(spark, [(i, " ".join(words(60, i)), "en") for i in range(200)])
+    lm_scoring.score(docs.coalesce(1))
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 200)
+    lm_scoring.score(docs.coalesce(1))
+    assert learned[0] == pytest.approx(learned[1], abs=1e-5)
+    # A text longer than any step is learned from as well.
+    long = [i for i in range(20) if crc(i, 5) != 1][:2]
+    lm_scoring.score(documents(spark, [(i, " ".join(words(50_000, i)), "en") for i in long]))
+    assert not np.allclose(learned[2], lm_scoring.cm.first_weights())
