@@ -581,8 +581,7 @@ def test_weights_come_from_all_training_words(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "trained_weights", lambda *a: learned.append(learn(*a)) or learned[-1])
     docs = documents(spark, [(i, " ".join(words(60, i)), "en") for i in range(200)])
     lm_scoring.score(docs.coalesce(1))
-    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 200)
-    lm_scoring.score(docs.coalesce(1))
+    lm_scoring.score(docs.repartition(20))  # a block of each part
     assert learned[0] == pytest.approx(learned[1], abs=1e-5)
     # A text longer than any step is learned from as well.
     long = [i for i in range(20) if crc(i, 5) != 1][:2]
