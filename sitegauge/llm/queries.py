@@ -16,6 +16,7 @@ from sitegauge.llm import (
     packing,
     quality,
     secrets_scan,
+    threshold_clusters,
     topk,
     url_filters,
 )
@@ -65,6 +66,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_centroid_clusters": op11_centroid_clusters,
 }
 
 TOP_K = """
@@ -99,4 +105,5 @@ ORACLES: dict[str, str] = {
     "op6_url_filters": url_filters.oracle(),
     "op8_benchmark_decontamination": decontaminate.ORACLE,
     "op9_exact_top_k": TOP_K,
+    "op11_centroid_clusters": threshold_clusters.oracle(),
 }
