@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sitegauge.llm import (
     chat,
     decontaminate,
+    divergence,
     languages,
     lm_scoring,
     near_dedup,
@@ -70,6 +71,10 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threshold_clusters.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_top_k": op9_exact_top_k,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 TOP_K = """
@@ -106,4 +112,5 @@ ORACLES: dict[str, str] = {
     "op8_benchmark_decontamination": decontaminate.ORACLE,
     "op9_exact_top_k": TOP_K,
     "op11_centroid_clusters": threshold_clusters.oracle(),
+    "op12_source_divergence": divergence.ORACLE,
 }
