@@ -16,6 +16,7 @@ from sitegauge.llm import (
     near_dedup,
     packing,
     quality,
+    repeats,
     secrets_scan,
     threshold_clusters,
     topk,
@@ -75,6 +76,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_centroid_clusters": op11_centroid_clusters,
     "op12_source_divergence": op12_source_divergence,
+    "op13_suffix_array_dedup": op13_suffix_array_dedup,
 }
 
 TOP_K = """
@@ -113,4 +119,5 @@ ORACLES: dict[str, str] = {
     "op9_exact_top_k": TOP_K,
     "op11_centroid_clusters": threshold_clusters.oracle(),
     "op12_source_divergence": divergence.ORACLE,
+    "op13_suffix_array_dedup": repeats.ORACLE,
 }
