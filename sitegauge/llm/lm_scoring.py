@@ -32,8 +32,8 @@ STEP_WORDS = 3 << 16
 PARTS, FAN = 64, 32
 # Weights are summed as whole numbers of this part of one, so that the order decides nothing.
 WEIGHT_UNIT = 1 << 24
-#: A word has a code of its own only if it is more than one of so many training words.
-RAREST = 1_000_000
+# Cells of a count by ranges, and words that one task may sort to choose the most frequent.
+CELLS, SORTED_WORDS = 1024, 1 << 16
 LOG10 = float(np.log(10))
 
 
@@ -291,6 +291,50 @@ def trained_weights(table: DataFrame, coded: tuple, code: cm.Code, counts: np.nd
     return np.array(total[1:], dtype=float).reshape(cm.GATES, cm.INPUTS) / WEIGHT_UNIT / total["n"]
 
 
+def _cut(rows: DataFrame, key: Column, low: int, high: int, k: int, enough: int) -> tuple[int, int, int]:
+    """The range of ``key`` that the k-th smallest row lies in, and the number of rows below it.
+
+    ``low`` up to ``high`` holds all keys. The range is narrowed by counts over CELLS parts of it
+    until the rows up to its end are no more than ``enough``, or it is one key.
+    """
+    before = 0
+    while True:
+        width = -(-(high - low) // CELLS)
+        within = rows.where((key >= low) & (key < high))
+        cell = F.floor((key - low) / width).cast("long").alias("cell")
+        counts = sorted(tuple(r) for r in within.groupBy(cell).agg(F.count(F.lit(1)).alias("n")).collect())
+        for at, n in counts:
+            if before + n >= k:
+                break
+            before += n
+        low, high = low + at * width, min(high, low + (at + 1) * width)
+        if before + n <= enough or width == 1:
+            return low, high, before
+
+
+def most_frequent(words: DataFrame, k: int) -> list:
+    """The k words (``hash``, ``n``) with the largest counts, ties by hash; all if there are fewer.
+
+    The least count that is still among them is found by counts over ranges, and so, among words
+    of that same count, is a bound of the hash. At most SORTED_WORDS or k words are sorted,
+    whatever the number of words, also if they all have the same count.
+    """
+    enough = max(k, SORTED_WORDS)
+    total = words.agg(F.count(F.lit(1)).alias("v"), F.max("n").alias("most")).collect()[0]
+    if total["v"] > enough:
+        most = total["most"]
+        down = F.lit(most) - F.col("n")
+        low, high, before = _cut(words, down, 0, most + 1, k, enough)
+        chosen = down < high
+        if high - low == 1:
+            spread = F.shiftrightunsigned("hash", 32)
+            tied = words.where(down == low)
+            _, bound, _ = _cut(tied, spread, 0, 1 << 32, k - before, enough)
+            chosen = (down < low) | ((down == low) & (spread < bound))
+        words = words.where(chosen)
+    return words.orderBy(F.desc("n"), F.shiftrightunsigned("hash", 32), "hash").limit(k).select("hash", "n").collect()
+
+
 def score(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``held_out``, counts, ``base_score``, ``score``.
 
@@ -308,9 +352,7 @@ def score(docs: DataFrame) -> DataFrame:
     words = counts.where(F.col("hash").isNotNull() & (F.col("n") > 0))
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).collect()[0]
     n_all, n_words = total["n"], total["v"]
-    # Fewer than RAREST words can have more than this share, so no task sorts more.
-    frequent = words.where(F.col("n") > n_all / RAREST)
-    top = frequent.orderBy(F.desc("n"), "hash").limit(cm.CODED).select("hash", "n").collect()
+    top = most_frequent(words, cm.CODED)
     known = np.array([r["hash"] for r in top], dtype=np.int64).view(np.uint64)
     order = np.argsort(known)
     coded = (known[order], (order + 1).astype(np.int64))
