@@ -99,19 +99,22 @@ def events(hashes: np.ndarray, symbols: np.ndarray, starts: np.ndarray, code: Co
     with np.errstate(over="ignore"):
         contexts = [mix(near + np.uint64(11)), mix(one + np.uint64(13)), mix(mix(two + np.uint64(17)) + one)]
     sizes = np.diff(code.offsets)[symbols]
-    total = int(sizes.sum())
     ends = np.cumsum(sizes)
-    depth = (np.arange(total) - np.repeat(ends - sizes, sizes)).astype(np.int8)
-    at = np.repeat(code.offsets[symbols].astype(np.int32), sizes) + depth
-    node = code.nodes[at].astype(np.int32)
-    spread = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    word = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    depth = np.arange(len(word), dtype=np.int32) - (ends - sizes).astype(np.int32)[word]
+    at = code.offsets[symbols].astype(np.int32)[word] + depth
+    node = code.nodes.astype(np.int32)[at]
+    # A slot is the context's hash, in which the node's own hash turns over some bits.
+    spread = mix(np.arange(1, len(code.offsets) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     slots = [node]
     for context, size, offset in zip(contexts, SLOTS[1:], OFFSETS[1:]):
-        with np.errstate(over="ignore"):
-            key = (np.repeat(context, sizes) ^ spread) * np.uint64(0xD6E8FEB86659FD93)
         shift = np.uint64(64 - size.bit_length() + 1)
-        slots.append((key >> shift).astype(np.int32) + np.int32(offset))
-    return Events(slots, code.bits[at].astype(np.int8), depth, sizes)
+        mine, turned = (context >> shift).astype(np.int32), (spread >> shift).astype(np.int32)
+        slot = mine[word]
+        slot ^= turned[node]
+        slot += np.int32(offset)
+        slots.append(slot)
+    return Events(slots, code.bits.astype(np.int8)[at], depth.astype(np.int8), sizes)
 
 
 def count_into(table: np.ndarray, found: Events) -> None:
@@ -127,14 +130,17 @@ def logits_of(table: np.ndarray) -> np.ndarray:
     return (np.log(table[:, 1] + PRIOR) - np.log(table[:, 0] + PRIOR)).astype(np.float32)
 
 
-def left_out(table: np.ndarray, found: Events) -> list[np.ndarray]:
-    """Logits by predictor as if the bit itself had not been counted."""
-    out = []
-    for slots in found.slots:
-        zero = np.maximum(table[slots, 0] - (found.bits == 0), 0)
-        one = np.maximum(table[slots, 1] - (found.bits == 1), 0)
-        out.append((np.log(one + PRIOR) - np.log(zero + PRIOR)).astype(np.float32))
-    return out
+def logits_left_out(table: np.ndarray) -> np.ndarray:
+    """Logits by slot as if one bit of it had not been counted: a zero in column 0, a one in column 1."""
+    zero, one = np.log(table[:, 0] + PRIOR), np.log(table[:, 1] + PRIOR)
+    less_zero, less_one = (np.log(np.maximum(table[:, bit] - 1, 0) + PRIOR) for bit in (0, 1))
+    return np.stack([one - less_zero, less_one - zero], axis=1).astype(np.float32)
+
+
+def left_out(logits: np.ndarray, found: Events) -> list[np.ndarray]:
+    """Logits by predictor without the bit itself, out of ``logits_left_out``."""
+    flat = logits.reshape(-1)
+    return [flat[slots * 2 + found.bits] for slots in found.slots]
 
 
 def lanes_of(sizes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,7 +160,7 @@ def lanes_of(sizes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def run_lanes(
     inputs: list[np.ndarray], bits: np.ndarray, depth: np.ndarray, first: np.ndarray, length: np.ndarray, start: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Natural log of the probability of every lane's bits, and the lanes' mean last weights.
+    """Natural log of the probability of every lane's bits, and the sum of the lanes' last weights.
 
     All lanes go forward together, bit by bit; longer ones stand first, so that the live ones
     are always a prefix.
@@ -167,36 +173,38 @@ def run_lanes(
         lane = by_length[group : group + LANES]
         n, steps = len(lane), int(length[lane[0]]) if len(lane) else 0
         live = np.searchsorted(-length[lane], -np.arange(steps), side="left")
-        weights = np.tile(start.astype(np.float32), (n, 1))
+        # By input, then by lane and gate.
+        weights = np.tile(start.T.astype(np.float32), n)
         refined = np.tile(cells, n)
         base = np.arange(n) * MAP_CELLS
         total = np.zeros(n)
         for t in range(steps):
-            k = live[t]
-            if t % LAID_OUT == 0:
+            k, row = live[t], t % LAID_OUT
+            if row == 0:
                 place = first[lane[:k]][None, :] + np.arange(t, min(t + LAID_OUT, steps))[:, None]
                 np.minimum(place, len(bits) - 1, out=place)
-                x = np.empty((len(place), k, INPUTS), dtype=np.float32)
-                x[:, :, -1] = 0.3
+                x = np.full((len(place), INPUTS, k), 0.3, dtype=np.float32)
                 for i, values in enumerate(inputs):
-                    x[:, :, i] = values[place]
+                    x[:, i] = values[place]
                 y = bits[place].astype(np.float32)
                 gate = np.minimum(depth[place], GATES - 1) + np.arange(k)[None, :] * GATES
-            row = t % LAID_OUT
-            xt, yt, at = x[row, :k], y[row, :k], gate[row, :k]
-            w = weights[at]
-            z = np.clip(np.einsum("ij,ij->i", w, xt), -MAP_REACH + 0.01, MAP_REACH - 0.01)
+            xt, yt, at = x[row, :, :k], y[row, :k], gate[row, :k]
+            w = weights.take(at, axis=1)
+            z = np.clip((w * xt).sum(0), -MAP_REACH + 0.01, MAP_REACH - 0.01)
             p = 1 / (1 + np.exp(-z))
-            weights[at] = w + (RATE * (yt - p))[:, None] * xt
-            cell = base[:k] + ((z + MAP_REACH) * ((MAP_CELLS - 1) / (2 * MAP_REACH)) + 0.5).astype(np.int64)
-            moved = refined[cell]
-            q = 1 / (1 + np.exp(-(z + moved - cells[cell - base[:k]])))
+            w += (RATE * (yt - p)) * xt
+            for i in range(INPUTS):
+                weights[i][at] = w[i]
+            near = ((z + MAP_REACH) * ((MAP_CELLS - 1) / (2 * MAP_REACH)) + 0.5).astype(np.int64)
+            cell = base[:k] + near
+            moved = refined.take(cell)
+            q = 1 / (1 + np.exp(cells.take(near) - z - moved))
             refined[cell] = moved + MAP_RATE * (yt - q) * 4
-            p = (p + q) / 2
-            total[:k] += np.log(np.where(yt > 0, p, 1 - p))
+            # The mean of both is the chance of a one; of a zero, it is what is left.
+            total[:k] += np.log(np.abs(1 - yt - (p + q) / 2))
         result[lane] = total
-        last += weights.reshape(n, GATES, INPUTS).sum(0)
-    return result, last / max(1, len(first))
+        last += weights.reshape(INPUTS, n, GATES).sum(1).T
+    return result, last
 
 
 def first_weights() -> np.ndarray:

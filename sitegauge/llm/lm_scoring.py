@@ -247,21 +247,22 @@ def predictor_counts(table: DataFrame, coded: tuple, code: cm.Code) -> np.ndarra
 def trained_weights(table: DataFrame, coded: tuple, code: cm.Code, counts: np.ndarray) -> np.ndarray:
     """Mean last weights over the lanes of all training documents, their own bits not counted.
 
-    Every task sums the weights of its blocks; Spark sums those, so one row comes back.
+    A lane counts as often as it has bits. Every task sums the weights of its blocks; Spark sums
+    those, so one row comes back.
     """
     context = table.sparkSession.sparkContext
-    sent = context.broadcast((coded, code, counts.astype(np.float32)))
+    sent = context.broadcast((coded, code, cm.logits_left_out(counts)))
     wanted = shipped(table).select("n_words", "n_tokens", "train", "bounds", "hashes", "tokens")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coded, code, counts = sent.value
+        coded, code, logits = sent.value
         for batch in batches:
             for row in batch.to_pylist():
                 hashes = _unpacked(row["hashes"], "<u8", row["n_words"])
                 tokens = _unpacked(row["tokens"], "<u4", row["n_tokens"])
                 symbols = symbols_of(hashes, coded)
                 bounds, train = np.array(row["bounds"]), np.array(row["train"])
-                lanes, summed = 0, np.zeros((cm.GATES, cm.INPUTS))
+                bits, summed = 0, np.zeros((cm.GATES, cm.INPUTS))
                 for begin, end in document_runs(bounds):
                     sizes, chosen = np.diff(bounds[begin : end + 1]), train[begin:end]
                     part = tokens[bounds[begin] : bounds[end]][np.repeat(chosen, sizes)]
@@ -273,18 +274,18 @@ def trained_weights(table: DataFrame, coded: tuple, code: cm.Code, counts: np.nd
                     if not len(first):
                         continue
                     _, last = cm.run_lanes(
-                        cm.left_out(counts, found), found.bits, found.depth, first, length, cm.first_weights()
+                        cm.left_out(logits, found), found.bits, found.depth, first, length, cm.first_weights()
                     )
-                    lanes += len(first)
-                    summed += last * len(first)
-                if lanes:
+                    bits += len(first)
+                    summed += last
+                if bits:
                     units = np.rint(summed * WEIGHT_UNIT).astype(np.int64).reshape(-1)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lanes], pa.int64()), pa.array([units], pa.list_(pa.int64()))], names=["n", "weights"]
+                        [pa.array([bits], pa.int64()), pa.array([units], pa.list_(pa.int64()))], names=["n", "weights"]
                     )
 
     rows = wanted.mapInArrow(frugal(learn), "n long, weights array<long>")
-    cells = [F.sum(F.col("weights")[i]).alias(f"w{i}") for i in range(cm.GATES * cm.INPUTS)]
+    cells = [F.sum(F.col("weights")[i].cast("decimal(20,0)")).alias(f"w{i}") for i in range(cm.GATES * cm.INPUTS)]
     total = rows.agg(F.sum("n").alias("n"), *cells).collect()[0]
     if not total["n"]:
         return cm.first_weights()
