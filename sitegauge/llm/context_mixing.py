@@ -162,6 +162,8 @@ def run_lanes(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Natural log of the probability of every lane's bits, and the sum of the lanes' last weights.
 
+    A lane counts in that sum as often as it has bits.
+
     All lanes go forward together, bit by bit; longer ones stand first, so that the live ones
     are always a prefix.
     """
@@ -203,7 +205,7 @@ def run_lanes(
             # The mean of both is the chance of a one; of a zero, it is what is left.
             total[:k] += np.log(np.abs(1 - yt - (p + q) / 2))
         result[lane] = total
-        last += weights.reshape(INPUTS, n, GATES).sum(1).T
+        last += np.tensordot(weights.reshape(INPUTS, n, GATES), length[lane].astype(float), (1, 0)).T
     return result, last
 
 

@@ -276,7 +276,7 @@ def trained_weights(table: DataFrame, coded: tuple, code: cm.Code, counts: np.nd
                     _, last = cm.run_lanes(
                         cm.left_out(logits, found), found.bits, found.depth, first, length, cm.first_weights()
                     )
-                    bits += len(first)
+                    bits += int(length.sum())
                     summed += last
                 if bits:
                     units = np.rint(summed * WEIGHT_UNIT).astype(np.int64).reshape(-1)
