@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from sitegauge.functions.numeric import percent_span
@@ -12,8 +13,8 @@ from sitegauge.sources.workdir import stored
 
 #: Rows that one task sorts, or joins for one value.
 ROWS_PER_TASK = 1_000_000
-# A row's place in its file of the stored table.
-AT = "_at"
+# A row's place in its file of the stored table, the number of the ranked column, and its rank.
+AT, OF, RANK = "_at", "_column", "_rank"
 
 
 def first_last(
@@ -64,46 +65,72 @@ def add_ranks(
     """``rank()`` of columns, descending with NULL last: ``{output: column}``.
 
     Any type that Spark orders can be ranked. ``df`` is stored first, since it is read several
-    times. The same steps at every size: distinct values with their counts, in ranges sorted
-    apart from each other (``value_ranks``), joined back to the rows (``join_by_value``).
+    times. The same steps at every size and for all columns at once: distinct values with their
+    counts, one grouping set per column, in ranges sorted apart from each other
+    (``value_ranks``), joined back to the rows (``join_by_value``).
     """
     base = stored(df, "ranked")
     ranked = base.withColumn(AT, F.col("_metadata.row_index"))
+    values = list(dict.fromkeys(ranks.values()))
+    placed = dealt(value_counts(base, values, partition_by), values, partition_by, rows_per_task)
+    table = value_ranks(placed, values, partition_by).withColumnRenamed(RANK, "_ranked")
     for out, value in ranks.items():
-        counts = stored(base.groupBy(*partition_by, value).agg(F.count("*").alias("_n")), "counts")
-        table = value_ranks(counts, value, out, partition_by, rows_per_task)
-        ranked = join_by_value(ranked, counts, table, out, rows_per_task)
+        keys, mine = [*partition_by, value], F.col(OF) == values.index(value)
+        own = table.where(mine).select(*keys, "_n", F.col("_ranked").alias(out))
+        counts = placed.where(mine).select(*keys, "_n")
+        ranked = join_by_value(ranked, counts, own, out, rows_per_task)
     return ranked.drop(AT)
 
 
-def value_ranks(
-    counts: DataFrame, value: str, out: str, partition_by: Sequence[str] = (),
+def value_counts(df: DataFrame, values: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``_n`` of each value of each column, one pass over ``df``.
+
+    ``OF`` is the number of the column in ``values``; the other columns of ``values`` are NULL in
+    its rows. Map tasks count first, so a value held by a third of the rows is a row per task.
+    """
+    number = F.count("*").alias("_n")
+    if len(values) == 1:
+        return df.groupBy(*partition_by, *values).agg(number).withColumn(OF, F.lit(0))
+    sets = [[*partition_by, value] for value in values]
+    counted = df.groupingSets(sets, *partition_by, *values).agg(number, F.grouping_id().alias("_set"))
+    # The bits of a set's number are those of the columns left out, the last column's lowest.
+    every = (1 << len(values)) - 1
+    bits = [every ^ (1 << (len(values) - 1 - at)) for at in range(len(values))]
+    column = reduce(lambda rest, at: F.when(F.col("_set") == bits[at], at).otherwise(rest), range(1, len(values)), F.lit(0))
+    return counted.withColumn(OF, column).drop("_set")
+
+
+def dealt(
+    counts: DataFrame, values: Sequence[str], partition_by: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """``rank()`` of distinct values with their count ``_n``, descending with NULL last.
-
-    Equal values share a rank, so a value held by a third of the rows is one row here. The
-    values are dealt to ranges of about ``rows_per_task`` values in the order of the ranks;
-    rank = rows in earlier ranges + rows above within the range + 1. The dealt table is stored
-    with the number of its range, so a task that runs again finds the same ranges. What is
-    summed over all ranges has one row per range, and one more per key of ``partition_by``.
-    ``counts`` should be stored, as dealing reads it twice.
+    """``value_counts`` with the number ``_range`` of the range that a value lies in.
+
+    The values are dealt to ranges of about ``rows_per_task`` in the order of the columns and
+    their ranks. The table is stored, so a task that runs again finds the same ranges.
     """
-    keys = [*partition_by, value]
-    ranges = -(-max(1, counts.count()) // rows_per_task)
-    down = F.col(value).desc_nulls_last()
-    placed = stored(
-        counts.repartitionByRange(ranges, *partition_by, down).withColumn(
-            "_range", F.spark_partition_id()
-        ),
-        "ranges",
-    )
-    before = (
-        Window.partitionBy(*partition_by)
-        .orderBy("_range")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    of = {key: f"_of_{key}" for key in (*partition_by, "_range")}
+    seen = Observation()
+    counts = stored(counts.observe(seen, F.count(F.lit(1)).alias("rows")), "counts")
+    ranges = -(-max(1, seen.get["rows"]) // rows_per_task)
+    if ranges == 1:
+        return counts.withColumn("_range", F.lit(0))
+    # Within the rows of a column only its own values differ.
+    down = [F.col(value).desc_nulls_last() for value in values]
+    ranged = counts.repartitionByRange(ranges, OF, *partition_by, *down)
+    return stored(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def value_ranks(placed: DataFrame, values: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+    """``RANK`` beside the values of ``dealt``: ``rank()``, descending with NULL last.
+
+    Equal values share a rank, so a value held by a third of the rows is one row here. Rank =
+    rows in earlier ranges + rows above within the range + 1. What is summed over all ranges has
+    one row per range, and one more per column and key of ``partition_by``.
+    """
+    keys = [OF, *partition_by]
+    down = [F.col(value).desc_nulls_last() for value in values]
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    of = {key: f"_of_{key}" for key in (*keys, "_range")}
     above = (
         placed.groupBy(*of)
         .agg(F.sum("_n").alias("_rows"))
@@ -111,16 +138,12 @@ def value_ranks(
         .withColumnsRenamed(of)
     )
     same = [F.col("_range") == F.col("_of__range")]
-    same += [F.col(key).eqNullSafe(F.col(of[key])) for key in partition_by]
-    inside = (
-        Window.partitionBy(*of)
-        .orderBy(down)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    same += [F.col(key).eqNullSafe(F.col(of[key])) for key in keys]
+    inside = Window.partitionBy(*of).orderBy(*down).rowsBetween(Window.unboundedPreceding, -1)
     return (
         placed.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
         .join(above, same)
-        .select(*keys, "_n", (F.col("_above") + F.col("_inside") + 1).cast("bigint").alias(out))
+        .select(*keys, *values, "_n", (F.col("_above") + F.col("_inside") + 1).cast("bigint").alias(RANK))
     )
 
 

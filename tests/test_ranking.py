@@ -54,9 +54,11 @@ def test_two_ranks_without_broadcasts_by_size(spark, conf):
 @pytest.mark.parametrize("rows_per_task", [1, 7, 10_000])
 def test_any_ranges_give_the_ranks(spark, rows_per_task):
     df = figures(spark, 2_000)
-    counts = df.groupBy("growth").agg(F.count("*").alias("_n"))
-    got = ranking.value_ranks(counts, "growth", "rank", (), rows_per_task).select("growth", "rank")
-    same_rows(got, expected(df, "growth").select("growth", "rank").distinct())
+    counts = ranking.value_counts(df, ["growth", "change"])
+    every = ranking.value_ranks(ranking.dealt(counts, ["growth", "change"], (), rows_per_task), ["growth", "change"])
+    for number, name in enumerate(("growth", "change")):
+        got = every.where(F.col(ranking.OF) == number).select(name, F.col(ranking.RANK).alias("rank"))
+        same_rows(got, expected(df, name).select(name, "rank").distinct())
 
 
 @pytest.mark.parametrize("kind", ["string", "boolean", "date", "decimal(9,2)", "struct<a:int,b:string>", "binary"])
@@ -94,11 +96,26 @@ def test_hot_values_are_spread(spark, conf, columns):
 
 
 def test_no_task_sees_all_rows(spark, plan_of):
-    df = ranking.add_ranks(figures(spark), {"rank": "growth"}, rows_per_task=1000)
-    plan = plan_of(df)
-    single = [part for part in plan.split("\n\n") if "SinglePartition" in part]
-    assert len(single) == 1 and "_range" in single[0] and "domain" not in single[0]
-    assert "Nested" not in plan and "Cartesian" not in plan
+    df = figures(spark)
+    counts = ranking.value_counts(df, ["growth", "change"])
+    placed = ranking.dealt(counts, ["growth", "change"], (), 1000)
+    assert placed.select("_range").distinct().count() > 5
+    plan = plan_of(ranking.value_ranks(placed, ["growth", "change"]))
+    # What is brought together by column alone are the sums of the ranges.
+    by_column = [part for part in plan.split("\n\n") if re.search(r"hashpartitioning\(_column#\d+, \d+\)", part)]
+    assert by_column and all("_rows" in part and "growth" not in part for part in by_column)
+    plan += plan_of(ranking.add_ranks(df, {"rank": "growth", "other": "change"}, rows_per_task=1000))
+    assert "SinglePartition" not in plan and "Nested" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("partition_by", [(), ("month",)])
+def test_several_columns_in_one_pass(spark, partition_by):
+    df = figures(spark, 3_000)
+    ranks = {"a": "growth", "b": "change", "c": "domain", "d": "growth"}
+    want = df
+    for out, value in ranks.items():
+        want = expected(want, value, partition_by).withColumnRenamed("rank", out)
+    same_rows(ranking.add_ranks(df, ranks, partition_by, rows_per_task=200), want)
 
 
 def test_first_last_equals_windows(spark):
