@@ -5,8 +5,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from sitegauge.operators.extract import documents, parse_pages, rejects
@@ -14,8 +12,8 @@ from sitegauge.operators.project import SITE_SPEC, PathSpec, clean, document_typ
 from sitegauge.operators.ranking import relative_ranking
 from sitegauge.operators.reshape import history_series, transform_metrics
 from sitegauge.operators.series import rank_changes, visit_changes
-from sitegauge.operators.snapshot import latest_snapshot
-from sitegauge.sources.tables import register_views, replace_bucketed, replace_table
+from sitegauge.operators.snapshot import PLACE, latest_by_place, with_place
+from sitegauge.sources.tables import reason, register_views, replace_bucketed, replace_table
 
 
 def site_rows(
@@ -39,8 +37,8 @@ def attempt(status: dict[str, str], name: str, build: Callable[[], DataFrame]) -
     """What ``build`` gives, or None with the reason in ``status``."""
     try:
         return build()
-    except (PySparkException, Py4JJavaError, ValueError) as error:
-        status[name] = f"failed: {str(error).splitlines()[0]}"
+    except Exception as error:
+        status[name] = reason(error)
         return None
 
 
@@ -60,16 +58,16 @@ def run(
     of the frames made so far.
 
     A failing page or site table ends the run. Every analysis is made and entered as a view by
-    itself: one that fails has ``failed: <reason>`` as its status, those that read it fail too,
-    and the others are ``created``.
+    itself: one that fails, whatever the error, has ``failed: <kind>: <reason>`` as its status,
+    those that read it fail too, and the others are ``created``.
     """
     missing = [c for c in version if c not in pages.columns]
     if missing or not version:
         raise ValueError(f"pages have no version column {missing}; name those that tell scrapes apart")
     parsed = parse_pages(pages, document_type(spec), content)
     outcome = replace_table(parsed, f"{target}/parsed_pages")
-    rows = site_rows(outcome.where("reason is null"), version, spec)
-    sites = replace_table(latest_snapshot(rows, "domain", version), f"{target}/source_data")
+    rows = site_rows(with_place(outcome).where("reason is null"), (*version, *PLACE), spec)
+    sites = replace_table(latest_by_place(rows, "domain", version), f"{target}/source_data")
     frames: dict[str, DataFrame] = {"rejects": rejects(outcome), "source_data": sites}
     status: dict[str, str] = {}
 

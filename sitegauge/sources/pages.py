@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitegauge.sources.tables import replace_table
+
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 
@@ -24,6 +26,17 @@ def page_files(
     return as_pages(files)
 
 
+def stored_pages(
+    spark: SparkSession, directory: str, path: str, prefix: str = "", suffix: str = ".html"
+) -> DataFrame:
+    """``page_files`` read once into a Parquet table at ``path``.
+
+    Spark packs small files into tasks of ``spark.sql.files.maxPartitionBytes``; what follows
+    reads large files of columns in place of very many small ones.
+    """
+    return replace_table(page_files(spark, directory, prefix, suffix), path)
+
+
 def as_pages(files: DataFrame) -> DataFrame:
     """Rows of the binary file source as (url, content, scraped_at)."""
     return files.select(

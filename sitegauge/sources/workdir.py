@@ -45,6 +45,13 @@ def folders(spark: SparkSession, path: str, files: bool = False) -> list[str]:
     return sorted(e.getPath().toString() for e in system.listStatus(place) if files or e.isDirectory())
 
 
+def marked(spark: SparkSession, pattern: str, mark: str = "_SUCCESS") -> list[str]:
+    """Folders that match ``pattern`` and hold the file ``mark``, by one listing of the store."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/{mark}")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    return sorted(e.getPath().getParent().toString() for e in found)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete the folder ``path``, if there is one."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

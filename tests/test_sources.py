@@ -20,7 +20,7 @@ from sitegauge.operators.snapshot import latest_snapshot, merge_sources
 from sitegauge.plans import report
 from sitegauge.sources import workdir
 from sitegauge.sources.pages import page_files
-from sitegauge.sources.tables import read_csv, register_views, replace_table, write_csv
+from sitegauge.sources.tables import read_csv, register_views, replace_bucketed, replace_table, write_csv
 
 
 def test_page_files(spark, tmp_path):
@@ -205,6 +205,34 @@ def test_a_failing_write_keeps_the_old_table(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_a_failing_write_keeps_the_named_table(spark, tmp_path):
+    path = str(tmp_path / "n")
+    replace_table(spark.range(5), path, name="kept")
+    before = sorted(f for f in spark.table("kept").inputFiles())
+    broken = spark.range(5).select(F.raise_error(F.lit("no good")).alias("id"))
+    with pytest.raises(Exception, match="no good"):
+        replace_table(broken, path, name="kept")
+    with pytest.raises(Exception, match="no good"):
+        replace_bucketed(broken.withColumn("k", F.lit(1)), path, "kept", "k", 2)
+    assert spark.table("kept").count() == 5 and sorted(spark.table("kept").inputFiles()) == before
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("kept")] == ["kept"]
+    # Another schema, and only the files of the table that is there stay.
+    replace_table(spark.range(3).select("id", F.lit("x").alias("more")), path, name="kept")
+    assert spark.table("kept").columns == ["id", "more"] and len(list((tmp_path / "n").iterdir())) == 1
+    spark.sql("drop table kept")
+
+
+def test_values_over_several_lines(spark, tmp_path):
+    values = ["a\nb", "\r\n", "\x02", "\x02n", "\x02\n\x02s", 'q"\n"', "", None, "plain", "back\\n", ",\n,", "  both ends ", "\t"]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, text string")
+    path = str(tmp_path / "csv")
+    write_csv(df, path)
+    back = read_csv(spark, path, df.schema)
+    assert {r.id: r.text for r in back.collect()} == dict(enumerate(values))
+    lines = [line for part in (tmp_path / "csv").glob("part-*") for line in part.read_bytes().split(b"\n")[1:-1]]
+    assert len(lines) == len(values)
+
+
 def test_merge_sources(spark):
     first = spark.createDataFrame([("a", 1, None), ("b", None, "x")], "k string, n int, t string")
     second = spark.createDataFrame([("a", 9, "y"), ("c", 3, "z")], "k string, n int, t string")
