@@ -9,22 +9,28 @@ and a stream with another checkpoint never touches those of this one.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from sitegauge.operators.extract import parse_pages, rejects
+from sitegauge.operators.extract import BAD_JSON, INVALID_UTF8, NO_OBJECT, parse_pages, rejects
 from sitegauge.operators.project import DOCUMENT
-from sitegauge.operators.snapshot import latest_snapshot
+from sitegauge.operators.quality import check_rows
+from sitegauge.operators.snapshot import PLACE, latest_by_place, with_place
 from sitegauge.plans.report import site_rows
 from sitegauge.sources.pages import FILE_SCHEMA, as_pages
 from sitegauge.sources.tables import replace_table
-from sitegauge.sources.workdir import folders, remove
+from sitegauge.sources.workdir import marked, remove
 
 VERSION = ("scraped_at", "url")
 QUERY_ID = "sql.streaming.queryId"
+#: How long a page that was seen is remembered.
+MEMORY = "30 days"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def page_stream(
@@ -50,47 +56,78 @@ def reject_log(log: str) -> str:
     return f"{log}/rejects"
 
 
+def check_log(log: str) -> str:
+    return f"{log}/checks"
+
+
+def volumes() -> dict[str, Column]:
+    """What is counted of every batch while its pages are written."""
+    by_reason = {name: F.count_if(F.col("reason") == name) for name in (INVALID_UTF8, NO_OBJECT, BAD_JSON)}
+    return {"pages": F.count(F.lit(1)), "rejected": F.count("reason"), **by_reason}
+
+
+def unseen(pages: DataFrame, key: Sequence[str], memory: str = MEMORY) -> DataFrame:
+    """A stream without the pages whose ``key`` came before, in any batch or run of the stream.
+
+    Keys are remembered in the state store for ``memory`` from their arrival, and not for the
+    time of their scrape: no page is ever late, and one whose key has been forgotten passes
+    again. The state grows with the pages of that span, on the executors' disks.
+    """
+    arrived = pages.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", memory)
+    return arrived.dropDuplicatesWithinWatermark(list(key)).drop("_arrived")
+
+
 def ingest(
     pages: DataFrame, log: str, checkpoint: str, once: bool = False,
     key: Sequence[str] = ("url", "scraped_at"),
+    limits: Mapping[str, tuple[float | None, float | None]] | None = None,
 ) -> StreamingQuery:
     """Append the site rows and the rejects of all waiting pages to ``log`` and stop.
 
     Every page of a batch ends up in one of the two logs, or is an older scrape of a domain that
     the same batch has a newer one of. A page delivered twice makes no difference to
-    ``current_sites``; for a source that repeats much, ``once`` leaves out pages whose ``key`` is
-    in the site log already, before they are parsed. However late a page comes, it is not
-    dropped.
+    ``current_sites``; for a source that repeats much, ``once`` leaves out pages that came
+    before (``unseen``), before they are parsed, good ones and rejects alike. However late a
+    page comes, it is not dropped.
+
+    The job that writes a batch's pages counts them on the way (``volumes``); the counts go to a log
+    of checks with the lowest and highest value that ``limits`` allow, and whether one is passed.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         own = f"stream={spark.sparkContext.getLocalProperty(QUERY_ID)}/batch={batch_id}"
-        if once:
-            batch = batch.dropDuplicates(list(key))
-            # Not its own folder: the batch that runs again must find its pages new again.
-            others = [f for f in batch_folders(spark, site_log(log)) if not f.endswith(own)]
-            if others:
-                seen = spark.read.schema(log_schema(spark)).parquet(*others).select(*key)
-                batch = batch.join(seen.distinct(), list(key), "left_anti")
-        parsed = replace_table(parse_pages(batch, DOCUMENT, "content"), f"{log}/parsed/{own}")
-        rows = latest_snapshot(site_rows(parsed, keep=VERSION), "domain", VERSION)
+        seen = Observation()
+        counted = [column.alias(name) for name, column in volumes().items()]
+        outcome = parse_pages(batch, DOCUMENT, "content").observe(seen, *counted)
+        parsed = replace_table(outcome, f"{log}/parsed/{own}")
+        checks = check_rows(spark, seen.get, limits or {})
+        rows = site_rows(with_place(parsed), keep=(*VERSION, *PLACE))
         rejects(parsed).write.mode("overwrite").parquet(f"{reject_log(log)}/{own}")
-        rows.write.mode("overwrite").parquet(f"{site_log(log)}/{own}")
+        checks.coalesce(1).write.mode("overwrite").parquet(f"{check_log(log)}/{own}")
+        latest_by_place(rows, "domain", VERSION).write.mode("overwrite").parquet(f"{site_log(log)}/{own}")
         remove(spark, f"{log}/parsed/{own}")
 
-    return (
-        pages.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    spark = pages.sparkSession
+    if once:
+        pages = unseen(pages, key)
+    before = spark.conf.get(STATE_STORE, None)
+    # Keys beyond the memory of an executor; the stream takes the setting with it.
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return (
+            pages.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
 
 
 def batch_folders(spark: SparkSession, log: str) -> list[str]:
     """Folders of the batches of ``log`` that are written to the end."""
-    every = [b for s in folders(spark, log) if "/stream=" in s for b in folders(spark, s)]
-    return [b for b in every if "_SUCCESS" in {f.rsplit("/", 1)[-1] for f in folders(spark, b, True)}]
+    return marked(spark, f"{log}/stream=*/batch=*")
 
 
 def read_log(spark: SparkSession, log: str, schema: StructType) -> DataFrame:
@@ -102,7 +139,24 @@ def read_log(spark: SparkSession, log: str, schema: StructType) -> DataFrame:
 
 def current_sites(spark: SparkSession, log: str) -> DataFrame:
     """Latest row per domain over all batches of all streams."""
-    return latest_snapshot(read_log(spark, site_log(log), log_schema(spark)), "domain", VERSION)
+    schema = log_schema(spark)
+    parts = batch_folders(spark, site_log(log))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return latest_by_place(with_place(spark.read.schema(schema).parquet(*parts)), "domain", VERSION)
+
+
+def batch_checks(spark: SparkSession, log: str) -> DataFrame:
+    """The counts of every batch with its limits: ``stream``, ``batch``, ``metric``, ``value`` and so on."""
+    parts = batch_folders(spark, check_log(log))
+    empty = check_rows(spark, {}, {}).select(F.lit("").alias("stream"), F.lit("").alias("batch"), "*")
+    if not parts:
+        return empty
+    rows = spark.read.schema(check_rows(spark, {}, {}).schema).parquet(*parts)
+    place = F.col("_metadata.file_path")
+    return rows.select(
+        F.regexp_extract(place, "stream=([^/]+)", 1).alias("stream"), F.regexp_extract(place, "batch=([^/]+)", 1).alias("batch"), "*"
+    )
 
 
 def rejected_pages(spark: SparkSession, log: str) -> DataFrame:
@@ -125,13 +179,20 @@ def compact(spark: SparkSession, log: str, path: str) -> DataFrame:
 
     The latest rows first go to the log as a batch of their own, then the batches that they were
     taken from are removed. Between the two steps the log has rows twice, which changes no
-    result; a batch that arrives meanwhile is not among those removed.
+    result; a batch that arrives meanwhile is not among those removed. The batches of rejects
+    become one as well, all rows of which stay; until the others are removed, these are there twice.
     """
-    retired = batch_folders(spark, site_log(log))
     schema = log_schema(spark)
-    rows = spark.read.schema(schema).parquet(*retired) if retired else spark.createDataFrame([], schema)
-    kept = f"{site_log(log)}/stream=compacted/batch={uuid.uuid4().hex}"
-    latest_snapshot(rows, "domain", VERSION).write.parquet(kept)
+    own = f"stream=compacted/batch={uuid.uuid4().hex}"
+    retired = batch_folders(spark, site_log(log))
+    kept = f"{site_log(log)}/{own}"
+    latest = current_sites(spark, log) if retired else spark.createDataFrame([], schema)
+    latest.write.parquet(kept)
+    refused = batch_folders(spark, reject_log(log))
+    if len(refused) > 1:
+        rows = spark.read.schema(rejects(no_pages(spark)).schema).parquet(*refused)
+        rows.write.parquet(f"{reject_log(log)}/{own}")
+        retired += refused
     for folder in retired:
         remove(spark, folder)
     return replace_table(spark.read.schema(schema).parquet(kept), path, cluster_by="domain")

@@ -7,6 +7,7 @@ import golden
 
 from sitegauge.operators.reshape import history_series, transform_metrics
 from sitegauge.streaming.ingest import (
+    batch_checks,
     batch_folders,
     compact,
     current_sites,
@@ -117,3 +118,32 @@ def test_repeats_are_left_out_and_late_pages_are_not(spark, tmp_path):
     assert query.exception() is None
     every = spark.read.parquet(*batch_folders(spark, site_log(f"{work}/log")))
     assert sorted(r.domain for r in every.collect()) == ["google.com", "stripe.com"]
+
+
+def test_pages_of_an_earlier_run_are_not_parsed_again(spark, tmp_path):
+    work, source = tmp_path / "work", str(tmp_path / "pages")
+    schema = "url string, content binary, scraped_at timestamp"
+    moment = dt.datetime(2022, 12, 1)
+
+    def deliver(*rows):
+        body = [(url, bytearray(text.encode()), moment) for url, text in rows]
+        spark.createDataFrame(body, schema).coalesce(1).write.mode("append").parquet(source)
+        pages = spark.readStream.schema(schema).parquet(source)
+        query = ingest(pages, f"{work}/log", f"{work}/checkpoint", once=True, limits={"rejected": (None, 0), "pages": (1, None)})
+        query.awaitTermination(120)
+        assert query.exception() is None
+
+    good, bad = ("u", golden.page("stripe.com")), ("v", "<p>nothing</p>")
+    deliver(good, bad)
+    deliver(bad, good, ("w", golden.page("google.com")))
+    assert rejected_pages(spark, f"{work}/log").count() == 1
+    every = spark.read.parquet(*batch_folders(spark, site_log(f"{work}/log")))
+    assert sorted(r.domain for r in every.collect()) == ["google.com", "stripe.com"]
+    checks = batch_checks(spark, f"{work}/log").collect()
+    pages = [r.value for r in checks if r.metric == "pages" and r.value]
+    assert sorted(pages) == [1.0, 2.0]
+    assert [r.metric for r in checks if r.alert and r.value] == ["rejected"]
+    assert {r.metric: r.value for r in checks if r.alert and r.metric == "rejected"} == {"rejected": 1.0}
+    compact(spark, f"{work}/log", f"{work}/sites")
+    assert rejected_pages(spark, f"{work}/log").count() == 1
+    assert batch_checks(spark, f"{tmp_path}/none").collect() == []
