@@ -65,15 +65,18 @@ DOCUMENT = struct(layout=struct(data=DATA))
 
 @dataclass(frozen=True)
 class PathSpec:
-    """One projected column: its name and the keys that lead to it below the root."""
+    """One projected column: its name and the keys that lead to it below the root.
+
+    A number is a position in a list, for ``project_variants`` alone.
+    """
 
     alias: str
-    path: tuple[str, ...]
+    path: tuple[str | int, ...]
 
     def __post_init__(self) -> None:
         if not isinstance(self.alias, str) or not self.alias:
             raise ValueError("alias must be non-empty text")
-        if not self.path or not all(isinstance(key, str) for key in self.path):
+        if not self.path or not all(isinstance(key, str) or (type(key) is int and key >= 0) for key in self.path):
             raise ValueError(f"path of {self.alias!r} must be a non-empty list of text")
 
     def column(self, root: Column) -> Column:
@@ -100,6 +103,9 @@ def path_type(path: Sequence[str]) -> DataType | None:
     """Declared type at a path below the root, None if nothing is declared there."""
     kind: DataType = DATA
     for key in path:
+        if isinstance(key, int) and isinstance(kind, ArrayType):
+            kind = kind.elementType
+            continue
         if not isinstance(kind, StructType) or key not in kind.names:
             return None
         kind = kind[key].dataType
@@ -148,10 +154,11 @@ def nested_type(leaves: Mapping[tuple[str, ...], DataType]) -> StructType:
     return struct(**{name: kind_of(dict(below)) for name, below in fields.items()})
 
 
-def parse_spec(text: str) -> tuple[PathSpec, ...]:
+def parse_spec(text: str, positions: bool = False) -> tuple[PathSpec, ...]:
     """A JSON list of ``{"alias": ..., "path": [...]}``.
 
-    Any other key, two entries with one alias, or something else than a list is an error.
+    Any other key, two entries with one alias, or something else than a list is an error, and
+    without ``positions`` a number in a path is one.
     """
     listed = json.loads(text) if text.strip() else None
     if not isinstance(listed, list):
@@ -163,7 +170,10 @@ def parse_spec(text: str) -> tuple[PathSpec, ...]:
         unknown = set(entry) - {"alias", "path"}
         if unknown:
             raise ValueError(f"unknown keys in the projection list: {sorted(unknown)}")
-        specs.append(PathSpec(entry.get("alias"), tuple(entry.get("path") or ())))
+        spec = PathSpec(entry.get("alias"), tuple(entry.get("path") or ()))
+        if not positions and any(isinstance(key, int) for key in spec.path):
+            raise ValueError(f"path of {spec.alias!r} must be a non-empty list of text")
+        specs.append(spec)
     return unequal(specs)
 
 
@@ -178,10 +188,10 @@ def unequal(specs: Iterable[PathSpec]) -> tuple[PathSpec, ...]:
     return specs
 
 
-def load_spec(spark: SparkSession, path: str) -> tuple[PathSpec, ...]:
+def load_spec(spark: SparkSession, path: str, positions: bool = False) -> tuple[PathSpec, ...]:
     """``parse_spec`` of one small file on any file system Spark reads."""
     found = spark.read.text(path, wholetext=True).head()
-    return parse_spec(found[0] if found else "")
+    return parse_spec(found[0] if found else "", positions)
 
 
 def project(df: DataFrame, specs: Iterable[PathSpec], root: Sequence[str] = ROOT,
@@ -207,6 +217,43 @@ def project(df: DataFrame, specs: Iterable[PathSpec], root: Sequence[str] = ROOT
     return df.select(*keep, *(column(spec) for spec in specs))
 
 
+def variant_path(path: Sequence[str | int]) -> str:
+    """A path as Spark's variants take it; a key may hold one kind of quotes."""
+    out = "$"
+    for key in path:
+        if isinstance(key, int):
+            out += f"[{key}]"
+        elif "'" not in key:
+            out += f"['{key}']"
+        elif '"' not in key:
+            out += f'["{key}"]'
+        else:
+            raise ValueError(f"no path to a key with both kinds of quotes: {key!r}")
+    return out
+
+
+def project_variants(
+    df: DataFrame, text: str, specs: Iterable[PathSpec], root: Sequence[str] = ROOT,
+    types: Mapping[str, DataType] | None = None, keep: Sequence[str] = (),
+) -> DataFrame:
+    """One column per spec out of JSON text, after the ``keep`` columns; no schema of the document.
+
+    The text is parsed once, to a variant, and the paths are taken from that, positions of lists
+    included. A column has the type in ``types``, else the declared one, and else it is a variant
+    that keeps the type of the document's own value, row by row. What is not there, or is of
+    another type, is NULL, and so is all of a text that is not JSON or repeats a key.
+    """
+    given = types or {}
+    whole = df.select(*keep, F.try_parse_json(F.col(text)).alias("_document"))
+
+    def column(spec: PathSpec) -> Column:
+        kind = given.get(spec.alias) or path_type(spec.path)
+        wanted = kind.simpleString() if kind is not None else "variant"
+        return F.try_variant_get("_document", variant_path((*root, *spec.path)), wanted).alias(spec.alias)
+
+    return whole.select(*keep, *(column(spec) for spec in unequal(specs)))
+
+
 def leaf(kind: DataType, path: Sequence[str]) -> DataType | None:
     """Type at ``path`` within a struct type."""
     for key in path:

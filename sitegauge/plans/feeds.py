@@ -81,3 +81,15 @@ def site_feeds(
 def is_worth_drawing(feed: DataFrame) -> bool:
     """False for a feed without rows; stops at the first row it finds."""
     return not feed.isEmpty()
+
+
+def local_frame(feed: DataFrame, limit: int):
+    """The first ``limit`` rows of a feed as an Arrow table, and whether there are more.
+
+    One row more than the limit is asked for, so what reaches the driver is bounded whatever the
+    feed's size, and a chart can say that it is not the whole.
+    """
+    if limit < 0:
+        raise ValueError(f"a limit of {limit} rows")
+    found = feed.limit(limit + 1).toArrow()
+    return found.slice(0, limit), found.num_rows > limit

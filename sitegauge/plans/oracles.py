@@ -296,7 +296,8 @@ long(feed, domain, value) AS (
 SELECT feed, domain, CAST(value AS DOUBLE) AS value FROM long""",
     "csv_roundtrip": f"""
 WITH {DOCS}
-SELECT domain, global_rank, total_visits, bounce_rate_raw, bounce_rate_percent, pages_per_visit,
+SELECT CASE WHEN ends_with(domain, '0') THEN concat(domain, chr(10), 'the "second", line', chr(13)) ELSE domain END AS domain,
+       global_rank, total_visits, bounce_rate_raw, bounce_rate_percent, pages_per_visit,
        avg_visit_duration_raw, avg_visit_duration_seconds, last_month_change, n_months, n_rivals,
        n_countries, CAST(6 AS BIGINT) AS n_brackets, sum_visits
 FROM doc""",
@@ -365,9 +366,72 @@ SELECT user_id, event_type, n_actual, n_expected,
 FROM split""",
     "latest_snapshot": """
 SELECT event_id, user_id, event_type, value, props
-FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS nth
-      FROM events)
-WHERE nth = 1""",
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day DESC, event_id DESC) AS nth
+      FROM (SELECT event_id, CASE WHEN event_id % 20 <> 3 THEN user_id END AS user_id, event_type, value, props,
+                   date_trunc('day', ts) AS day FROM events))
+WHERE nth = 1 OR user_id IS NULL""",
+    "variant_paths": """
+WITH shares AS (
+  SELECT o_custkey, o_orderpriority AS p, count(*) / sum(count(*)) OVER (PARTITION BY o_custkey) AS share,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS place
+  FROM orders GROUP BY 1, 2)
+SELECT c_name AS site, a.p AS first_country, a.share AS first_share, b.p AS third_country,
+       c_acctbal / 1000 AS pages, CAST(65 AS INTEGER) AS oldest_from, CAST(NULL AS VARCHAR) AS nothing
+FROM customer
+LEFT JOIN shares a ON a.o_custkey = c_custkey AND a.place = 1
+LEFT JOIN shares b ON b.o_custkey = c_custkey AND b.place = 3""",
+    "variant_own_types": """
+SELECT event_id,
+       CASE event_id % 4 WHEN 0 THEN 'BIGINT' WHEN 1 THEN 'STRING' WHEN 2 THEN 'ARRAY<VARIANT>' END AS kind,
+       CASE WHEN event_id % 4 = 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN event_id % 4 = 2 THEN CAST(7 AS BIGINT) END AS second
+FROM events""",
+    "page_file_scan": """
+SELECT md5(html || chr(10)) AS digest, CAST(octet_length(encode(html)) + 1 AS BIGINT) AS n_bytes FROM pages""",
+    "stream_repeats": f"""
+SELECT CAST(page_id AS VARCHAR) AS url, {OUTCOME} AS outcome, CAST(1 AS BIGINT) AS n_parsed,
+       CAST(count(*) OVER () AS BIGINT) AS n_counted
+FROM pages LEFT JOIN customer ON page_id = c_custkey""",
+    "weekly_release": f"WITH {MONTHS} {VISIT_CHANGES}",
+    "missing_by_rules": f"""
+WITH {LABELLED},
+spelled AS (SELECT *, CASE lang WHEN 'en' THEN '' WHEN 'fr' THEN NULL ELSE lang END AS tongue FROM docs),
+classed AS (
+  SELECT source, 'lang' AS field,
+         CASE WHEN tongue <> '' THEN 'present' WHEN n_chars >= 5000 THEN 'mixed'
+              WHEN tongue IS NULL THEN 'expectedly_missing' ELSE 'implicitly_missing' END AS class
+  FROM spelled
+  UNION ALL
+  SELECT source, 'quality',
+         CASE WHEN quality IS NULL AND n_chars <= 499 THEN 'expectedly_missing'
+              WHEN quality IS NULL AND source = 'src3' THEN 'not_asked'
+              WHEN quality IS NULL THEN 'truly_missing' WHEN quality = 0 THEN 'implicitly_missing' ELSE 'present' END
+  FROM docs
+  UNION ALL
+  SELECT source, 'toxic',
+         CASE WHEN toxic IS NULL THEN 'truly_missing' WHEN toxic = 0 THEN 'implicitly_missing' ELSE 'present' END
+  FROM docs)
+SELECT source, field, class, count(*) AS n_rows FROM classed GROUP BY ALL""",
+    "observed_volumes": """
+WITH found AS (
+  SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS finished, count(*) FILTER (o_totalprice < 60000) AS cheap,
+         count(*) FILTER (o_custkey IS NULL) AS nobody, min(o_orderkey) AS first_key FROM orders)
+SELECT metric, CAST(value AS DOUBLE) AS value, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high,
+       CASE WHEN value IS NULL THEN low IS NOT NULL OR high IS NOT NULL
+            ELSE coalesce(value < low, false) OR coalesce(value > high, false) END AS alert
+FROM (SELECT 'rows' AS metric, n AS value, 1 AS low, NULL AS high FROM found
+      UNION ALL SELECT 'finished', finished, NULL, 10 FROM found
+      UNION ALL SELECT 'cheap', cheap, NULL, NULL FROM found
+      UNION ALL SELECT 'without_customer', nobody, 0, 0 FROM found
+      UNION ALL SELECT 'first_key', first_key, NULL, NULL FROM found
+      UNION ALL SELECT 'unknown', NULL, 1, NULL)""",
+    "completeness_batches": f"""
+WITH {LABELLED}
+SELECT source, field, count(*) AS n_rows, count(value) AS n_values, count(value) / count(*) AS complete
+FROM (SELECT source, 'lang' AS field, lang AS value FROM docs
+      UNION ALL SELECT source, 'quality', CAST(quality AS VARCHAR) FROM docs
+      UNION ALL SELECT source, 'toxic', CAST(toxic AS VARCHAR) FROM docs)
+GROUP BY source, field""",
     "merge_sources": """
 WITH docs AS (
   SELECT CASE WHEN doc_id % 50 <> 7 THEN doc_id END AS k, doc_id, nullif(lang, 'fr') AS lang, n_chars

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from sitegauge.operators.project import (
     flatten_nested,
     load_spec,
     project,
+    project_variants,
     restore_nested,
     typed_sites,
 )
@@ -34,9 +36,11 @@ from sitegauge.operators.reshape import (
     own_rank_history,
 )
 from sitegauge.plans import feeds, report, testbed
+from sitegauge.plans.release import release
 from sitegauge.plans.testbed import table
+from sitegauge.sources.pages import stored_pages
 from sitegauge.sources.tables import read_csv, replace_table, write_csv
-from sitegauge.sources.workdir import fresh_path
+from sitegauge.sources.workdir import fresh_path, stored
 from sitegauge.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,6 +183,40 @@ def country_fields(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def variant_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """The list of columns comes from a file with positions of lists in its paths."""
+    country = ["geography", "topCountriesTraffics"]
+    listed = [
+        {"alias": "site", "path": ["domain"]},
+        {"alias": "first_country", "path": [*country, 0, "countryAlpha2Code"]},
+        {"alias": "first_share", "path": [*country, 0, "visitsShare"]},
+        {"alias": "third_country", "path": [*country, 2, "countryAlpha2Code"]},
+        {"alias": "pages", "path": ["overview", "pagesPerVisit"]},
+        {"alias": "oldest_from", "path": ["demographics", "ageDistribution", 5, "minAge"]},
+        {"alias": "nothing", "path": ["overview", "notThere", 1]},
+    ]
+    path = fresh_path(spark, "variants")
+    spark.createDataFrame([(json.dumps(listed, indent=1),)], "value string").coalesce(1).write.text(path)
+    documents_of = testbed.site_documents(spark, sf, ranked=False)
+    rows = project_variants(documents_of, "json", load_spec(spark, path, positions=True))
+    return rows.withColumn("nothing", F.try_variant_get("nothing", "$", "string"))
+
+
+def variant_own_types(spark: SparkSession, sf: str) -> DataFrame:
+    """A path that nothing declares, with the type that each document gives it."""
+    key = F.col("event_id") % 4
+    props = F.when(key == 1, F.lit('{"k": "text"}')).when(key == 2, F.lit('{"k": [true, 7]}')).otherwise(F.col("props"))
+    events = table(spark, sf, "events").select("event_id", F.when(key == 3, F.lit("{")).otherwise(props).alias("props"))
+    specs_of = [PathSpec("k", ("k",)), PathSpec("second", ("k", 1))]
+    found = project_variants(events, "props", specs_of, root=(), keep=["event_id"])
+    return found.select(
+        "event_id",
+        F.schema_of_variant("k").alias("kind"),
+        F.try_variant_get("k", "$", "bigint").alias("k"),
+        F.try_variant_get("second", "$", "bigint").alias("second"),
+    )
+
+
 def json_scalar(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select(
         "event_id",
@@ -404,11 +442,13 @@ def feed_combined(spark: SparkSession, sf: str) -> DataFrame:
 def feeds_of_report(spark: SparkSession, sf: str) -> DataFrame:
     """All feeds that have rows, one after another; the one of an unknown site is left out."""
     visits, ranks = both_series(spark, sf)
-    frames = {
+    made = {
         "monthly_visit_changes": series.visit_changes(visits),
         "monthly_rank_changes": series.rank_changes(ranks),
         "relative_ranking": ranking.relative_ranking(visits, ranks),
     }
+    # Several feeds read each of them, once to see whether there is anything to draw.
+    frames = {name: stored(frame, name) for name, frame in made.items()}
     groups = {"group": GROUP, "single": [SINGLE], "nobody": ["no such site"]}
     shown = {"growth": "visit_growth", "rank_change": "rank_change", "combined": "combined_rank"}
     every = None
@@ -427,7 +467,10 @@ def feeds_of_report(spark: SparkSession, sf: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """All thirteen columns; the nested ones by their sizes and the sum of what is in them."""
     path = fresh_path(spark, "flat-csv")
-    write_csv(flatten_nested(sites(spark, sf)), path)
+    # Some names go over two lines.
+    longer = F.concat("domain", F.lit('\nthe "second", line\r'))
+    rows = sites(spark, sf).withColumn("domain", F.when(F.endswith("domain", F.lit("0")), longer).otherwise(F.col("domain")))
+    write_csv(flatten_nested(rows), path)
     back = typed_sites(read_csv(spark, path, flat_schema()))
     add = lambda total, x: total + F.coalesce(x.cast("bigint"), F.lit(0))
     visits = F.aggregate(F.map_values("visits_history_raw"), F.lit(0).cast("bigint"), add)
@@ -443,9 +486,31 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A table by path, then one by name, which a replace that fails leaves as it was."""
     visits = testbed.visits_series(spark, sf)
     path = fresh_path(spark, "visits-series")
-    return month_text(replace_table(visits, path, cluster_by="domain"))
+    by_path = replace_table(visits, path, cluster_by="domain")
+    name = f"visits_series_{path[-32:]}"
+    replace_table(by_path.where("visits > 0"), f"{path}-named", name)
+    replace_table(by_path, f"{path}-named", name)
+    broken = by_path.withColumn("visits", F.raise_error(F.lit("no good")).cast("bigint"))
+    try:
+        replace_table(broken, f"{path}-named", name)
+    except PySparkException:
+        return month_text(spark.table(name))
+    raise ValueError("the broken table was made")
+
+
+def page_file_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages as files of their own, scanned by their prefix into one table; none by another."""
+    folder = fresh_path(spark, "page-files")
+    html = table(spark, sf, "pages").select("html")
+    # A line break within a page stays: each file is one page and the line break after it.
+    html.write.option("maxRecordsPerFile", 1).text(folder)
+    if not stored_pages(spark, folder, fresh_path(spark, "no-pages"), prefix="none", suffix=".txt").isEmpty():
+        raise ValueError("files of another name were read")
+    pages = stored_pages(spark, folder, fresh_path(spark, "pages"), prefix="part-", suffix=".txt")
+    return pages.select(F.md5("content").alias("digest"), F.octet_length("content").cast("bigint").alias("n_bytes"))
 
 
 def view_registry(spark: SparkSession, sf: str) -> DataFrame:
@@ -480,10 +545,13 @@ def report_contents(spark: SparkSession, sf: str) -> DataFrame:
             )
         ).alias("s"),
     ).select("page_id", "s.*")
-    broken = {"broken": lambda frames: frames["source_data"].select("no_such_column")}
+    broken = {
+        "broken": lambda frames: frames["source_data"].select("no_such_column"),
+        "lost": lambda frames: frames["no_such_frame"],
+    }
     _, status = report.run(spark, bodies, fresh_path(spark, "contents"), content="content", more=broken)
-    if status["broken"] == "created":
-        raise ValueError("the broken analysis was made")
+    if any(not status[name].startswith("failed") for name in broken):
+        raise ValueError("a broken analysis was made")
     return month_text(spark.table("monthly_visit_changes"))
 
 
@@ -505,6 +573,47 @@ def stream_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     return good.unionByName(bad, allowMissingColumns=True)
 
 
+def stream_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages that a stream delivers twice, within a run and in a second one: how often each was parsed."""
+    pages = testbed.site_pages(spark, sf).select(
+        F.col("page_id").cast("string").alias("url"),
+        "content",
+        F.lit("2024-01-10").cast("timestamp").alias("scraped_at"),
+    )
+    source, log, state = (fresh_path(spark, f"repeats-{x}") for x in ("in", "log", "state"))
+    pages.write.parquet(source)
+    for more in (pages.where("url % 3 = 0"), pages):
+        more.write.mode("append").parquet(source)
+        waiting = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 12).parquet(source)
+        ingest.ingest(waiting, log, state, once=True).awaitTermination()
+    checks = ingest.batch_checks(spark, log).where("metric = 'pages'").agg(F.sum("value")).head()[0]
+    good = ingest.read_log(spark, ingest.site_log(log), ingest.log_schema(spark))
+    bad = ingest.rejected_pages(spark, log)
+    every = good.select("url", F.lit("good").alias("outcome")).unionByName(bad.select("url", F.col("reason").alias("outcome")))
+    parsed = every.groupBy("url", "outcome").agg(F.count(F.lit(1)).alias("n_parsed"))
+    # The batches counted as many pages as the logs hold.
+    return parsed.withColumn("n_counted", F.lit(int(checks)).cast("bigint"))
+
+
+def weekly_release(spark: SparkSession, sf: str) -> DataFrame:
+    """Two releases, the second with new sites and newer rows of known ones."""
+    rows = sites(spark, sf, "domain", "visits_history_raw")
+    number = F.substring("domain", -9, 9).cast("bigint")
+    empty = F.create_map().cast(rows.schema["visits_history_raw"].dataType)
+    old = rows.where(number % 3 != 0).select(
+        "domain", F.when(number % 5 == 0, empty).otherwise(F.col("visits_history_raw")).alias("visits_history_raw"), F.lit(1).alias("week")
+    )
+    new = rows.where((number % 3 == 0) | (number % 5 == 0)).withColumn("week", F.lit(2))
+    target = fresh_path(spark, "releases")
+    made = {
+        "visits_series": lambda s: history_series(s, "visits_history_raw", "visits"),
+        "monthly_visit_changes": lambda s: series.visit_changes(history_series(s, "visits_history_raw", "visits")),
+    }
+    for one in (old, new):
+        frames = release(spark, target, one, ["week"], made)
+    return month_text(frames["monthly_visit_changes"].drop("bucket"))
+
+
 # Data quality, snapshots, sources
 
 
@@ -530,6 +639,52 @@ def missing_class(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def missing_by_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The classes of missing values come from rows of a table."""
+    docs = labelled_documents(spark, sf).withColumn(
+        "lang", F.when(F.col("lang") == "en", "").otherwise(F.nullif("lang", F.lit("fr")))
+    )
+    kind = "priority int, field string, state string, other string, low double, high double, text string, class string"
+    path = fresh_path(spark, "rules")
+    spark.createDataFrame(
+        [
+            (1, "quality", "null", "n_chars", None, 499.0, None, "expectedly_missing"),
+            (2, "quality", "null", "source", None, None, "src3", "not_asked"),
+            (1, "lang", None, "n_chars", 5000.0, None, None, "mixed"),
+            (2, "lang", "null", None, None, None, None, "expectedly_missing"),
+            (1, "other", None, None, None, None, None, "never"),
+        ],
+        kind,
+    ).write.parquet(path)
+    rules = spark.read.schema(kind).parquet(path)
+    kinds = {"lang": "text", "quality": "number", "toxic": "number"}
+    return quality.missing_by_rules(docs, "source", kinds, rules)
+
+
+def observed_volumes(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of a write by the writing job, against limits."""
+    orders = table(spark, sf, "orders")
+    metrics = {
+        "rows": F.count(F.lit(1)),
+        "finished": F.count_if(F.col("o_orderstatus") == "F"),
+        "cheap": F.count_if(F.col("o_totalprice") < 60000),
+        "without_customer": F.count_if(F.col("o_custkey").isNull()),
+        "first_key": F.min("o_orderkey"),
+    }
+    limits = {"rows": (1, None), "finished": (None, 10), "without_customer": (0, 0), "unknown": (1, None)}
+    return quality.watched_write(orders, fresh_path(spark, "orders"), metrics, limits)
+
+
+def completeness_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Completeness over three batches from their counters, one of which is delivered twice."""
+    docs = labelled_documents(spark, sf)
+    store = fresh_path(spark, "counters")
+    for batch in (0, 1, 2, 1):
+        part = docs.where(F.pmod("doc_id", F.lit(3)) == batch)
+        quality.add_counters(part, store, str(batch), "source", ["lang", "quality", "toxic"])
+    return quality.completeness_so_far(spark, store).drop("about_distinct")
+
+
 def volume_check(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").withColumn("day", F.dayofmonth(F.col("ts").cast("date")))
     keys = ["user_id", "event_type"]
@@ -539,7 +694,9 @@ def volume_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events")
+    """Every twentieth event has no user, and many of these are of one second."""
+    user = F.when(F.col("event_id") % 20 != 3, F.col("user_id"))
+    events = table(spark, sf, "events").withColumn("user_id", user).withColumn("ts", F.date_trunc("day", "ts"))
     return snapshot.latest_snapshot(events, "user_id", ["ts", "event_id"]).drop("ts")
 
 
@@ -571,6 +728,8 @@ QUERIES: dict[str, Query] = {
         projection_file,
         count_spellings,
         country_fields,
+        variant_paths,
+        variant_own_types,
         json_scalar,
         percent_clean,
         duration_to_seconds,
@@ -605,11 +764,17 @@ QUERIES: dict[str, Query] = {
         feeds_of_report,
         csv_roundtrip,
         table_roundtrip,
+        page_file_scan,
         view_registry,
         report_contents,
         stream_outcomes,
+        stream_repeats,
+        weekly_release,
         completeness_report,
         missing_class,
+        missing_by_rules,
+        observed_volumes,
+        completeness_batches,
         volume_check,
         latest_snapshot,
         merge_sources,
