@@ -2,8 +2,9 @@
 
 Urls that a rule allows or blocks are seeds. Trust is a personalised PageRank that starts at
 the hosts of allowed urls and follows links; distrust starts at the hosts of blocked urls and
-follows links backwards, to those that point at them. A host is blocked if its distrust is
-larger than its trust. DataFrame functions only.
+follows links backwards, to those that point at them. The steps go on until no score changes.
+A host is blocked if its distrust is larger than its trust; the two are compared by their ratio,
+as both are shares of all seeds and shrink as the table grows. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -17,10 +18,13 @@ from sitegauge.llm.common import lower_ascii
 from sitegauge.sources.workdir import stored
 
 DAMPING = 0.6
-ITERATIONS = 12
-# Scores are compared after rounding, so that the order of a sum decides nothing.
-DIGITS = 12
+#: The largest relative change of a score that counts as none.
+TOLERANCE = 1e-9
+#: Distrust counts as larger if it is so by this part, so that the order of a sum decides nothing.
+MARGIN = 1e-6
 STORE_EVERY = 4
+# Steps of the SQL, whose text cannot go on until scores settle: DAMPING ** 64 is below 1e-14.
+SQL_STEPS = 64
 
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
 
@@ -113,30 +117,41 @@ def seeds(hosts: DataFrame) -> DataFrame:
     )
 
 
-def propagate(edges: DataFrame, starts: DataFrame, damping: float, iterations: int) -> DataFrame:
-    """``kind``, ``at``, ``score`` after so many steps; what reaches a host without links ends there.
+def propagate(
+    edges: DataFrame, starts: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """``kind``, ``at``, ``score`` where they no longer change; what reaches a host without links ends there.
 
     Each step is one join on the giving host and one sum over the receiving one, which the map
-    tasks begin. Every few steps the scores are written, so a lost executor repeats those alone.
+    tasks begin. Every few steps the scores are written, so a lost executor repeats those alone,
+    and compared with those written before. A score that is new, or changed by more than
+    ``tolerance`` of itself, asks for more steps; as only ``damping`` of a score is passed on, what
+    they change shrinks from step to step, and a host is reached over any number of links.
     """
     shares = stored(flows(edges), "flows")
     start = stored(starts, "seeds")
-    scores = start.select("kind", "at", F.col("seed").alias("score"))
+    base = start.select("kind", "at", ((1 - F.lit(damping)) * F.col("seed")).alias("score"))
     if shares.isEmpty():
         # No link: the fixed point of the same steps.
-        return start.select("kind", "at", ((1 - F.lit(damping)) * F.col("seed")).alias("score"))
-    base = start.select("kind", "at", ((1 - F.lit(damping)) * F.col("seed")).alias("score"))
-    for step in range(1, iterations + 1):
-        moved = shares.join(scores, ["kind", "at"]).select(
-            "kind", F.col("to").alias("at"), (F.lit(damping) * F.col("share") * F.col("score")).alias("score")
-        )
-        scores = moved.unionByName(base).groupBy("kind", "at").agg(F.sum("score").alias("score"))
-        if step % STORE_EVERY == 0:
-            scores = stored(scores, "scores")
-    return scores
+        return base
+    before = base
+    while True:
+        scores = before
+        for _ in range(STORE_EVERY):
+            moved = shares.join(scores, ["kind", "at"]).select(
+                "kind", F.col("to").alias("at"), (F.lit(damping) * F.col("share") * F.col("score")).alias("score")
+            )
+            scores = moved.unionByName(base).groupBy("kind", "at").agg(F.sum("score").alias("score")).where("score > 0")
+        scores = stored(scores, "scores")
+        old = before.withColumnRenamed("score", "_old")
+        both = scores.join(old, ["kind", "at"], "left")
+        settled = F.coalesce(F.abs(F.col("score") - F.col("_old")) <= tolerance * F.col("score"), F.lit(False))
+        if both.where(~settled).isEmpty():
+            return scores
+        before = scores
 
 
-def host_verdicts(pages: DataFrame, rules: tuple[Rule, ...], damping: float, iterations: int) -> DataFrame:
+def host_verdicts(pages: DataFrame, rules: tuple[Rule, ...], damping: float = DAMPING) -> DataFrame:
     """``host``, ``trust``, ``distrust``, ``blocked`` of every host with a score."""
     verdict = longest_rule(F.col("host"), F.col("path"), rules, "verdict")
     hosts = (
@@ -146,14 +161,14 @@ def host_verdicts(pages: DataFrame, rules: tuple[Rule, ...], damping: float, ite
         .agg(F.count_if(F.col("_v") == "allow").alias("n_allow"), F.count_if(F.col("_v") == "block").alias("n_block"))
     )
     edges = stored(links(pages), "links")
-    scores = propagate(edges, seeds(stored(hosts, "hosts")), damping, iterations)
+    scores = propagate(edges, seeds(stored(hosts, "hosts")), damping)
     return (
         scores.groupBy(F.col("at").alias("host"))
         .agg(
-            F.round(F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)), DIGITS).alias("trust"),
-            F.round(F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)), DIGITS).alias("distrust"),
+            F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
+            F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"),
         )
-        .withColumn("blocked", F.col("distrust") > F.col("trust"))
+        .withColumn("blocked", F.col("distrust") > F.col("trust") * (1 + MARGIN))
     )
 
 
@@ -161,18 +176,17 @@ def judge(
     pages: DataFrame,
     rules: tuple[Rule, ...] = RULES,
     damping: float = DAMPING,
-    iterations: int = ITERATIONS,
 ) -> DataFrame:
     """Every page with ``host``, ``path``, ``rule``, ``verdict``, ``trust`` and ``distrust``.
 
     ``verdict`` is the longest fitting rule's, else ``block`` for hosts with more distrust than
-    trust and ``allow`` for all others: equal scores, hosts without any, and urls without a
+    trust and ``allow`` for all others: scores that are equal up to MARGIN, hosts without any, and urls without a
     host (NULL, or no ``://``). Repeated pages count as often as they stand there. NULL html
     has no links. An empty table gives none. Other columns of ``pages`` are not looked at.
     """
     host, path = host_and_path(F.col("url"))
     split = pages.select("page_id", "html", host.alias("host"), path.alias("path"))
-    verdicts = host_verdicts(split, rules, damping, iterations)
+    verdicts = host_verdicts(split, rules, damping)
     # The judged side keeps its hot host: an equi-join that AQE may split.
     joined = split.drop("html").join(verdicts, "host", "left")
     own = longest_rule(F.col("host"), F.col("path"), rules, "verdict")
@@ -188,7 +202,7 @@ def judge(
     )
 
 
-def oracle(rules: tuple[Rule, ...] = RULES, damping: float = DAMPING, iterations: int = ITERATIONS) -> str:
+def oracle(rules: tuple[Rule, ...] = RULES, damping: float = DAMPING, steps_taken: int = SQL_STEPS) -> str:
     """The same as SQL, with the steps written out."""
     by_length = sorted(rules, key=lambda r: (-len(r.text), r.text))
 
@@ -201,7 +215,7 @@ def oracle(rules: tuple[Rule, ...] = RULES, damping: float = DAMPING, iterations
         return f"CASE {whens} END"
 
     steps = ["s0 AS (SELECT kind, node, seed AS score FROM seed)"]
-    for i in range(1, iterations + 1):
+    for i in range(1, steps_taken + 1):
         steps.append(
             f"s{i} AS MATERIALIZED (SELECT kind, node, sum(score) AS score FROM ("
             f"SELECT f.kind, f.target AS node, {damping} * f.share * s.score AS score "
@@ -238,9 +252,9 @@ seed AS MATERIALIZED (
   SELECT kind, node, n / sum(n) OVER (PARTITION BY kind) AS seed FROM counted),
 {", ".join(steps)},
 judged AS (
-  SELECT node AS host, round(sum(CASE kind WHEN 'trust' THEN score ELSE 0 END), {DIGITS}) AS trust,
-         round(sum(CASE kind WHEN 'distrust' THEN score ELSE 0 END), {DIGITS}) AS distrust
-  FROM s{iterations} GROUP BY node)
+  SELECT node AS host, sum(CASE kind WHEN 'trust' THEN score ELSE 0 END) AS trust,
+         sum(CASE kind WHEN 'distrust' THEN score ELSE 0 END) AS distrust
+  FROM s{steps_taken} GROUP BY node)
 SELECT r.page_id, r.host, r.path, r.rule,
-       coalesce(r.own, CASE WHEN j.distrust > j.trust THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(r.own, CASE WHEN j.distrust > j.trust * (1 + {MARGIN}) THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled r LEFT JOIN judged j ON j.host = r.host"""
