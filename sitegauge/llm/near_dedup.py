@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitegauge.llm.common import SPACED, chunks, frugal, list_array, shipped, signed, words_of
@@ -31,6 +31,9 @@ from sitegauge.sources.workdir import stored
 PERCENT = 85
 # Members of a star in one part of a block; a block has two parts at most.
 PART_MEMBERS = 128
+#: Parts of open members beyond which a star is split by its members' rare shingles first. Up to
+#: it, a set goes to no more than so many blocks per part of the star's other members.
+LARGE_PARTS = 16
 # Columns of the matrix in which a block's shared shingles are counted.
 BLOCK_COLUMNS = 4096
 
@@ -154,10 +157,18 @@ def _links_of_block(percent: int):
 def settled(edges: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links between members of one star that are in different components, in blocks.
 
-    A star's members are those in its centre's component and the others. Both are cut in
-    parts by hash; a block is two parts of the others, or one of them and one of the centre's.
-    A block gives at most as many links as it joins components.
+    A star's members are those in its centre's component and the others, which are open. A star
+    with many open ones, documents that share a passage and are otherwise unlike, is split first
+    (``by_rare_shingles``). A block gives at most as many links as it joins components.
     """
+    rows = block_rows(edges, sets, labels, percent)
+    filled = rows.join(sets.withColumnRenamed("doc_id", "a"), "a")
+    kind = edges.schema["a"].dataType.simpleString()
+    return shipped(filled).groupBy("star", "block").applyInArrow(_links_of_block(percent), f"a {kind}, b {kind}").distinct()
+
+
+def block_rows(edges: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``star``, ``block``, ``a`` and ``component``: a row for every set that a block compares."""
     own = edges.select("a", F.col("b").alias("star")).unionByName(
         edges.select(F.col("b").alias("a"), F.col("b").alias("star")).distinct()
     )
@@ -168,12 +179,62 @@ def settled(edges: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
     tagged = tagged.join(centre.hint("merge"), "star", "left").withColumn(
         "out", F.col("component") != F.coalesce("_centre", "star")
     )
-    tagged = stored(tagged.drop("_centre"), "stars")
+    open_stars = stored(with_parts(stored(tagged.drop("_centre"), "stars")), "open_stars")
+    large = open_stars.where(F.col("n_out") > LARGE_PARTS)
+    if large.isEmpty():
+        return in_blocks(open_stars)
+    # A star is named by text from here on, as its parts are by their shingle as well.
+    named = in_blocks(open_stars.where(F.col("n_out") <= LARGE_PARTS)).withColumn("star", F.col("star").cast("string"))
+    return named.unionByName(in_blocks(with_parts(by_rare_shingles(large, sets, percent))))
+
+
+def with_parts(tagged: DataFrame) -> DataFrame:
+    """Members of stars with an open member, and the numbers of parts of open and other members."""
     size = tagged.groupBy("star").agg(
         F.ceil(F.count_if("out") / PART_MEMBERS).alias("n_out"),
         F.ceil(F.count_if(~F.col("out")) / PART_MEMBERS).alias("n_in"),
     )
-    open_stars = tagged.join(stored(size.where("n_out > 0"), "sizes").hint("merge"), "star")
+    return tagged.join(stored(size.where("n_out > 0"), "sizes").hint("merge"), "star")
+
+
+def by_rare_shingles(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Large stars split into smaller ones, in which every two similar members still meet.
+
+    Two sets of n and m shingles with a similarity of s share at least s * max(n, m) of them. So
+    if the shingles of a star are put in one order, they share one that is among the first
+    n - ceil(s * n) + 1 of the one and the first m - ceil(s * m) + 1 of the other. The order is by
+    the number of the star's members that have the shingle, rarest first: a shared passage, which
+    brought the members together, comes last, and what only one member has brings nobody together.
+    Each shingle that is left names a star of its own; nothing is lost, whatever the sizes.
+    """
+    words = stars.select("star", "a", "component").join(sets.withColumnRenamed("doc_id", "a"), "a")
+    words = words.select("star", "a", "component", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("h"))
+    words = stored(words, "star_shingles")
+    shared = words.groupBy("star", "h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    # At most a document's own shingles meet in a window.
+    member = Window.partitionBy("star", "a")
+    alone = F.col("n") - F.count(F.lit(1)).over(member)
+    first = F.expr(f"n - (({percent} * n + 99) div 100) + 1")
+    place = F.row_number().over(member.orderBy("c", "h"))
+    kept = words.join(shared.hint("merge"), ["star", "h"]).withColumns({"_left": first - alone, "_place": place})
+    kept = kept.where(F.col("_place") <= F.col("_left")).select(
+        F.concat_ws(":", F.col("star").cast("string"), F.col("h").cast("string")).alias("star"), "a", "component"
+    )
+    kept = stored(kept, "rare_stars")
+    # Where all are in one component already there is nothing to join.
+    centre = kept.groupBy("star").agg(
+        F.min(F.struct("a", "component")).alias("_centre"), F.min("component").alias("_low"), F.max("component").alias("_high")
+    )
+    tagged = kept.join(centre.where("_low <> _high").hint("merge"), "star")
+    return tagged.select("star", "a", "component", (F.col("component") != F.col("_centre.component")).alias("out"))
+
+
+def in_blocks(open_stars: DataFrame) -> DataFrame:
+    """Members of open stars in the blocks that compare them.
+
+    Open members and the others are cut in parts by hash; a block is two parts of the open ones,
+    or one of them and one of the others.
+    """
     mine = F.pmod(F.xxhash64("a"), F.when(F.col("out"), F.col("n_out")).otherwise(F.col("n_in")))
     open_stars = open_stars.withColumn("mine", mine)
 
@@ -184,19 +245,20 @@ def settled(edges: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
         upto(F.col("n_out")),
         lambda j: F.struct(F.lit("out").alias("kind"), F.least("mine", j).alias("i"), F.greatest("mine", j).alias("j")),
     )
-    crossed = F.transform(
-        upto(F.col("n_in")),
-        lambda j: F.struct(F.lit("in").alias("kind"), F.col("mine").alias("i"), j.alias("j")),
-    )
+    # A star may have no other members: a sequence would then run backwards.
+    crossed = F.when(
+        F.col("n_in") > 0,
+        F.transform(
+            upto(F.col("n_in")),
+            lambda j: F.struct(F.lit("in").alias("kind"), F.col("mine").alias("i"), j.alias("j")),
+        ),
+    ).otherwise(F.array().cast("array<struct<kind:string,i:bigint,j:bigint>>"))
     inner = F.transform(
         upto(F.col("n_out")),
         lambda i: F.struct(F.lit("in").alias("kind"), i.alias("i"), F.col("mine").alias("j")),
     )
     blocks = F.when(F.col("out"), F.concat(outs, crossed)).otherwise(inner)
-    rows = open_stars.select("star", "a", "component", F.explode(blocks).alias("block"))
-    filled = rows.join(sets.withColumnRenamed("doc_id", "a"), "a")
-    kind = edges.schema["a"].dataType.simpleString()
-    return shipped(filled).groupBy("star", "block").applyInArrow(_links_of_block(percent), f"a {kind}, b {kind}").distinct()
+    return open_stars.select("star", "a", "component", F.explode(blocks).alias("block"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

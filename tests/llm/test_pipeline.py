@@ -152,3 +152,15 @@ def test_texts_that_share_an_id_are_documents_of_their_own(spark):
     assert got.columns == docs.columns
     want = [(7, one), (7, two), (11, three), (11, four), (11, None)]
     assert sorted((r["doc_id"], r["text"] or "") for r in got.collect()) == sorted((d, t or "") for d, t in want)
+
+
+def test_rows_with_maps_and_repeats(spark):
+    """A map column does not stop the stage; of equal rows, and of rows that differ in a map, one stays."""
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(1, text, {"a": 1}), (1, text, {"a": 1}), (1, text, {"b": 2}), (2, text, None), (3, "another text of words here", {"c": 3}), (None, "x", {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    again = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(5), "")
+    kept = sorted(map(str, out.collect()))
+    assert sorted(r["doc_id"] or 0 for r in out.collect()) == [0, 1, 3] and kept == sorted(map(str, again.collect()))
