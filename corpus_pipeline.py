@@ -25,7 +25,11 @@ CACHED = 150_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a language, and those that fit none; ``lang`` becomes what was found."""
+    """Drops texts without a language, and those that fit none; ``lang`` becomes what was found.
+
+    A NULL or empty text, or one without a letter, has no language and goes; a NULL ``lang`` is not
+    learned from. An empty table stays empty.
+    """
     model = languages.fit(docs, remainder("doc_id", 5) != 0)
     return languages.relabelled(docs, model, LEAST_SCORE)
 
@@ -49,12 +53,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     repeated = kept.where("n > 1").select("_key")
     if not repeated.isEmpty():
         same = rows.join(repeated.hint("merge"), "_key", "left_semi")
-        named = named.unionByName(same.groupBy("_key").agg(F.min("_row").alias("_row")).select("_row"))
+        # Of equal ids and texts the row with the smallest hash of all its values, maps too.
+        whole = F.xxhash64(F.to_json("_row", {"ignoreNullFields": "false"}))
+        named = named.unionByName(same.groupBy("_key").agg(F.min_by("_row", whole).alias("_row")).select("_row"))
     return named.select("_row.*").unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which a window of a benchmark item occurs."""
+    """Drops documents in which a window of a benchmark item occurs.
+
+    A NULL or empty text has none and stays, and so does everything if there is no item with words.
+    """
     found = decontaminate.passages(docs, table(spark, sf_dir, "benchmark"))
     hit = found.where(F.size("spans") > 0).select(F.col("text_hash").alias("_h")).distinct()
     # The row travels as one column, so that no name of the input can clash.
@@ -63,7 +72,10 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks secrets in the texts; ``n_chars`` follows."""
+    """Masks secrets in the texts; ``n_chars`` follows.
+
+    A NULL text stays NULL, and so does its ``n_chars``; an empty one stays empty. All rows stay.
+    """
     clean = secrets_scan.redact(docs)
     if "n_chars" not in docs.columns:
         return clean
@@ -71,7 +83,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in as few sequences as possible."""
+    """All documents in as few sequences as possible.
+
+    A NULL text counts as empty, which is one end-of-text token; an empty table gives no pieces.
+    """
     packed = packing.packed_documents(docs, cached=CACHED)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
