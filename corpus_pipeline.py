@@ -24,12 +24,25 @@ NEAR_PERCENT = 80
 CACHED = 150_000
 
 
+#: Rows that Spark hands to a Python worker at once, which all stages share: some 10 MB of text.
+BATCH_ROWS = 2_500
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the batches of what follows in this session, unless they are smaller already."""
+    now = int(spark.conf.get(BATCH_SETTING))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a language, and those that fit none; ``lang`` becomes what was found.
 
     A NULL or empty text, or one without a letter, has no language and goes; a NULL ``lang`` is not
     learned from. An empty table stays empty.
     """
+    small_batches(spark)
     model = languages.fit(docs, remainder("doc_id", 5) != 0)
     return languages.relabelled(docs, model, LEAST_SCORE)
 
@@ -40,6 +53,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows that share an id and differ in their texts are documents of their own. Documents
     without an id are in no group and stay.
     """
+    small_batches(spark)
     # The row travels as one column, so that no name of the input can clash.
     key = F.xxhash64("doc_id", "text")
     rows = docs.where("doc_id IS NOT NULL").select(F.struct("*").alias("_row"), key.alias("_key"))
@@ -64,6 +78,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     A NULL or empty text has none and stays, and so does everything if there is no item with words.
     """
+    small_batches(spark)
     found = decontaminate.passages(docs, table(spark, sf_dir, "benchmark"))
     hit = found.where(F.size("spans") > 0).select(F.col("text_hash").alias("_h")).distinct()
     # The row travels as one column, so that no name of the input can clash.
@@ -76,6 +91,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     A NULL text stays NULL, and so does its ``n_chars``; an empty one stays empty. All rows stay.
     """
+    small_batches(spark)
     clean = secrets_scan.redact(docs)
     if "n_chars" not in docs.columns:
         return clean
@@ -87,6 +103,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A NULL text counts as empty, which is one end-of-text token; an empty table gives no pieces.
     """
+    small_batches(spark)
     packed = packing.packed_documents(docs, cached=CACHED)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
