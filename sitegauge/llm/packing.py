@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitegauge.llm.common import shipped
+from sitegauge.operators.snapshot import PLACE, with_place
 from sitegauge.sources.workdir import stored
 
 CAPACITY = 4096
@@ -187,7 +188,8 @@ def sum_of_squares(histogram: dict[int, int], capacity: int = CAPACITY, steps: i
                 count = min(step, left, int(open_bins[gap]))
                 open_bins[gap] -= count
             else:
-                gap, count = capacity, min(step, left)
+                # No more bins at once than these pieces fill by themselves.
+                gap, count = capacity, min(step, -(-left // (capacity // length)))
                 where[capacity].append((bins, count))
                 bins += count
             rest = gap - length
@@ -211,35 +213,36 @@ def sum_of_squares(histogram: dict[int, int], capacity: int = CAPACITY, steps: i
 def ranked(parts: DataFrame) -> DataFrame:
     """``rank`` of each piece among those of its length, from 0.
 
-    A length that many pieces share is dealt over about sqrt(pieces) groups by hash; a piece's
+    A length that many pieces share is dealt over about sqrt(pieces) groups by a hash of the
+    piece and its place in its file (PLACE), so that equal pieces are dealt as well; a piece's
     rank is its place in its group plus the sizes of the groups before.
     """
     total = parts.count()
     salts = int(total**0.5) + 1
-    salted = parts.withColumn(
-        "_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int")
-    )
+    spread = F.xxhash64("doc_id", "piece", "ids_crc32", PLACE[1])
+    salted = parts.drop(PLACE[0]).withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
     sizes = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
-    within = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32", PLACE[1])
     return (
         salted.withColumn("_place", F.row_number().over(within) - 1)
         .join(sizes, ["length", "_salt"])
         .withColumn("rank", F.col("_before") + F.col("_place"))
-        .drop("_salt", "_place", "_before")
+        .drop("_salt", "_place", "_before", PLACE[1])
     )
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``parts`` with ``sequence_id`` and ``offset``; bins have no gap between pieces.
 
-    ``parts`` has ``doc_id``, ``piece``, ``length`` and ``ids_crc32`` and should be stored, as
-    it is read three times. Equal rows are pieces of their own. An empty table gives none.
+    ``parts`` has ``doc_id``, ``piece``, ``length`` and ``ids_crc32``. It is stored first, as it
+    is read three times. Equal rows are pieces of their own. An empty table gives none.
     The driver gets one row per length, at most ``capacity``, and sends the runs, whose number
     is bounded by ``capacity`` * STEPS splits, each moved once per piece in a bin.
     """
     spark = parts.sparkSession
+    parts = stored(parts, "pieces")
     counted = parts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     runs, _ = sum_of_squares({r["length"]: r["n"] for r in counted}, capacity)
     runs = runs[np.lexsort((runs[:, 1], runs[:, 0]))]
@@ -259,7 +262,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*kept, pa.array(bins), pa.array(table[at, 4])], names=names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
-    return shipped(ranked(parts)).mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    return shipped(ranked(with_place(parts))).mapInArrow(place, f"{fields}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -280,5 +283,4 @@ def packed_documents(
     docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, ids: bool = False, cached: int = CACHED
 ) -> DataFrame:
     """Every document cut, if longer than ``capacity``, and packed."""
-    parts = stored(pieces(docs, path or vocabulary_path(), capacity, ids, cached), "pieces")
-    return pack(parts, capacity)
+    return pack(pieces(docs, path or vocabulary_path(), capacity, ids, cached), capacity)

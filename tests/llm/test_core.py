@@ -129,6 +129,36 @@ def test_packing_is_gapless_and_close_to_the_least():
     assert packed_by({10: 7}, 10) == 7
 
 
+def test_packing_follows_the_sum_of_squares_piece_by_piece():
+    rng = random.Random(9)
+    for _ in range(40):
+        capacity = rng.choice([7, 20, 60])
+        histogram = {n: rng.randint(1, packing.STEPS) for n in rng.sample(range(1, capacity + 1), rng.randint(1, capacity // 2))}
+        bins: list[list[int]] = []
+        for n in sorted((n for n, c in histogram.items() for _ in range(c)), reverse=True):
+            gaps = Counter(capacity - sum(b) for b in bins)
+
+            def squares(gap, n=n, gaps=gaps):
+                after = gaps + Counter([gap - n])
+                after[gap] -= 1
+                return sum(c * c for g, c in after.items() if g)
+
+            fits = [g for g in sorted(gaps) if g >= n]
+            if fits:
+                best = min(fits, key=squares)
+                next(b for b in bins if capacity - sum(b) == best).append(n)
+            else:
+                bins.append([n])
+        runs, count = packing.sum_of_squares(histogram, capacity)
+        got: dict[int, list[tuple[int, int]]] = {}
+        for length, _, pieces, first, offset in runs.tolist():
+            for i in range(pieces):
+                got.setdefault(first + i, []).append((offset, length))
+        assert count == len(bins)
+        free = Counter(capacity - sum(n for _, n in parts) for parts in got.values())
+        assert free == Counter(capacity - sum(b) for b in bins)
+
+
 def test_encoder_gives_the_ids_of_whole_texts():
     from tokenizers import Tokenizer
 

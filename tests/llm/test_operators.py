@@ -24,6 +24,8 @@ from sitegauge.llm import (
     url_filters,
 )
 from sitegauge.llm.components import components
+from sitegauge.operators.snapshot import PLACE, with_place
+from sitegauge.sources.workdir import stored
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 # Names that operators use for themselves, as extra columns of their inputs.
@@ -473,6 +475,18 @@ def test_packing_places_every_piece(spark):
         assert sum(len(r["ids"]) for r in whole) == total and all(r["segments"][0] == 0 for r in whole)
 
 
+def test_equal_pieces_are_dealt_to_many_groups(spark):
+    parts = spark.range(4000).selectExpr("7L AS doc_id", "0 AS piece", "9L AS length", "5L AS ids_crc32")
+    placed = with_place(stored(parts.repartition(2), "pieces"))
+    ranks = [r["rank"] for r in packing.ranked(placed).collect()]
+    assert sorted(ranks) == list(range(4000))
+    tasks = placed.select(F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", PLACE[1]), F.lit(64)).alias("s"))
+    assert max(r["count"] for r in tasks.groupBy("s").count().collect()) < 200
+    packed = packing.pack(parts, 64).groupBy("sequence_id").agg(F.sort_array(F.collect_list("offset")).alias("at"))
+    assert sorted(len(r["at"]) for r in packed.collect()) == [4000 % 7] + [7] * (4000 // 7)
+    assert all(r["at"] == [9 * i for i in range(len(r["at"]))] for r in packed.collect())
+
+
 def test_top_k_against_all_scores(spark):
     rng = np.random.default_rng(7)
     rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(12)]) for i in range(300)]
