@@ -13,6 +13,7 @@ import heapq
 from dataclasses import dataclass
 
 import numpy as np
+from numpy.lib.stride_tricks import sliding_window_view
 
 from sitegauge.llm.common import mix
 
@@ -158,38 +159,48 @@ def lanes_of(sizes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def run_lanes(
-    inputs: list[np.ndarray], bits: np.ndarray, depth: np.ndarray, first: np.ndarray, length: np.ndarray, start: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """Natural log of the probability of every lane's bits, and the sum of the lanes' last weights.
-
-    A lane counts in that sum as often as it has bits.
+    inputs: list[np.ndarray],
+    bits: np.ndarray,
+    depth: np.ndarray,
+    first: np.ndarray,
+    length: np.ndarray,
+    start: np.ndarray,
+    logs: np.ndarray | None = None,
+) -> np.ndarray:
+    """The sum of the lanes' last weights; a lane counts in it as often as it has bits.
+
+    ``logs``, if given, gets the natural log of the probability of every bit.
 
     All lanes go forward together, bit by bit; longer ones stand first, so that the live ones
     are always a prefix.
     """
-    result = np.zeros(len(first))
     last = np.zeros((GATES, INPUTS))
     cells = np.linspace(-MAP_REACH, MAP_REACH, MAP_CELLS, dtype=np.float32)
     by_length = np.argsort(-length, kind="stable")
+
+    def ahead(values: np.ndarray) -> np.ndarray:
+        """The LAID_OUT values from each place on."""
+        return sliding_window_view(np.concatenate([values, np.zeros(LAID_OUT, values.dtype)]), LAID_OUT)
+
+    wide, wide_bits, wide_depth = [ahead(v) for v in inputs], ahead(bits), ahead(depth)
     for group in range(0, len(first), LANES):
         lane = by_length[group : group + LANES]
         n, steps = len(lane), int(length[lane[0]]) if len(lane) else 0
         live = np.searchsorted(-length[lane], -np.arange(steps), side="left")
+        begin = first[lane]
         # By input, then by lane and gate.
         weights = np.tile(start.T.astype(np.float32), n)
         refined = np.tile(cells, n)
         base = np.arange(n) * MAP_CELLS
-        total = np.zeros(n)
         for t in range(steps):
             k, row = live[t], t % LAID_OUT
             if row == 0:
-                place = first[lane[:k]][None, :] + np.arange(t, min(t + LAID_OUT, steps))[:, None]
-                np.minimum(place, len(bits) - 1, out=place)
-                x = np.full((len(place), INPUTS, k), 0.3, dtype=np.float32)
-                for i, values in enumerate(inputs):
-                    x[:, i] = values[place]
-                y = bits[place].astype(np.float32)
-                gate = np.minimum(depth[place], GATES - 1) + np.arange(k)[None, :] * GATES
+                place, rows = begin[:k] + t, min(LAID_OUT, steps - t)
+                x = np.full((rows, INPUTS, k), 0.3, dtype=np.float32)
+                for i, values in enumerate(wide):
+                    x[:, i] = values[place, :rows].T
+                y = wide_bits[place, :rows].T.astype(np.float32, order="C")
+                gate = np.minimum(wide_depth[place, :rows].T, GATES - 1) + np.arange(k)[None, :] * GATES
             xt, yt, at = x[row, :, :k], y[row, :k], gate[row, :k]
             w = weights.take(at, axis=1)
             z = np.clip((w * xt).sum(0), -MAP_REACH + 0.01, MAP_REACH - 0.01)
@@ -197,16 +208,17 @@ def run_lanes(
             w += (RATE * (yt - p)) * xt
             for i in range(INPUTS):
                 weights[i][at] = w[i]
+            if logs is None:
+                continue
             near = ((z + MAP_REACH) * ((MAP_CELLS - 1) / (2 * MAP_REACH)) + 0.5).astype(np.int64)
             cell = base[:k] + near
             moved = refined.take(cell)
             q = 1 / (1 + np.exp(cells.take(near) - z - moved))
             refined[cell] = moved + MAP_RATE * (yt - q) * 4
             # The mean of both is the chance of a one; of a zero, it is what is left.
-            total[:k] += np.log(np.abs(1 - yt - (p + q) / 2))
-        result[lane] = total
+            logs[begin[:k] + t] = np.log(np.abs(1 - yt - (p + q) / 2))
         last += np.tensordot(weights.reshape(INPUTS, n, GATES), length[lane].astype(float), (1, 0)).T
-    return result, last
+    return last
 
 
 def first_weights() -> np.ndarray:

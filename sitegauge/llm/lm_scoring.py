@@ -6,7 +6,9 @@
 3. The predictors' counts, a table of fixed size, are gathered from every training word, summed
    in steps of bounded width.
 4. The mixing weights are trained on every training word, block by block, and averaged.
-5. Every block is scored with the table and those weights.
+5. Passages after the same words are counted over all blocks, and each block gets the counts of
+   its own ones back, as in 2; how often such a passage comes again is counted by gate.
+6. Every block is scored with the table, the weights and its passages.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitegauge.llm import context_mixing as cm
+from sitegauge.llm import recall
 from sitegauge.llm.common import SPACED, chunks, frugal, remainder, shipped, words_of
 from sitegauge.sources.workdir import stored
 
@@ -34,7 +37,7 @@ PARTS, FAN = 64, 32
 WEIGHT_UNIT = 1 << 24
 # Cells of a count by ranges, and words that one task may sort to choose the most frequent.
 CELLS, SORTED_WORDS = 1024, 1 << 16
-LOG10 = float(np.log(10))
+LN10 = float(np.log(10))
 
 
 def _packed(array: np.ndarray) -> bytes:
@@ -48,19 +51,20 @@ def _unpacked(data: bytes, kind: str, n: int) -> np.ndarray:
 
 BLOCK = (
     "block long, n_words long, n_tokens long, n_bytes array<long>, train array<boolean>, bounds array<long>, "
-    "hashes binary, tokens binary, trained binary"
+    "hashes binary, tokens binary, trained binary, n_anchors long, places binary, contexts binary, pairs binary"
 )
 
 
 def blocks(docs: DataFrame, learn: Column) -> DataFrame:
     """Documents in blocks: ``ids``, ``train``, token ``bounds``, the block's words and its tokens.
 
-    ``trained`` counts each of the block's words in its training documents.
+    ``trained`` counts each of the block's words in its training documents; ``places``,
+    ``contexts`` and ``pairs`` are its anchors.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, train, sizes, n_bytes, hashes = [], [], [], [], []
+        ids, train, sizes, n_bytes, hashes, anchors = [], [], [], [], [], []
         number, total = 0, 0
         # Spark numbers the task's part of the table; the block's number is unique with it.
         part = TaskContext.get().partitionId()
@@ -79,6 +83,7 @@ def blocks(docs: DataFrame, learn: Column) -> DataFrame:
             trained = np.bincount(tokens[learned], minlength=len(words))
             whole = pa.concat_arrays(ids)
             one = pa.array([0, len(whole)], pa.int32())
+            places, contexts, pairs = (np.concatenate(parts) for parts in zip(*anchors))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([(part << 24) + number], pa.int64()),
@@ -90,10 +95,13 @@ def blocks(docs: DataFrame, learn: Column) -> DataFrame:
                     pa.array([_packed(words)], pa.binary()),
                     pa.array([_packed(tokens)], pa.binary()),
                     pa.array([_packed(trained.astype(np.int64))], pa.binary()),
+                    pa.array([len(places)], pa.int64()),
+                    *(pa.array([_packed(a)], pa.binary()) for a in (places.astype(np.uint32), contexts, pairs)),
                     pa.ListArray.from_arrays(one, whole),
                 ],
                 names=[
-                    "block", "n_words", "n_tokens", "n_bytes", "train", "bounds", "hashes", "tokens", "trained", "ids",
+                    "block", "n_words", "n_tokens", "n_bytes", "train", "bounds", "hashes", "tokens", "trained",
+                    "n_anchors", "places", "contexts", "pairs", "ids",
                 ],
             )
 
@@ -102,13 +110,15 @@ def blocks(docs: DataFrame, learn: Column) -> DataFrame:
                 words = words_of(data, offsets, SPACED)
                 hashes.append(np.insert(words.hashes, words.bounds[1:], END_HASH))
                 sizes.append(np.diff(words.bounds) + 1)
+                at, context, pair = recall.anchors(hashes[-1], np.concatenate([[0], np.cumsum(sizes[-1])]))
+                anchors.append((at + total, context, pair))
                 n_bytes.append(np.diff(offsets))
                 ids.append(batch.column(0).slice(first, end - first))
                 train.append(batch.column(2).slice(first, end - first))
                 total += len(hashes[-1])
                 if total >= BLOCK_TOKENS:
                     yield row()
-                    ids, train, sizes, n_bytes, hashes = [], [], [], [], []
+                    ids, train, sizes, n_bytes, hashes, anchors = [], [], [], [], [], []
                     number, total = number + 1, 0
         if ids:
             yield row()
@@ -159,6 +169,81 @@ def by_block(counts: DataFrame) -> DataFrame:
     return shipped(counts).select("block", "at", "n").groupBy("block").applyInArrow(pack, "block long, counts binary")
 
 
+def passage_counts(table: DataFrame) -> DataFrame:
+    """``block``, ``n`` and ``seen``: the passages of a block whose words before stand elsewhere too.
+
+    ``seen`` has their numbers among the block's different passages, the passage's count and that
+    of the words before, over all training documents. A passage has one row per block; those
+    of one context meet only as partial sums and in a join, which Spark splits where it is skewed.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                n = row["n_anchors"]
+                if not n:
+                    continue
+                places, contexts = _unpacked(row["places"], "<u4", n), _unpacked(row["contexts"], "<i8", n)
+                pairs, index, inverse = np.unique(_unpacked(row["pairs"], "<u8", n), return_index=True, return_inverse=True)
+                learned = np.array(row["train"])[np.searchsorted(row["bounds"], places, side="right") - 1]
+                own = np.bincount(inverse[learned], minlength=len(pairs))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(pairs), row["block"]), pa.int64()),
+                        pa.array(np.arange(len(pairs), dtype=np.int32), pa.int32()),
+                        pa.array(contexts[index], pa.int64()),
+                        pa.array(pairs.view(np.int64), pa.int64()),
+                        pa.array(own, pa.int64()),
+                        pa.array(np.bincount(inverse) > own),
+                    ],
+                    names=["block", "at", "context", "pair", "own", "held"],
+                )
+
+    def pack(rows: pa.Table) -> pa.Table:
+        seen = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("at", "n", "total")])
+        return pa.table(
+            {"block": rows.column("block")[:1], "n": pa.array([seen.shape[1]], pa.int64()), "seen": pa.array([_packed(seen)], pa.binary())}
+        )
+
+    wanted = shipped(table).select("block", "train", "bounds", "n_anchors", "places", "contexts", "pairs")
+    rows = wanted.mapInArrow(frugal(each), "block long, at int, context long, pair long, own long, held boolean")
+    pair = Window.partitionBy("pair")
+    first = F.col("block") == F.min("block").over(pair)
+    counted = stored(rows.select("block", "at", "context", "held", F.sum("own").over(pair).alias("n"), first.alias("first")), "passages")
+    totals = counted.where("first AND n > 0").groupBy("context").agg(F.sum("n").alias("total"))
+    # What one training document alone holds predicts nothing in itself.
+    useful = counted.join(totals.hint("merge"), "context").where("total > 1 OR held")
+    return useful.select("block", "at", "n", "total").groupBy("block").applyInArrow(pack, "block long, n long, seen binary")
+
+
+def _chances(row: dict, seen: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Anchors' places and passages' ends in a block, and ``recall.chances`` of them."""
+    n, bounds = row["n_anchors"], np.asarray(row["bounds"])
+    places = _unpacked(row["places"], "<u4", n).astype(np.int64)
+    pairs = _unpacked(row["pairs"], "<u8", n)
+    known, gate, share = recall.chances(places, pairs, bounds, np.asarray(row["train"]), seen)
+    return places[known], recall.ends(places, bounds)[known], gate, share
+
+
+def recall_chances(table: DataFrame, seen: DataFrame) -> np.ndarray:
+    """By gate, the chance that a passage is one that training held elsewhere after the same words."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                places, _, gate, share = _chances(row, _unpacked(row["seen"], "<i8", 3 * row["n"]).reshape(3, -1))
+                learned = np.array(row["train"])[np.searchsorted(row["bounds"], places, side="right") - 1]
+                every = np.bincount(gate[learned], minlength=recall.GATES)
+                again = np.bincount(gate[learned & (share > 0)], minlength=recall.GATES)
+                yield pa.RecordBatch.from_arrays([pa.array([[*every, *again]], pa.list_(pa.int64()))], names=["counts"])
+
+    wanted = table.select("block", "train", "bounds", "n_anchors", "places", "pairs").join(seen.hint("merge"), "block")
+    rows = shipped(wanted).mapInArrow(frugal(count), "counts array<long>")
+    cells = [F.coalesce(F.sum(F.col("counts")[i]), F.lit(0)) for i in range(2 * recall.GATES)]
+    every, again = np.array(rows.agg(*cells).collect()[0], dtype=float).reshape(2, -1)
+    return (again + 0.5) / (every + 1)
+
+
 def symbols_of(hashes: np.ndarray, coded: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Symbol of each word: its place among the coded ones from 1, or 0."""
     known, symbol = coded
@@ -273,7 +358,7 @@ def trained_weights(table: DataFrame, coded: tuple, code: cm.Code, counts: np.nd
                     first, length, _ = cm.lanes_of(found.sizes, docs)
                     if not len(first):
                         continue
-                    _, last = cm.run_lanes(
+                    last = cm.run_lanes(
                         cm.left_out(logits, found), found.bits, found.depth, first, length, cm.first_weights()
                     )
                     bits += int(length.sum())
@@ -361,12 +446,13 @@ def score(docs: DataFrame) -> DataFrame:
     code = cm.Code.build(np.array([rest, *[r["n"] for r in top]]))
     tables = predictor_counts(table, coded, code)
     weights = trained_weights(table, coded, code, tables)
-    sent = spark.sparkContext.broadcast((coded, code, cm.logits_of(tables), weights))
+    seen = stored(passage_counts(table), "recall")
+    sent = spark.sparkContext.broadcast((coded, code, cm.logits_of(tables), weights, recall_chances(table, seen)))
     base_all = float(np.log10(n_all + 0.5 * (n_words + 1)))
     rest_all = float(np.log10(rest + 0.5 * (n_words - len(top) + 1)))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coded, code, logits, weights = sent.value
+        coded, code, logits, weights, again = sent.value
         for batch in batches:
             for at in range(batch.num_rows):
                 row = {n: batch.column(n)[at] for n in batch.schema.names}
@@ -378,15 +464,30 @@ def score(docs: DataFrame) -> DataFrame:
                 symbols = symbols_of(hashes, coded)
                 log = np.log10(known + 0.5)
                 plain = np.where(symbols == 0, log - rest_all, 0.0)
+                anchors = {c: row[c].as_py() for c in ("n_anchors", "places", "pairs")}
+                anchors.update(bounds=bounds, train=row["train"].values.to_numpy(zero_copy_only=False))
+                n_seen = row["n"].as_py() or 0
+                seen = _unpacked(row["seen"].as_py(), "<i8", 3 * n_seen) if n_seen else np.zeros(0, np.int64)
+                places, ends, gate, share = _chances(anchors, seen.reshape(3, -1))
                 mixed = np.zeros(len(bounds) - 1)
                 for first, end in document_runs(bounds):
                     part = tokens[bounds[first] : bounds[end]]
                     local = bounds[first : end + 1] - bounds[first]
                     found = cm.events(hashes[part], symbols[part], local[:-1], code)
-                    lane, length, doc = cm.lanes_of(found.sizes, local)
+                    lane, length, _ = cm.lanes_of(found.sizes, local)
+                    logs = np.zeros(len(found.bits), dtype=np.float32)
                     inputs = [logits[s] for s in found.slots]
-                    got, _ = cm.run_lanes(inputs, found.bits, found.depth, lane, length, weights)
-                    mixed[first:end] = np.bincount(doc, weights=got, minlength=end - first) / LOG10
+                    cm.run_lanes(inputs, found.bits, found.depth, lane, length, weights, logs)
+                    # Natural logs of all that stands before a word, by its bits and behind the escape.
+                    upto = np.concatenate([[0], np.cumsum(logs, dtype=float)])[np.concatenate([[0], np.cumsum(found.sizes)])]
+                    mixed[first:end] = np.diff(upto[local])
+                    upto[1:] += np.cumsum(plain[part]) * LN10
+                    low, high = np.searchsorted(places, bounds[[first, end]])
+                    start, stop = places[low:high] - bounds[first], ends[low:high] - bounds[first]
+                    more = recall.gain(upto[stop] - upto[start], share[low:high], again[gate[low:high]])
+                    doc = np.searchsorted(local, start, side="right") - 1
+                    mixed[first:end] += np.bincount(doc, weights=more, minlength=end - first)
+                mixed /= LN10
                 sums = [np.add.reduceat(v[tokens], bounds[:-1]) for v in (log, plain, (known > 0).astype(np.int64))]
                 sizes = np.diff(bounds)
                 result = mixed + sums[1]
@@ -405,7 +506,8 @@ def score(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"],
                 )
 
-    joined = table.drop("trained").join(by_block(counts).hint("merge"), "block")
+    joined = table.drop("trained", "contexts").join(by_block(counts).hint("merge"), "block")
+    joined = joined.join(seen.hint("merge"), "block", "left")
     schema = (
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, bits_per_byte double"
