@@ -141,7 +141,7 @@ def logits_left_out(table: np.ndarray) -> np.ndarray:
 def left_out(logits: np.ndarray, found: Events) -> list[np.ndarray]:
     """Logits by predictor without the bit itself, out of ``logits_left_out``."""
     flat = logits.reshape(-1)
-    return [flat[slots * 2 + found.bits] for slots in found.slots]
+    return [flat.take(slots * 2 + found.bits, mode="clip") for slots in found.slots]
 
 
 def lanes_of(sizes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -206,14 +206,13 @@ def passage_counts(table: DataFrame) -> DataFrame:
         )
 
     wanted = shipped(table).select("block", "train", "bounds", "n_anchors", "places", "contexts", "pairs")
-    rows = wanted.mapInArrow(frugal(each), "block long, at int, context long, pair long, own long, held boolean")
-    pair = Window.partitionBy("pair")
-    first = F.col("block") == F.min("block").over(pair)
-    counted = stored(rows.select("block", "at", "context", "held", F.sum("own").over(pair).alias("n"), first.alias("first")), "passages")
-    totals = counted.where("first AND n > 0").groupBy("context").agg(F.sum("n").alias("total"))
-    # What one training document alone holds predicts nothing in itself.
-    useful = counted.join(totals.hint("merge"), "context").where("total > 1 OR held")
-    return useful.select("block", "at", "n", "total").groupBy("block").applyInArrow(pack, "block long, n long, seen binary")
+    rows = stored(wanted.mapInArrow(frugal(each), "block long, at int, context long, pair long, own long, held boolean"), "passages")
+    totals = rows.groupBy("context").agg(F.sum("own").alias("total"), F.max("held").alias("held"))
+    # What one training document alone holds predicts nothing in itself, nor does what none holds.
+    totals = totals.where("total > 1 OR (total = 1 AND held)").drop("held")
+    useful = rows.drop("held").join(totals.hint("merge"), "context")
+    counted = useful.select("block", "at", "total", F.sum("own").over(Window.partitionBy("pair")).alias("n"))
+    return counted.groupBy("block").applyInArrow(pack, "block long, n long, seen binary")
 
 
 def _chances(row: dict, seen: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -476,7 +475,7 @@ def score(docs: DataFrame) -> DataFrame:
                     found = cm.events(hashes[part], symbols[part], local[:-1], code)
                     lane, length, _ = cm.lanes_of(found.sizes, local)
                     logs = np.zeros(len(found.bits), dtype=np.float32)
-                    inputs = [logits[s] for s in found.slots]
+                    inputs = [logits.take(s, mode="clip") for s in found.slots]
                     cm.run_lanes(inputs, found.bits, found.depth, lane, length, weights, logs)
                     # Natural logs of all that stands before a word, by its bits and behind the escape.
                     upto = np.concatenate([[0], np.cumsum(logs, dtype=float)])[np.concatenate([[0], np.cumsum(found.sizes)])]

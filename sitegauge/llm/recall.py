@@ -33,15 +33,15 @@ def anchors(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
         context = np.zeros(n - CONTEXT, dtype=np.uint64)
         for back in range(1, CONTEXT + 1):
             context += hashes[CONTEXT - back : n - back] * np.uint64(2 * back + 1)
-        context = mix(context)
         inside = np.arange(n) - np.repeat(bounds[:-1], np.diff(bounds))
         inside = inside[CONTEXT:]
-        rare = (context >> np.uint64(64 - RARE)) == 0
+        rare = (context * _STEP >> np.uint64(64 - RARE)) == 0
         chosen = np.flatnonzero((inside == CONTEXT) | (rare & (inside > CONTEXT)))
-        at, context = chosen + CONTEXT, context[chosen]
+        at, context = chosen + CONTEXT, mix(context[chosen])
         starts = np.union1d(bounds[:-1], at)
         within = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
-        passage = np.add.reduceat(mix(hashes + within.astype(np.uint64) * _STEP), starts)
+        # A word counts by its place, as an odd multiple of its hash.
+        passage = np.add.reduceat(hashes * (within.astype(np.uint64) * np.uint64(2) + np.uint64(1)), starts)
         passage = passage[np.searchsorted(starts, at)]
         return at, context, mix(passage + context * np.uint64(3))
 
