@@ -10,6 +10,7 @@ prediction to probability refines the result the same way.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +32,7 @@ MAP_CELLS, MAP_RATE, MAP_REACH = 17, 0.02, 8.0
 #: Bits after which a lane starts again from the trained weights, and lanes worked on at once.
 LANE_BITS, LANES = 1024, 4096
 # Bits of the lanes that are laid out at once.
-LAID_OUT = 128
+LAID_OUT = 64
 PRIOR = 0.4
 
 
@@ -138,10 +139,10 @@ def logits_left_out(table: np.ndarray) -> np.ndarray:
     return np.stack([one - less_zero, less_one - zero], axis=1).astype(np.float32)
 
 
-def left_out(logits: np.ndarray, found: Events) -> list[np.ndarray]:
+def left_out(logits: np.ndarray, found: Events) -> Iterator[np.ndarray]:
     """Logits by predictor without the bit itself, out of ``logits_left_out``."""
     flat = logits.reshape(-1)
-    return [flat.take(slots * 2 + found.bits, mode="clip") for slots in found.slots]
+    return (flat.take(slots * 2 + found.bits, mode="clip") for slots in found.slots)
 
 
 def lanes_of(sizes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,7 +160,7 @@ def lanes_of(sizes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def run_lanes(
-    inputs: list[np.ndarray],
+    inputs: Iterable[np.ndarray],
     bits: np.ndarray,
     depth: np.ndarray,
     first: np.ndarray,

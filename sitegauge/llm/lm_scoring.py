@@ -475,7 +475,7 @@ def score(docs: DataFrame) -> DataFrame:
                     found = cm.events(hashes[part], symbols[part], local[:-1], code)
                     lane, length, _ = cm.lanes_of(found.sizes, local)
                     logs = np.zeros(len(found.bits), dtype=np.float32)
-                    inputs = [logits.take(s, mode="clip") for s in found.slots]
+                    inputs = (logits.take(s, mode="clip") for s in found.slots)
                     cm.run_lanes(inputs, found.bits, found.depth, lane, length, weights, logs)
                     # Natural logs of all that stands before a word, by its bits and behind the escape.
                     upto = np.concatenate([[0], np.cumsum(logs, dtype=float)])[np.concatenate([[0], np.cumsum(found.sizes)])]

@@ -13,7 +13,7 @@ import numpy as np
 
 from sitegauge.llm.common import mix
 
-CONTEXT, RARE = 4, 5
+CONTEXT, RARE = 4, 6
 #: Gates by the number of times that the words before were seen, in powers of two, and by whether
 #: the passage before was one that had been seen (2), was not (1), or none could be (0).
 POWERS = 8
