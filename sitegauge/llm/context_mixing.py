@@ -32,7 +32,7 @@ MAP_CELLS, MAP_RATE, MAP_REACH = 17, 0.02, 8.0
 #: Bits after which a lane starts again from the trained weights, and lanes worked on at once.
 LANE_BITS, LANES = 1024, 4096
 # Bits of the lanes that are laid out at once.
-LAID_OUT = 64
+LAID_OUT = 128
 PRIOR = 0.4
 
 
@@ -203,7 +203,7 @@ def run_lanes(
                 y = wide_bits[place, :rows].T.astype(np.float32, order="C")
                 gate = np.minimum(wide_depth[place, :rows].T, GATES - 1) + np.arange(k)[None, :] * GATES
             xt, yt, at = x[row, :, :k], y[row, :k], gate[row, :k]
-            w = weights.take(at, axis=1)
+            w = weights.take(at, axis=1, mode="clip")
             z = np.clip((w * xt).sum(0), -MAP_REACH + 0.01, MAP_REACH - 0.01)
             p = 1 / (1 + np.exp(-z))
             w += (RATE * (yt - p)) * xt
@@ -213,8 +213,8 @@ def run_lanes(
                 continue
             near = ((z + MAP_REACH) * ((MAP_CELLS - 1) / (2 * MAP_REACH)) + 0.5).astype(np.int64)
             cell = base[:k] + near
-            moved = refined.take(cell)
-            q = 1 / (1 + np.exp(cells.take(near) - z - moved))
+            moved = refined.take(cell, mode="clip")
+            q = 1 / (1 + np.exp(cells.take(near, mode="clip") - z - moved))
             refined[cell] = moved + MAP_RATE * (yt - q) * 4
             # The mean of both is the chance of a one; of a zero, it is what is left.
             logs[begin[:k] + t] = np.log(np.abs(1 - yt - (p + q) / 2))
