@@ -25,6 +25,9 @@ WINDOW = 10
 SHARD_WORDS = 1 << 19
 # Windows sent to the tasks at once: some 100 bytes each.
 BATCH_WINDOWS = 100_000
+# An index is a row of some megabytes, and Parquet looks at a page's size every 100 rows only: a row
+# is a page of its own, so that what is compressed at once is one index and not all of a task.
+PAGES = {"parquet.page.row.count.limit": 1}
 # Occurrences looked up at once.
 LOCATE_STEP = 1 << 20
 
@@ -209,7 +212,7 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     id_kind = docs.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType
-    index_table = stored(shards(docs), "index")
+    index_table = stored(shards(docs), "index", **PAGES)
     patterns = stored(windows(benchmark), "windows")
     rounds = -(-patterns.count() // BATCH_WINDOWS)
     if rounds <= 1:

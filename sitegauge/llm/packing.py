@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitegauge.llm.common import shipped
+from sitegauge.llm.common import frugal, shipped
 from sitegauge.operators.snapshot import PLACE, with_place
 from sitegauge.sources.workdir import stored
 
@@ -70,6 +70,10 @@ class Encoder:
         self.parts: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
 
+    def forget(self) -> None:
+        """Empties the caches."""
+        self.parts, self.words = {"": b""}, {"": b""}
+
     def _direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
@@ -121,13 +125,14 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def pieces(
-    docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = False, cached: int = CACHED
+    docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = False, cached: int = CACHED, keep: bool = True
 ) -> DataFrame:
     """Pieces of every document: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``.
 
     A document is the ids of its whole text and an end id; only longer ones are cut. With
     ``ids`` the ids themselves come as an array. NULL and empty texts are one end id; rows
-    with equal or NULL ``doc_id`` are documents of their own.
+    with equal or NULL ``doc_id`` are documents of their own. Without ``keep`` the caches, and
+    the memory that they freed, go with each task, for workers that have other work to do.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +166,14 @@ def pieces(
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, {PIECES}" + (", ids array<int>" if ids else "")
-    return shipped(docs).select("doc_id", "text").mapInArrow(cut, schema)
+    def cut_and_forget(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from cut(batches)
+        finally:
+            encoder(path, cached).forget()
+
+    work = cut if keep else frugal(cut_and_forget)
+    return shipped(docs).select("doc_id", "text").mapInArrow(work, schema)
 
 
 def sum_of_squares(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> tuple[np.ndarray, int]:
@@ -280,7 +292,8 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def packed_documents(
-    docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, ids: bool = False, cached: int = CACHED
+    docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, ids: bool = False, cached: int = CACHED,
+    keep: bool = True,
 ) -> DataFrame:
     """Every document cut, if longer than ``capacity``, and packed."""
-    return pack(pieces(docs, path or vocabulary_path(), capacity, ids, cached), capacity)
+    return pack(pieces(docs, path or vocabulary_path(), capacity, ids, cached, keep), capacity)

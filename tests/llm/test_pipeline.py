@@ -1,9 +1,12 @@
 """The registered queries against their SQL, and the pipeline against its stages done by hand."""
 
+import os
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from oracle import connect, difference
 from pyspark.sql import functions as F
@@ -11,9 +14,10 @@ from test_operators import ODD, brute_duplicates, brute_passages, documents, wor
 
 import __spark_entry__
 import corpus_pipeline
-from sitegauge.llm import packing, secrets_scan
+from sitegauge.llm import decontaminate, packing, secrets_scan
 from sitegauge.llm.queries import ORACLES, QUERIES
 from sitegauge.llm.shingles import BAND_ROWS, BANDS, BINS, layout
+from sitegauge.sources.workdir import stored
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -164,3 +168,35 @@ def test_rows_with_maps_and_repeats(spark):
     again = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(5), "")
     kept = sorted(map(str, out.collect()))
     assert sorted(r["doc_id"] or 0 for r in out.collect()) == [0, 1, 3] and kept == sorted(map(str, again.collect()))
+
+
+def test_batches_are_bounded_in_bytes_and_a_page_holds_one_index(spark, conf, monkeypatch):
+    conf(corpus_pipeline.BATCH_SETTING, "10000")
+    conf(corpus_pipeline.BYTES_SETTING, str(64 << 20))
+    corpus_pipeline.small_batches(spark)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    wide = spark.range(0, 30, 1, 1).selectExpr("repeat('x', 1000000) AS text")
+    assert max(r["n"] for r in wide.mapInArrow(sizes, "n long").collect()) <= 6
+
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 100)
+    docs = spark.range(0, 20, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 150) AS text")
+    index = stored(decontaminate.shards(docs), "index", **decontaminate.PAGES)
+    place = index.select("_metadata.file_path").head()[0].removeprefix("file:").removeprefix("//")
+    file = pq.ParquetFile(place)
+    assert file.metadata.num_rows > 1
+    # Headers of the pages are what it has more.
+    before = stored(decontaminate.shards(docs), "index").select("_metadata.file_path").head()[0].removeprefix("file:").removeprefix("//")
+    assert os.path.getsize(place) > os.path.getsize(before)
+
+
+def test_caches_of_the_tokenizer_can_go_with_the_task():
+    own = packing.Encoder(packing.vocabulary_path(), cached=100)
+    first = own.encode("some words and, more words")
+    assert len(own.parts) > 1
+    own.forget()
+    assert len(own.parts) == len(own.words) == 1
+    assert own.encode("some words and, more words") == first
