@@ -45,6 +45,15 @@ class CharCnn:
     def parameters(self) -> list[np.ndarray]:
         return [self.letters, self.segments, self.filters, self.shift, self.out, self.constant]
 
+    def flat(self) -> np.ndarray:
+        """All parameters, one after another."""
+        return np.concatenate([p.reshape(-1) for p in self.parameters()])
+
+    def filled(self, flat: np.ndarray) -> CharCnn:
+        """A network of this shape with the parameters one after another in ``flat``."""
+        cuts = np.cumsum([p.size for p in self.parameters()])[:-1]
+        return CharCnn(*[a.reshape(p.shape).copy() for a, p in zip(np.split(flat, cuts), self.parameters())])
+
     def _forward(self, x: np.ndarray, seg: np.ndarray):
         body = self.letters[x] + self.segments[seg]
         body[seg == 0] = 0
@@ -65,10 +74,12 @@ class CharCnn:
         parts = [self._forward(x[i : i + 512], seg[i : i + 512])[3] for i in range(0, len(x), 512)]
         return np.concatenate(parts) if parts else np.zeros(0)
 
-    def _slopes(self, x: np.ndarray, seg: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    def _slopes(
+        self, x: np.ndarray, seg: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None
+    ) -> list[np.ndarray]:
         columns, where, hidden, logit = self._forward(x, seg)
         n = len(x)
-        d_logit = ((logistic(logit) - y) / n).astype(np.float32)
+        d_logit = ((logistic(logit) - y) / n * (1 if weight is None else weight)).astype(np.float32)
         d_hidden = d_logit[:, None] * self.out[None, :] * (hidden > 0)
         d_filters, d_columns = np.zeros_like(self.filters), np.zeros_like(columns)
         d_shift = np.zeros_like(self.shift)
@@ -90,8 +101,11 @@ class CharCnn:
         np.add.at(d_segments, seg.reshape(-1), d_body.reshape(-1, SIZE))
         return [d_letters, d_segments, d_filters, d_shift, hidden.T @ d_logit, d_logit.sum(keepdims=True)]
 
-    def train(self, x: np.ndarray, seg: np.ndarray, y: np.ndarray, epochs: int, rng: np.random.Generator) -> None:
-        """Adam on shuffled batches."""
+    def train(
+        self, x: np.ndarray, seg: np.ndarray, y: np.ndarray, epochs: int, rng: np.random.Generator,
+        weight: np.ndarray | None = None,
+    ) -> None:
+        """Adam on shuffled batches; rows count by their ``weight``."""
         first = [np.zeros_like(p) for p in self.parameters()]
         second = [np.zeros_like(p) for p in self.parameters()]
         step = 0
@@ -100,7 +114,8 @@ class CharCnn:
             for at in range(0, len(x), BATCH):
                 rows = order[at : at + BATCH]
                 step += 1
-                for p, g, m, v in zip(self.parameters(), self._slopes(x[rows], seg[rows], y[rows]), first, second):
+                slopes = self._slopes(x[rows], seg[rows], y[rows], None if weight is None else weight[rows])
+                for p, g, m, v in zip(self.parameters(), slopes, first, second):
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
                     p -= 0.004 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -108,9 +123,17 @@ class CharCnn:
 
 def keeping(found: np.ndarray, recall: float) -> float:
     """The largest threshold that keeps ``recall`` of the findings with these probabilities."""
+    return just_below(np.sort(found)[lost(len(found), recall)])
+
+
+def lost(n: int, recall: float) -> int:
+    """How many of ``n`` findings may be lost."""
     # The product may lie a little below the whole number that it stands for, or above it.
-    lost = int(np.floor(round((1 - recall) * len(found), 6)))
-    return float(np.sort(found)[lost]) * (1 - 1e-6)
+    return int(np.floor(round((1 - recall) * n, 6)))
+
+
+def just_below(score: float) -> float:
+    return float(score) * (1 - 1e-6)
 
 
 def calibrated(logits: np.ndarray, y: np.ndarray, recall: float, least: float = 0.5) -> tuple[float, float, float]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 
@@ -34,31 +36,43 @@ def logistic(x: np.ndarray) -> np.ndarray:
 
 def platt(margin: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, float]:
     """Slope and shift that turn margins into probabilities; targets are smoothed by class size."""
-    high = (y > 0).sum()
-    low = len(y) - high
-    target = np.where(y > 0, (high + 1) / (high + 2), 1 / (low + 2))
+    target = platt_targets(len(y) - (y > 0).sum(), (y > 0).sum())[(y > 0).astype(np.int64)]
     size = float(np.std(margin)) or 1.0
     scaled = margin / size
+    slope, shift = platt_by(lambda at: platt_sums(scaled, target, at), steps)
+    return slope / size, shift
+
+
+def platt_targets(low: int, high: int) -> np.ndarray:
+    """Probabilities that rows of either class, of these sizes, are fitted to."""
+    return np.array([1 / (low + 2), (high + 1) / (high + 2)])
+
+
+def platt_sums(scaled: np.ndarray, target: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Loss at slope and shift ``at``, its two slopes and its three bends; sums of rows add up."""
+    z = scaled * at[0] + at[1]
+    p = logistic(z)
+    r, v = p - target, np.maximum(p * (1 - p), 1e-9)
+    vs = v * scaled
+    return np.array(
+        [(np.logaddexp(0, z) - target * z).sum(), (r * scaled).sum(), r.sum(), (vs * scaled).sum(), vs.sum(), v.sum()]
+    )
 
-    def loss(at: np.ndarray) -> float:
-        z = scaled * at[0] + at[1]
-        return float((np.logaddexp(0, z) - target * z).sum())
 
+def platt_by(sums: Callable[[np.ndarray], np.ndarray], steps: int = 100) -> tuple[float, float]:
+    """Slope and shift of scaled margins, from the ``platt_sums`` of all rows at any place."""
     at = np.array([1.0, 0.0])
+    now = sums(at)
     for _ in range(steps):
-        p = logistic(at[0] * scaled + at[1])
-        r, v = p - target, np.maximum(p * (1 - p), 1e-9)
-        g = np.array([(r * scaled).sum(), r.sum()])
-        h = np.array([[(v * scaled * scaled).sum(), (v * scaled).sum()], [(v * scaled).sum(), v.sum()]])
-        move = np.linalg.solve(h + 1e-6 * np.eye(2), g)
-        now, part = loss(at), 1.0
-        while part > 1e-6 and loss(at - part * move) > now:
+        move = np.linalg.solve(np.array([now[3:5], now[4:6]]) + 1e-6 * np.eye(2), now[1:3])
+        part, then = 1.0, sums(at - move)
+        while part > 1e-6 and then[0] > now[0]:
             part /= 2
-        at = at - part * move
+            then = sums(at - part * move)
+        at, now = at - part * move, then
         if np.abs(part * move).max() < 1e-6:
             break
-    slope, shift = at[0] / size, at[1]
-    return float(slope), float(shift)
+    return float(at[0]), float(at[1])
 
 
 def lasso_logistic(
