@@ -38,7 +38,7 @@ from sitegauge.operators.reshape import (
 from sitegauge.plans import feeds, report, testbed
 from sitegauge.plans.release import release
 from sitegauge.plans.testbed import table
-from sitegauge.sources.pages import stored_pages
+from sitegauge.sources.pages import stored_pages, write_page_files
 from sitegauge.sources.tables import read_csv, replace_table, write_csv
 from sitegauge.sources.workdir import fresh_path, stored
 from sitegauge.streaming import ingest
@@ -506,7 +506,7 @@ def page_file_scan(spark: SparkSession, sf: str) -> DataFrame:
     folder = fresh_path(spark, "page-files")
     html = table(spark, sf, "pages").select("html")
     # A line break within a page stays: each file is one page and the line break after it.
-    html.write.option("maxRecordsPerFile", 1).text(folder)
+    write_page_files(html, folder)
     if not stored_pages(spark, folder, fresh_path(spark, "no-pages"), prefix="none", suffix=".txt").isEmpty():
         raise ValueError("files of another name were read")
     pages = stored_pages(spark, folder, fresh_path(spark, "pages"), prefix="part-", suffix=".txt")

@@ -1,5 +1,7 @@
 """Files, tables, views and the shared folder."""
 
+import os
+
 import golden
 import pytest
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from sitegauge.operators.reshape import transform_metrics
 from sitegauge.operators.snapshot import latest_snapshot, merge_sources
 from sitegauge.plans import report
 from sitegauge.sources import workdir
-from sitegauge.sources.pages import page_files
+from sitegauge.sources.pages import page_files, stored_pages, write_page_files
 from sitegauge.sources.tables import read_csv, register_views, replace_bucketed, replace_table, write_csv
 
 
@@ -267,3 +269,28 @@ def test_merged_rows_without_a_key_maps_and_whole_rows(spark):
 def test_json_text_of_flat_rows_has_no_line_break(spark):
     df = spark.createDataFrame([({"a\nb": "c\r"},)], "m map<string,string>")
     assert df.select(json_text(F.col("m"))).head()[0] == '{"a\\nb":"c\\r"}'
+
+
+def test_page_files_are_written_one_per_row_and_read_many_at_a_time(spark, conf, tmp_path):
+    conf("spark.sql.files.maxPartitionBytes", "1m")
+    rows = [(f"page {i}\nof two lines" if i % 50 else None,) for i in range(200)]
+    raw = spark.createDataFrame(rows, "html string").union(spark.sql("SELECT CAST(X'C3FF' AS STRING)")).union(spark.sql("SELECT ''"))
+    folder = str(tmp_path / "files")
+    write_page_files(raw.repartition(3), folder)
+    names = os.listdir(folder)
+    assert len(names) == 202 and all(n.startswith("part-") and n.endswith(".txt") for n in names)
+    want = sorted([(t or "").encode() + b"\n" for t, in rows] + [b"\xc3\xff\n", b"\n"])
+    assert sorted(open(f"{folder}/{n}", "rb").read() for n in names) == want
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    pages = stored_pages(spark, folder, str(tmp_path / "table"), prefix="part-", suffix=".txt")
+    assert sorted(bytes(r["content"]) for r in pages.collect()) == want
+    # With Spark's own cost of opening a file, every page would be a task and a file of the table.
+    assert len(pages.inputFiles()) <= 20
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_no_pages_make_an_empty_folder(spark, tmp_path):
+    folder = str(tmp_path / "none")
+    write_page_files(spark.createDataFrame([], "html string"), folder)
+    assert os.listdir(folder) == []
+    assert stored_pages(spark, folder, str(tmp_path / "table"), prefix="part-", suffix=".txt").isEmpty()
