@@ -2,10 +2,14 @@
 
 import datetime as dt
 import os
+import random
 
 import golden
+from pyspark.sql import functions as F
 
 from sitegauge.operators.reshape import history_series, transform_metrics
+from sitegauge.plans import testbed
+from sitegauge.plans.queries import stream_repeats
 from sitegauge.streaming.ingest import (
     batch_checks,
     batch_folders,
@@ -147,3 +151,16 @@ def test_pages_of_an_earlier_run_are_not_parsed_again(spark, tmp_path):
     compact(spark, f"{work}/log", f"{work}/sites")
     assert rejected_pages(spark, f"{work}/log").count() == 1
     assert batch_checks(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_repeated_pages_are_built_once_for_all_deliveries(spark, monkeypatch):
+    # Keys that another evaluation of the pages would draw anew.
+    drawn = F.udf(lambda i: random.randrange(10**12), "long").asNondeterministic()
+
+    def pages(spark, sf, ranked=True):
+        return spark.range(0, 30, 1, 2).select(drawn("id").alias("page_id"), F.encode(F.lit("no object"), "utf-8").alias("content"))
+
+    monkeypatch.setattr(testbed, "site_pages", pages)
+    rows = stream_repeats(spark, "nowhere").collect()
+    assert len(rows) == 30
+    assert {(r["outcome"], r["n_parsed"], r["n_counted"]) for r in rows} == {("no_object", 1, 30)}
