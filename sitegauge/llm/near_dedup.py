@@ -31,11 +31,14 @@ from sitegauge.sources.workdir import stored
 PERCENT = 85
 # Members of a star in one part of a block; a block has two parts at most.
 PART_MEMBERS = 128
-#: Parts of open members beyond which a star is split by its members' rare shingles first. Up to
-#: it, a set goes to no more than so many blocks per part of the star's other members.
+#: A part has up to so many times PART_MEMBERS, as long as all their shingles are PART_SHINGLES at most.
+PART_TIMES = 4
+PART_SHINGLES = 1 << 17
+#: Times PART_MEMBERS open members beyond which a star is split by its members' rare shingles, if
+#: that sends fewer sets to blocks than the star as it is.
 LARGE_PARTS = 16
-# Columns of the matrix in which a block's shared shingles are counted.
-BLOCK_COLUMNS = 4096
+# Cells of the matrix in which a block's shared shingles are counted.
+BLOCK_CELLS = 1 << 20
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -118,9 +121,10 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     order = np.argsort(column, kind="stable")
     rows, column = rows[order], column[order]
     width = int(column[-1]) + 1 if len(column) else 0
-    for at in range(0, width, BLOCK_COLUMNS):
-        low, high = np.searchsorted(column, [at, at + BLOCK_COLUMNS])
-        part = np.zeros((len(sets), BLOCK_COLUMNS), dtype=np.float32)
+    step = max(1, BLOCK_CELLS // len(sets))
+    for at in range(0, width, step):
+        low, high = np.searchsorted(column, [at, at + step])
+        part = np.zeros((len(sets), step), dtype=np.float32)
         part[rows[low:high], column[low:high] - at] = 1
         out += part @ part.T
     np.fill_diagonal(out, [len(s) for s in sets])
@@ -135,6 +139,9 @@ def _links_of_block(percent: int):
         counts = shared_counts(sets)
         sizes = np.diag(counts)
         similar = 100 * counts >= percent * (sizes[:, None] + sizes[None, :] - counts)
+        # Most pairs of a hot star are within one component, which needs no more links.
+        place = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+        similar &= place[:, None] != place[None, :]
         owner = {t: t for t in tags}
 
         def top(t):
@@ -157,9 +164,9 @@ def _links_of_block(percent: int):
 def settled(edges: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links between members of one star that are in different components, in blocks.
 
-    A star's members are those in its centre's component and the others, which are open. A star
-    with many open ones, documents that share a passage and are otherwise unlike, is split first
-    (``by_rare_shingles``). A block gives at most as many links as it joins components.
+    A star's members are those in the component that most of them are in and the others, which
+    are open. A star with many open ones, documents that share a passage and are otherwise unlike,
+    is split first (``by_rare_shingles``). A block gives at most as many links as it joins components.
     """
     rows = block_rows(edges, sets, labels, percent)
     filled = rows.join(sets.withColumnRenamed("doc_id", "a"), "a")
@@ -169,43 +176,65 @@ def settled(edges: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
 
 def block_rows(edges: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """``star``, ``block``, ``a`` and ``component``: a row for every set that a block compares."""
-    own = edges.select("a", F.col("b").alias("star")).unionByName(
-        edges.select(F.col("b").alias("a"), F.col("b").alias("star")).distinct()
+    own = edges.select("a", F.col("b").alias("star"), F.col("na").alias("n")).unionByName(
+        edges.select(F.col("b").alias("a"), F.col("b").alias("star"), F.col("nb").alias("n")).distinct()
     )
     at = labels.select(F.col("node").alias("a"), "component")
-    tagged = own.join(at, "a", "left").withColumn("component", F.coalesce("component", "a"))
-    centre = labels.select(F.col("node").alias("star"), F.col("component").alias("_centre"))
-    # Joins by star are merged: Spark splits the rows of a large one over tasks.
-    tagged = tagged.join(centre.hint("merge"), "star", "left").withColumn(
-        "out", F.col("component") != F.coalesce("_centre", "star")
-    )
-    open_stars = stored(with_parts(stored(tagged.drop("_centre"), "stars")), "open_stars")
-    large = open_stars.where(F.col("n_out") > LARGE_PARTS)
+    members = own.join(at, "a", "left").withColumn("component", F.coalesce("component", "a"))
+    open_stars = stored(with_parts(stored(members, "stars")), "open_stars")
+    large = open_stars.where(F.col("open") > LARGE_PARTS * PART_MEMBERS)
     if large.isEmpty():
         return in_blocks(open_stars)
     # A star is named by text from here on, as its parts are by their shingle as well.
-    named = in_blocks(open_stars.where(F.col("n_out") <= LARGE_PARTS)).withColumn("star", F.col("star").cast("string"))
-    return named.unionByName(in_blocks(with_parts(by_rare_shingles(large, sets, percent))))
+    named = open_stars.where(F.col("open") <= LARGE_PARTS * PART_MEMBERS).withColumn("star", F.col("star").cast("string"))
+    large = stored(large.withColumn("star", F.col("star").cast("string")), "large_stars")
+    split = stored(with_parts(by_rare_shingles(large, sets, percent)), "split_stars")
+    # Where the members share what is rare as well, near copies, more would be sent than without a split.
+    sent = split.select("whole", "star", "sent").distinct().groupBy(F.col("whole").alias("star")).agg(F.sum("sent").alias("_split"))
+    whole = large.select("star", "sent").distinct().join(sent.hint("merge"), "star").where(F.col("sent") < F.col("_split"))
+    whole = stored(whole.select("star"), "whole_stars")
+    large = large.join(whole.hint("merge"), "star", "left_semi")
+    split = split.join(whole.withColumnRenamed("star", "whole").hint("merge"), "whole", "left_anti")
+    return in_blocks(named).unionByName(in_blocks(large)).unionByName(in_blocks(split))
+
+
+def with_parts(members: DataFrame) -> DataFrame:
+    """Members of stars with more than one component, and how they are dealt to blocks.
+
+    ``out`` tells the members outside the star's most frequent component, ``open`` is their number.
+    ``n_out`` and ``n_in`` are the parts of these and the others, ``sent`` is what goes to blocks.
+    """
 
+    def parts(count, shingles):
+        few = F.ceil(count / (PART_TIMES * PART_MEMBERS))
+        return F.greatest(few, F.least(F.ceil(count / PART_MEMBERS), F.ceil(shingles / PART_SHINGLES)))
 
-def with_parts(tagged: DataFrame) -> DataFrame:
-    """Members of stars with an open member, and the numbers of parts of open and other members."""
-    size = tagged.groupBy("star").agg(
-        F.ceil(F.count_if("out") / PART_MEMBERS).alias("n_out"),
-        F.ceil(F.count_if(~F.col("out")) / PART_MEMBERS).alias("n_in"),
+    each = members.groupBy("star", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    size = each.groupBy("star").agg(
+        F.max(F.struct("c", "s", "component")).alias("_most"),
+        F.sum("c").alias("c"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("_components"),
     )
-    return tagged.join(stored(size.where("n_out > 0"), "sizes").hint("merge"), "star")
+    size = size.where("_components > 1").select(
+        "star", "_most", (F.col("c") - F.col("_most.c")).alias("open"),
+        parts(F.col("c") - F.col("_most.c"), F.col("s") - F.col("_most.s")).alias("n_out"),
+        parts(F.col("_most.c"), F.col("_most.s")).alias("n_in"),
+    )
+    size = size.withColumn("sent", F.expr("open * (n_out + n_in) + _most.c * n_out"))
+    # Joins by star are merged: Spark splits the rows of a large one over tasks.
+    tagged = members.join(stored(size, "sizes").hint("merge"), "star")
+    return tagged.withColumn("out", F.col("component") != F.col("_most.component")).drop("_most")
 
 
 def by_rare_shingles(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Large stars split into smaller ones, in which every two similar members still meet.
+    """Large stars, named by text, split into smaller ones, in which every two similar members still meet.
 
     Two sets of n and m shingles with a similarity of s share at least s * max(n, m) of them. So
     if the shingles of a star are put in one order, they share one that is among the first
     n - ceil(s * n) + 1 of the one and the first m - ceil(s * m) + 1 of the other. The order is by
     the number of the star's members that have the shingle, rarest first: a shared passage, which
     brought the members together, comes last, and what only one member has brings nobody together.
-    Each shingle that is left names a star of its own; nothing is lost, whatever the sizes.
+    Each shingle that is left names a star of its own (``whole`` is the one it is from); nothing is
+    lost, whatever the sizes.
     """
     words = stars.select("star", "a", "component").join(sets.withColumnRenamed("doc_id", "a"), "a")
     words = words.select("star", "a", "component", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("h"))
@@ -218,15 +247,9 @@ def by_rare_shingles(stars: DataFrame, sets: DataFrame, percent: int) -> DataFra
     place = F.row_number().over(member.orderBy("c", "h"))
     kept = words.join(shared.hint("merge"), ["star", "h"]).withColumns({"_left": first - alone, "_place": place})
     kept = kept.where(F.col("_place") <= F.col("_left")).select(
-        F.concat_ws(":", F.col("star").cast("string"), F.col("h").cast("string")).alias("star"), "a", "component"
-    )
-    kept = stored(kept, "rare_stars")
-    # Where all are in one component already there is nothing to join.
-    centre = kept.groupBy("star").agg(
-        F.min(F.struct("a", "component")).alias("_centre"), F.min("component").alias("_low"), F.max("component").alias("_high")
+        F.col("star").alias("whole"), F.concat_ws(":", "star", F.col("h").cast("string")).alias("star"), "a", "component", "n"
     )
-    tagged = kept.join(centre.where("_low <> _high").hint("merge"), "star")
-    return tagged.select("star", "a", "component", (F.col("component") != F.col("_centre.component")).alias("out"))
+    return stored(kept, "rare_stars")
 
 
 def in_blocks(open_stars: DataFrame) -> DataFrame:

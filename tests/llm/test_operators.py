@@ -201,6 +201,60 @@ def test_hot_stars_send_sets_in_proportion(spark):
     assert sent[4000] < 4 * 4000
 
 
+def near_copies(n, seed=3):
+    """Sets around one base: two in five alike and one component, the others unlike all else."""
+    rng = np.random.default_rng(seed)
+    sets, linked = {}, []
+    for i in range(n):
+        alike = i % 5 < 2
+        mine = list(range(120))
+        for at in rng.choice(120, 4 if alike else 40, replace=False):
+            mine[at] = 10**6 + 1000 * i + int(at)
+        sets[i] = mine
+        if alike:
+            linked.append(i)
+    # Two pairs that only the blocks can find.
+    for i in (12, n - 3):
+        sets[i] = [*sets[i - 8][:-2], 10**9 + i, 10**9 - i]
+    return sets, linked, {(i - 8, i) for i in (12, n - 3)}
+
+
+def test_hot_near_copies_are_sent_in_proportion(spark):
+    """Members of one component and pairs that share only what all share are not multiplied."""
+    sent = {}
+    for n in (600, 1200, 2400, 4800):
+        sets, linked, pairs = near_copies(n)
+        # The centre, 2, is alone: the component of the alike ones is another one.
+        edges = spark.createDataFrame([(i, 2, 120, 120) for i in sets if i != 2], "a long, b long, na long, nb long")
+        table = spark.createDataFrame(list(sets.items()), "doc_id long, shingles array<long>")
+        labels = spark.createDataFrame([(i, 0) for i in linked], "node long, component long")
+        sent[n] = near_dedup.block_rows(edges, table, labels, 85).count()
+        if n == 600:
+            found = near_dedup.settled(edges, table, labels, 85).collect()
+            assert {tuple(sorted(r)) for r in found} == pairs
+    assert all(rows <= 5 * n for n, rows in sent.items()), sent
+
+
+def test_stars_that_share_what_is_rare_are_not_split(spark, monkeypatch):
+    """Sets from one small pool, unlike by 85 per cent, meet again in all parts of a split."""
+    monkeypatch.setattr(near_dedup, "LARGE_PARTS", 4)
+    rng = np.random.default_rng(6)
+    n = 1200
+    sets = {i: [int(x) for x in rng.choice(150, 120, replace=False)] for i in range(n)}
+    sets[700] = [*sets[300][:-2], 1001, 1002]
+    edges, table = star_of(spark, sets)
+    none = components(spark.createDataFrame([], "a long, b long"))
+    assert near_dedup.block_rows(edges, table, none, 85).count() <= 5 * n
+    rows = np.zeros((n, 1003))
+    for i, v in sets.items():
+        rows[i, v] = 1
+    shared = rows @ rows.T
+    alike = 100 * shared >= 85 * (240 - shared)
+    want = components(spark.createDataFrame([(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(alike, 1)))], "a long, b long"))
+    assert components(near_dedup.settled(edges, table, none, 85)).orderBy("node").collect() == want.orderBy("node").collect()
+    assert 2 <= want.count() < n / 10
+
+
 def test_empty_tables(spark):
     docs = documents(spark, [])
     benchmark = spark.createDataFrame([], "item_id long, text string")
