@@ -23,36 +23,45 @@ def suffix_order(symbols: np.ndarray, separators: np.ndarray) -> np.ndarray:
 
     Prefix doubling that, after the first round, sorts only suffixes whose prefix is shared.
     """
+    # Places fit into 32 bits, as they do in the index. What is not needed any more goes at once: all
+    # arrays are as long as the text, and several of them side by side are a worker's peak.
     n = len(symbols)
-    rank = symbols.astype(np.int64) + len(separators)
-    rank[separators] = np.arange(len(separators))
-    order = np.argsort(rank, kind="stable")
+    rank = symbols.astype(np.int32) + np.int32(len(separators))
+    rank[separators] = np.arange(len(separators), dtype=np.int32)
+    order = np.argsort(rank, kind="stable").astype(np.int32)
     sorted_rank = rank[order]
     new = np.empty(n, dtype=bool)
     new[0] = True
     np.not_equal(sorted_rank[1:], sorted_rank[:-1], out=new[1:])
+    del sorted_rank
     # A suffix's rank is the place of the first one of its group.
-    heads = np.flatnonzero(new)
-    group = np.repeat(heads, np.diff(np.append(heads, n)))
+    heads = np.flatnonzero(new).astype(np.int32)
+    group = np.repeat(heads, np.diff(heads, append=np.int32(n)))
+    del heads
     rank[order] = group
     width = 1
     alone = new & np.append(new[1:], True)
-    open_at = np.flatnonzero(~alone)
+    open_at = np.flatnonzero(~alone).astype(np.int32)
+    del new, alone
     while len(open_at):
         at = order[open_at]
-        follow = np.minimum(at + width, n - 1)
-        key = (group[open_at] << 32) | rank[follow]
+        key = group[open_at].astype(np.int64)
+        key <<= 32
+        # The suffix ``width`` further on, or the last one; at + width itself might not fit.
+        key |= rank[np.minimum(at, max(0, n - 1 - width)) + min(width, n - 1)]
         by_key = np.argsort(key, kind="stable")
         key = key[by_key]
         order[open_at] = at[by_key]
+        del at, by_key
         changed = np.empty(len(key), dtype=bool)
         changed[0] = True
         np.not_equal(key[1:], key[:-1], out=changed[1:])
-        starts = np.flatnonzero(changed)
-        sizes = np.diff(np.append(starts, len(key)))
+        starts = np.flatnonzero(changed).astype(np.int32)
+        sizes = np.diff(starts, append=np.int32(len(key)))
+        del key, changed
         group[open_at] = np.repeat(open_at[starts], sizes)
         rank[order[open_at]] = group[open_at]
-        open_at = open_at[np.repeat(sizes, sizes) > 1]
+        open_at = open_at[np.repeat(sizes > 1, sizes)]
         width *= 2
     return order
 
@@ -75,15 +84,16 @@ class FmIndex:
     def build(cls, hashes: np.ndarray, bounds: np.ndarray) -> FmIndex:
         """``hashes[bounds[i]:bounds[i + 1]]`` are the words of document i."""
         n_docs = len(bounds) - 1
-        words, symbols = np.unique(hashes, return_inverse=True)
+        words = np.unique(hashes)
         n = len(hashes) + n_docs
         separators = bounds[1:] + np.arange(n_docs)
-        text = np.zeros(n, dtype=np.int64)
+        text = np.zeros(n, dtype=np.int32)
         inside = np.ones(n, dtype=bool)
         inside[separators] = False
-        text[inside] = symbols + 1
+        text[inside] = np.searchsorted(words, hashes) + 1
+        del inside
         order = suffix_order(text, separators)
-        last = text[order - 1].astype(np.int32)
+        last = text[order - 1]
         sigma = len(words) + 1
         first = np.zeros(sigma + 1, dtype=np.int64)
         np.cumsum(np.bincount(text, minlength=sigma), out=first[1:])

@@ -3,6 +3,7 @@
 import json
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -13,7 +14,7 @@ from sitegauge.llm import packing
 from sitegauge.llm.char_cnn import CharCnn, calibrated
 from sitegauge.llm.common import ALNUM, LOWER, SPACED, chunks, words_of
 from sitegauge.llm.context_mixing import Code, events, lanes_of, run_lanes, first_weights
-from sitegauge.llm.fm_index import FmIndex
+from sitegauge.llm.fm_index import FmIndex, suffix_order
 from sitegauge.llm.linear import platt, svm
 from sitegauge.llm.shingles import RANKS, bands, fingerprint, sets_of, signature
 
@@ -89,6 +90,27 @@ def test_index_finds_all_occurrences():
             assert sorted(index.locate(np.arange(a, b)).tolist()) == want
 
 
+def test_suffixes_are_in_order_and_an_index_is_built_in_little_memory():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 50, 300):
+        text = rng.integers(1, 3, n)
+        text[n // 2 :] = 1  # one long run
+        separators = np.unique(np.append(rng.integers(0, n, 3), n - 1))
+        text[separators] = 0
+        # Separators differ, and come before all words.
+        values = np.where(text == 0, np.arange(n) - n, text).tolist()
+        assert suffix_order(text, separators).tolist() == sorted(range(n), key=lambda i: values[i:])
+    words = rng.zipf(1.3, 100_000).astype(np.uint64) % np.uint64(20_000)
+    words[50_000:70_000] = words[:20_000]
+    tracemalloc.start()
+    try:
+        FmIndex.build(words, np.arange(0, 100_001, 500))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 80 * len(words)  # bytes: some ten arrays of 64 bits
+
+
 def packed_by(histogram, capacity):
     runs, bins = packing.sum_of_squares(histogram, capacity)
     fill, ranks = Counter(), Counter()
