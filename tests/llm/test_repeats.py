@@ -4,9 +4,12 @@ import collections
 import hashlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from sitegauge.llm import repeats as rp
+from sitegauge.llm.common import BATCHES, small_batches
 from sitegauge.llm.suffix_array import common_prefixes, joined, suffix_array
 
 
@@ -140,3 +143,60 @@ def test_no_rows(spark):
     assert got(rp.without_repeats(table(spark, rows))) == brute(rows, 400)
     none = rp.without_repeats(table(spark, rows).limit(0))
     assert none.collect() == [] and none.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
+def test_blocks_go_on_over_batches():
+    rng = np.random.default_rng(9)
+    rows = [(i, None if i % 9 == 4 else "é" * int(rng.integers(0, 60))) for i in range(200)] + [(200, "x" * 900), (201, None)]
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+    for many in (1, 7, 300):
+        parts = [rows[i : i + many] for i in range(0, len(rows), many)]
+        batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in part], schema) for part in [[], *parts, []]]
+        runs = list(rp._runs(iter(batches), 300))
+        back = [
+            (doc, data.tobytes()[a:b].decode())
+            for ids, data, offsets in runs
+            for doc, a, b in zip(ids.to_pylist(), offsets[:-1], offsets[1:])
+        ]
+        assert back == [(doc, text or "") for doc, text in rows]
+        sizes = [len(data) for _, data, _ in runs]
+        assert all(size <= 300 or len(ids) == 1 for size, (ids, _, _) in zip(sizes, runs))
+        # A block is as full as the documents allow, however small the batches are.
+        assert all(a + b > 300 for a, b in zip(sizes, sizes[1:-1]))
+    assert list(rp._runs(iter(batches[:1]), 300)) == []
+
+
+def test_tasks_hold_one_block_at_a_time(spark, monkeypatch):
+    """Batches are bounded, a block is a row group of its own, and the session's settings come back."""
+    monkeypatch.setattr(rp, "BLOCK_BYTES", 3000)
+    own = {setting: spark.conf.get(setting) for setting in BATCHES}
+    seen, keep = {}, rp.stored
+
+    def stored(df, name, **options):
+        out = keep(df, name, **options)
+        seen[name] = out, {setting: int(spark.conf.get(setting)) for setting in BATCHES}
+        return out
+
+    monkeypatch.setattr(rp, "stored", stored)
+    rows = texts(10, 120)
+    assert got(rp.without_repeats(table(spark, rows).coalesce(1), 20)) == brute(rows, 20)
+    assert {name: settings for name, (_, settings) in seen.items()} == dict.fromkeys(("sifted", "segments", "found"), BATCHES)
+    assert {setting: spark.conf.get(setting) for setting in BATCHES} == own
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in seen["sifted"][0].inputFiles()]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert len(groups) > 3 and set(groups) == {1}
+
+
+def test_small_batches_leave_smaller_settings(spark):
+    first, second = BATCHES
+    own = spark.conf.get(first), spark.conf.get(second)
+    try:
+        spark.conf.set(first, "7")
+        spark.conf.set(second, "1000000000")
+        with pytest.raises(ZeroDivisionError), small_batches(spark):
+            assert spark.conf.get(first) == "7" and spark.conf.get(second) == str(BATCHES[second])
+            1 / 0
+        assert spark.conf.get(first) == "7" and spark.conf.get(second) == "1000000000"
+    finally:
+        for setting, value in zip(BATCHES, own):
+            spark.conf.set(setting, value)
